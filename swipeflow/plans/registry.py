@@ -220,3 +220,391 @@ def q_daily_sql(spark, d):
 @register("customer_360_sql")
 def q_c360_sql(spark, d):
     return gold.customer_360_sql(staging(spark, d), tables.raw_customers(spark, d), AS_OF)
+
+
+# --- upserts ------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import merge, ml, quality, ranking, retrieval, sinks, windows  # noqa: E402
+from ..schemas import MART_TRANSACTION_DEFAULTS, MART_TRANSACTIONS  # noqa: E402
+from ..streaming import bronze_stream  # noqa: E402
+
+_MERGE_COLS = ["transaction_id", "customer_id", "amount_usd", "transaction_ts", "kafka_offset", "dq_passed",
+               "merchant_category"]
+
+
+def first_delivery(spark, d):
+    """Silver as of the first delivery (replayed copies not yet arrived)."""
+    b = bronze(spark, d).filter(F.col("kafka_offset") < K.REPLAY_OFFSET_SHIFT)
+    return silver.silver_transactions(b, AS_OF)
+
+
+@register("merge_upsert")
+def q_merge_upsert(spark, d):
+    tgt = first_delivery(spark, d).select(*_MERGE_COLS)
+    src = silver_txn(spark, d).select(*_MERGE_COLS)
+    return merge.merge_frames(tgt, src, ["transaction_id"])
+
+
+@register("merge_newer_offset")
+def q_merge_newer(spark, d):
+    tgt = first_delivery(spark, d).select(*_MERGE_COLS)
+    off = F.col("kafka_offset")
+    src = tgt.select(
+        *[c for c in _MERGE_COLS if c not in ("amount_usd", "kafka_offset")],
+        (F.col("amount_usd") + 1).cast("decimal(15,2)").alias("amount_usd"),
+        F.when(off % 2 == 0, off + 1).otherwise(off - 1).alias("kafka_offset"),
+    )
+    return merge.merge_frames(tgt, src, ["transaction_id"], when_matched=F.col("s.kafka_offset") > F.col("t.kafka_offset"))
+
+
+_DAILY_KEYS = ["txn_date", "merchant_category", "card_type"]
+
+
+@register("merge_daily")
+def q_merge_daily(spark, d):
+    first = staging(spark, d).filter(F.col("kafka_offset") < K.REPLAY_OFFSET_SHIFT)
+    tgt = gold.daily_summary_sql(first)
+    src = gold.daily_summary_sql(staging(spark, d))
+    measures = [c for c in tgt.columns if c not in _DAILY_KEYS + ["txn_year", "txn_month"]]
+    return merge.merge_frames(tgt, src, _DAILY_KEYS, update_cols=measures)
+
+
+@register("merge_customer_360")
+def q_merge_c360(spark, d):
+    first = staging(spark, d).filter(F.col("kafka_offset") < K.REPLAY_OFFSET_SHIFT)
+    cust = tables.raw_customers(spark, d)
+    tgt = gold.customer_360_sql(first, cust, AS_OF)
+    src = gold.customer_360_sql(staging(spark, d), cust, AS_OF)
+    upd = [c for c in tgt.columns if c not in ("customer_id", "avg_daily_spend")]
+    return merge.merge_frames(tgt, src, ["customer_id"], update_cols=upd)
+
+
+# --- data quality ---------------------------------------------------------------
+
+
+@register("dq_checks")
+def q_dq_checks(spark, d):
+    return quality.run_checks(staging(spark, d), AS_OF)
+
+
+@register("staging_checks")
+def q_staging_checks(spark, d):
+    return quality.staging_checks(staging(spark, d), AS_OF)
+
+
+@register("dq_metrics")
+def q_dq_metrics(spark, d):
+    e = enriched(spark, d)
+    return quality.dq_metrics(bronze(spark, d), e, gold.daily_txn_summary(e))
+
+
+@register("layer_counts")
+def q_layer_counts(spark, d):
+    e = enriched(spark, d)
+    return quality.layer_counts(bronze(spark, d), e, gold.daily_txn_summary(e))
+
+
+@register("null_rates")
+def q_null_rates(spark, d):
+    return quality.null_rates(enriched(spark, d))
+
+
+@register("null_analysis")
+def q_null_analysis(spark, d):
+    return quality.null_analysis(enriched(spark, d), "customer_id")
+
+
+@register("duplicates_both_ways")
+def q_duplicates(spark, d):
+    return quality.duplicate_counts(staging(spark, d))
+
+
+@register("amount_outliers")
+def q_outliers(spark, d):
+    return quality.amount_outliers(staging(spark, d).filter(F.col("amount_usd") > 0), factor=1.0).select(
+        "transaction_id", "kafka_offset", "amount_usd"
+    )
+
+
+@register("top_categories")
+def q_top_categories(spark, d):
+    return quality.top_categories(enriched(spark, d))
+
+
+def _freshness(spark, d):
+    e = enriched(spark, d)
+    return quality.freshness(
+        {
+            "bronze": (staging(spark, d), "transaction_ts"),
+            "silver": (e, "transaction_ts"),
+            "gold": (gold.daily_txn_summary(e), "txn_date"),
+        },
+        AS_OF,
+    )
+
+
+@register("freshness")
+def q_freshness(spark, d):
+    return _freshness(spark, d)
+
+
+@register("root_cause_lookup")
+def q_root_cause(spark, d):
+    issues = quality.issues_from_checks(quality.run_checks(staging(spark, d), AS_OF))
+    return quality.explain_issues(issues, quality.root_cause_rules(spark))
+
+
+@register("alert_rules")
+def q_alert_rules(spark, d):
+    return quality.alert_rules(_freshness(spark, d), quality.run_checks(staging(spark, d), AS_OF))
+
+
+@register("health_summary")
+def q_health(spark, d):
+    e = enriched(spark, d)
+    layers = quality.layer_counts(bronze(spark, d), e, gold.daily_txn_summary(e))
+    checks = quality.run_checks(staging(spark, d), AS_OF)
+    return quality.health_summary(layers, checks, quality.alert_rules(_freshness(spark, d), checks))
+
+
+# --- RFM, windows ---------------------------------------------------------------
+
+
+@register("rfm_scores")
+def q_rfm(spark, d):
+    return ranking.rfm_scores(gold.customer_360(enriched(spark, d), customers(spark, d)))
+
+
+@register("rfm_segments")
+def q_rfm_segments(spark, d):
+    return ranking.segment_summary(q_rfm(spark, d))
+
+
+@register("rfm_orders")
+def q_rfm_orders(spark, d):
+    """RFM over the long order history (many customers, heavy ties)."""
+    o = tables.orders_history(spark, d)
+    c360 = o.groupBy(F.col("o_custkey").cast("string").alias("customer_id")).agg(
+        F.max("o_orderdate").alias("last_txn_ts"),
+        F.count(F.lit(1)).alias("total_transactions"),
+        F.sum(F.col("o_totalprice").cast("decimal(15,2)")).alias("lifetime_spend_usd"),
+        F.lit(0).alias("fraud_flag_count"),
+    )
+    return ranking.rfm_scores(c360)
+
+
+@register("velocity")
+def q_velocity(spark, d):
+    return windows.velocity(enriched(spark, d).filter(F.col("dq_passed")))
+
+
+@register("impossible_travel")
+def q_travel(spark, d):
+    return windows.impossible_travel(enriched(spark, d).filter(F.col("dq_passed")))
+
+
+@register("yoy_volume")
+def q_yoy(spark, d):
+    return windows.yoy_volume(tables.orders_history(spark, d))
+
+
+# --- top-k, context, documents, vectors ----------------------------------------
+
+
+def _gold_frames(spark, d):
+    e = enriched(spark, d)
+    return (
+        gold.daily_txn_summary(e),
+        gold.fraud_alerts_hourly(e),
+        gold.customer_360(e, customers(spark, d)),
+        retrieval.fixed_scores(e),
+    )
+
+
+@register("top_fraud_days")
+def q_top_days(spark, d):
+    return retrieval.top_fraud_days(_gold_frames(spark, d)[0], AS_OF)
+
+
+@register("top_alerts")
+def q_top_alerts(spark, d):
+    return retrieval.top_alerts(_gold_frames(spark, d)[1], AS_OF)
+
+
+@register("risky_customers")
+def q_risky(spark, d):
+    return retrieval.risky_customers(_gold_frames(spark, d)[2])
+
+
+@register("fraud_context")
+def q_context(spark, d):
+    return retrieval.fraud_context(*_gold_frames(spark, d), AS_OF)
+
+
+def _documents(spark, d, n):
+    return retrieval.alert_documents(gold.fraud_alerts_hourly(enriched(spark, d)), n)
+
+
+@register("alert_documents")
+def q_alert_docs(spark, d):
+    return _documents(spark, d, 500).select("doc_id", "doc", "meta.*")
+
+
+@register("vector_topk")
+def q_vector_topk(spark, d):
+    emb = tables.table(spark, d, "embeddings")
+    return retrieval.vector_topk(emb, retrieval.label_centroids(emb), k=5)
+
+
+@register("tfidf_search")
+def q_tfidf(spark, d):
+    qs = retrieval.question_frame(spark, retrieval.SEARCH_QUESTIONS)
+    return retrieval.tfidf_search(_documents(spark, d, None), qs, k=3)
+
+
+@register("rag_context")
+def q_rag(spark, d):
+    docs = _documents(spark, d, None)
+    qs = retrieval.question_frame(spark, retrieval.RAG_QUESTIONS)
+    return retrieval.rag_context(retrieval.tfidf_search(docs, qs, k=8), docs)
+
+
+# --- scores and model -------------------------------------------------------------
+
+
+@register("score_bands")
+def q_score_bands(spark, d):
+    return retrieval.score_band_counts(retrieval.fixed_scores(enriched(spark, d)))
+
+
+@register("very_high_summary")
+def q_very_high(spark, d):
+    return retrieval.very_high_summary(retrieval.fixed_scores(enriched(spark, d)))
+
+
+@register("confusion_metrics")
+def q_confusion(spark, d):
+    return ml.confusion_metrics(retrieval.fixed_scores(enriched(spark, d)))
+
+
+@register("feature_frame")
+def q_features(spark, d):
+    return ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed"))).drop("transaction_ts")
+
+
+@register("split_time")
+def q_split_time(spark, d):
+    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed")))
+    return ml.split_time(f).select("transaction_id", "split")
+
+
+@register("split_hash")
+def q_split_hash(spark, d):
+    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed")))
+    train, test = ml.split_hash(f)
+    return train.select("transaction_id", F.lit("train").alias("split")).unionByName(
+        test.select("transaction_id", F.lit("test").alias("split"))
+    )
+
+
+@register("oversample")
+def q_oversample(spark, d):
+    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed")))
+    train, _ = ml.split_hash(f)
+    return ml.oversample(train).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _trained(spark, d, iters=5):
+    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed")))
+    train, _ = ml.split_hash(f)
+    model = ml.build_pipeline(max_iter=iters, max_depth=4).fit(ml.oversample(train))
+    return model, f
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark, d):
+    model, f = _trained(spark, d)
+    return ml.score(model, f)
+
+
+@register("feature_importance")
+def q_importance(spark, d):
+    model, _ = _trained(spark, d)
+    return ml.feature_importance(spark, model)
+
+
+# --- ingest, streaming, mart ------------------------------------------------------
+
+
+@register("parse_events_json")
+def q_parse_json(spark, d):
+    parsed = bronze_stream.parse_transactions(bronze_stream.to_envelope(bronze(spark, d)), as_of=AS_OF)
+    return parsed.select(
+        "kafka_offset", "kafka_partition", "transaction_id", "customer_id", "card_type", "merchant_category",
+        "merchant_state", "amount_usd", "transaction_ts", "is_fraud", "response_code", "_corrupt_record",
+    )
+
+
+@register("bronze_partition_counts")
+def q_bronze_parts(spark, d):
+    parsed = bronze_stream.parse_transactions(bronze_stream.to_envelope(bronze(spark, d)), as_of=AS_OF)
+    return parsed.groupBy("_partition_year", "_partition_month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("mart_conform")
+def q_mart(spark, d):
+    return sinks.conform(bronze(spark, d), MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS).select(
+        "transaction_id", "customer_id", "amount_usd", "currency", "transaction_ts", "_reject_reason"
+    )
+
+
+@register("audit_log")
+def q_audit(spark, d):
+    b = bronze(spark, d)
+    conf = sinks.conform(b, MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS)
+    e = enriched(spark, d)
+    layers = {
+        "bronze": (b, conf.filter(F.col("_reject_reason").isNotNull())),
+        "silver": (e, e.filter(~F.col("dq_passed"))),
+        "gold": (gold.daily_txn_summary(e), gold.daily_txn_summary(e).filter(F.lit(False))),
+    }
+    return sinks.audit_rows(layers, "card_pipeline", AS_OF).drop("run_end_ts")
+
+
+def _stream_dirs(spark, name):
+    from ..session import scratch_dir
+
+    base = scratch_dir(spark, name)
+    return f"{base}/landing", f"{base}/bronze", f"{base}/silver", f"{base}/alerts", f"{base}/_ckpt"
+
+
+@register("stream_bronze")
+def q_stream_bronze(spark, d):
+    landing, bronze_dir, _, _, ck = _stream_dirs(spark, "stream-bronze")
+    bronze_stream.write_landing(bronze(spark, d), landing)
+    src = bronze_stream.event_stream(spark, options={"path": landing})
+    q = bronze_stream.start_bronze(bronze_stream.parse_transactions(src, as_of=AS_OF), bronze_dir, f"{ck}/b")
+    q.awaitTermination()
+    return spark.read.parquet(bronze_dir).select("kafka_offset", "transaction_id", "amount_usd", "_partition_day")
+
+
+@register("stream_silver_merge")
+def q_stream_silver(spark, d):
+    landing, _, silver_dir, _, ck = _stream_dirs(spark, "stream-silver")
+    bronze_stream.write_landing(bronze(spark, d), landing)
+    src = bronze_stream.parse_transactions(bronze_stream.event_stream(spark, options={"path": landing}), as_of=AS_OF)
+    q = bronze_stream.start_silver(src, silver_dir, f"{ck}/s", as_of=AS_OF)
+    q.awaitTermination()
+    return merge.read_table(spark, silver_dir).select(*_DEDUP_COLS)
+
+
+@register("stream_hourly_alerts")
+def q_stream_alerts(spark, d):
+    landing, _, _, alerts_dir, ck = _stream_dirs(spark, "stream-alerts")
+    bronze_stream.write_landing(bronze(spark, d), landing)
+    src = bronze_stream.parse_transactions(bronze_stream.event_stream(spark, options={"path": landing}), as_of=AS_OF)
+    q = bronze_stream.start_hourly_alerts(bronze_stream.hourly_alerts(src), alerts_dir, f"{ck}/a")
+    q.awaitTermination()
+    return merge.read_table(spark, alerts_dir)
