@@ -122,7 +122,7 @@ def dq_metrics(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFra
             for c in KEY_COLUMNS
         ],
         "high_amount_anomalies",
-        F.round("_p99", 2).alias("p99_amount_usd"),
+        F.col("_p99").alias("p99_amount_usd"),
         F.coalesce(
             C.rate_pct("bronze_total_rows - silver_total_rows", "bronze_total_rows", 3), F.lit(0.0)
         ).alias("bronze_to_silver_drop_pct"),
@@ -156,20 +156,23 @@ def layer_counts(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataF
 def null_analysis(df: DataFrame, column: str, sample: int = 3) -> DataFrame:
     """M2: NULL count and rate of one column with up to ``sample`` example
     rows (smallest ``transaction_id`` first, so the sample is stable); one
-    output row per example, the totals repeated as scalar subqueries."""
-    stats = df.agg(F.count(F.lit(1)).alias("_total"), F.count_if(F.col(column).isNull()).alias("null_count"))
-    total, nulls = stats.select("_total").scalar(), stats.select("null_count").scalar()
+    output row per example, the totals attached as scalar subqueries."""
+    stats = df.agg(
+        F.count(F.lit(1)).alias("_total"), F.count_if(F.col(column).isNull()).alias("null_count")
+    ).select("null_count", F.coalesce(C.rate_pct("null_count", "_total", 3), F.lit(0.0)).alias("rate"))
     examples = (
         df.filter(F.col(column).isNull())
-        .select("transaction_id", "customer_id", "merchant_category", "transaction_ts")
+        .select("transaction_id", "customer_id", "merchant_category", "transaction_ts", "kafka_offset")
         .orderBy(F.asc_nulls_last("transaction_id"), F.asc_nulls_last("kafka_offset"))
         .limit(sample)
     )
-    w = F.row_number().over(Window.orderBy(F.asc_nulls_last("transaction_id")))  # <= sample rows
+    w = F.row_number().over(
+        Window.orderBy(F.asc_nulls_last("transaction_id"), F.asc_nulls_last("kafka_offset"))
+    )  # over <= sample rows
     return examples.select(
         F.lit(column).alias("column_name"),
-        nulls.alias("null_count"),
-        F.round(F.try_divide(nulls * 100.0, total), 3).alias("null_rate_pct"),
+        stats.select("null_count").scalar().alias("null_count"),
+        stats.select("rate").scalar().alias("null_rate_pct"),
         w.alias("sample_rank"),
         "transaction_id",
         "customer_id",
@@ -186,9 +189,13 @@ def freshness(layers: dict[str, tuple[DataFrame, str]], as_of: str) -> DataFrame
     """
     now = C.as_of_ts(as_of)
     rows = [
-        df.agg(F.max(F.col(ts_col).cast("timestamp")).alias("last_updated")).select(
-            F.lit(name).alias("layer"), "last_updated", C.lag_minutes(now, "last_updated").alias("lag_minutes")
+        df.agg(F.max(F.col(ts_col).cast("timestamp")).alias("last_updated"))
+        .select(
+            F.lit(name).alias("layer"),
+            "last_updated",
+            (F.unix_micros(now) - F.unix_micros("last_updated")).alias("_lag_us"),
         )
+        .select("layer", "last_updated", C.rquot("_lag_us", "60000000", 10, 10).alias("lag_minutes"))
         for name, (df, ts_col) in layers.items()
     ]
     return reduce(DataFrame.unionByName, rows)

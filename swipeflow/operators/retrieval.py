@@ -137,8 +137,9 @@ def alert_documents(alerts: DataFrame, n: int | None = 500) -> DataFrame:
     df = alerts.filter(F.col("fraud_count") > 0)
     if n is not None:
         df = df.orderBy(
-            F.desc("fraud_amount_usd"), "txn_year", "txn_month", "txn_day", "txn_hour", "merchant_category",
-            "merchant_state",
+            F.desc_nulls_last("fraud_amount_usd"),
+            *[F.asc_nulls_last(c) for c in
+              ("txn_year", "txn_month", "txn_day", "txn_hour", "merchant_category", "merchant_state")],
         ).limit(n)
     u = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("unknown"))
     day = F.coalesce(
@@ -270,8 +271,12 @@ def tfidf_search(
     )
     qn = qw.groupBy("question_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
     dots = qw.join(dw, "term").groupBy("question_id", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
+    # scores rounded to 10 places before ranking, so mathematically equal
+    # scores (templated texts) tie exactly and the doc_id tie-break decides
     scored = dots.join(dn, "id").join(qn, "question_id").select(
-        "question_id", F.col("id").alias("doc_id"), (F.col("dot") / (F.col("dnorm") * F.col("qnorm"))).alias("_s")
+        "question_id",
+        F.col("id").alias("doc_id"),
+        F.round(F.col("dot") / (F.col("dnorm") * F.col("qnorm")), 10).alias("_s"),
     )
     w = Window.partitionBy("question_id").orderBy(F.desc("_s"), "doc_id")
     return (

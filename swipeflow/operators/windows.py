@@ -74,7 +74,7 @@ def impossible_travel(
         "*",
         F.lag("_t").over(w).alias("_pt"),
         F.lag("merchant_state").over(w).alias("_ps"),
-    ).filter("_home")
+    ).filter("_home").withColumn("_gap", F.col("_t") - F.col("_pt"))
     near = (F.col("_t") - F.col("_pt")) <= gap_us
     return lagged.select(
         "transaction_id",
@@ -82,7 +82,7 @@ def impossible_travel(
         "transaction_ts",
         "merchant_state",
         F.when(near, F.col("_ps")).alias("prev_state"),
-        F.when(near, F.round((F.col("_t") - F.col("_pt")) / F.lit(60_000_000.0), 2)).alias("minutes_since_prev"),
+        F.when(near, C.rquot("_gap", "60000000", 100, 100)).alias("minutes_since_prev"),
         F.coalesce(
             near & ((F.col("_t") - F.col("_pt")) < gap_us) & (F.col("_ps") != F.col("merchant_state")), F.lit(False)
         ).alias("impossible_travel"),

@@ -433,3 +433,354 @@ SELECT customer_id, full_name, home_state, credit_score, credit_limit_usd, card_
 FROM agg
 """
 )
+
+
+# --- upserts --------------------------------------------------------------------
+
+SHIFT = K.REPLAY_OFFSET_SHIFT
+MERGE_COLS = ["transaction_id", "customer_id", "amount_usd", "transaction_ts", "kafka_offset", "dq_passed",
+              "merchant_category"]
+FIRST = f"""
+, tgt AS (
+    SELECT {', '.join(MERGE_COLS)}, TRUE AS _p FROM (
+        SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY kafka_offset DESC NULLS LAST) AS _rn
+        FROM cleansed WHERE kafka_offset < {SHIFT}) WHERE _rn = 1
+)"""
+
+
+def _pick_src(cols, take="s._p IS NOT NULL"):
+    return ", ".join(f"CASE WHEN {take} THEN s.{c} ELSE t.{c} END AS {c}" for c in cols)
+
+
+SQL["merge_upsert"] = q(
+    FIRST
+    + f"""
+, src AS (SELECT {', '.join(MERGE_COLS)}, TRUE AS _p FROM deduped WHERE transaction_id IS NOT NULL)
+SELECT {_pick_src(MERGE_COLS)}
+FROM tgt t FULL OUTER JOIN src s ON t.transaction_id = s.transaction_id
+"""
+)
+
+SQL["merge_newer_offset"] = q(
+    FIRST
+    + f"""
+, src AS (
+    SELECT transaction_id, customer_id, transaction_ts, dq_passed, merchant_category,
+           CAST(amount_usd + 1 AS DECIMAL(15,2)) AS amount_usd,
+           CASE WHEN kafka_offset % 2 = 0 THEN kafka_offset + 1 ELSE kafka_offset - 1 END AS kafka_offset,
+           TRUE AS _p
+    FROM tgt WHERE transaction_id IS NOT NULL
+)
+SELECT {_pick_src(MERGE_COLS, "s._p IS NOT NULL AND (t._p IS NULL OR s.kafka_offset > t.kafka_offset)")}
+FROM tgt t FULL OUTER JOIN src s ON t.transaction_id = s.transaction_id
+"""
+)
+
+
+def daily_sql_from(source: str) -> str:
+    return f"""
+SELECT CAST(transaction_ts AS DATE) AS txn_date,
+       year(transaction_ts) AS txn_year,
+       month(transaction_ts) AS txn_month,
+       merchant_category, card_type,
+       COUNT(*) AS total_transactions,
+       SUM(amount_usd) AS total_amount_usd,
+       {mean_money('SUM(amount_usd)', 'COUNT(*)')} AS avg_amount_usd,
+       MAX(amount_usd) AS max_amount_usd,
+       MIN(amount_usd) AS min_amount_usd,
+       COUNT(DISTINCT customer_id) AS unique_customers,
+       SUM(CASE WHEN is_fraud THEN 1 ELSE 0 END) AS fraud_count,
+       SUM(CASE WHEN is_fraud THEN amount_usd ELSE 0 END) AS fraud_amount_usd,
+       {rate('SUM(CASE WHEN is_fraud THEN 1 ELSE 0 END)', 'COUNT(*)', 4)} AS fraud_rate_pct,
+       SUM(CASE WHEN dayofweek(transaction_ts) + 1 IN (1, 7) THEN 1 ELSE 0 END) AS weekend_txn_count,
+       SUM(CASE WHEN hour(transaction_ts) BETWEEN 0 AND 5 THEN 1 ELSE 0 END) AS late_night_txn_count
+FROM {source}
+WHERE transaction_ts IS NOT NULL AND amount_usd > 0
+GROUP BY 1, 2, 3, 4, 5
+"""
+
+
+DAILY_MEASURES = ["total_transactions", "total_amount_usd", "avg_amount_usd", "max_amount_usd", "min_amount_usd",
+                  "unique_customers", "fraud_count", "fraud_amount_usd", "fraud_rate_pct", "weekend_txn_count",
+                  "late_night_txn_count"]
+DAILY_KEYS = ["txn_date", "merchant_category", "card_type"]
+
+SQL["merge_daily"] = q(
+    f"""
+, first_staging AS (SELECT * FROM staging WHERE kafka_offset < {SHIFT})
+, tgt AS (SELECT *, TRUE AS _p FROM ({daily_sql_from('first_staging')}))
+, src AS (SELECT *, TRUE AS _p FROM ({daily_sql_from('staging')}))
+SELECT {', '.join(f'CASE WHEN t._p IS NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in DAILY_KEYS + ['txn_year', 'txn_month'])},
+       {_pick_src(DAILY_MEASURES)}
+FROM tgt t FULL OUTER JOIN src s
+  ON t.txn_date = s.txn_date AND t.merchant_category = s.merchant_category AND t.card_type = s.card_type
+"""
+)
+
+
+def c360_sql_from(source: str) -> str:
+    return f"""
+SELECT *, CASE WHEN fraud_flag_count >= 3 THEN 'HIGH' WHEN fraud_flag_count >= 1 THEN 'MEDIUM' ELSE 'LOW' END
+              AS risk_tier,
+          {mean_money('lifetime_spend_usd', 'days_active')} AS avg_daily_spend
+FROM (
+    SELECT c.customer_id, c.full_name, c.home_state, c.credit_score, c.credit_limit_usd,
+           c.card_type, c.account_open_date,
+           date_diff('day', c.account_open_date, {AS_OF_DATE}) AS account_age_days,
+           COUNT(t.transaction_id) AS total_transactions,
+           SUM(t.amount_usd) AS lifetime_spend_usd,
+           {mean_money('SUM(t.amount_usd)', 'COUNT(t.amount_usd)')} AS avg_txn_usd,
+           MAX(t.amount_usd) AS max_single_txn_usd,
+           COUNT(DISTINCT t.merchant_category) AS unique_categories,
+           SUM(CASE WHEN t.is_fraud THEN 1 ELSE 0 END) AS fraud_flag_count,
+           MAX(t.transaction_ts) AS last_txn_ts,
+           MIN(t.transaction_ts) AS first_txn_ts,
+           date_diff('day', CAST(MIN(t.transaction_ts) AS DATE), CAST(MAX(t.transaction_ts) AS DATE))
+               AS days_active,
+           SUM(CASE WHEN t.merchant_state <> c.home_state THEN 1 ELSE 0 END) AS cross_state_txn_count,
+           COALESCE({rq(f"SUM({cents('COALESCE(t.amount_usd, 0)')})", f"{cents('c.credit_limit_usd')} * COUNT(*)", 10**4, 10**4)}, 0.0)
+               AS avg_amount_to_limit_ratio
+    FROM raw_customer c LEFT JOIN {source} t ON c.customer_id = t.customer_id
+    GROUP BY 1, 2, 3, 4, 5, 6, 7
+)
+"""
+
+
+C360_COLS = ["full_name", "home_state", "credit_score", "credit_limit_usd", "card_type", "account_open_date",
+             "account_age_days", "total_transactions", "lifetime_spend_usd", "avg_txn_usd", "max_single_txn_usd",
+             "unique_categories", "fraud_flag_count", "last_txn_ts", "first_txn_ts", "days_active",
+             "cross_state_txn_count", "avg_amount_to_limit_ratio", "risk_tier"]
+
+SQL["merge_customer_360"] = q(
+    f"""
+, first_staging AS (SELECT * FROM staging WHERE kafka_offset < {SHIFT})
+, tgt AS (SELECT *, TRUE AS _p FROM ({c360_sql_from('first_staging')}))
+, src AS (SELECT *, TRUE AS _p FROM ({c360_sql_from('staging')}))
+SELECT CASE WHEN t._p IS NULL THEN s.customer_id ELSE t.customer_id END AS customer_id,
+       {_pick_src(C360_COLS)},
+       CASE WHEN t._p IS NULL THEN s.avg_daily_spend ELSE t.avg_daily_spend END AS avg_daily_spend
+FROM tgt t FULL OUTER JOIN src s ON t.customer_id = s.customer_id
+"""
+)
+
+# --- data quality ---------------------------------------------------------------
+
+CHECKS = f"""
+, chk_agg AS (
+    SELECT CAST(count_if(transaction_id IS NULL) AS DOUBLE) AS null_transaction_ids,
+           CAST(count_if(amount_usd <= 0) AS DOUBLE) AS negative_amounts,
+           CAST(count_if(transaction_ts > {AS_OF_TS}) AS DOUBLE) AS future_transactions,
+           CAST(COUNT(*) - COUNT(DISTINCT transaction_id) AS DOUBLE) AS duplicate_transaction_ids,
+           {rate('count_if(is_fraud)', 'COUNT(*)', 2)} AS fraud_rate_sanity
+    FROM staging
+)
+, chk_tidy AS (
+    {' UNION ALL '.join(f"SELECT '{n}' AS check_name, {n} AS value, CAST({v} AS DOUBLE) AS threshold FROM chk_agg" for n, v in K.DQ_CHECK_THRESHOLDS.items())}
+)
+, checks AS (
+    SELECT check_name, value, threshold, value <= threshold AS passed FROM chk_tidy
+    UNION ALL
+    SELECT 'all_passed', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), bool_and(coalesce(value <= threshold, FALSE))
+    FROM chk_tidy
+)
+"""
+
+SQL["dq_checks"] = q(CHECKS + "SELECT * FROM checks")
+
+SQL["staging_checks"] = q(
+    f"""
+, a AS (
+    SELECT COUNT(*) AS total_rows,
+           count_if(transaction_id IS NULL) AS null_transaction_ids,
+           count_if(customer_id IS NULL) AS null_customer_ids,
+           count_if(amount_usd <= 0) AS negative_amounts,
+           count_if(transaction_ts > {AS_OF_TS}) AS future_transactions,
+           COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT transaction_id FROM staging)) AS duplicates
+    FROM staging
+)
+SELECT *, null_transaction_ids = 0 AND null_customer_ids = 0 AND negative_amounts = 0
+          AND future_transactions = 0 AND duplicates = 0 AS all_passed
+FROM a
+"""
+)
+
+KEY_COLS = ["transaction_id", "customer_id", "amount_usd", "transaction_ts", "merchant_category"]
+GOLD_DAILY = f", gold_daily AS ({DAILY})"
+LAYERS = f"""
+, layer_base AS (
+    SELECT (SELECT COUNT(*) FROM bronze) AS bronze_total_rows,
+           (SELECT COUNT(*) FROM enriched) AS silver_total_rows,
+           (SELECT COUNT(*) FROM gold_daily) AS gold_total_rows,
+           (SELECT count_if(NOT dq_passed) FROM enriched) AS dq_fail_count
+)
+, layers AS (
+    SELECT *, COALESCE({rate('dq_fail_count', 'silver_total_rows', 3)}, 0.0) AS dq_fail_rate_pct,
+           COALESCE({rate('bronze_total_rows - silver_total_rows', 'bronze_total_rows', 3)}, 0.0)
+               AS bronze_to_silver_drop_pct
+    FROM layer_base
+)
+"""
+
+SQL["layer_counts"] = q(GOLD_DAILY + LAYERS + "SELECT * FROM layers")
+
+SQL["dq_metrics"] = q(
+    GOLD_DAILY
+    + f"""
+, p AS (SELECT quantile_cont(CAST(amount_usd AS DOUBLE), 0.99) AS p99 FROM enriched)
+, s AS (
+    SELECT COUNT(*) AS silver_total_rows,
+           count_if(NOT dq_passed) AS dq_fail_count,
+           COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT transaction_id FROM enriched)) AS duplicate_count,
+           count_if(CAST(amount_usd AS DOUBLE) > (SELECT p99 FROM p) * 3) AS high_amount_anomalies,
+           {', '.join(f'count_if({c} IS NULL) AS _null_{c}' for c in KEY_COLS)}
+    FROM enriched
+)
+SELECT (SELECT COUNT(*) FROM bronze) AS bronze_total_rows,
+       silver_total_rows,
+       (SELECT COUNT(*) FROM gold_daily) AS gold_total_rows,
+       dq_fail_count,
+       COALESCE({rate('dq_fail_count', 'silver_total_rows', 3)}, 0.0) AS dq_fail_rate_pct,
+       duplicate_count,
+       {', '.join(f"COALESCE({rate(f'_null_{c}', 'silver_total_rows', 4)}, 0.0) AS null_rate_{c}" for c in KEY_COLS)},
+       high_amount_anomalies,
+       (SELECT p99 FROM p) AS p99_amount_usd,
+       COALESCE({rate('(SELECT COUNT(*) FROM bronze) - silver_total_rows', '(SELECT COUNT(*) FROM bronze)', 3)}, 0.0)
+           AS bronze_to_silver_drop_pct
+FROM s
+"""
+)
+
+SQL["null_rates"] = q(
+    f"""
+, a AS (SELECT COUNT(*) AS _total, {', '.join(f'count_if({c} IS NULL) AS {c}' for c in KEY_COLS)} FROM enriched)
+, u AS ({' UNION ALL '.join(f"SELECT '{c}' AS column_name, {c} AS null_count, _total FROM a" for c in KEY_COLS)})
+SELECT column_name, null_count, COALESCE({rate('null_count', '_total', 4)}, 0.0) AS null_rate_pct FROM u
+"""
+)
+
+SQL["null_analysis"] = q(
+    f"""
+, st AS (SELECT count_if(customer_id IS NULL) AS null_count, COUNT(*) AS _total FROM enriched)
+SELECT 'customer_id' AS column_name,
+       (SELECT null_count FROM st) AS null_count,
+       (SELECT COALESCE({rate('null_count', '_total', 3)}, 0.0) FROM st) AS null_rate_pct,
+       row_number() OVER (ORDER BY transaction_id ASC NULLS LAST, kafka_offset ASC NULLS LAST) AS sample_rank,
+       transaction_id, customer_id, merchant_category, transaction_ts
+FROM (SELECT * FROM enriched WHERE customer_id IS NULL
+      ORDER BY transaction_id ASC NULLS LAST, kafka_offset ASC NULLS LAST LIMIT 3)
+"""
+)
+
+SQL["duplicates_both_ways"] = q(
+    """
+SELECT COUNT(*) AS total_rows,
+       COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT transaction_id FROM staging)) AS duplicate_rows_distinct,
+       COUNT(*) - COUNT(DISTINCT transaction_id) AS duplicate_ids_sql
+FROM staging
+"""
+)
+
+SQL["amount_outliers"] = q(
+    """
+, pos AS (SELECT * FROM staging WHERE amount_usd > 0)
+SELECT transaction_id, kafka_offset, amount_usd FROM pos
+WHERE CAST(amount_usd AS DOUBLE) > (SELECT quantile_cont(CAST(amount_usd AS DOUBLE), 0.99) FROM pos) * 1.0
+"""
+)
+
+SQL["top_categories"] = q(
+    """
+SELECT merchant_category, COUNT(*) AS txn_count FROM enriched
+GROUP BY merchant_category ORDER BY txn_count DESC, merchant_category ASC NULLS LAST LIMIT 5
+"""
+)
+
+FRESH = (
+    GOLD_DAILY
+    + f"""
+, fresh_raw AS (
+    SELECT 'bronze' AS layer, MAX(transaction_ts) AS last_updated FROM staging
+    UNION ALL SELECT 'silver', MAX(transaction_ts) FROM enriched
+    UNION ALL SELECT 'gold', CAST(MAX(txn_date) AS TIMESTAMP) FROM gold_daily
+)
+, fresh AS (
+    SELECT layer, last_updated,
+           {rq(f"epoch_us({AS_OF_TS}) - epoch_us(last_updated)", '60000000', 10, 10)} AS lag_minutes
+    FROM fresh_raw
+)
+"""
+)
+
+SQL["freshness"] = q(FRESH + "SELECT * FROM fresh")
+
+RULES_VALUES = ", ".join(
+    "({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(K.ROOT_CAUSE_RULES)
+)
+ISSUE_PHRASES = {
+    "null_transaction_ids": "null transaction_id",
+    "negative_amounts": "negative amount",
+    "future_transactions": "future timestamps",
+    "duplicate_transaction_ids": "duplicate records",
+    "fraud_rate_sanity": "fraud rate above threshold",
+}
+FALLBACK = K.ROOT_CAUSE_FALLBACK.replace("'", "''")
+
+SQL["root_cause_lookup"] = q(
+    CHECKS
+    + f"""
+, rules(priority, rule_key, explanation) AS (VALUES {RULES_VALUES})
+, issues AS (
+    SELECT check_name AS issue_id,
+           'Detected ' || CASE check_name {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in ISSUE_PHRASES.items())}
+                          ELSE check_name END
+           || ': ' || format('{{:,.2f}}', value) AS issue_description
+    FROM checks WHERE check_name <> 'all_passed' AND NOT passed
+)
+, m AS (
+    SELECT i.issue_id, i.issue_description, r.priority, r.explanation
+    FROM issues i LEFT JOIN rules r ON contains(lower(i.issue_description), r.rule_key)
+)
+SELECT issue_id, issue_description, MIN(priority) AS matched_rule,
+       COALESCE(arg_min(explanation, priority), replace('{FALLBACK}', '{{issue}}', issue_description))
+           AS explanation
+FROM m GROUP BY issue_id, issue_description
+"""
+)
+
+ALERTS = f"""
+, rules_eval AS (
+    SELECT 'stale_' || layer AS rule_name, lag_minutes AS observed,
+           CASE layer WHEN 'bronze' THEN {float(K.ALERT_INGEST_LAG_MINUTES)}
+                      WHEN 'silver' THEN {float(K.ALERT_MERGE_MINUTES)}
+                      WHEN 'gold' THEN {float(K.ALERT_GOLD_STALE_HOURS * 60)} END AS limit_value
+    FROM fresh
+    UNION ALL
+    SELECT 'failed_dq_checks', CAST(count_if(NOT passed) AS DOUBLE), 0.0 FROM checks WHERE check_name <> 'all_passed'
+)
+, alert_rules AS (SELECT *, COALESCE(observed, 0.0) > limit_value AS firing FROM rules_eval)
+"""
+
+SQL["alert_rules"] = q(FRESH + CHECKS + ALERTS + "SELECT * FROM alert_rules")
+
+SQL["health_summary"] = q(
+    FRESH
+    + CHECKS
+    + ALERTS
+    + LAYERS
+    + """
+, h AS (
+    SELECT dq_fail_rate_pct,
+           (SELECT count_if(NOT passed) FROM checks WHERE check_name <> 'all_passed') AS failed_checks,
+           (SELECT count_if(firing) FROM alert_rules) AS firing_rules
+    FROM layers
+)
+SELECT CASE WHEN failed_checks > 0 AND dq_fail_rate_pct >= 5 THEN 'RED'
+            WHEN failed_checks > 0 OR firing_rules > 0 THEN 'AMBER' ELSE 'GREEN' END AS status,
+       failed_checks + firing_rules AS warnings,
+       failed_checks, firing_rules, dq_fail_rate_pct,
+       CASE WHEN failed_checks > 0 THEN 'Triage failed DQ checks in Silver before the next Gold load'
+            WHEN firing_rules > 0 THEN 'Investigate stale layers: check the last pipeline runs'
+            ELSE 'No action needed' END AS next_action
+FROM h
+"""
+)
