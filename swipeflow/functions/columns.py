@@ -168,11 +168,7 @@ def as_of_date(as_of: str) -> Column:
     return F.to_date(F.lit(as_of))
 
 
-def lag_minutes(now: Column, latest) -> Column:
-    """Minutes between two timestamps, 1 decimal; NULL if ``latest`` is NULL."""
-    return F.round((F.unix_micros(now) - F.unix_micros(col(latest))) / F.lit(60_000_000.0), 1)
-
-
 def money_text(c) -> Column:
     """``$1,234.50`` style text."""
-    return F.concat(F.lit("$"), F.format_string("%,.2f", col(c).cast("double")))
+    c = col(c)
+    return F.when(c.isNotNull(), F.concat(F.lit("$"), F.format_string("%,.2f", c.cast("double"))))

@@ -784,3 +784,435 @@ SELECT CASE WHEN failed_checks > 0 AND dq_fail_rate_pct >= 5 THEN 'RED'
 FROM h
 """
 )
+
+# --- RFM ------------------------------------------------------------------------
+
+C360_N3 = f"""
+, c360_stats AS (
+    SELECT customer_id,
+           COUNT(*) AS total_transactions,
+           SUM(amount_usd) AS lifetime_spend_usd,
+           SUM(CAST(is_fraud AS BIGINT)) AS fraud_flag_count,
+           MAX(transaction_ts) AS last_txn_ts
+    FROM passed GROUP BY customer_id
+)
+, c360 AS (
+    SELECT c.customer_id, s.last_txn_ts, s.total_transactions, s.lifetime_spend_usd, s.fraud_flag_count
+    FROM customers c LEFT JOIN c360_stats s ON c.customer_id = s.customer_id
+)
+"""
+
+ORDERS_C360 = """
+, c360 AS (
+    SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
+           MAX(o_orderdate) AS last_txn_ts,
+           COUNT(*) AS total_transactions,
+           SUM(CAST(o_totalprice AS DECIMAL(15,2))) AS lifetime_spend_usd,
+           0 AS fraud_flag_count
+    FROM orders GROUP BY o_custkey
+)
+"""
+
+
+def _avg_rank(v: str, desc: bool) -> str:
+    order = "DESC" if desc else "ASC"
+    return (
+        f"CASE WHEN {v} IS NULL THEN NULL ELSE rank() OVER (PARTITION BY {v} IS NULL ORDER BY {v} {order}) - 1"
+        f" + (count(*) OVER (PARTITION BY {v}) + 1) / 2.0 END"
+    )
+
+
+def _score(r: str, e: str, labels) -> str:
+    return (
+        f"CASE WHEN {r} IS NULL THEN NULL WHEN {r} <= {e}[1] THEN {labels[0]} WHEN {r} <= {e}[2] THEN {labels[1]}"
+        f" WHEN {r} <= {e}[3] THEN {labels[2]} ELSE {labels[3]} END"
+    )
+
+
+RFM = f"""
+, ranks AS (
+    SELECT *, {_avg_rank('last_txn_ts', True)} AS r_rank,
+              {_avg_rank('total_transactions', False)} AS f_rank,
+              {_avg_rank('lifetime_spend_usd', False)} AS m_rank
+    FROM c360
+)
+, edges AS (
+    SELECT quantile_cont(r_rank, [0.25, 0.5, 0.75]) AS er,
+           quantile_cont(f_rank, [0.25, 0.5, 0.75]) AS ef,
+           quantile_cont(m_rank, [0.25, 0.5, 0.75]) AS em
+    FROM ranks
+)
+, scored AS (
+    SELECT r.customer_id, r.last_txn_ts, r.total_transactions, r.lifetime_spend_usd, r.fraud_flag_count,
+           {_score('r.r_rank', 'e.er', [4, 3, 2, 1])} AS recency_score,
+           {_score('r.f_rank', 'e.ef', [1, 2, 3, 4])} AS frequency_score,
+           {_score('r.m_rank', 'e.em', [1, 2, 3, 4])} AS monetary_score
+    FROM ranks r, edges e
+)
+, rfm AS (
+    SELECT *, CAST(recency_score AS VARCHAR) || CAST(frequency_score AS VARCHAR) || CAST(monetary_score AS VARCHAR)
+                  AS rfm_score,
+           CASE WHEN recency_score IS NULL OR frequency_score IS NULL OR monetary_score IS NULL THEN 'No Activity'
+                WHEN recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'Champions'
+                WHEN recency_score >= 3 AND frequency_score >= 3 THEN 'Loyal Customers'
+                WHEN recency_score >= 4 THEN 'Recent Customers'
+                WHEN frequency_score <= 2 AND monetary_score >= 3 THEN 'At Risk Big Spenders'
+                ELSE 'Needs Attention' END AS customer_segment
+    FROM scored
+)
+"""
+
+SQL["rfm_scores"] = q(C360_N3 + RFM + "SELECT * FROM rfm")
+SQL["rfm_orders"] = q(ORDERS_C360 + RFM + "SELECT * FROM rfm")
+SQL["rfm_segments"] = q(
+    C360_N3
+    + RFM
+    + f"""
+SELECT customer_segment,
+       COUNT(*) AS customer_count,
+       {rq(f"SUM({cents('lifetime_spend_usd')})", 'COUNT(lifetime_spend_usd)', 1, 100)} AS avg_lifetime_spend,
+       {rq('SUM(total_transactions)', 'COUNT(total_transactions)', 100, 100)} AS avg_txn_count,
+       {rq('SUM(CASE WHEN fraud_flag_count > 0 THEN 1 ELSE 0 END)', 'COUNT(*)', 100, 100)} AS fraud_rate
+FROM rfm GROUP BY customer_segment
+"""
+)
+
+# --- windows ----------------------------------------------------------------------
+
+HOUR_US = 3_600_000_000
+SQL["velocity"] = q(
+    f"""
+, v AS (
+    SELECT transaction_id, customer_id, transaction_ts, amount_usd, epoch_us(transaction_ts) AS _t
+    FROM passed WHERE customer_id IS NOT NULL AND transaction_ts IS NOT NULL
+)
+SELECT transaction_id, customer_id, transaction_ts, amount_usd,
+       COUNT(*) OVER w1 AS txn_count_1h, SUM(amount_usd) OVER w1 AS amount_sum_1h,
+       COUNT(*) OVER w24 AS txn_count_24h, SUM(amount_usd) OVER w24 AS amount_sum_24h
+FROM v
+WINDOW w1 AS (PARTITION BY customer_id ORDER BY _t RANGE BETWEEN {HOUR_US} PRECEDING AND CURRENT ROW),
+       w24 AS (PARTITION BY customer_id ORDER BY _t RANGE BETWEEN {24 * HOUR_US} PRECEDING AND CURRENT ROW)
+"""
+)
+
+GAP_US = 120 * 60_000_000
+SQL["impossible_travel"] = q(
+    f"""
+, v AS (
+    SELECT transaction_id, customer_id, transaction_ts, merchant_state, epoch_us(transaction_ts) AS _t
+    FROM passed WHERE customer_id IS NOT NULL AND transaction_ts IS NOT NULL
+)
+, l AS (
+    SELECT *, lag(_t) OVER w AS _pt, lag(merchant_state) OVER w AS _ps
+    FROM v WINDOW w AS (PARTITION BY customer_id ORDER BY _t, transaction_id)
+)
+SELECT transaction_id, customer_id, transaction_ts, merchant_state,
+       CASE WHEN _t - _pt <= {GAP_US} THEN _ps END AS prev_state,
+       CASE WHEN _t - _pt <= {GAP_US} THEN {rq('_t - _pt', '60000000', 100, 100)} END AS minutes_since_prev,
+       COALESCE(_t - _pt <= {GAP_US} AND _t - _pt < {GAP_US} AND _ps <> merchant_state, FALSE) AS impossible_travel
+FROM l
+"""
+)
+
+SQL["yoy_volume"] = f"""
+WITH m AS (
+    SELECT year(o_orderdate) AS yr, month(o_orderdate) AS mon, COUNT(*) AS order_count,
+           SUM(CAST(o_totalprice AS DECIMAL(15,2))) AS volume
+    FROM orders GROUP BY 1, 2
+)
+SELECT m.yr, m.mon, m.order_count, m.volume, p.order_count AS prev_order_count, p.volume AS prev_volume,
+       {rq(f"{cents('m.volume')} - {cents('p.volume')}", cents('p.volume'), 10**4, 100)} AS yoy_growth_pct
+FROM m LEFT JOIN m p ON p.yr = m.yr - 1 AND p.mon = m.mon
+"""
+
+# --- top-k, context, documents ------------------------------------------------------
+
+ALERTS_BODY = SQL["fraud_alerts_hourly"][len(BASE):]
+GOLD_ALERTS = f", alerts AS ({ALERTS_BODY})"
+C360_FULL = SQL["customer_360"][len(BASE):]
+C360_FULL = C360_FULL.replace("\nSELECT c.customer_id", "\n, c360full AS (SELECT c.customer_id", 1) + ")"
+CUTOFF = "DATE '2024-01-25'"  # AS_OF date minus 7 days
+SCORES = f"""
+, scores AS (
+    SELECT transaction_id, (kafka_offset * 7919) % 1000 AS score_milli,
+           CAST(is_fraud AS DOUBLE) AS label,
+           CAST(((kafka_offset * 7919) % 1000) / 1000.0 >= 0.5 AS DOUBLE) AS prediction,
+           ((kafka_offset * 7919) % 1000) / 1000.0 AS fraud_probability,
+           CASE WHEN ((kafka_offset * 7919) % 1000) / 1000.0 >= 0.9 THEN 'VERY_HIGH'
+                WHEN ((kafka_offset * 7919) % 1000) / 1000.0 >= 0.7 THEN 'HIGH'
+                WHEN ((kafka_offset * 7919) % 1000) / 1000.0 >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END
+               AS fraud_score_band
+    FROM passed
+)
+"""
+VERY_HIGH = f"""
+SELECT COUNT(*) AS very_high_count, {rq('SUM(score_milli)', 'COUNT(*)', 1000, 10**6)} AS avg_prob
+FROM scores WHERE fraud_score_band = 'VERY_HIGH'
+"""
+TOP_DAYS = f"""
+SELECT * FROM gold_daily WHERE txn_date >= {CUTOFF}
+ORDER BY fraud_count DESC, txn_date, merchant_category, card_type LIMIT 20
+"""
+TOP_ALERTS = """
+SELECT * FROM alerts WHERE txn_year = 2024 AND severity IN ('HIGH', 'CRITICAL')
+ORDER BY fraud_amount_usd DESC, txn_month, txn_day, txn_hour, merchant_category, merchant_state LIMIT 10
+"""
+RISKY = """
+SELECT customer_id, home_state, credit_score, fraud_flag_count, lifetime_spend_usd, risk_tier
+FROM c360full WHERE risk_tier = 'HIGH' ORDER BY fraud_flag_count DESC, customer_id LIMIT 5
+"""
+
+SQL["top_fraud_days"] = q(GOLD_DAILY + TOP_DAYS)
+SQL["top_alerts"] = q(GOLD_ALERTS + TOP_ALERTS)
+SQL["risky_customers"] = q(C360_FULL + RISKY)
+SQL["score_bands"] = q(SCORES + "SELECT fraud_score_band, COUNT(*) AS txn_count FROM scores GROUP BY 1")
+SQL["very_high_summary"] = q(SCORES + VERY_HIGH)
+SQL["confusion_metrics"] = q(
+    SCORES
+    + f"""
+, c AS (
+    SELECT count_if(prediction = 1 AND label = 1) AS tp, count_if(prediction = 1 AND label = 0) AS fp,
+           count_if(prediction = 0 AND label = 1) AS fn, count_if(prediction = 0 AND label = 0) AS tn
+    FROM scores
+)
+SELECT tp, fp, fn, tn,
+       COALESCE({ratio('tp', 'tp + fp')}, 0.0) AS precision,
+       COALESCE({ratio('tp', 'tp + fn')}, 0.0) AS recall,
+       COALESCE({ratio('2 * tp', '2 * tp + fp + fn')}, 0.0) AS f1
+FROM c
+"""
+)
+SQL["fraud_context"] = q(
+    GOLD_DAILY
+    + GOLD_ALERTS
+    + C360_FULL
+    + SCORES
+    + f"""
+, d AS ({TOP_DAYS}), a AS ({TOP_ALERTS}), r AS ({RISKY}), s AS ({VERY_HIGH})
+SELECT 'daily_summary' AS section,
+       row_number() OVER (ORDER BY fraud_count DESC, txn_date, merchant_category, card_type) AS item_rank,
+       concat_ws('|', CAST(txn_date AS VARCHAR), merchant_category, card_type) AS label,
+       CAST(fraud_count AS BIGINT) AS count_value, CAST(fraud_amount_usd AS DECIMAL(18,2)) AS amount_value
+FROM d
+UNION ALL
+SELECT 'high_severity_alerts',
+       row_number() OVER (ORDER BY fraud_amount_usd DESC, txn_month, txn_day, txn_hour, merchant_category,
+                          merchant_state),
+       concat_ws('|', CAST(alert_ts AS VARCHAR), merchant_category, merchant_state),
+       CAST(fraud_count AS BIGINT), CAST(fraud_amount_usd AS DECIMAL(18,2))
+FROM a
+UNION ALL
+SELECT 'high_risk_customers', row_number() OVER (ORDER BY fraud_flag_count DESC, customer_id), customer_id,
+       CAST(fraud_flag_count AS BIGINT), CAST(lifetime_spend_usd AS DECIMAL(18,2))
+FROM r
+UNION ALL
+SELECT 'ml_very_high_scores', 1, printf('%.4f', COALESCE(avg_prob, 0.0)), CAST(very_high_count AS BIGINT),
+       CAST(NULL AS DECIMAL(18,2))
+FROM s
+"""
+)
+
+
+def _docs(limit: str) -> str:
+    u = lambda c: f"COALESCE(CAST({c} AS VARCHAR), 'unknown')"
+    return f"""
+, docs AS (
+    SELECT concat_ws('-', {u('txn_year')}, {u('txn_month')}, {u('txn_day')}, {u('txn_hour')},
+                     {u('merchant_category')}, {u('merchant_state')}) AS doc_id,
+           'On ' || CASE WHEN txn_year IS NOT NULL AND txn_month IS NOT NULL AND txn_day IS NOT NULL
+                         THEN printf('%d-%02d-%02d', txn_year, txn_month, txn_day) ELSE 'unknown date' END
+           || ' at hour ' || {u('txn_hour')}
+           || ', ' || CAST(fraud_count AS VARCHAR)
+           || ' fraudulent ' || {u('merchant_category')}
+           || ' transactions occurred in ' || {u('merchant_state')}
+           || ' totalling ' || COALESCE('$' || format('{{:,.2f}}', CAST(fraud_amount_usd AS DOUBLE)), '$0.00')
+           || ', affecting ' || CAST(affected_customers AS VARCHAR)
+           || ' customers. Severity: ' || severity || '.' AS doc,
+           merchant_category AS category, merchant_state AS state, severity, txn_month AS month, txn_year AS year
+    FROM alerts WHERE fraud_count > 0
+    ORDER BY fraud_amount_usd DESC NULLS LAST, txn_year ASC NULLS LAST, txn_month ASC NULLS LAST,
+             txn_day ASC NULLS LAST, txn_hour ASC NULLS LAST, merchant_category ASC NULLS LAST,
+             merchant_state ASC NULLS LAST
+    {limit}
+)
+"""
+
+
+SQL["alert_documents"] = q(GOLD_ALERTS + _docs("LIMIT 500") + "SELECT * FROM docs")
+
+SQL["vector_topk"] = """
+WITH emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),
+dims AS (
+    SELECT label, i, avg(x) AS m
+    FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM emb)
+    GROUP BY label, i
+),
+qs AS (SELECT label AS query_id, list(m ORDER BY i) AS qv FROM dims GROUP BY label),
+sims AS (
+    SELECT q.query_id, e.vec_id AS doc_id,
+           list_dot_product(e.v, q.qv) / (sqrt(list_dot_product(e.v, e.v)) * sqrt(list_dot_product(q.qv, q.qv))) AS s
+    FROM emb e CROSS JOIN qs q
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank FROM sims)
+SELECT query_id, rank, doc_id, round(s, 4) AS similarity FROM ranked WHERE rank <= 5
+"""
+
+
+def _tfidf(questions: list[str], k: int) -> str:
+    vals = ", ".join("({}, '{}')".format(i, t.replace("'", "''")) for i, t in enumerate(questions, 1))
+    return f"""
+, dwords AS (
+    SELECT * FROM (SELECT doc_id AS id, unnest(regexp_split_to_array(lower(doc), '[^a-z0-9]+')) AS w FROM docs)
+    WHERE length(w) > 0
+)
+, dt AS (
+    SELECT id, term, COUNT(*) AS tf FROM (
+        SELECT id, unnest(list_transform(range(1, length(' ' || w || ' ') - 1),
+                                         lambda i: substring(' ' || w || ' ', i, 3))) AS term FROM dwords)
+    GROUP BY id, term
+)
+, idf AS (
+    SELECT term, ln(CAST((SELECT COUNT(*) FROM docs) + 1 AS DOUBLE) / (COUNT(*) + 1)) AS idf FROM dt GROUP BY term
+)
+, dw AS (SELECT id, dt.term, tf * idf AS w FROM dt JOIN idf ON dt.term = idf.term)
+, dn AS (SELECT id, sqrt(SUM(w * w)) AS dnorm FROM dw GROUP BY id)
+, questions(question_id, question) AS (VALUES {vals})
+, qwords AS (
+    SELECT * FROM (
+        SELECT question_id, unnest(regexp_split_to_array(lower(question), '[^a-z0-9]+')) AS w FROM questions)
+    WHERE length(w) > 0
+)
+, qt AS (
+    SELECT question_id, term, COUNT(*) AS tf FROM (
+        SELECT question_id, unnest(list_transform(range(1, length(' ' || w || ' ') - 1),
+                                                  lambda i: substring(' ' || w || ' ', i, 3))) AS term FROM qwords)
+    GROUP BY question_id, term
+)
+, qw AS (SELECT question_id, qt.term, tf * idf AS qw FROM qt JOIN idf ON qt.term = idf.term)
+, qn AS (SELECT question_id, sqrt(SUM(qw * qw)) AS qnorm FROM qw GROUP BY question_id)
+, dots AS (SELECT question_id, id, SUM(qw * w) AS dot FROM qw JOIN dw ON qw.term = dw.term GROUP BY question_id, id)
+, scored AS (
+    SELECT dots.question_id, dots.id AS doc_id, round(dot / (dnorm * qnorm), 10) AS s
+    FROM dots JOIN dn ON dots.id = dn.id JOIN qn ON dots.question_id = qn.question_id
+    WHERE dnorm > 0 AND qnorm > 0
+)
+, hits AS (
+    SELECT * FROM (
+        SELECT question_id, row_number() OVER (PARTITION BY question_id ORDER BY s DESC, doc_id) AS rank,
+               doc_id, round(s, 4) AS similarity
+        FROM scored) WHERE rank <= {k}
+)
+"""
+
+
+SEARCH_QUESTIONS = [
+    "late night cross-state travel fraud",
+    "high value online retail transactions flagged in Texas",
+    "ATM withdrawal anomalies critical severity",
+]
+RAG_QUESTIONS = [
+    "Which merchant category had the highest fraud amount last month?",
+    "Are there any patterns in states where critical fraud alerts occur?",
+    "What time of day sees the most severe fraud activity?",
+]
+
+SQL["tfidf_search"] = q(GOLD_ALERTS + _docs("") + _tfidf(SEARCH_QUESTIONS, 3) + "SELECT * FROM hits")
+SQL["rag_context"] = q(
+    GOLD_ALERTS
+    + _docs("")
+    + _tfidf(RAG_QUESTIONS, 8)
+    + """
+SELECT h.question_id,
+       string_agg('[Alert ' || CAST(h.rank AS VARCHAR) || ']: ' || d.doc, chr(10) || chr(10) ORDER BY h.rank)
+           AS context,
+       COUNT(*) AS n_hits
+FROM hits h JOIN docs d ON h.doc_id = d.doc_id
+GROUP BY h.question_id
+"""
+)
+
+# --- model features and splits ------------------------------------------------------
+
+SQL["feature_frame"] = q(
+    """
+SELECT transaction_id,
+       COALESCE(CAST(amount_usd AS DOUBLE), 0.0) AS amount_usd,
+       COALESCE(CAST(txn_hour AS DOUBLE), 0.0) AS txn_hour,
+       COALESCE(CAST(txn_day_of_week AS DOUBLE), 0.0) AS txn_day_of_week,
+       COALESCE(CAST(credit_score AS DOUBLE), 0.0) AS credit_score,
+       COALESCE(CAST(credit_limit_usd AS DOUBLE), 0.0) AS credit_limit_usd,
+       COALESCE(CAST(account_age_days AS DOUBLE), 0.0) AS account_age_days,
+       COALESCE(CAST(amount_to_limit_ratio AS DOUBLE), 0.0) AS amount_to_limit_ratio,
+       COALESCE(CAST(is_cross_state AS DOUBLE), 0.0) AS cross_state_flag,
+       COALESCE(CAST(is_late_night AS DOUBLE), 0.0) AS late_night_flag,
+       COALESCE(CAST(is_weekend AS DOUBLE), 0.0) AS weekend_flag,
+       COALESCE(merchant_category, 'UNKNOWN') AS merchant_category,
+       COALESCE(card_type, 'UNKNOWN') AS card_type,
+       CAST(is_fraud AS DOUBLE) AS label
+FROM passed
+"""
+)
+
+SQL["split_time"] = q(
+    """
+, t AS (SELECT transaction_id, epoch_us(transaction_ts) AS _t FROM passed)
+SELECT transaction_id,
+       CASE WHEN _t > (SELECT quantile_cont(_t, 0.8) FROM t) THEN 'test' ELSE 'train' END AS split
+FROM t
+"""
+)
+
+# --- ingest and mart ------------------------------------------------------------------
+
+SQL["parse_events_json"] = q(
+    """
+SELECT kafka_offset, kafka_partition, transaction_id, customer_id, card_type, merchant_category, merchant_state,
+       CAST(amount_usd AS DOUBLE) AS amount_usd, transaction_ts, is_fraud, response_code,
+       CAST(NULL AS VARCHAR) AS _corrupt_record
+FROM bronze
+"""
+)
+
+SQL["bronze_partition_counts"] = q(
+    f"""
+SELECT year(COALESCE({TS}, TIMESTAMP '2024-01-01 00:00:00')) AS _partition_year,
+       month(COALESCE({TS}, TIMESTAMP '2024-01-01 00:00:00')) AS _partition_month,
+       COUNT(*) AS row_count
+FROM bronze GROUP BY 1, 2
+"""
+)
+
+MART = f"""
+, mart AS (
+    SELECT transaction_id, customer_id, CAST(amount_usd AS DECIMAL(15,2)) AS amount_usd,
+           COALESCE(currency, 'USD') AS currency, {TS} AS transaction_ts,
+           COALESCE(CASE WHEN transaction_id IS NULL THEN 'transaction_id: NULL' END,
+                    CASE WHEN customer_id IS NULL THEN 'customer_id: NULL' END,
+                    CASE WHEN amount_usd IS NULL THEN 'amount_usd: NULL' END,
+                    CASE WHEN transaction_ts IS NOT NULL AND {TS} IS NULL THEN 'transaction_ts: bad value' END)
+               AS _reject_reason
+    FROM bronze
+)
+"""
+
+SQL["mart_conform"] = q(MART + "SELECT * FROM mart")
+
+SQL["audit_log"] = q(
+    GOLD_DAILY
+    + MART
+    + f"""
+, l AS (
+    SELECT 1 AS run_id, 'bronze' AS layer, (SELECT COUNT(*) FROM bronze) AS rows_processed,
+           (SELECT count_if(_reject_reason IS NOT NULL) FROM mart) AS rows_failed
+    UNION ALL
+    SELECT 2, 'silver', (SELECT COUNT(*) FROM enriched), (SELECT count_if(NOT dq_passed) FROM enriched)
+    UNION ALL
+    SELECT 3, 'gold', (SELECT COUNT(*) FROM gold_daily), 0
+)
+SELECT CAST(run_id AS BIGINT) AS run_id, 'card_pipeline' AS pipeline_name, layer,
+       CAST(rows_processed AS BIGINT) AS rows_processed, CAST(rows_failed AS BIGINT) AS rows_failed,
+       CAST({rate('rows_processed - rows_failed', 'rows_processed', 2)} AS DECIMAL(6,2)) AS dq_pass_rate_pct,
+       CASE WHEN rows_failed = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status
+FROM l
+"""
+)
