@@ -19,24 +19,33 @@ def cleanse_transactions(df: DataFrame) -> DataFrame:
     """Parse, normalise, sanitise amounts and add ``dq_passed``.
 
     Rows failing DQ are kept and flagged (False), never dropped; the flag is
-    never NULL. Timestamps that do not parse become NULL (``try_*``).
+    never NULL. Timestamps that do not parse become NULL (``try_*``). One
+    projection, so the plan is analysed once.
     """
-    out = df.withColumn("transaction_ts", C.parse_ts("transaction_ts"))
-    if "bronze_ingested_at" in df.columns and dict(df.dtypes)["bronze_ingested_at"] == "string":
-        out = out.withColumn("bronze_ingested_at", C.parse_ts("bronze_ingested_at"))
-    for c in ("merchant_category", "merchant_state", "card_type", "currency"):
-        if c in df.columns:
-            out = out.withColumn(c, C.norm_upper(c))
-    if "response_code" in df.columns:
-        out = out.withColumn("response_code", F.trim("response_code"))
-    out = out.withColumn("amount_usd", C.positive_or_null("amount_usd"))
+    types = dict(df.dtypes)
+    upper = {"merchant_category", "merchant_state", "card_type", "currency"}
+    cols = []
+    for c in df.columns:
+        if c == "transaction_ts":
+            cols.append(C.parse_ts(c).alias(c))
+        elif c == "bronze_ingested_at" and types[c] == "string":
+            cols.append(C.parse_ts(c).alias(c))
+        elif c in upper:
+            cols.append(C.norm_upper(c).alias(c))
+        elif c == "response_code":
+            cols.append(F.trim(c).alias(c))
+        elif c == "amount_usd":
+            cols.append(C.positive_or_null(c).alias(c))
+        else:
+            cols.append(F.col(c))
+    out = df.select(*cols)
     failed = (
         F.col("transaction_id").isNull()
         | F.col("customer_id").isNull()
         | F.col("amount_usd").isNull()
         | F.col("transaction_ts").isNull()
     )
-    return out.withColumn("dq_passed", F.when(failed, False).otherwise(True))
+    return out.select("*", F.when(failed, False).otherwise(True).alias("dq_passed"))
 
 
 def deduplicate(
@@ -95,21 +104,25 @@ def silver_transactions(bronze: DataFrame, as_of: str | None = None) -> DataFram
 def cleanse_customers(df: DataFrame, as_of: str | None = None) -> DataFrame:
     """Normalise profiles, add account age, keep one row per customer.
 
-    The survivor is defined (latest ``created_at``, then the smallest e-mail),
+    The survivor is defined (latest ``created_at``, then the largest e-mail),
     unlike an arbitrary ``dropDuplicates``.
     """
     today = C.as_of_date(as_of) if as_of else F.current_date()
-    out = df
-    if dict(df.dtypes)["account_open_date"] == "string":
-        out = out.withColumn("account_open_date", C.parse_date("account_open_date"))
-    if dict(df.dtypes)["created_at"] == "string":
-        out = out.withColumn("created_at", C.parse_ts("created_at"))
-    out = (
-        out.withColumn("email", C.norm_lower("email"))
-        .withColumn("home_state", C.norm_upper("home_state"))
-        .withColumn("card_type", C.norm_upper("card_type"))
-        .withColumn("account_age_days", F.datediff(today, F.col("account_open_date")))
-    )
+    types = dict(df.dtypes)
+    cols = []
+    for c in df.columns:
+        if c == "account_open_date" and types[c] == "string":
+            cols.append(C.parse_date(c).alias(c))
+        elif c == "created_at" and types[c] == "string":
+            cols.append(C.parse_ts(c).alias(c))
+        elif c == "email":
+            cols.append(C.norm_lower(c).alias(c))
+        elif c in ("home_state", "card_type"):
+            cols.append(C.norm_upper(c).alias(c))
+        else:
+            cols.append(F.col(c))
+    out = df.select(*cols)
+    out = out.select("*", F.datediff(today, F.col("account_open_date")).alias("account_age_days"))
     return deduplicate(out, key="customer_id", order="created_at", tie_breakers=("email",))
 
 
@@ -160,18 +173,24 @@ def silver_quality_report(silver: DataFrame) -> DataFrame:
 def wrangle_transactions(df: DataFrame) -> DataFrame:
     """Warehouse-side variant: normalise, date parts, flags and a 3-valued
     DQ flag (NULL when the amount is NULL and both ids are present)."""
-    ts = C.parse_ts("transaction_ts") if dict(df.dtypes)["transaction_ts"] == "string" else F.col(
-        "transaction_ts"
-    )
-    out = df.withColumn("transaction_ts", ts)
-    for c in ("merchant_category", "merchant_state", "card_type", "currency"):
-        out = out.withColumn(c, C.norm_upper(c))
+    types = dict(df.dtypes)
+    upper = {"merchant_category", "merchant_state", "card_type", "currency"}
+    cols = []
+    for c in df.columns:
+        if c == "transaction_ts" and types[c] == "string":
+            cols.append(C.parse_ts(c).alias(c))
+        elif c in upper:
+            cols.append(C.norm_upper(c).alias(c))
+        else:
+            cols.append(F.col(c))
+    out = df.select(*cols)
+    ts = F.col("transaction_ts")
     out = out.select(
         "*",
-        F.hour("transaction_ts").alias("txn_hour"),
-        F.dayofweek("transaction_ts").alias("txn_day_of_week"),
-        F.month("transaction_ts").alias("txn_month"),
-        F.year("transaction_ts").alias("txn_year"),
+        F.hour(ts).alias("txn_hour"),
+        F.dayofweek(ts).alias("txn_day_of_week"),
+        F.month(ts).alias("txn_month"),
+        F.year(ts).alias("txn_year"),
     )
     return out.select(
         "*",

@@ -296,7 +296,9 @@ def q_staging_checks(spark, d):
 
 @register("dq_metrics")
 def q_dq_metrics(spark, d):
-    e = enriched(spark, d)
+    from ..session import materialize
+
+    e = materialize(enriched(spark, d))  # Silver is read by four sub-results
     return quality.dq_metrics(bronze(spark, d), e, gold.daily_txn_summary(e))
 
 
@@ -447,6 +449,13 @@ def _documents(spark, d, n):
     return retrieval.alert_documents(gold.fraud_alerts_hourly(enriched(spark, d)), n)
 
 
+def _corpus(spark, d):
+    """All alert documents, materialized: the index build reads them twice."""
+    from ..session import materialize
+
+    return materialize(_documents(spark, d, None).select("doc_id", "doc"))
+
+
 @register("alert_documents")
 def q_alert_docs(spark, d):
     return _documents(spark, d, 500).select("doc_id", "doc", "meta.*")
@@ -461,12 +470,12 @@ def q_vector_topk(spark, d):
 @register("tfidf_search")
 def q_tfidf(spark, d):
     qs = retrieval.question_frame(spark, retrieval.SEARCH_QUESTIONS)
-    return retrieval.tfidf_search(_documents(spark, d, None), qs, k=3)
+    return retrieval.tfidf_search(_corpus(spark, d), qs, k=3)
 
 
 @register("rag_context")
 def q_rag(spark, d):
-    docs = _documents(spark, d, None)
+    docs = _corpus(spark, d)
     qs = retrieval.question_frame(spark, retrieval.RAG_QUESTIONS)
     return retrieval.rag_context(retrieval.tfidf_search(docs, qs, k=8), docs)
 

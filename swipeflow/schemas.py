@@ -127,3 +127,46 @@ AUDIT_LOG_SCHEMA = StructType(
         StructField("created_at", TimestampType(), True),
     ]
 )
+
+
+# Given input tables (declared, so reads skip footer inference).
+from pyspark.sql.types import ArrayType, FloatType, TimestampNTZType  # noqa: E402
+
+INPUT_SCHEMAS = {
+    "events": StructType(
+        [
+            StructField("event_id", LongType()),
+            StructField("ts", TimestampNTZType()),
+            StructField("user_id", LongType()),
+            StructField("event_type", StringType()),
+            StructField("value", DoubleType()),
+            StructField("props", StringType()),
+        ]
+    ),
+    "customer": StructType(
+        [
+            StructField("c_custkey", LongType()),
+            StructField("c_name", StringType()),
+            StructField("c_nationkey", IntegerType()),
+            StructField("c_acctbal", DoubleType()),
+            StructField("c_mktsegment", StringType()),
+        ]
+    ),
+    "orders": StructType(
+        [
+            StructField("o_orderkey", LongType()),
+            StructField("o_custkey", LongType()),
+            StructField("o_orderstatus", StringType()),
+            StructField("o_totalprice", DoubleType()),
+            StructField("o_orderdate", TimestampNTZType()),
+            StructField("o_orderpriority", StringType()),
+        ]
+    ),
+    "embeddings": StructType(
+        [
+            StructField("vec_id", LongType()),
+            StructField("embedding", ArrayType(FloatType())),
+            StructField("label", IntegerType()),
+        ]
+    ),
+}

@@ -27,11 +27,18 @@ RUNTIME_CONF = {
 }
 
 
+_CONFIGURED: set[int] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the library assumes (idempotent)."""
+    """Apply the runtime settings the library assumes (once per session)."""
+    key = id(spark)
+    if key in _CONFIGURED and spark.conf.get("spark.sql.session.timeZone") == "UTC":
+        return spark
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    _CONFIGURED.add(key)
     return spark
 
 
@@ -87,6 +94,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder and read
+    it back (reliable ``checkpoint``; survives executor loss, unlike a local
+    checkpoint). Used where one job reads the same intermediate several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def spread(df, spark: SparkSession | None = None):
+    """Round-robin a scan made of fewer files than the cluster has cores (a
+    few large row groups would otherwise be read by a few tasks). At scale a
+    fact table has far more files than cores and this is a no-op. Uses the
+    file listing the scan needs anyway, not a physical plan."""
+    spark = spark or df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for staged writes."""
     base = ensure_checkpoint_dir(spark)

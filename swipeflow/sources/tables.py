@@ -8,12 +8,12 @@ event, plus a replayed copy of every fiftieth event at a higher offset
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..schemas import LIMIT_MONEY, MONEY
-from ..session import configure
+from ..schemas import INPUT_SCHEMAS
+from ..session import configure, spread
 
 TABLES = [
     "region",
@@ -33,90 +33,82 @@ TABLES = [
 ]
 
 
+FACT_TABLES = {"events", "orders", "lineitem", "documents"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table; scans prune columns and push filters by themselves."""
+    """One given table; scans prune columns and push filters by themselves.
+    Fact tables are spread over the cores when the scan has too few splits."""
     configure(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(INPUT_SCHEMAS[name]) if name in INPUT_SCHEMAS else spark.read
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, spark) if name in FACT_TABLES else df
 
 
-def _pick(values: list, index: Column) -> Column:
-    """``values[index]`` for a small fixed list (0-based index)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _sql_list(values: list) -> str:
+    return "array(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + ")"
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    limit = F.when(key % 53 == 0, F.lit(0)).otherwise(_pick(K.FIXTURE_CREDIT_LIMITS, key % 5))
-    return c.select(
-        key.cast("string").alias("customer_id"),
-        F.col("c_name").alias("full_name"),
-        F.concat(F.lit("  USER"), key.cast("string"), F.lit("@MAIL.TEST ")).alias("email"),
-        _pick(K.US_STATES, F.col("c_nationkey") % 10).alias("home_state"),
-        (F.lit(580) + key % 271).cast("long").alias("credit_score"),
-        _pick(K.FIXTURE_CARD_TYPES, key % 4).alias("card_type"),
-        limit.cast(LIMIT_MONEY).alias("credit_limit_usd"),
-        F.date_add(F.lit("2010-01-01").cast("date"), (key % 3000).cast("int")).alias("account_open_date"),
-        F.lit(True).alias("is_active"),
-        F.lit("2023-01-01 00:00:00").cast("timestamp").alias("created_at"),
-    )
-
-
-def _events_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    home = raw_customers(spark, sf_dir).select(
-        F.col("customer_id").cast("long").alias("_uid"), "home_state"
-    )
-    eid = F.col("event_id")
-    fraud = (F.col("event_type") == "error") & (eid % 10 == 3)
-    amount = (
-        F.when(eid % 83 == 0, -F.col("value"))
-        .when(eid % 79 == 0, F.lit(0.0))
-        .otherwise(F.col("value") * 20)
-    )
-    ts_text = (
-        F.when(eid % 73 == 0, F.lit(None).cast("string"))
-        .when(eid % 71 == 0, F.lit("not-a-ts"))
-        .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-    )
-    # Left join to the profile dimension. No hint: Spark broadcasts it only
-    # when its measured size is under the threshold, else sort-merge with AQE
-    # skew splitting of hot user ids.
-    j = e.join(home, e["user_id"] == home["_uid"], "left")
-    return j.select(
-        F.when(eid % 97 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("txn-"), eid.cast("string")))
-        .alias("transaction_id"),
-        F.when(eid % 89 == 0, F.lit(None).cast("string"))
-        .otherwise(F.col("user_id").cast("string"))
-        .alias("customer_id"),
-        _pick(K.FIXTURE_CARD_TYPES, F.col("user_id") % 4).alias("card_type"),
-        _pick(K.FIXTURE_CATEGORIES, eid % 9).alias("merchant_category"),
-        fraud.alias("is_fraud"),
-        F.when(fraud, _pick(K.US_STATES, F.floor(eid / 10) % 10))
-        .otherwise(F.col("home_state"))
-        .alias("merchant_state"),
-        amount.cast(MONEY).alias("amount_usd"),
-        F.lit("usd").alias("currency"),
-        ts_text.alias("transaction_ts"),
-        (~fraud).alias("card_present"),
-        F.when(eid % 25 == 0, F.lit("05")).otherwise(F.lit(" 00 ")).alias("response_code"),
-        eid.alias("kafka_offset"),
-        (F.col("user_id") % 4).cast("int").alias("kafka_partition"),
+    """Bronze-like customer profiles derived from ``customer``."""
+    return spark.sql(
+        f"""
+        SELECT CAST(c_custkey AS STRING) AS customer_id,
+               c_name AS full_name,
+               concat('  USER', CAST(c_custkey AS STRING), '@MAIL.TEST ') AS email,
+               element_at({_sql_list(K.US_STATES)}, CAST(c_nationkey % 10 + 1 AS INT)) AS home_state,
+               CAST(580 + c_custkey % 271 AS BIGINT) AS credit_score,
+               element_at({_sql_list(K.FIXTURE_CARD_TYPES)}, CAST(c_custkey % 4 + 1 AS INT)) AS card_type,
+               CAST(CASE WHEN c_custkey % 53 = 0 THEN 0
+                         ELSE element_at({_sql_list(K.FIXTURE_CREDIT_LIMITS)}, CAST(c_custkey % 5 + 1 AS INT))
+                    END AS DECIMAL(12,2)) AS credit_limit_usd,
+               date_add(DATE'2010-01-01', CAST(c_custkey % 3000 AS INT)) AS account_open_date,
+               TRUE AS is_active,
+               TIMESTAMP'2023-01-01 00:00:00' AS created_at
+        FROM {{customer}}
+        """,
+        customer=table(spark, sf_dir, "customer"),
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-like transactions: every event plus replays of every 50th."""
-    base = _events_as_transactions(spark, sf_dir)
-    # One scan: each event yields itself and, for every 50th, a replay copy.
-    off = F.col("kafka_offset")
-    shifts = F.when(off % 50 == 7, F.array(F.lit(0), F.lit(K.REPLAY_OFFSET_SHIFT))).otherwise(
-        F.array(F.lit(0))
-    )
-    cols = [c for c in base.columns if c != "kafka_offset"]
-    return base.select(*cols, off, F.explode(shifts).alias("_shift")).select(
-        *cols[:-1], (off + F.col("_shift")).alias("kafka_offset"), cols[-1]
+    """Bronze-like transactions: every event, plus a replayed copy (offset
+    + shift) of every fiftieth, produced in one scan by ``explode``.
+
+    The profile side of the left join is not hinted: Spark broadcasts it only
+    when its measured size is under the threshold, else it is a sort-merge
+    join whose hot user ids AQE splits.
+    """
+    return spark.sql(
+        f"""
+        SELECT CASE WHEN e.event_id % 97 = 0 THEN NULL ELSE concat('txn-', CAST(e.event_id AS STRING)) END
+                   AS transaction_id,
+               CASE WHEN e.event_id % 89 = 0 THEN NULL ELSE CAST(e.user_id AS STRING) END AS customer_id,
+               element_at({_sql_list(K.FIXTURE_CARD_TYPES)}, CAST(e.user_id % 4 + 1 AS INT)) AS card_type,
+               element_at({_sql_list(K.FIXTURE_CATEGORIES)}, CAST(e.event_id % 9 + 1 AS INT)) AS merchant_category,
+               (e.event_type = 'error' AND e.event_id % 10 = 3) AS is_fraud,
+               CASE WHEN e.event_type = 'error' AND e.event_id % 10 = 3
+                    THEN element_at({_sql_list(K.US_STATES)}, CAST((e.event_id div 10) % 10 + 1 AS INT))
+                    ELSE element_at({_sql_list(K.US_STATES)}, CAST(c.c_nationkey % 10 + 1 AS INT)) END
+                   AS merchant_state,
+               CAST(CASE WHEN e.event_id % 83 = 0 THEN -e.value
+                         WHEN e.event_id % 79 = 0 THEN 0.0
+                         ELSE e.value * 20 END AS DECIMAL(15,2)) AS amount_usd,
+               'usd' AS currency,
+               CASE WHEN e.event_id % 73 = 0 THEN NULL
+                    WHEN e.event_id % 71 = 0 THEN 'not-a-ts'
+                    ELSE date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END AS transaction_ts,
+               NOT (e.event_type = 'error' AND e.event_id % 10 = 3) AS card_present,
+               CASE WHEN e.event_id % 25 = 0 THEN '05' ELSE ' 00 ' END AS response_code,
+               e.event_id + shift AS kafka_offset,
+               CAST(e.user_id % 4 AS INT) AS kafka_partition
+        FROM {{events}} e
+        LEFT JOIN {{customer}} c ON e.user_id = c.c_custkey
+        LATERAL VIEW explode(CASE WHEN e.event_id % 50 = 7 THEN array(0, {K.REPLAY_OFFSET_SHIFT})
+                                  ELSE array(0) END) s AS shift
+        """,
+        events=table(spark, sf_dir, "events"),
+        customer=table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
     )
 
 
