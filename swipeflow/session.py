@@ -62,6 +62,9 @@ def build_session(
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
         "spark.driver.memory": os.environ.get("SWIPEFLOW_DRIVER_MEMORY", "16g"),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        # no per-call Python call-site capture (several JVM round trips per
+        # Column call while building a plan); error messages lose the line
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     conf.update(RUNTIME_CONF)
     conf.update(extra or {})
