@@ -130,3 +130,76 @@ def upsert_path(
     target = read_table(spark, path)
     merged = merge_frames(target, source.select(*target.columns), keys, **merge_kwargs)
     return write_version(spark, merged, path, partition_cols)
+
+
+def upsert_partitioned(
+    spark: SparkSession,
+    source: DataFrame,
+    path: str,
+    keys: list[str],
+    partition_cols: list[str],
+    staging_path: str,
+    **merge_kwargs,
+) -> list[tuple]:
+    """MERGE into a partitioned Parquet table, rewriting only the partitions
+    that change: those holding source rows plus those where matched keys
+    live now (so a row whose partition value changes leaves its old one).
+
+    Only the key and partition columns of the target are scanned to find the
+    affected partitions; the affected set is small (days / months) and is
+    broadcast into a semi-join, which lets partition pruning skip the rest.
+    The merged partitions are staged, then swapped in with dynamic partition
+    overwrite (Spark cannot overwrite a path it is reading). Returns the
+    rewritten partition values.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    if merge_kwargs.get("null_keys", "reject") == "reject":
+        source = source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    try:
+        # declared schema: partition types come from the source, not from
+        # directory names (an all-NULL partition would infer as VOID)
+        target = spark.read.schema(source.schema).parquet(path)
+        target.limit(0).collect()
+    except Exception:  # noqa: BLE001 - first write
+        source.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+        return [tuple(r) for r in source.select(*partition_cols).distinct().collect()]
+    src_parts = source.select(*partition_cols).distinct()
+    moved = target.select(*keys, *partition_cols).join(source.select(*keys), keys, "left_semi").select(
+        *partition_cols
+    )
+    affected = src_parts.unionByName(moved).distinct()
+    parts = [tuple(r) for r in affected.collect()]  # bounded: one row per touched partition
+    # NULL partition values (e.g. no event time) are a partition too: match
+    # them null-safely, or their rows would drop out of the rewrite
+    aff = F.broadcast(affected.select(*[F.col(c).alias(f"_a_{c}") for c in partition_cols]))
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_a_{c}")) for c in partition_cols])
+    target_part = target.join(aff, cond, "left_semi")
+    merged = merge_frames(target_part.select(*source.columns), source, keys, **merge_kwargs)
+    merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(staging_path)
+    staged = spark.read.schema(merged.schema).parquet(staging_path)
+    kept = {tuple(r) for r in staged.select(*partition_cols).distinct().collect()}  # bounded as above
+    (
+        staged.select(*target.columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols)
+        .parquet(path)
+    )
+    # partitions the merge emptied get no file from the overwrite: drop them
+    for part in set(parts) - kept:
+        _delete_dir(spark, "/".join([path.rstrip("/")] + [_part_dir(c, v) for c, v in zip(partition_cols, part)]))
+    return parts
+
+
+def _part_dir(col: str, value) -> str:
+    return f"{col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def _delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop FileSystem of the path (works for
+    local, HDFS and object-store paths alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -606,7 +606,7 @@ def q_stream_silver(spark, d):
     src = bronze_stream.parse_transactions(bronze_stream.event_stream(spark, options={"path": landing}), as_of=AS_OF)
     q = bronze_stream.start_silver(src, silver_dir, f"{ck}/s", as_of=AS_OF)
     q.awaitTermination()
-    return merge.read_table(spark, silver_dir).select(*_DEDUP_COLS)
+    return spark.read.parquet(silver_dir).select(*_DEDUP_COLS)
 
 
 @register("stream_hourly_alerts")

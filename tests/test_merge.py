@@ -63,3 +63,26 @@ def test_upsert_path_versions(spark, tmp_dir):
     assert merge.upsert_path(spark, src2, path, ["id"]) == 2
     assert merge.upsert_path(spark, src2, path, ["id"]) == 3  # replay
     assert rows(merge.read_table(spark, path)) == [("a", 1, 1), ("b", 20, 3), ("c", 30, 4)]
+
+
+def test_upsert_partitioned_touches_only_affected(spark, tmp_dir):
+    schema = "id string, v int, off long, p int"
+    path = f"{tmp_dir}/ptbl"
+    first = spark.createDataFrame([("a", 1, 1, 1), ("b", 2, 2, 2), ("c", 3, 3, 3)], schema)
+    merge.upsert_partitioned(spark, first, path, ["id"], ["p"], f"{tmp_dir}/stage1")
+    # 'b' moves from partition 2 to 3; 'd' is new in 4; partition 1 untouched
+    src = spark.createDataFrame([("b", 20, 5, 3), ("d", 40, 6, 4)], schema)
+    parts = merge.upsert_partitioned(spark, src, path, ["id"], ["p"], f"{tmp_dir}/stage2")
+    assert sorted(parts) == [(2,), (3,), (4,)]
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "off", "p").collect())
+    assert got == [("a", 1, 1, 1), ("b", 20, 5, 3), ("c", 3, 3, 3), ("d", 40, 6, 4)]
+
+
+def test_upsert_partitioned_null_partition_kept(spark, tmp_dir):
+    schema = "id string, v int, off long, p int"
+    path = f"{tmp_dir}/ntbl"
+    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, None)], schema), path, ["id"], ["p"],
+                             f"{tmp_dir}/s1")
+    merge.upsert_partitioned(spark, spark.createDataFrame([("b", 2, 2, None)], schema), path, ["id"], ["p"],
+                             f"{tmp_dir}/s2")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == ["a", "b"]

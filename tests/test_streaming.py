@@ -26,13 +26,11 @@ def test_stream_equals_batch_and_restart(spark, tmp_dir):
 
 
 def test_stream_silver_merge_equals_batch_dedup(spark, tmp_dir):
-    from swipeflow.operators import merge
-
     raw = R.bronze(spark, SF_SMALL)
     landing = f"{tmp_dir}/landing"
     S.write_landing(raw, landing)
     parsed = S.parse_transactions(S.event_stream(spark, options={"path": landing}), as_of=R.AS_OF)
     S.start_silver(parsed, f"{tmp_dir}/silver", f"{tmp_dir}/ck", as_of=R.AS_OF).awaitTermination()
-    got = merge.read_table(spark, f"{tmp_dir}/silver").select("transaction_id", "kafka_offset")
+    got = spark.read.parquet(f"{tmp_dir}/silver").select("transaction_id", "kafka_offset")
     want = silver.deduplicate(silver.cleanse_transactions(raw)).filter("transaction_id IS NOT NULL")
     assert sorted(got.collect()) == sorted(want.select("transaction_id", "kafka_offset").collect())
