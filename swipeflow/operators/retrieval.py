@@ -162,6 +162,7 @@ def alert_documents(alerts: DataFrame, n: int | None = 500) -> DataFrame:
     return df.select(
         doc_id.alias("doc_id"),
         text.alias("doc"),
+        F.substring(text, 1, 120).alias("preview"),
         F.struct(
             F.col("merchant_category").alias("category"),
             F.col("merchant_state").alias("state"),

@@ -202,3 +202,16 @@ def wrangle_transactions(df: DataFrame) -> DataFrame:
             & (F.col("amount_usd") > 0)
         ).alias("dq_passed"),
     )
+
+
+PII_COLUMNS = ("full_name", "email", "phone")
+
+
+def mask_pii(df: DataFrame, salt: str = "") -> DataFrame:
+    """Replace name / e-mail / phone by salted SHA-256 digests (joinable,
+    not readable); other columns pass through."""
+    cols = [
+        F.sha2(F.concat(F.lit(salt), F.col(c).cast("string")), 256).alias(c) if c in PII_COLUMNS else F.col(c)
+        for c in df.columns
+    ]
+    return df.select(*cols)

@@ -138,3 +138,8 @@ def audit_rows(layers: dict[str, tuple[DataFrame, DataFrame]], pipeline: str, as
         F.when(F.col("rows_failed") == 0, "SUCCESS").otherwise("PARTIAL").alias("status"),
         now.alias("run_end_ts"),
     )
+
+
+def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
+    """Save as a managed catalog table (the wrangled staging output)."""
+    df.write.mode(mode).saveAsTable(name)

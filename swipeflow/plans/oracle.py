@@ -1038,7 +1038,7 @@ def _docs(limit: str) -> str:
 """
 
 
-SQL["alert_documents"] = q(GOLD_ALERTS + _docs("LIMIT 500") + "SELECT * FROM docs")
+SQL["alert_documents"] = q(GOLD_ALERTS + _docs("LIMIT 500") + "SELECT *, substring(doc, 1, 120) AS preview FROM docs")
 
 SQL["vector_topk"] = """
 WITH emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),

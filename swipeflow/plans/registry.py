@@ -458,7 +458,7 @@ def _corpus(spark, d):
 
 @register("alert_documents")
 def q_alert_docs(spark, d):
-    return _documents(spark, d, 500).select("doc_id", "doc", "meta.*")
+    return _documents(spark, d, 500).select("doc_id", "doc", "preview", "meta.*")
 
 
 @register("vector_topk")

@@ -188,3 +188,9 @@ class TestEnrich:
         assert out["t1"].is_cross_state is True and out["t1"].amount_to_limit_ratio == 0.1
         assert out["t2"].home_state is None and out["t2"].is_cross_state is None
         assert out["t3"].amount_to_limit_ratio is None and out["t3"].is_cross_state is None
+
+
+def test_mask_pii(spark):
+    df = spark.createDataFrame([("c1", "Ann", "a@x", "TX")], "customer_id string, full_name string, email string, s string")
+    r = silver.mask_pii(df, salt="k").first()
+    assert r.customer_id == "c1" and r.s == "TX" and len(r.email) == 64 and r.full_name != "Ann"
