@@ -82,11 +82,18 @@ def _pointer(path: str) -> str:
     return f"{path.rstrip('/')}/_current"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the path's Hadoop FileSystem (local, HDFS or
+    object store) - no Spark job and no error noise for a missing table."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def current_version(spark: SparkSession, path: str) -> int | None:
-    try:
-        row = spark.read.json(_pointer(path)).select("version").head()
-    except Exception:  # noqa: BLE001 - no table yet
+    if not path_exists(spark, _pointer(path)):
         return None
+    row = spark.read.json(_pointer(path)).select("version").head()
     return None if row is None else int(row[0])
 
 
@@ -157,14 +164,12 @@ def upsert_partitioned(
     ensure_checkpoint_dir(spark)
     if merge_kwargs.get("null_keys", "reject") == "reject":
         source = source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    try:
-        # declared schema: partition types come from the source, not from
-        # directory names (an all-NULL partition would infer as VOID)
-        target = spark.read.schema(source.schema).parquet(path)
-        target.limit(0).collect()
-    except Exception:  # noqa: BLE001 - first write
+    if not path_exists(spark, path):  # first write
         source.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
         return [tuple(r) for r in source.select(*partition_cols).distinct().collect()]
+    # declared schema: partition types come from the source, not from
+    # directory names (an all-NULL partition would infer as VOID)
+    target = spark.read.schema(source.schema).parquet(path)
     src_parts = source.select(*partition_cols).distinct()
     moved = target.select(*keys, *partition_cols).join(source.select(*keys), keys, "left_semi").select(
         *partition_cols

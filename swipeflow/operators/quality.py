@@ -71,10 +71,12 @@ def p99(df: DataFrame, column: str = "amount_usd", accuracy: int = 1_000_000) ->
 def amount_outliers(df: DataFrame, column: str = "amount_usd", factor: float = 3.0) -> DataFrame:
     """Rows above ``factor`` x the exact p99 (linear interpolation),
     the threshold entering the filter as a scalar subquery."""
-    from .ranking import exact_quantile
+    from .ranking import exact_quantile_value
 
-    threshold = exact_quantile(df, column, 0.99).scalar()
-    return df.filter(F.col(column).cast("double") > threshold * factor)
+    threshold = exact_quantile_value(df, column, 0.99)
+    if threshold is None:
+        return df.limit(0)
+    return df.filter(F.col(column).cast("double") > F.lit(threshold * factor))
 
 
 def top_categories(df: DataFrame, n: int = 5) -> DataFrame:
@@ -94,11 +96,11 @@ def dq_metrics(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFra
     part is a one-row frame combined through scalar subqueries, so nothing is
     collected to the driver. Freshness stamps are in ``freshness``.
     """
-    from .ranking import exact_quantile
+    from .ranking import exact_quantile_value
 
     b = bronze.agg(F.count(F.lit(1)).alias("n")).scalar()
     g = gold.agg(F.count(F.lit(1)).alias("n")).scalar()
-    p = exact_quantile(silver, "amount_usd", 0.99).scalar()
+    p = F.lit(exact_quantile_value(silver, "amount_usd", 0.99)).cast("double")
     s = silver.agg(
         F.count(F.lit(1)).alias("silver_total_rows"),
         F.count_if(~F.col("dq_passed")).alias("dq_fail_count"),

@@ -144,9 +144,7 @@ def register_tables(spark: SparkSession, paths: dict, database: str = "cards") -
         v = merge.current_version(spark, path)
         if v is not None:
             loc = f"{path.rstrip('/')}/v{v:06d}"
-        try:
-            spark.read.parquet(loc).limit(0)
-        except Exception:  # noqa: BLE001 - layer not written
+        if not merge.path_exists(spark, loc):
             continue
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{loc}'")
