@@ -59,6 +59,7 @@ def build_session(
         builder = builder.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
         "spark.driver.memory": os.environ.get("SWIPEFLOW_DRIVER_MEMORY", "16g"),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
