@@ -1216,3 +1216,17 @@ SELECT CAST(run_id AS BIGINT) AS run_id, 'card_pipeline' AS pipeline_name, layer
 FROM l
 """
 )
+
+SQL["vector_collection_upsert"] = q(
+    GOLD_ALERTS
+    + _docs("LIMIT 500").replace(", docs AS (", ", top_docs AS (", 1)
+    + _docs("")
+    + """
+, tgt AS (SELECT doc_id, doc, substring(doc, 1, 120) AS preview, TRUE AS _p FROM top_docs)
+, src AS (SELECT doc_id, doc || ' [refreshed]' AS doc, substring(doc, 1, 120) AS preview, TRUE AS _p FROM docs)
+SELECT CASE WHEN s._p IS NOT NULL THEN s.doc_id ELSE t.doc_id END AS doc_id,
+       CASE WHEN s._p IS NOT NULL THEN s.doc ELSE t.doc END AS doc,
+       CASE WHEN s._p IS NOT NULL THEN s.preview ELSE t.preview END AS preview
+FROM tgt t FULL OUTER JOIN src s ON t.doc_id = s.doc_id
+"""
+)

@@ -617,3 +617,22 @@ def q_stream_alerts(spark, d):
     q = bronze_stream.start_hourly_alerts(bronze_stream.hourly_alerts(src), alerts_dir, f"{ck}/a")
     q.awaitTermination()
     return merge.read_table(spark, alerts_dir)
+
+
+@register("vector_collection_upsert")
+def q_collection_upsert(spark, d):
+    """L4: the indexed collection (top-500 alert documents) upserted by id
+    with a later rendering of every alert document."""
+    first = _documents(spark, d, 500).select("doc_id", "doc", "preview")
+    later = _documents(spark, d, None).select(
+        "doc_id", F.concat(F.col("doc"), F.lit(" [refreshed]")).alias("doc"), "preview"
+    )
+    return merge.merge_frames(first, later, ["doc_id"])
+
+
+@register("pipeline_health_json")
+def q_health_json(spark, d):
+    """M1 + C3: the metrics record rendered as one JSON text."""
+    e = enriched(spark, d)
+    m = quality.dq_metrics(bronze(spark, d), e, gold.daily_txn_summary(e))
+    return m.select(F.to_json(F.struct(*m.columns)).alias("pipeline_health"))
