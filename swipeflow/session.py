@@ -107,13 +107,13 @@ def materialize(df):
 
 
 def spread(df, spark: SparkSession | None = None):
-    """Round-robin a scan made of fewer files than the cluster has cores (a
-    few large row groups would otherwise be read by a few tasks). At scale a
-    fact table has far more files than cores and this is a no-op. Uses the
-    file listing the scan needs anyway, not a physical plan."""
+    """Round-robin a scan that yields fewer splits than the cluster has cores
+    (a few large row groups would otherwise be read by a few tasks). At scale
+    a fact table has far more splits than cores and this is a no-op. Only the
+    split count of the bare scan comes back to the driver."""
     spark = spark or df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
+    if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
