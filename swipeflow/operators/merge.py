@@ -1,18 +1,22 @@
 """Upserts without a table format: MERGE semantics as one full outer join.
 
 ``merge_frames`` is pure (target, source) -> merged frame. Matching uses SQL
-equality, so a NULL key never matches anything. The writer
-``upsert_path`` stages the merged result in a new version folder and then
-flips a one-row pointer, since Spark cannot overwrite a path it is reading.
+equality, so a NULL key never matches anything. ``upsert_path`` writes each
+merged result as a new version folder (Spark cannot overwrite a path it is
+reading); ``upsert_partitioned`` rewrites only the touched partitions of a
+partitioned table.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+_MAX_LONG = 2**63 - 1
+_MIN_LONG = -(2**63)
+
 
 def null_key_rows(source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows that can never match (some key is NULL): the triage set."""
@@ -32,6 +36,7 @@ def merge_frames(
     update_cols: list[str] | None = None,
     insert_values: dict[str, Column] | None = None,
     null_keys: str = "reject",
+    newer_wins: str | None = None,
 ) -> DataFrame:
     """MERGE ``source`` into ``target`` on ``keys``.
 
@@ -47,13 +52,24 @@ def merge_frames(
     ``null_key_rows``); ``"insert"`` re-inserts them on every run, as an
     equality MERGE does.
 
-    Plan: one shuffle of each side on the keys (sort-merge full outer join;
-    AQE splits skewed partitions).
+    ``newer_wins="c"`` is the condition ``s.c > t.c`` (B7) in a faster form.
+
+    Plan: when every matched row is replaced whole (no ``update_cols`` /
+    ``insert_values``; no condition, or ``newer_wins``) the MERGE is a union
+    of both sides deduplicated per key - one shuffle, with a partial
+    per-key limit before it, so a hot key never ships whole. Otherwise one
+    shuffle of each side on the keys (sort-merge full outer join; AQE splits
+    skewed partitions).
     """
     cols = target.columns
     src_cols = set(source.columns)
     if null_keys == "reject":
         source = source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    if update_cols is None and insert_values is None and when_matched is None:
+        return _merge_by_union(target, source, keys, newer_wins)
+    if newer_wins is not None:
+        cond = F.col(f"s.{newer_wins}") > F.col(f"t.{newer_wins}")
+        when_matched = cond if when_matched is None else (when_matched & cond)
     t = target.select(F.struct(*[F.col(c) for c in cols]).alias("t"), F.lit(True).alias("_t"))
     s = source.select(F.struct(*[F.col(c) for c in source.columns]).alias("s"), F.lit(True).alias("_s"))
     cond = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
@@ -75,26 +91,74 @@ def merge_frames(
     return j.select(*out)
 
 
+def _merge_by_union(target: DataFrame, source: DataFrame, keys: list[str], newer_wins: str | None) -> DataFrame:
+    """Whole-row MERGE as union + top-1 per key.
+
+    Source rows win unless ``newer_wins`` names an order column: then the
+    larger value wins, ties and NULLs keep the target row (the semantics of
+    ``WHEN MATCHED AND s.c > t.c``). Target rows with a NULL key are never
+    matched and stay as they are."""
+    cols = target.columns
+    src = source.select(*[F.col(c) if c in source.columns else F.lit(None).alias(c) for c in cols])
+    u = target.select(*cols, F.lit(0).alias("_src")).unionByName(src.select(*cols, F.lit(1).alias("_src")))
+    if newer_wins is None:
+        order = [F.col("_src").desc()]
+    else:
+        o = F.col(newer_wins).cast("long") if dict(target.dtypes)[newer_wins] in ("int", "bigint") else F.col(newer_wins)
+        if dict(target.dtypes)[newer_wins] in ("int", "bigint"):
+            rank = F.when(F.col("_src") == 0, F.coalesce(o, F.lit(_MAX_LONG))).otherwise(
+                F.coalesce(o, F.lit(_MIN_LONG))
+            )
+            order = [rank.desc(), F.col("_src").asc()]
+        else:
+            # non-integer order: NULL on the target side sorts first, on the
+            # source side last
+            order = [
+                F.when(F.col("_src") == 0, F.col(newer_wins).isNull()).otherwise(F.lit(False)).desc(),
+                o.desc_nulls_last(),
+                F.col("_src").asc(),
+            ]
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    w = Window.partitionBy(*keys).orderBy(*order)
+    keyed = u.filter(has_key).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
+    return keyed.unionByName(u.filter(~has_key).drop("_src"))
+
+
 # --- writer -------------------------------------------------------------------
 
 
-def _pointer(path: str) -> str:
-    return f"{path.rstrip('/')}/_current"
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the path's Hadoop FileSystem (local, HDFS or
     object store) - no Spark job and no error noise for a missing table."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    if not path_exists(spark, _pointer(path)):
-        return None
-    row = spark.read.json(_pointer(path)).select("version").head()
-    return None if row is None else int(row[0])
+    """Highest committed version: a ``vNNNNNN`` folder whose write finished
+    (Spark's job commit leaves ``_SUCCESS``); half-written versions of a
+    failed job are ignored."""
+    versions = sorted(
+        (int(name[1:]) for name in _children(spark, path) if name.startswith("v") and name[1:].isdigit()),
+        reverse=True,
+    )
+    for v in versions:
+        if path_exists(spark, f"{path.rstrip('/')}/v{v:06d}/_SUCCESS"):
+            return v
+    return None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -111,13 +175,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def write_version(
     spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str] | None = None
 ) -> int:
-    """Write ``df`` as the next version, then flip the pointer (commit)."""
+    """Write ``df`` as the next version; the job commit (``_SUCCESS``) makes
+    it current."""
     v = (current_version(spark, path) or 0) + 1
     w = df.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(f"{path.rstrip('/')}/v{v:06d}")
-    spark.createDataFrame([(v,)], "version INT").coalesce(1).write.mode("overwrite").json(_pointer(path))
     return v
 
 
@@ -153,17 +217,19 @@ def upsert_partitioned(
     live now (so a row whose partition value changes leaves its old one).
 
     Only the key and partition columns of the target are scanned to find the
-    affected partitions; the affected set is small (days / months) and is
-    broadcast into a semi-join, which lets partition pruning skip the rest.
+    affected partitions; that set is small (days / months) and becomes a
+    static partition filter, so the rewrite reads only those partitions.
     The merged partitions are staged, then swapped in with dynamic partition
     overwrite (Spark cannot overwrite a path it is reading). Returns the
     rewritten partition values.
     """
-    from ..session import ensure_checkpoint_dir
+    from ..session import materialize
 
-    ensure_checkpoint_dir(spark)
     if merge_kwargs.get("null_keys", "reject") == "reject":
         source = source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    # the source feeds three jobs below (touched partitions, merge, staging):
+    # compute it once
+    source = materialize(source)
     if not path_exists(spark, path):  # first write
         source.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
         return [tuple(r) for r in source.select(*partition_cols).distinct().collect()]
@@ -176,15 +242,19 @@ def upsert_partitioned(
     )
     affected = src_parts.unionByName(moved).distinct()
     parts = [tuple(r) for r in affected.collect()]  # bounded: one row per touched partition
-    # NULL partition values (e.g. no event time) are a partition too: match
-    # them null-safely, or their rows would drop out of the rewrite
-    aff = F.broadcast(affected.select(*[F.col(c).alias(f"_a_{c}") for c in partition_cols]))
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_a_{c}")) for c in partition_cols])
-    target_part = target.join(aff, cond, "left_semi")
+    # The touched partitions become a static predicate on the partition
+    # columns, so the scan prunes them at file listing (no join). NULL values
+    # (e.g. no event time) are a partition too and are matched with IS NULL.
+    def same(c, v):
+        return F.col(c).isNull() if v is None else (F.col(c) == F.lit(v))
+
+    touched = reduce(lambda a, b: a | b, [reduce(lambda x, y: x & y, [same(c, v) for c, v in zip(partition_cols, part)])
+                                          for part in parts])
+    target_part = target.filter(touched)
     merged = merge_frames(target_part.select(*source.columns), source, keys, **merge_kwargs)
     merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(staging_path)
     staged = spark.read.schema(merged.schema).parquet(staging_path)
-    kept = {tuple(r) for r in staged.select(*partition_cols).distinct().collect()}  # bounded as above
+    kept = _partition_dirs(spark, staging_path, partition_cols)
     (
         staged.select(*target.columns)
         .write.mode("overwrite")
@@ -193,11 +263,26 @@ def upsert_partitioned(
         .parquet(path)
     )
     # partitions the merge emptied get no file from the overwrite: drop them
-    for part in set(parts) - kept:
-        _delete_dir(spark, "/".join([path.rstrip("/")] + [_part_dir(c, v) for c, v in zip(partition_cols, part)]))
+    for part in parts:
+        rel = "/".join(_part_dir(c, v) for c, v in zip(partition_cols, part))
+        if rel not in kept:
+            _delete_dir(spark, f"{path.rstrip('/')}/{rel}")
     return parts
 
 
+def _partition_dirs(spark: SparkSession, root: str, partition_cols: list[str]) -> set[str]:
+    """Partition folders present under ``root`` as 'c1=v1/c2=v2' strings."""
+    level = [""]
+    for c in partition_cols:
+        nxt = []
+        for prefix in level:
+            for name in _children(spark, f"{root.rstrip('/')}/{prefix}" if prefix else root):
+                if name.startswith(f"{c}="):
+                    nxt.append(f"{prefix}{name}/")
+        level = nxt
+    return {p.rstrip("/") for p in level}
+
+
 def _part_dir(col: str, value) -> str:
     return f"{col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 

@@ -77,7 +77,7 @@ def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str
         ["transaction_id"],
         SILVER_PARTS,
         scratch_dir(spark, "silver-stage"),
-        when_matched=F.col("s.kafka_offset") > F.col("t.kafka_offset"),
+        newer_wins="kafka_offset",
     )
     v_cust = merge.upsert_path(spark, cust, paths["silver_cust"], ["customer_id"])
     return {"silver_txn_partitions": len(touched), "silver_cust_version": v_cust}

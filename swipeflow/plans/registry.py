@@ -256,7 +256,7 @@ def q_merge_newer(spark, d):
         (F.col("amount_usd") + 1).cast("decimal(15,2)").alias("amount_usd"),
         F.when(off % 2 == 0, off + 1).otherwise(off - 1).alias("kafka_offset"),
     )
-    return merge.merge_frames(tgt, src, ["transaction_id"], when_matched=F.col("s.kafka_offset") > F.col("t.kafka_offset"))
+    return merge.merge_frames(tgt, src, ["transaction_id"], newer_wins="kafka_offset")
 
 
 _DAILY_KEYS = ["txn_date", "merchant_category", "card_type"]

@@ -124,7 +124,7 @@ def silver_batch_writer(silver_path: str, customers: DataFrame | None = None, as
             ["transaction_id"],
             SILVER_STREAM_PARTS,
             scratch_dir(spark, f"silver-batch-{epoch_id}"),
-            when_matched=F.col("s.kafka_offset") > F.col("t.kafka_offset"),
+            newer_wins="kafka_offset",
         )
 
     return run

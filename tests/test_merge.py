@@ -8,7 +8,7 @@ SCHEMA = "id string, v int, off long"
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_insert_update_keep(spark):
@@ -86,3 +86,15 @@ def test_upsert_partitioned_null_partition_kept(spark, tmp_dir):
     merge.upsert_partitioned(spark, spark.createDataFrame([("b", 2, 2, None)], schema), path, ["id"], ["p"],
                              f"{tmp_dir}/s2")
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_union_path_equals_join_path(spark):
+    tgt = spark.createDataFrame([("a", 1, 5), ("b", 2, 5), ("c", 3, None), ("e", 5, 5), (None, 9, 1)], SCHEMA)
+    src = spark.createDataFrame([("a", 10, 4), ("b", 20, 6), ("c", 30, 7), ("d", 40, 1), ("e", 50, 5),
+                                 ("f", 60, None)], SCHEMA)
+    fast = merge.merge_frames(tgt, src, ["id"], newer_wins="off")
+    slow = merge.merge_frames(tgt, src, ["id"], when_matched=F.col("s.off") > F.col("t.off"))
+    assert rows(fast) == rows(slow)
+    assert rows(merge.merge_frames(tgt, src, ["id"])) == rows(
+        merge.merge_frames(tgt, src, ["id"], when_matched=F.lit(True))
+    )
