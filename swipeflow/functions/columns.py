@@ -47,10 +47,6 @@ def is_late_night(hour) -> Column:
     return col(hour).between(K.LATE_NIGHT_FIRST_HOUR, K.LATE_NIGHT_LAST_HOUR)
 
 
-def as_int(c) -> Column:
-    return col(c).cast("int")
-
-
 def count_true(c) -> Column:
     """Aggregate: number of rows where a boolean column is true."""
     return F.sum(col(c).cast("long"))

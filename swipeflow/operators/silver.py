@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 
-DEFAULT_AS_OF = None
-
-
 def cleanse_transactions(df: DataFrame) -> DataFrame:
     """Parse, normalise, sanitise amounts and add ``dq_passed``.
 

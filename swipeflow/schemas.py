@@ -15,7 +15,6 @@ from pyspark.sql.types import (
 
 MONEY = DecimalType(15, 2)
 LIMIT_MONEY = DecimalType(12, 2)
-AGG_MONEY = DecimalType(18, 2)
 
 # JSON card event as produced upstream (declared NOT NULL fields are not
 # enforced by JSON decoding: a missing field decodes to NULL).

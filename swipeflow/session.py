@@ -112,10 +112,12 @@ def spread(df, spark: SparkSession | None = None):
     a fact table has far more splits than cores and this is a no-op. Only the
     split count of the bare scan comes back to the driver."""
     spark = spark or df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
