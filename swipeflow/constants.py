@@ -108,3 +108,24 @@ FIXTURE_CATEGORIES = [
 FIXTURE_CREDIT_LIMITS = [5000, 10000, 15000, 25000, 50000]
 REPLAY_OFFSET_SHIFT = 100_000_000
 AS_OF = "2024-02-01 00:00:00"
+
+# --- fixed values: example analyst questions (search and RAG demos) ---------
+SEARCH_QUESTIONS = [
+    "late night cross-state travel fraud",
+    "high value online retail transactions flagged in Texas",
+    "ATM withdrawal anomalies critical severity",
+]
+RAG_QUESTIONS = [
+    "Which merchant category had the highest fraud amount last month?",
+    "Are there any patterns in states where critical fraud alerts occur?",
+    "What time of day sees the most severe fraud activity?",
+]
+
+# --- issue phrases used when failed checks are reported as issue texts -----
+ISSUE_PHRASES = {
+    "null_transaction_ids": "null transaction_id",
+    "negative_amounts": "negative amount",
+    "future_transactions": "future timestamps",
+    "duplicate_transaction_ids": "duplicate records",
+    "fraud_rate_sanity": "fraud rate above threshold",
+}

@@ -314,13 +314,7 @@ def explain_issues(issues: DataFrame, rules: DataFrame) -> DataFrame:
 
 def issues_from_checks(checks: DataFrame) -> DataFrame:
     """Turn failed checks into issue texts (what an operator would report)."""
-    phrase = {
-        "null_transaction_ids": "null transaction_id",
-        "negative_amounts": "negative amount",
-        "future_transactions": "future timestamps",
-        "duplicate_transaction_ids": "duplicate records",
-        "fraud_rate_sanity": "fraud rate above threshold",
-    }
+    phrase = K.ISSUE_PHRASES
     mapping = F.create_map(*[x for k, v in phrase.items() for x in (F.lit(k), F.lit(v))])
     failed = checks.filter((F.col("check_name") != "all_passed") & ~F.col("passed"))
     return failed.select(

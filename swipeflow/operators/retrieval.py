@@ -16,17 +16,8 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 
-# --- fixed values: example analyst questions ---------------------------------
-SEARCH_QUESTIONS = [
-    "late night cross-state travel fraud",
-    "high value online retail transactions flagged in Texas",
-    "ATM withdrawal anomalies critical severity",
-]
-RAG_QUESTIONS = [
-    "Which merchant category had the highest fraud amount last month?",
-    "Are there any patterns in states where critical fraud alerts occur?",
-    "What time of day sees the most severe fraud activity?",
-]
+SEARCH_QUESTIONS = K.SEARCH_QUESTIONS
+RAG_QUESTIONS = K.RAG_QUESTIONS
 
 MAX_BROADCAST_QUERIES = 10_000
 

@@ -716,13 +716,7 @@ SQL["freshness"] = q(FRESH + "SELECT * FROM fresh")
 RULES_VALUES = ", ".join(
     "({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(K.ROOT_CAUSE_RULES)
 )
-ISSUE_PHRASES = {
-    "null_transaction_ids": "null transaction_id",
-    "negative_amounts": "negative amount",
-    "future_transactions": "future timestamps",
-    "duplicate_transaction_ids": "duplicate records",
-    "fraud_rate_sanity": "fraud rate above threshold",
-}
+ISSUE_PHRASES = K.ISSUE_PHRASES
 FALLBACK = K.ROOT_CAUSE_FALLBACK.replace("'", "''")
 
 SQL["root_cause_lookup"] = q(
@@ -1105,16 +1099,8 @@ def _tfidf(questions: list[str], k: int) -> str:
 """
 
 
-SEARCH_QUESTIONS = [
-    "late night cross-state travel fraud",
-    "high value online retail transactions flagged in Texas",
-    "ATM withdrawal anomalies critical severity",
-]
-RAG_QUESTIONS = [
-    "Which merchant category had the highest fraud amount last month?",
-    "Are there any patterns in states where critical fraud alerts occur?",
-    "What time of day sees the most severe fraud activity?",
-]
+SEARCH_QUESTIONS = K.SEARCH_QUESTIONS
+RAG_QUESTIONS = K.RAG_QUESTIONS
 
 SQL["tfidf_search"] = q(GOLD_ALERTS + _docs("") + _tfidf(SEARCH_QUESTIONS, 3) + "SELECT * FROM hits")
 SQL["rag_context"] = q(
