@@ -242,6 +242,8 @@ def upsert_partitioned(
     )
     affected = src_parts.unionByName(moved).distinct()
     parts = [tuple(r) for r in affected.collect()]  # bounded: one row per touched partition
+    if not parts:  # nothing to merge (empty source)
+        return []
     # The touched partitions become a static predicate on the partition
     # columns, so the scan prunes them at file listing (no join). NULL values
     # (e.g. no event time) are a partition too and are matched with IS NULL.

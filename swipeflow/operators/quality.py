@@ -328,11 +328,17 @@ def issues_from_checks(checks: DataFrame) -> DataFrame:
     )
 
 
-def alert_rules(freshness_df: DataFrame, checks: DataFrame, audit: DataFrame | None = None) -> DataFrame:
+def alert_rules(
+    freshness_df: DataFrame,
+    checks: DataFrame,
+    audit: DataFrame | None = None,
+    model_metrics: DataFrame | None = None,
+) -> DataFrame:
     """M7: monitoring rules evaluated as rows (rule, observed, limit, firing).
 
     Freshness lags come from ``freshness``; failed checks from ``run_checks``;
-    failed pipeline runs from the audit log when given.
+    failed pipeline runs from the audit log and the AUC floor from the latest
+    model metrics row, when given.
     """
     limits = {
         "bronze": K.ALERT_INGEST_LAG_MINUTES,
@@ -359,7 +365,19 @@ def alert_rules(freshness_df: DataFrame, checks: DataFrame, audit: DataFrame | N
                 F.lit(0.0).alias("limit_value"),
             )
         )
-    return rows.select("*", (F.coalesce(F.col("observed"), F.lit(0.0)) > F.col("limit_value")).alias("firing"))
+    firing = F.coalesce(F.col("observed"), F.lit(0.0)) > F.col("limit_value")
+    out = rows.select("*", firing.alias("firing"))
+    if model_metrics is not None:
+        latest = model_metrics.orderBy(F.desc("trained_at")).limit(1)
+        out = out.unionByName(
+            latest.select(
+                F.lit("model_auc_below_floor").alias("rule_name"),
+                F.col("test_auc").alias("observed"),
+                F.lit(K.ALERT_MIN_AUC).alias("limit_value"),
+                (F.col("test_auc") < K.ALERT_MIN_AUC).alias("firing"),
+            )
+        )
+    return out
 
 
 def health_summary(layer_df: DataFrame, checks: DataFrame, rules_fired: DataFrame) -> DataFrame:

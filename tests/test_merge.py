@@ -98,3 +98,13 @@ def test_union_path_equals_join_path(spark):
     assert rows(merge.merge_frames(tgt, src, ["id"])) == rows(
         merge.merge_frames(tgt, src, ["id"], when_matched=F.lit(True))
     )
+
+
+def test_upsert_partitioned_empty_source_is_noop(spark, tmp_dir):
+    schema = "id string, v int, off long, p int"
+    path = f"{tmp_dir}/etbl"
+    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, 1)], schema), path, ["id"], ["p"],
+                             f"{tmp_dir}/s1")
+    only_null_keys = spark.createDataFrame([(None, 2, 2, 1)], schema)
+    assert merge.upsert_partitioned(spark, only_null_keys, path, ["id"], ["p"], f"{tmp_dir}/s2") == []
+    assert [r.id for r in spark.read.parquet(path).collect()] == ["a"]

@@ -49,3 +49,17 @@ def test_root_cause_lookup(spark):
     assert out[1].explanation.startswith("Likely cause: Schema drift")
     assert out[2].explanation.startswith("Likely cause: ADF pipeline trigger")
     assert out[3].matched_rule is None and "'something odd' not in known patterns" in out[3].explanation
+
+
+def test_alert_rules_with_model_floor(spark):
+    import datetime as dt
+
+    fresh = spark.createDataFrame([("bronze", dt.datetime(2024, 1, 31), 10.0)],
+                                  "layer string, last_updated timestamp, lag_minutes double")
+    checks = spark.createDataFrame([("x", 1.0, 0.0, False), ("all_passed", None, None, False)],
+                                   "check_name string, value double, threshold double, passed boolean")
+    metrics = spark.createDataFrame([(dt.datetime(2024, 1, 1), 0.95), (dt.datetime(2024, 2, 1), 0.85)],
+                                    "trained_at timestamp, test_auc double")
+    out = {r.rule_name: r for r in quality.alert_rules(fresh, checks, model_metrics=metrics).collect()}
+    assert out["stale_bronze"].firing and out["failed_dq_checks"].firing
+    assert out["model_auc_below_floor"].observed == 0.85 and out["model_auc_below_floor"].firing
