@@ -1216,3 +1216,14 @@ SELECT CASE WHEN s._p IS NOT NULL THEN s.doc_id ELSE t.doc_id END AS doc_id,
 FROM tgt t FULL OUTER JOIN src s ON t.doc_id = s.doc_id
 """
 )
+
+SQL["cleanse_dq"] = q(
+    """
+SELECT transaction_id, kafka_offset, amount_usd, transaction_ts, dq_passed,
+       CASE WHEN transaction_id IS NULL THEN 'transaction_id'
+            WHEN customer_id IS NULL THEN 'customer_id'
+            WHEN amount_usd IS NULL THEN 'amount_usd'
+            WHEN transaction_ts IS NULL THEN 'transaction_ts' END AS dq_failed_rule
+FROM cleansed
+"""
+)

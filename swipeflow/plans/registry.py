@@ -636,3 +636,18 @@ def q_health_json(spark, d):
     e = enriched(spark, d)
     m = quality.dq_metrics(bronze(spark, d), e, gold.daily_txn_summary(e))
     return m.select(F.to_json(F.struct(*m.columns)).alias("pipeline_health"))
+
+
+@register("cleanse_dq")
+def q_cleanse_dq(spark, d):
+    """The DQ view of cleansing: parsed timestamp, sanitised amount,
+    and the never-NULL flag with the rule that failed first."""
+    c = cleansed(spark, d)
+    reason = (
+        F.when(F.col("transaction_id").isNull(), "transaction_id")
+        .when(F.col("customer_id").isNull(), "customer_id")
+        .when(F.col("amount_usd").isNull(), "amount_usd")
+        .when(F.col("transaction_ts").isNull(), "transaction_ts")
+    )
+    return c.select("transaction_id", "kafka_offset", "amount_usd", "transaction_ts", "dq_passed",
+                    reason.alias("dq_failed_rule"))
