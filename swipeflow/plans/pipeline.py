@@ -137,7 +137,8 @@ def write_report(spark: SparkSession, paths: dict, as_of: str) -> None:
 
 def register_tables(spark: SparkSession, paths: dict, database: str = "cards") -> None:
     """Expose the layers in the catalog (external Parquet tables).
-    Versioned (merged) tables point at their current version."""
+    Versioned (merged) tables point at their current version; partitioned
+    ones get their partitions recovered (rerun after each load)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, path in paths.items():
         loc = path
@@ -148,6 +149,9 @@ def register_tables(spark: SparkSession, paths: dict, database: str = "cards") -
             continue
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{loc}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(name, database)):
+            # partitioned layout: register the partition folders found on disk
+            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str = K.AS_OF) -> dict:

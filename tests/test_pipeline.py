@@ -49,3 +49,18 @@ def test_landing_formats_roundtrip(spark, tmp_dir):
         assert df.columns == CUSTOMER_SCHEMA.names
     listed = sinks.landing_files(spark, f"{tmp_dir}/pq")
     assert listed.agg({"row_count": "sum"}).collect()[0][0] == n
+
+
+def test_register_tables_and_save_table(spark, tmp_dir):
+    from swipeflow.operators import silver, sinks
+
+    out_dir = f"{tmp_dir}/lake"
+    paths = pipeline.layout(out_dir)
+    pipeline.ingest_bronze(spark, SF_SMALL, paths, R.AS_OF)
+    pipeline.build_silver(spark, paths, R.AS_OF)
+    pipeline.register_tables(spark, {k: paths[k] for k in ("bronze_txn", "silver_txn", "silver_cust")}, "cards_t")
+    assert spark.table("cards_t.silver_txn").count() == spark.read.parquet(paths["silver_txn"]).count()
+    assert spark.table("cards_t.silver_cust").count() == R.customers(spark, SF_SMALL).count()
+    wrangled = silver.wrangle_transactions(R.staging(spark, SF_SMALL))
+    sinks.save_table(wrangled, "cards_t.transactions_wrangled")
+    assert spark.table("cards_t.transactions_wrangled").count() == wrangled.count()
