@@ -14,7 +14,11 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(app="swipeflow-tests", master="local[4]", shuffle_partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="swipeflow-warehouse-", dir="/tmp")
+    s = build_session(
+        app="swipeflow-tests", master="local[4]", shuffle_partitions=4,
+        extra={"spark.sql.warehouse.dir": warehouse},
+    )
     yield s
     s.stop()
 
