@@ -651,3 +651,13 @@ def q_cleanse_dq(spark, d):
     )
     return c.select("transaction_id", "kafka_offset", "amount_usd", "transaction_ts", "dq_passed",
                     reason.alias("dq_failed_rule"))
+
+
+@register("split_stratified")
+def q_split_stratified(spark, d):
+    """Exact per-class 80/20 split (hash order within each class)."""
+    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed")))
+    train, test = ml.stratified_split(f)
+    return train.select("transaction_id", "label", F.lit("train").alias("split")).unionByName(
+        test.select("transaction_id", "label", F.lit("test").alias("split"))
+    )
