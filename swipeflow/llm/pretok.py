@@ -40,6 +40,7 @@ def probe_classes(pre_tokenizer) -> np.ndarray:
     """
     mates = {LETTER: "a", NUMBER: "1", OTHER: "!"}
     guess = category_table()[:PROBED]
+    guess = np.where(guess == 4, OTHER, guess)
     table = np.full(PROBED, SPACE, np.uint8)
     left, seen_alone = [], {}
     cps = [c for c in range(PROBED) if not 0xD800 <= c <= 0xDFFF]

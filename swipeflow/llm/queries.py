@@ -8,14 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeflow.llm import chat, token_count
+from swipeflow.llm import chat, langid, token_count, toxicity
+from swipeflow.llm.common import table
 
 #: Both turns of the extra conversation of ``op5_chat``.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn_profiles(docs))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +42,8 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
+    "op4_toxicity": op4_toxicity,
     "op5_chat": op5_chat,
     "op6_token_count": op6_token_count,
 }

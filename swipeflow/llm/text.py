@@ -95,15 +95,17 @@ def lower_table() -> np.ndarray:
 
 @functools.cache
 def category_table() -> np.ndarray:
-    """Code point -> 0 white space, 1 letter (or combining mark), 2 number, 3 anything else."""
+    """Code point -> 0 white space, 1 letter, 2 number, 3 anything else, 4 combining mark."""
     table = np.full(sys.maxunicode + 1, 3, np.uint8)
     for cp in range(sys.maxunicode + 1):
         c = chr(cp)
         kind = unicodedata.category(c)[0]
         if c.isspace():
             table[cp] = 0
-        elif kind in "LM":
+        elif kind == "L":
             table[cp] = 1
+        elif kind == "M":
+            table[cp] = 4
         elif kind == "N":
             table[cp] = 2
     return table
@@ -158,7 +160,9 @@ class Words:
         self.raw, self.offsets = code.cps, code.offsets
         self.cps = lower_table()[code.cps]
         kind = category_table()[code.cps]
-        inside = (kind == 1) | (kind == 2) if digits else kind == 1
+        inside = (kind == 1) | (kind == 4)
+        if digits:
+            inside |= kind == 2
         edge = np.zeros(len(inside) + 1, bool)
         edge[:-1] = inside
         begin = inside.copy()
