@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeflow.llm import chat, decontam, langid, token_count, toxicity
+from swipeflow.llm import chat, decontam, langid, packing, token_count, toxicity
 from swipeflow.llm.common import table
 
 #: Both turns of the extra conversation of ``op5_chat``.
@@ -41,6 +41,10 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +54,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_chat": op5_chat,
     "op6_token_count": op6_token_count,
+    "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
 }
 
