@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeflow.llm import chat, decontam, langid, packing, token_count, toxicity
+from swipeflow.llm import chat, decontam, langid, packing, pivots, token_count, toxicity
 from swipeflow.llm.common import table
 
 #: Both turns of the extra conversation of ``op5_chat``.
@@ -49,6 +49,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op4_toxicity": op4_toxicity,
@@ -56,6 +60,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_count": op6_token_count,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
+    "op10_embedding_neardup": op10_embedding_neardup,
 }
 
 ORACLE: dict[str, str] = {
@@ -75,4 +80,21 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role_out, text_out) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(length('<|im_start|><|im_sep|><|im_end|>') + length(role_out) + length(text_out)) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op10_embedding_neardup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+        ), good AS (
+            SELECT vec_id, e FROM v
+            WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NOT NULL AND isfinite(x))) = len(e)
+              AND len(list_filter(e, x -> x <> 0)) > 0
+        ), link AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+        ), reach AS (
+            SELECT vec_id AS x, vec_id AS y FROM v
+            UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+        ), least AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+        n AS (SELECT x, count(*) AS k FROM link GROUP BY x)
+        SELECT v.vec_id, CAST(coalesce(n.k, 0) AS BIGINT) AS n_links, least.c AS component_id, v.vec_id = least.c AS kept
+        FROM v JOIN least ON least.x = v.vec_id LEFT JOIN n ON n.x = v.vec_id""",
 }
