@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeflow.llm import chat, decontam, langid, packing, pivots, token_count, toxicity
+from swipeflow.llm import chat, decontam, jaccard_join, langid, packing, pivots, token_count, toxicity
 from swipeflow.llm.common import table
 
 #: Both turns of the extra conversation of ``op5_chat``.
@@ -41,6 +41,10 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_similar(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -58,6 +62,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_chat": op5_chat,
     "op6_token_count": op6_token_count,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_embedding_neardup": op10_embedding_neardup,
@@ -82,11 +87,11 @@ ORACLE: dict[str, str] = {
         FROM e GROUP BY conv_id""",
     "op10_embedding_neardup": """
         WITH RECURSIVE v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
         ), good AS (
             SELECT vec_id, e FROM v
-            WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NOT NULL AND isfinite(x))) = len(e)
-              AND len(list_filter(e, x -> x <> 0)) > 0
+            WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)
+              AND len(list_filter(e, lambda x: x <> 0)) > 0
         ), link AS (
             SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
             WHERE list_cosine_similarity(a.e, b.e) >= 0.95
@@ -97,4 +102,24 @@ ORACLE: dict[str, str] = {
         n AS (SELECT x, count(*) AS k FROM link GROUP BY x)
         SELECT v.vec_id, CAST(coalesce(n.k, 0) AS BIGINT) AS n_links, least.c AS component_id, v.vec_id = least.c AS kept
         FROM v JOIN least ON least.x = v.vec_id LEFT JOIN n ON n.x = v.vec_id""",
+    "op7_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL
+        ), s AS (
+            SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5
+                THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                ELSE [array_to_string(w, ' ')] END)) AS g
+            FROM w WHERE len(w) > 0
+        ), size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS (
+            SELECT x, y FROM pairs JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+            WHERE 5 * k >= 4 * (a.n + b.n - k)
+        ), reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM documents
+            UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+        ), least AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+        n AS (SELECT x, count(*) AS k FROM link GROUP BY x)
+        SELECT d.doc_id, least.c AS class_id, CAST(coalesce(n.k, 0) AS BIGINT) AS n_links
+        FROM documents d JOIN least ON least.x = d.doc_id LEFT JOIN n ON n.x = d.doc_id""",
 }
