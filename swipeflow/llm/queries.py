@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeflow.llm import chat, decontam, jaccard_join, langid, packing, pivots, token_count, toxicity
+from swipeflow.llm import chat, decontam, jaccard_join, langid, packing, pivots, token_count, toxicity, warc
 from swipeflow.llm.common import table
+from swipeflow.session import scratch_dir
 
 #: Both turns of the extra conversation of ``op5_chat``.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, f"warc-{uuid.uuid4().hex}")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(spark, folder, payload=False)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.learn_profiles(docs))
@@ -58,6 +66,7 @@ def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
     "op4_toxicity": op4_toxicity,
     "op5_chat": op5_chat,
@@ -69,6 +78,17 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+        ), f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+        SELECT page_id, url, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(p.h, 1 + 5 * CAST(i AS INT), 5) AS INT) >> s) & 31), 1)),
+                   'string_agg', '')), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p JOIN f ON p.h = f.h""",
     "op5_chat": f"""
         WITH r AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
