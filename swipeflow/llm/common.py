@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from swipeflow.session import ensure_checkpoint_dir
 
@@ -42,3 +43,17 @@ def settle(df: DataFrame) -> DataFrame:
     ship_package(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Ids (16 bytes with overhead) that ``without`` sends to every task; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``ids`` (one column); rows with a null id stay.
+
+    The ids are counted first, and broadcast only up to ``BROADCAST_IDS`` of them.
+    """
+    ids = settle(ids.toDF(id_col).filter(F.col(id_col).isNotNull()).distinct())
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(side, id_col, "left_anti").select(*docs.columns)

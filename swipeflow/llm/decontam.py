@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from swipeflow.llm.common import without
 from swipeflow.llm.text import CodePoints, category_table, chunks, lower_table, mix64
 
 Q = 8
@@ -301,5 +302,4 @@ def _search(picked: DataFrame, group: list[tuple[int, str]], rate: float) -> Dat
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents that hold no benchmark passage, all columns kept; rows with a null id or text stay."""
-    leaks = find_leaks(docs, benchmark, id_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(leaks, id_col, "left_anti")
+    return without(docs, find_leaks(docs, benchmark, id_col).select("doc_id"), id_col)

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swipeflow.llm.blocks import block_tasks, groups, local_roots, pairs_to_compare
-from swipeflow.llm.common import settle
+from swipeflow.llm.common import settle, without
 from swipeflow.llm.graph import components
 from swipeflow.llm.text import Words, chunks, mix64, range_hashes
 
@@ -308,5 +308,4 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each class stays, the one with the smallest id; rows with a null id stay."""
-    drop = join_similar(docs, id_col, text_col).filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(drop, id_col, "left_anti")
+    return without(docs, join_similar(docs, id_col, text_col).filter(F.col("doc_id") != F.col("class_id")).select("doc_id"), id_col)

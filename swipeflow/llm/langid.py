@@ -156,8 +156,8 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Language profiles from labelled documents outside fold 0."""
     # broadcast bound: per_language ids (8 bytes) for each language
     chosen = F.broadcast(training_rows(docs, id_col, lang_col, per_language))
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).join(chosen, F.col(id_col) == F.col("_id"), "left_semi")
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).join(chosen, "_id", "left_semi").select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,14 +185,15 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, held_out, lang_pred, score, distance of every row; ``keep`` names columns to carry along."""
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
-    picked = docs.select(F.col(id_col).alias("_id"), F.coalesce(fold(id_col) == 0, F.lit(False)).alias("_held"), F.col(text_col).cast("string").alias("_text"), *keep)
+    text = text_col if text_col in keep else "_text"  # a carried text is sent once
+    picked = docs.select(F.col(id_col).alias("_id"), F.coalesce(fold(id_col) == 0, F.lit(False)).alias("_held"), *keep, *([] if text in keep else [F.col(text_col).cast("string").alias("_text")]))
     schema = picked.select(F.col("_id").alias("doc_id"), F.col("_held").alias("held_out"), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("distance"), *keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             names, scores, apart = [], [np.empty(0)], [np.empty(0)]
-            for _, _, texts in chunks(batch, "_text"):
+            for _, _, texts in chunks(batch, text):
                 lang, score, nearest = known.predict(texts)
                 names += lang
                 scores.append(score)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipeflow.llm import chat, decontam, jaccard_join, langid, packing, pivots, token_count, toxicity, warc
+from swipeflow.llm import chat, decontam, html_blocks, jaccard_join, langid, packing, pivots, token_count, toxicity, warc
 from swipeflow.llm.common import table
 from swipeflow.session import scratch_dir
 
@@ -28,6 +28,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.learn_profiles(docs))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -68,6 +72,7 @@ def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
+    "op3_html_extraction": op3_html_extraction,
     "op4_toxicity": op4_toxicity,
     "op5_chat": op5_chat,
     "op6_token_count": op6_token_count,

@@ -186,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if len(set(given.values())) < 2:
         return nothing
     chosen = F.broadcast(spark.createDataFrame(pa.table({"_id": pa.array(list(given), pa.int64()), "_y": pa.array(list(given.values()), pa.int32())})))
-    rows = docs.filter(F.col(text_col).isNotNull()).join(chosen, F.col(id_col) == F.col("_id")).select("_id", "_y", F.col(text_col).cast("string").alias("_text"))
+    rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(chosen, "_id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,13 +253,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, held_out, score, predicted of every row; ``keep`` names columns to carry along."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    picked = docs.select(F.col(id_col).alias("_id"), F.coalesce(fold(id_col) == 0, F.lit(False)).alias("_held"), F.col(text_col).cast("string").alias("_text"), *keep)
+    text = text_col if text_col in keep else "_text"  # a carried text is sent once
+    picked = docs.select(F.col(id_col).alias("_id"), F.coalesce(fold(id_col) == 0, F.lit(False)).alias("_held"), *keep, *([] if text in keep else [F.col(text_col).cast("string").alias("_text")]))
     schema = picked.select(F.col("_id").alias("doc_id"), F.col("_held").alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            s = np.concatenate([np.empty(0), *(known.score(texts) for _, _, texts in chunks(batch, "_text"))])
+            s = np.concatenate([np.empty(0), *(known.score(texts) for _, _, texts in chunks(batch, text))])
             made = [pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_held"), *made, *(batch.column(k) for k in keep)], ["doc_id", "held_out", "score", "predicted", *keep])
 
