@@ -52,30 +52,29 @@ def count_true(c) -> Column:
     return F.sum(col(c).cast("long"))
 
 
-def rquot_sql(num: str, den: str, mult: int, scale: int, dialect: str = "spark") -> str:
+def rquot_sql(num: str, den: str, mult: int, scale: int) -> str:
     """SQL text for ``sign(num) * round_half_up(|num| * mult / den) / scale``.
 
-    Pure integer arithmetic until the last division, so Spark and DuckDB
-    agree bit for bit (double ``round`` differs between engines at .5
-    boundaries). NULL when ``den`` is NULL or 0. ``num``/``den`` are integer
-    SQL expressions; ``den`` must be positive.
+    Exact DECIMAL(38, 0) arithmetic until the last division, so money and
+    counts of any size that a table can hold neither overflow nor depend on
+    how an engine rounds doubles at .5. NULL when ``den`` is NULL or 0.
+    ``num``/``den`` are integer-valued SQL expressions; ``den`` must be positive.
     """
-    div = "div" if dialect == "spark" else "//"
-    n, d = f"({num})", f"({den})"
+    n, d = f"CAST(({num}) AS DECIMAL(28,0))", f"CAST(({den}) AS DECIMAL(28,0))"
     return (
         f"CASE WHEN {d} IS NULL OR {d} = 0 OR {n} IS NULL THEN NULL "
-        f"ELSE CAST(CAST(sign({n}) AS BIGINT) * ((abs({n}) * {2 * mult} + {d}) {div} ({d} * 2)) AS DOUBLE)"
+        f"ELSE CAST(CAST(sign({n}) AS INT) * ((abs({n}) * {2 * mult} + {d}) div ({d} * 2)) AS DOUBLE)"
         f" / {scale} END"
     )
 
 
 def cents_sql(money: str) -> str:
-    """A DECIMAL(_, 2) amount as an exact BIGINT number of cents."""
-    return f"CAST(({money}) * 100 AS BIGINT)"
+    """A DECIMAL(_, 2) amount as an exact whole number of cents."""
+    return f"CAST(({money}) * 100 AS DECIMAL(28,0))"
 
 
 def rquot(num: str, den: str, mult: int, scale: int) -> Column:
-    return F.expr(rquot_sql(num, den, mult, scale, "spark"))
+    return F.expr(rquot_sql(num, den, mult, scale))
 
 
 def ratio(num: str, den: str, places: int = 4) -> Column:

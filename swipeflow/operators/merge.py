@@ -1,26 +1,34 @@
 """Upserts without a table format: MERGE semantics as one full outer join.
 
 ``merge_frames`` is pure (target, source) -> merged frame. Matching uses SQL
-equality, so a NULL key never matches anything. ``upsert_path`` writes each
-merged result as a new version folder (Spark cannot overwrite a path it is
-reading); ``upsert_partitioned`` rewrites only the touched partitions of a
-partitioned table.
+equality, so a NULL key never matches anything. The writers check the source
+first: rows with a NULL key go to a quarantine table, and a key that occurs
+twice in the source is refused, as a MERGE could not tell which row wins.
+``upsert_path`` writes each merged result as a new version folder (Spark cannot
+overwrite a path it is reading); ``upsert_partitioned`` rewrites only the
+touched partitions of a partitioned table.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_MAX_LONG = 2**63 - 1
-_MIN_LONG = -(2**63)
+
+class AmbiguousSource(ValueError):
+    """A MERGE source that holds a key more than once."""
+
+
+def _any_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
 def null_key_rows(source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows that can never match (some key is NULL): the triage set."""
-    return source.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+    return source.filter(_any_null(keys))
 
 
 def duplicate_source_keys(source: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,6 +45,7 @@ def merge_frames(
     insert_values: dict[str, Column] | None = None,
     null_keys: str = "reject",
     newer_wins: str | None = None,
+    null_safe: list[str] = (),
 ) -> DataFrame:
     """MERGE ``source`` into ``target`` on ``keys``.
 
@@ -47,32 +56,30 @@ def merge_frames(
       overriding columns (expressions over ``s.<col>`` names);
     * target row without a match -> kept.
 
+    Keys in ``null_safe`` match NULL with NULL (partition values).
     ``when_matched`` refers to columns as ``t.<col>`` / ``s.<col>``.
     ``null_keys="reject"`` leaves source rows with a NULL key out (see
     ``null_key_rows``); ``"insert"`` re-inserts them on every run, as an
     equality MERGE does.
 
-    ``newer_wins="c"`` is the condition ``s.c > t.c`` (B7) in a faster form.
+    ``newer_wins="c"`` is the condition ``s.c > t.c`` (B7).
 
-    Plan: when every matched row is replaced whole (no ``update_cols`` /
-    ``insert_values``; no condition, or ``newer_wins``) the MERGE is a union
-    of both sides deduplicated per key - one shuffle, with a partial
-    per-key limit before it, so a hot key never ships whole. Otherwise one
-    shuffle of each side on the keys (sort-merge full outer join; AQE splits
-    skewed partitions).
+    Several target rows of one key are each matched and all kept. The source
+    must hold a key once (the writers check it).
+
+    Plan: one shuffle of each side on the keys (sort-merge full outer join).
     """
     cols = target.columns
     src_cols = set(source.columns)
     if null_keys == "reject":
-        source = source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    if update_cols is None and insert_values is None and when_matched is None:
-        return _merge_by_union(target, source, keys, newer_wins)
+        source = source.filter(~_any_null([k for k in keys if k not in null_safe]))
     if newer_wins is not None:
         cond = F.col(f"s.{newer_wins}") > F.col(f"t.{newer_wins}")
         when_matched = cond if when_matched is None else (when_matched & cond)
     t = target.select(F.struct(*[F.col(c) for c in cols]).alias("t"), F.lit(True).alias("_t"))
     s = source.select(F.struct(*[F.col(c) for c in source.columns]).alias("s"), F.lit(True).alias("_s"))
-    cond = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    pairs = {k: (F.col(f"t.{k}"), F.col(f"s.{k}")) for k in keys}
+    cond = reduce(lambda a, b: a & b, [x.eqNullSafe(y) if k in null_safe else x == y for k, (x, y) in pairs.items()])
     j = t.join(s, cond, "full_outer")
     matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
     take_update = matched & (when_matched if when_matched is not None else F.lit(True))
@@ -91,39 +98,6 @@ def merge_frames(
     return j.select(*out)
 
 
-def _merge_by_union(target: DataFrame, source: DataFrame, keys: list[str], newer_wins: str | None) -> DataFrame:
-    """Whole-row MERGE as union + top-1 per key.
-
-    Source rows win unless ``newer_wins`` names an order column: then the
-    larger value wins, ties and NULLs keep the target row (the semantics of
-    ``WHEN MATCHED AND s.c > t.c``). Target rows with a NULL key are never
-    matched and stay as they are."""
-    cols = target.columns
-    src = source.select(*[F.col(c) if c in source.columns else F.lit(None).alias(c) for c in cols])
-    u = target.select(*cols, F.lit(0).alias("_src")).unionByName(src.select(*cols, F.lit(1).alias("_src")))
-    if newer_wins is None:
-        order = [F.col("_src").desc()]
-    else:
-        o = F.col(newer_wins).cast("long") if dict(target.dtypes)[newer_wins] in ("int", "bigint") else F.col(newer_wins)
-        if dict(target.dtypes)[newer_wins] in ("int", "bigint"):
-            rank = F.when(F.col("_src") == 0, F.coalesce(o, F.lit(_MAX_LONG))).otherwise(
-                F.coalesce(o, F.lit(_MIN_LONG))
-            )
-            order = [rank.desc(), F.col("_src").asc()]
-        else:
-            # non-integer order: NULL on the target side sorts first, on the
-            # source side last
-            order = [
-                F.when(F.col("_src") == 0, F.col(newer_wins).isNull()).otherwise(F.lit(False)).desc(),
-                o.desc_nulls_last(),
-                F.col("_src").asc(),
-            ]
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    w = Window.partitionBy(*keys).orderBy(*order)
-    keyed = u.filter(has_key).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
-    return keyed.unionByName(u.filter(~has_key).drop("_src"))
-
-
 # --- writer -------------------------------------------------------------------
 
 
@@ -185,22 +159,50 @@ def write_version(
     return v
 
 
+def _quarantine(nulls: DataFrame, quarantine: str | None, keys: list[str]) -> None:
+    """Append rows without a key to the quarantine table (a Parquet folder) with the reason."""
+    if quarantine is None:
+        return
+    missing = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in keys])
+    nulls.withColumn("quarantine_reason", F.concat(F.lit("NULL key: "), missing)).write.mode("append").parquet(quarantine)
+
+
+def check_source(source: DataFrame, keys: list[str]) -> None:
+    """Refuse a source with a repeated key (one aggregate; one key comes back)."""
+    found = duplicate_source_keys(source.filter(~_any_null(keys)), keys).select(*keys).take(1)
+    if found:
+        raise AmbiguousSource(f"the source holds a key more than once, for example {found[0].asDict()}")
+
+
 def upsert_path(
     spark: SparkSession,
     source: DataFrame,
     path: str,
     keys: list[str],
     partition_cols: list[str] | None = None,
+    quarantine: str | None = None,
+    keep_versions: int | None = 2,
     **merge_kwargs,
 ) -> int:
-    """First write, or MERGE into the current version and commit a new one."""
-    if not table_exists(spark, path):
-        if merge_kwargs.get("null_keys", "reject") == "reject":
-            source = source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    """First write, or MERGE into the current version and commit a new one.
+
+    Rows with a NULL key are appended to ``quarantine`` if given. Of the older
+    versions the last ``keep_versions - 1`` stay for running readers (None: all)."""
+    check_source(source, keys)
+    if merge_kwargs.get("null_keys", "reject") == "reject":
+        _quarantine(null_key_rows(source, keys), quarantine, keys)
+        source = source.filter(~_any_null(keys))
+    v = current_version(spark, path)
+    if v is None:
         return write_version(spark, source, path, partition_cols)
     target = read_table(spark, path)
     merged = merge_frames(target, source.select(*target.columns), keys, **merge_kwargs)
-    return write_version(spark, merged, path, partition_cols)
+    new = write_version(spark, merged, path, partition_cols)
+    if keep_versions is not None:
+        for name in _children(spark, path):
+            if name.startswith("v") and name[1:].isdigit() and int(name[1:]) <= new - keep_versions:
+                _delete_dir(spark, f"{path.rstrip('/')}/{name}")
+    return new
 
 
 def upsert_partitioned(
@@ -209,89 +211,90 @@ def upsert_partitioned(
     path: str,
     keys: list[str],
     partition_cols: list[str],
-    staging_path: str,
+    quarantine: str | None = None,
+    rows_move: bool = True,
     **merge_kwargs,
 ) -> list[tuple]:
     """MERGE into a partitioned Parquet table, rewriting only the partitions
-    that change: those holding source rows plus those where matched keys
-    live now (so a row whose partition value changes leaves its old one).
-
-    Only the key and partition columns of the target are scanned to find the
-    affected partitions; that set is small (days / months) and becomes a
-    static partition filter, so the rewrite reads only those partitions.
-    The merged partitions are staged, then swapped in with dynamic partition
-    overwrite (Spark cannot overwrite a path it is reading). Returns the
-    rewritten partition values.
-    """
-    from ..session import materialize
-
-    if merge_kwargs.get("null_keys", "reject") == "reject":
-        source = source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    # the source feeds three jobs below (touched partitions, merge, staging):
-    # compute it once
-    source = materialize(source)
-    if not path_exists(spark, path):  # first write
-        source.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
-        return [tuple(r) for r in source.select(*partition_cols).distinct().collect()]
-    # declared schema: partition types come from the source, not from
-    # directory names (an all-NULL partition would infer as VOID)
-    target = spark.read.schema(source.schema).parquet(path)
-    src_parts = source.select(*partition_cols).distinct()
-    moved = target.select(*keys, *partition_cols).join(source.select(*keys), keys, "left_semi").select(
-        *partition_cols
-    )
-    affected = src_parts.unionByName(moved).distinct()
-    parts = [tuple(r) for r in affected.collect()]  # bounded: one row per touched partition
-    if not parts:  # nothing to merge (empty source)
-        return []
-    # The touched partitions become a static predicate on the partition
-    # columns, so the scan prunes them at file listing (no join). NULL values
-    # (e.g. no event time) are a partition too and are matched with IS NULL.
-    def same(c, v):
-        return F.col(c).isNull() if v is None else (F.col(c) == F.lit(v))
-
-    touched = reduce(lambda a, b: a | b, [reduce(lambda x, y: x & y, [same(c, v) for c, v in zip(partition_cols, part)])
-                                          for part in parts])
-    target_part = target.filter(touched)
-    merged = merge_frames(target_part.select(*source.columns), source, keys, **merge_kwargs)
-    merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(staging_path)
-    staged = spark.read.schema(merged.schema).parquet(staging_path)
-    kept = _partition_dirs(spark, staging_path, partition_cols)
-    (
-        staged.select(*target.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols)
-        .parquet(path)
-    )
-    # partitions the merge emptied get no file from the overwrite: drop them
-    for part in parts:
-        rel = "/".join(_part_dir(c, v) for c, v in zip(partition_cols, part))
-        if rel not in kept:
-            _delete_dir(spark, f"{path.rstrip('/')}/{rel}")
-    return parts
-
+    that change. Returns the rewritten partition values.
 
-def _partition_dirs(spark: SparkSession, root: str, partition_cols: list[str]) -> set[str]:
-    """Partition folders present under ``root`` as 'c1=v1/c2=v2' strings."""
-    level = [""]
-    for c in partition_cols:
-        nxt = []
-        for prefix in level:
-            for name in _children(spark, f"{root.rstrip('/')}/{prefix}" if prefix else root):
-                if name.startswith(f"{c}="):
-                    nxt.append(f"{prefix}{name}/")
-        level = nxt
-    return {p.rstrip("/") for p in level}
+    ``rows_move=True``: a row may come back with other partition values; the key
+    and partition columns of the target are scanned to find where matched keys
+    live now, and such a row leaves its old partition. ``rows_move=False``: the
+    partition values belong to the key (a transaction keeps its event time), so
+    only the source's own partitions are read and rewritten.
 
-
-def _part_dir(col: str, value) -> str:
-    return f"{col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+    The merged partitions are written once, with dynamic partition overwrite:
+    its job commit swaps the new files in after every task has read the old
+    ones. Rows with a NULL key are appended to ``quarantine`` if given.
+    """
+    source = source.persist(StorageLevel.MEMORY_AND_DISK)  # read by the checks, the partition list and the merge
+    try:
+        if merge_kwargs.get("null_keys", "reject") == "reject":
+            _quarantine(null_key_rows(source, keys), quarantine, keys)
+            keyed = source.filter(~_any_null(keys))
+        else:
+            keyed = source
+        check_source(keyed, keys)
+        parts = [tuple(r) for r in keyed.select(*partition_cols).distinct().collect()]  # one row a touched partition
+        if not parts:  # nothing to merge
+            return []
+        if not path_exists(spark, path):  # first write
+            keyed.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+            return parts
+        # declared schema: partition types come from the source, not from
+        # directory names (an all-NULL partition would infer as VOID)
+        target = spark.read.schema(source.schema).parquet(path)
+        if rows_move:
+            moved = target.select(*keys, *partition_cols).join(keyed.select(*keys), keys, "left_semi")
+            old = [tuple(r) for r in moved.select(*partition_cols).distinct().collect()]
+            parts = list(dict.fromkeys(parts + old))
+        else:
+            keys = keys + partition_cols
+        merged = merge_frames(_touched(target, parts, partition_cols).select(*source.columns), keyed, keys, null_safe=partition_cols, **merge_kwargs)
+        if rows_move:
+            merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
+        (
+            merged.select(*target.columns)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_cols)
+            .parquet(path)
+        )
+        if rows_move:
+            # partitions that the merge emptied get no file from the overwrite: drop them
+            left = {tuple(r) for r in merged.select(*partition_cols).distinct().collect()}
+            for part in parts:
+                if part not in left:
+                    _delete_dir(spark, f"{path.rstrip('/')}/" + "/".join(_part_dir(spark, c, v) for c, v in zip(partition_cols, part)))
+            merged.unpersist()
+        return parts
+    finally:
+        source.unpersist()
+
+
+def _touched(target: DataFrame, parts: list[tuple], partition_cols: list[str]) -> DataFrame:
+    """The target's rows in ``parts``: a static IN per partition column, which prunes at file
+    listing, and a semi join with the (few) exact combinations."""
+    for i, c in enumerate(partition_cols):
+        values = {p[i] for p in parts}
+        known = [v for v in values if v is not None]
+        keep = F.col(c).isin(known) if known else F.lit(False)
+        target = target.filter(keep | F.col(c).isNull() if None in values else keep)
+    schema = target.select(*partition_cols).schema
+    wanted = target.sparkSession.createDataFrame(parts, schema).toDF(*[f"_p{i}" for i in range(len(partition_cols))])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(partition_cols)])
+    return target.join(wanted, same, "left_semi")
+
+
+def _part_dir(spark: SparkSession, col: str, value) -> str:
+    """Folder name of a partition value, escaped as Spark's writers do."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return utils.getPartitionPathString(col, None if value is None else str(value))
 
 
 def _delete_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder through the Hadoop FileSystem of the path (works for
     local, HDFS and object-store paths alike)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -16,6 +16,13 @@ from .. import constants as K
 from ..functions import columns as C
 
 KEY_COLUMNS = ["transaction_id", "customer_id", "amount_usd", "transaction_ts", "merchant_category"]
+#: Silver columns that ``dq_metrics`` and the Gold row count read.
+METRIC_COLUMNS = [*KEY_COLUMNS, "dq_passed", "txn_year", "txn_month", "txn_day", "card_type"]
+
+
+def gold_groups(silver: DataFrame) -> DataFrame:
+    """The groups of the daily summary, for its row count."""
+    return silver.filter("dq_passed").select("txn_year", "txn_month", "txn_day", "merchant_category", "card_type").distinct()
 
 
 def null_rates(df: DataFrame, columns: list[str] = KEY_COLUMNS) -> DataFrame:

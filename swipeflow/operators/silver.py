@@ -92,10 +92,9 @@ def add_derived_features(df: DataFrame, as_of: str | None = None) -> DataFrame:
     )
 
 
-def silver_transactions(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
-    return bronze.transform(cleanse_transactions).transform(deduplicate).transform(
-        lambda d: add_derived_features(d, as_of)
-    )
+def silver_transactions(bronze: DataFrame, as_of: str | None = None, keep_null_keys: bool = False) -> DataFrame:
+    clean = cleanse_transactions(bronze)
+    return add_derived_features(deduplicate(clean, keep_null_keys=keep_null_keys), as_of)
 
 
 def cleanse_customers(df: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -9,7 +9,6 @@ aggregates, windows, CASE ladders), not by translating the Spark plans.
 from __future__ import annotations
 
 from .. import constants as K
-from ..functions.columns import rquot_sql
 
 
 def _list(values) -> str:
@@ -17,11 +16,16 @@ def _list(values) -> str:
 
 
 def rq(num: str, den: str, mult: int, scale: int) -> str:
-    return rquot_sql(num, den, mult, scale, "duckdb")
+    """sign(num) * round half up(|num| * mult / den) / scale in 128-bit integers; NULL for a NULL or zero den."""
+    n, d = f"CAST(({num}) AS HUGEINT)", f"CAST(({den}) AS HUGEINT)"
+    return (
+        f"CASE WHEN {d} IS NULL OR {d} = 0 OR {n} IS NULL THEN NULL "
+        f"ELSE CAST(sign({n}) * ((abs({n}) * {2 * mult} + {d}) // ({d} * 2)) AS DOUBLE) / {scale} END"
+    )
 
 
 def cents(x: str) -> str:
-    return f"CAST(({x}) * 100 AS BIGINT)"
+    return f"CAST(({x}) * 100 AS HUGEINT)"
 
 
 def mean_money(s: str, n: str) -> str:
@@ -77,13 +81,14 @@ raw_base AS (
            NOT (e.event_type = 'error' AND e.event_id % 10 = 3) AS card_present,
            CASE WHEN e.event_id % 25 = 0 THEN '05' ELSE ' 00 ' END AS response_code,
            e.event_id AS kafka_offset,
-           CAST(e.user_id % 4 AS INTEGER) AS kafka_partition
+           CAST(e.user_id % 4 AS INTEGER) AS kafka_partition,
+           FALSE AS replayed
     FROM events e LEFT JOIN raw_customer k ON e.user_id = k._key
 ),
 bronze AS (
     SELECT * FROM raw_base
     UNION ALL
-    SELECT * REPLACE (kafka_offset + {K.REPLAY_OFFSET_SHIFT} AS kafka_offset)
+    SELECT * REPLACE (kafka_offset + {K.REPLAY_OFFSET_SHIFT} AS kafka_offset, TRUE AS replayed)
     FROM raw_base WHERE kafka_offset % 50 = 7
 ),
 cleansed AS (
@@ -97,7 +102,7 @@ cleansed AS (
            {TS} AS transaction_ts,
            card_present,
            trim(response_code) AS response_code,
-           kafka_offset, kafka_partition,
+           kafka_offset, kafka_partition, replayed,
            CASE WHEN transaction_id IS NULL OR customer_id IS NULL
                      OR NOT coalesce(amount_usd > 0, FALSE) OR {TS} IS NULL
                 THEN FALSE ELSE TRUE END AS dq_passed
@@ -437,14 +442,13 @@ FROM agg
 
 # --- upserts --------------------------------------------------------------------
 
-SHIFT = K.REPLAY_OFFSET_SHIFT
 MERGE_COLS = ["transaction_id", "customer_id", "amount_usd", "transaction_ts", "kafka_offset", "dq_passed",
               "merchant_category"]
 FIRST = f"""
 , tgt AS (
     SELECT {', '.join(MERGE_COLS)}, TRUE AS _p FROM (
         SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY kafka_offset DESC NULLS LAST) AS _rn
-        FROM cleansed WHERE kafka_offset < {SHIFT}) WHERE _rn = 1
+        FROM cleansed WHERE NOT replayed) WHERE _rn = 1
 )"""
 
 
@@ -507,7 +511,7 @@ DAILY_KEYS = ["txn_date", "merchant_category", "card_type"]
 
 SQL["merge_daily"] = q(
     f"""
-, first_staging AS (SELECT * FROM staging WHERE kafka_offset < {SHIFT})
+, first_staging AS (SELECT * FROM staging WHERE NOT replayed)
 , tgt AS (SELECT *, TRUE AS _p FROM ({daily_sql_from('first_staging')}))
 , src AS (SELECT *, TRUE AS _p FROM ({daily_sql_from('staging')}))
 SELECT {', '.join(f'CASE WHEN t._p IS NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in DAILY_KEYS + ['txn_year', 'txn_month'])},
@@ -553,7 +557,7 @@ C360_COLS = ["full_name", "home_state", "credit_score", "credit_limit_usd", "car
 
 SQL["merge_customer_360"] = q(
     f"""
-, first_staging AS (SELECT * FROM staging WHERE kafka_offset < {SHIFT})
+, first_staging AS (SELECT * FROM staging WHERE NOT replayed)
 , tgt AS (SELECT *, TRUE AS _p FROM ({c360_sql_from('first_staging')}))
 , src AS (SELECT *, TRUE AS _p FROM ({c360_sql_from('staging')}))
 SELECT CASE WHEN t._p IS NULL THEN s.customer_id ELSE t.customer_id END AS customer_id,

@@ -27,6 +27,7 @@ def layout(out_dir: str) -> dict[str, str]:
         "bronze_cust": f"{base}/bronze/customers",
         "silver_txn": f"{base}/silver/transactions_enriched",
         "silver_cust": f"{base}/silver/customers",
+        "silver_quarantine": f"{base}/silver/quarantine",
         "daily": f"{base}/gold/daily_txn_summary",
         "customer_360": f"{base}/gold/customer_360",
         "alerts": f"{base}/gold/fraud_alerts_hourly",
@@ -50,15 +51,18 @@ def ingest_bronze(spark: SparkSession, sf_dir: str, paths: dict, as_of: str) ->
 
 def point_in_time(spark: SparkSession, bronze_path: str, as_of_ts: str) -> DataFrame:
     """Bronze as it was at ``as_of_ts`` (append-only, so a filter on the
-    ingest stamp is a consistent snapshot; partition pruning applies)."""
+    ingest stamp is a consistent snapshot; the stamp's day also prunes the
+    ingest-day partitions)."""
     cut = F.to_timestamp(F.lit(as_of_ts))
-    return spark.read.parquet(bronze_path).filter(F.col("bronze_ingested_at") <= cut)
+    day = F.make_date(*[F.col(c) for c in BRONZE_PARTS])
+    return spark.read.parquet(bronze_path).filter((F.col("bronze_ingested_at") <= cut) & (day <= F.to_date(cut)))
 
 
 def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str | None = None) -> dict:
     """Silver: cleanse, dedup, features, enrich; MERGE where the newer offset
-    wins (rows with NULL keys are triaged). Transactions: partition-pruned
-    MERGE into the year/month-partitioned table; customers: versioned."""
+    wins; rows with a NULL key go to the quarantine table. Transactions: MERGE
+    into the year/month-partitioned table, touching the source's partitions only
+    (an id keeps its event time); customers: versioned."""
     b_txn = (
         point_in_time(spark, paths["bronze_txn"], bronze_as_of)
         if bronze_as_of
@@ -66,12 +70,11 @@ def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str
     )
     b_cust = spark.read.parquet(paths["bronze_cust"])
     cust = silver.cleanse_customers(b_cust.drop(*BRONZE_PARTS, "bronze_source"), as_of)
-    txn = silver.silver_transactions(b_txn.drop(*BRONZE_PARTS), as_of)
+    # rows without an id bypass dedup, so each of them reaches the quarantine
+    txn = silver.silver_transactions(b_txn.drop(*BRONZE_PARTS), as_of, keep_null_keys=True)
     enriched = silver.enrich_transactions(txn, cust)
     from concurrent.futures import ThreadPoolExecutor
 
-    from ..session import scratch_dir
-
     # the two tables are independent writes: submit them as concurrent Spark
     # jobs so their fixed costs overlap (the scheduler shares the cores)
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -82,7 +85,8 @@ def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str
             paths["silver_txn"],
             ["transaction_id"],
             SILVER_PARTS,
-            scratch_dir(spark, "silver-stage"),
+            quarantine=paths["silver_quarantine"],
+            rows_move=False,
             newer_wins="kafka_offset",
         )
         cust_job = pool.submit(merge.upsert_path, spark, cust, paths["silver_cust"], ["customer_id"])

@@ -132,7 +132,7 @@ def q_enrich(spark, d):
 
 @register("silver_quality_report")
 def q_silver_quality(spark, d):
-    return silver.silver_quality_report(enriched(spark, d))
+    return silver.silver_quality_report(silver_txn(spark, d))
 
 
 @register("wrangle_variant")
@@ -159,7 +159,7 @@ def q_wrangle(spark, d):
 
 @register("daily_txn_summary")
 def q_daily(spark, d):
-    return gold.daily_txn_summary(enriched(spark, d))
+    return gold.daily_txn_summary(silver_txn(spark, d))
 
 
 @register("customer_360")
@@ -169,37 +169,37 @@ def q_customer_360(spark, d):
 
 @register("fraud_alerts_hourly")
 def q_alerts(spark, d):
-    return gold.fraud_alerts_hourly(enriched(spark, d))
+    return gold.fraud_alerts_hourly(silver_txn(spark, d))
 
 
 @register("state_performance")
 def q_state(spark, d):
-    return gold.state_performance(enriched(spark, d))
+    return gold.state_performance(silver_txn(spark, d))
 
 
 @register("executive_kpi")
 def q_kpi(spark, d):
-    return gold.executive_kpi(gold.daily_txn_summary(enriched(spark, d)))
+    return gold.executive_kpi(gold.daily_txn_summary(silver_txn(spark, d)))
 
 
 @register("card_type_analysis")
 def q_card_type(spark, d):
-    return gold.card_type_analysis(enriched(spark, d))
+    return gold.card_type_analysis(silver_txn(spark, d))
 
 
 @register("hourly_summary")
 def q_hourly(spark, d):
-    return gold.hourly_summary(enriched(spark, d))
+    return gold.hourly_summary(silver_txn(spark, d))
 
 
 @register("merchant_daily")
 def q_merchant_daily(spark, d):
-    return gold.merchant_daily(enriched(spark, d))
+    return gold.merchant_daily(silver_txn(spark, d))
 
 
 @register("customer_risk")
 def q_customer_risk(spark, d):
-    return gold.customer_risk(enriched(spark, d), AS_OF)
+    return gold.customer_risk(silver_txn(spark, d), AS_OF)
 
 
 @register("geo_daily")
@@ -209,7 +209,7 @@ def q_geo(spark, d):
 
 @register("card_performance")
 def q_card_perf(spark, d):
-    return gold.card_performance(enriched(spark, d))
+    return gold.card_performance(silver_txn(spark, d))
 
 
 @register("daily_summary_sql")
@@ -236,7 +236,7 @@ _MERGE_COLS = ["transaction_id", "customer_id", "amount_usd", "transaction_ts",
 
 def first_delivery(spark, d):
     """Silver as of the first delivery (replayed copies not yet arrived)."""
-    b = bronze(spark, d).filter(F.col("kafka_offset") < K.REPLAY_OFFSET_SHIFT)
+    b = bronze(spark, d).filter(~F.col("replayed"))
     return silver.silver_transactions(b, AS_OF)
 
 
@@ -264,7 +264,7 @@ _DAILY_KEYS = ["txn_date", "merchant_category", "card_type"]
 
 @register("merge_daily")
 def q_merge_daily(spark, d):
-    first = staging(spark, d).filter(F.col("kafka_offset") < K.REPLAY_OFFSET_SHIFT)
+    first = staging(spark, d).filter(~F.col("replayed"))
     tgt = gold.daily_summary_sql(first)
     src = gold.daily_summary_sql(staging(spark, d))
     measures = [c for c in tgt.columns if c not in _DAILY_KEYS + ["txn_year", "txn_month"]]
@@ -273,7 +273,7 @@ def q_merge_daily(spark, d):
 
 @register("merge_customer_360")
 def q_merge_c360(spark, d):
-    first = staging(spark, d).filter(F.col("kafka_offset") < K.REPLAY_OFFSET_SHIFT)
+    first = staging(spark, d).filter(~F.col("replayed"))
     cust = tables.raw_customers(spark, d)
     tgt = gold.customer_360_sql(first, cust, AS_OF)
     src = gold.customer_360_sql(staging(spark, d), cust, AS_OF)
@@ -298,24 +298,25 @@ def q_staging_checks(spark, d):
 def q_dq_metrics(spark, d):
     from ..session import materialize
 
-    e = materialize(enriched(spark, d))  # Silver is read by four sub-results
-    return quality.dq_metrics(bronze(spark, d), e, gold.daily_txn_summary(e))
+    # Silver is read by four sub-results; only their columns are kept
+    s = materialize(silver_txn(spark, d).select(*quality.METRIC_COLUMNS))
+    return quality.dq_metrics(bronze(spark, d), s, quality.gold_groups(s))
 
 
 @register("layer_counts")
 def q_layer_counts(spark, d):
-    e = enriched(spark, d)
-    return quality.layer_counts(bronze(spark, d), e, gold.daily_txn_summary(e))
+    s = silver_txn(spark, d)
+    return quality.layer_counts(bronze(spark, d), s, gold.daily_txn_summary(s))
 
 
 @register("null_rates")
 def q_null_rates(spark, d):
-    return quality.null_rates(enriched(spark, d))
+    return quality.null_rates(silver_txn(spark, d))
 
 
 @register("null_analysis")
 def q_null_analysis(spark, d):
-    return quality.null_analysis(enriched(spark, d), "customer_id")
+    return quality.null_analysis(silver_txn(spark, d), "customer_id")
 
 
 @register("duplicates_both_ways")
@@ -332,16 +333,16 @@ def q_outliers(spark, d):
 
 @register("top_categories")
 def q_top_categories(spark, d):
-    return quality.top_categories(enriched(spark, d))
+    return quality.top_categories(silver_txn(spark, d))
 
 
 def _freshness(spark, d):
-    e = enriched(spark, d)
+    s = silver_txn(spark, d)
     return quality.freshness(
         {
             "bronze": (staging(spark, d), "transaction_ts"),
-            "silver": (e, "transaction_ts"),
-            "gold": (gold.daily_txn_summary(e), "txn_date"),
+            "silver": (s, "transaction_ts"),
+            "gold": (gold.daily_txn_summary(s), "txn_date"),
         },
         AS_OF,
     )
@@ -365,8 +366,8 @@ def q_alert_rules(spark, d):
 
 @register("health_summary")
 def q_health(spark, d):
-    e = enriched(spark, d)
-    layers = quality.layer_counts(bronze(spark, d), e, gold.daily_txn_summary(e))
+    s = silver_txn(spark, d)
+    layers = quality.layer_counts(bronze(spark, d), s, gold.daily_txn_summary(s))
     checks = quality.run_checks(staging(spark, d), AS_OF)
     return quality.health_summary(layers, checks, quality.alert_rules(_freshness(spark, d), checks))
 
@@ -416,12 +417,12 @@ def q_yoy(spark, d):
 
 
 def _gold_frames(spark, d):
-    e = enriched(spark, d)
+    s, e = silver_txn(spark, d), enriched(spark, d)
     return (
-        gold.daily_txn_summary(e),
-        gold.fraud_alerts_hourly(e),
+        gold.daily_txn_summary(s),
+        gold.fraud_alerts_hourly(s),
         gold.customer_360(e, customers(spark, d)),
-        retrieval.fixed_scores(e),
+        retrieval.fixed_scores(s),
     )
 
 
@@ -446,7 +447,7 @@ def q_context(spark, d):
 
 
 def _documents(spark, d, n):
-    return retrieval.alert_documents(gold.fraud_alerts_hourly(enriched(spark, d)), n)
+    return retrieval.alert_documents(gold.fraud_alerts_hourly(silver_txn(spark, d)), n)
 
 
 def _corpus(spark, d):
@@ -485,17 +486,17 @@ def q_rag(spark, d):
 
 @register("score_bands")
 def q_score_bands(spark, d):
-    return retrieval.score_band_counts(retrieval.fixed_scores(enriched(spark, d)))
+    return retrieval.score_band_counts(retrieval.fixed_scores(silver_txn(spark, d)))
 
 
 @register("very_high_summary")
 def q_very_high(spark, d):
-    return retrieval.very_high_summary(retrieval.fixed_scores(enriched(spark, d)))
+    return retrieval.very_high_summary(retrieval.fixed_scores(silver_txn(spark, d)))
 
 
 @register("confusion_metrics")
 def q_confusion(spark, d):
-    return ml.confusion_metrics(retrieval.fixed_scores(enriched(spark, d)))
+    return ml.confusion_metrics(retrieval.fixed_scores(silver_txn(spark, d)))
 
 
 @register("feature_frame")
@@ -573,7 +574,7 @@ def q_mart(spark, d):
 def q_audit(spark, d):
     b = bronze(spark, d)
     conf = sinks.conform(b, MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS)
-    e = enriched(spark, d)
+    e = silver_txn(spark, d)
     layers = {
         "bronze": (b, conf.filter(F.col("_reject_reason").isNotNull())),
         "silver": (e, e.filter(~F.col("dq_passed"))),
@@ -633,8 +634,7 @@ def q_collection_upsert(spark, d):
 @register("pipeline_health_json")
 def q_health_json(spark, d):
     """M1 + C3: the metrics record rendered as one JSON text."""
-    e = enriched(spark, d)
-    m = quality.dq_metrics(bronze(spark, d), e, gold.daily_txn_summary(e))
+    m = q_dq_metrics(spark, d)
     return m.select(F.to_json(F.struct(*m.columns)).alias("pipeline_health"))
 
 

@@ -3,7 +3,7 @@ derived from them (a plain projection both Spark and DuckDB can express).
 
 ``raw_transactions`` plays the Bronze transaction table: one row per card
 event, plus a replayed copy of every fiftieth event at a higher offset
-(at-least-once delivery). ``raw_customers`` plays the Bronze profile table.
+(at-least-once delivery), marked by ``replayed``. ``raw_customers`` plays the Bronze profile table.
 """
 
 from __future__ import annotations
@@ -101,7 +101,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                NOT (e.event_type = 'error' AND e.event_id % 10 = 3) AS card_present,
                CASE WHEN e.event_id % 25 = 0 THEN '05' ELSE ' 00 ' END AS response_code,
                e.event_id + shift AS kafka_offset,
-               CAST(e.user_id % 4 AS INT) AS kafka_partition
+               CAST(e.user_id % 4 AS INT) AS kafka_partition,
+               shift > 0 AS replayed
         FROM {{events}} e
         LEFT JOIN {{customer}} c ON e.user_id = c.c_custkey
         LATERAL VIEW explode(CASE WHEN e.event_id % 50 = 7 THEN array(0, {K.REPLAY_OFFSET_SHIFT})

@@ -104,17 +104,20 @@ def start_bronze(parsed: DataFrame, sink: str, checkpoint: str, trigger: dict |
 SILVER_STREAM_PARTS = ["txn_year", "txn_month", "txn_day"]
 
 
-def silver_batch_writer(silver_path: str, customers: DataFrame | None = None, as_of: str | None = None):
+def silver_batch_writer(
+    silver_path: str, customers: DataFrame | None = None, as_of: str | None = None, quarantine: str | None = None
+):
     """``foreachBatch`` body: cleanse, dedup inside the batch, features,
-    then MERGE by ``transaction_id`` where the newer offset wins (B7). The
-    table is partitioned by day, so a micro-batch rewrites only the days it
-    touches. (Very large per-day volumes want a table format with file-level
+    then MERGE by ``transaction_id`` where the newer offset wins (B7). Rows
+    without an id are appended to ``quarantine`` (default: a folder beside the
+    table). The table is partitioned by day, so a micro-batch reads and rewrites
+    only its own days. (Very large per-day volumes want a table format with file-level
     rewrites; there, stream Bronze only and run the batch Silver MERGE.)"""
-    from ..session import scratch_dir
+    quarantine = quarantine or f"{silver_path.rstrip('/')}_quarantine"
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        s = silver.silver_transactions(batch.drop("_corrupt_record"), as_of)
+        s = silver.silver_transactions(batch.drop("_corrupt_record"), as_of, keep_null_keys=True)
         if customers is not None:
             s = silver.enrich_transactions(s, customers)
         merge.upsert_partitioned(
@@ -123,7 +126,8 @@ def silver_batch_writer(silver_path: str, customers: DataFrame | None = None, as
             silver_path,
             ["transaction_id"],
             SILVER_STREAM_PARTS,
-            scratch_dir(spark, f"silver-batch-{epoch_id}"),
+            quarantine=quarantine,
+            rows_move=False,
             newer_wins="kafka_offset",
         )
 

@@ -1,5 +1,8 @@
 """MERGE semantics: insert, update, conditional update, NULL keys, replay."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from swipeflow.operators import merge
@@ -69,10 +72,10 @@ def test_upsert_partitioned_touches_only_affected(spark, tmp_dir):
     schema = "id string, v int, off long, p int"
     path = f"{tmp_dir}/ptbl"
     first = spark.createDataFrame([("a", 1, 1, 1), ("b", 2, 2, 2), ("c", 3, 3, 3)], schema)
-    merge.upsert_partitioned(spark, first, path, ["id"], ["p"], f"{tmp_dir}/stage1")
+    merge.upsert_partitioned(spark, first, path, ["id"], ["p"])
     # 'b' moves from partition 2 to 3; 'd' is new in 4; partition 1 untouched
     src = spark.createDataFrame([("b", 20, 5, 3), ("d", 40, 6, 4)], schema)
-    parts = merge.upsert_partitioned(spark, src, path, ["id"], ["p"], f"{tmp_dir}/stage2")
+    parts = merge.upsert_partitioned(spark, src, path, ["id"], ["p"])
     assert sorted(parts) == [(2,), (3,), (4,)]
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "off", "p").collect())
     assert got == [("a", 1, 1, 1), ("b", 20, 5, 3), ("c", 3, 3, 3), ("d", 40, 6, 4)]
@@ -81,14 +84,12 @@ def test_upsert_partitioned_touches_only_affected(spark, tmp_dir):
 def test_upsert_partitioned_null_partition_kept(spark, tmp_dir):
     schema = "id string, v int, off long, p int"
     path = f"{tmp_dir}/ntbl"
-    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, None)], schema), path, ["id"], ["p"],
-                             f"{tmp_dir}/s1")
-    merge.upsert_partitioned(spark, spark.createDataFrame([("b", 2, 2, None)], schema), path, ["id"], ["p"],
-                             f"{tmp_dir}/s2")
+    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, None)], schema), path, ["id"], ["p"])
+    merge.upsert_partitioned(spark, spark.createDataFrame([("b", 2, 2, None)], schema), path, ["id"], ["p"])
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == ["a", "b"]
 
 
-def test_union_path_equals_join_path(spark):
+def test_newer_wins_equals_the_condition(spark):
     tgt = spark.createDataFrame([("a", 1, 5), ("b", 2, 5), ("c", 3, None), ("e", 5, 5), (None, 9, 1)], SCHEMA)
     src = spark.createDataFrame([("a", 10, 4), ("b", 20, 6), ("c", 30, 7), ("d", 40, 1), ("e", 50, 5),
                                  ("f", 60, None)], SCHEMA)
@@ -103,8 +104,58 @@ def test_union_path_equals_join_path(spark):
 def test_upsert_partitioned_empty_source_is_noop(spark, tmp_dir):
     schema = "id string, v int, off long, p int"
     path = f"{tmp_dir}/etbl"
-    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, 1)], schema), path, ["id"], ["p"],
-                             f"{tmp_dir}/s1")
+    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, 1)], schema), path, ["id"], ["p"])
     only_null_keys = spark.createDataFrame([(None, 2, 2, 1)], schema)
-    assert merge.upsert_partitioned(spark, only_null_keys, path, ["id"], ["p"], f"{tmp_dir}/s2") == []
+    assert merge.upsert_partitioned(spark, only_null_keys, path, ["id"], ["p"]) == []
     assert [r.id for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_target_rows_of_one_key_are_all_kept(spark):
+    tgt = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 3, 3)], SCHEMA)
+    src = spark.createDataFrame([("b", 30, 9)], SCHEMA)
+    assert rows(merge.merge_frames(tgt, src, ["id"])) == [("a", 1, 1), ("a", 2, 2), ("b", 30, 9)]
+    assert rows(merge.merge_frames(tgt, src, ["id"], newer_wins="off")) == [("a", 1, 1), ("a", 2, 2), ("b", 30, 9)]
+
+
+def test_writers_refuse_a_repeated_source_key(spark, tmp_dir):
+    src = spark.createDataFrame([("a", 1, 1, 1), ("a", 2, 2, 1)], SCHEMA + ", p int")
+    for write in (lambda: merge.upsert_path(spark, src, f"{tmp_dir}/v", ["id"]), lambda: merge.upsert_partitioned(spark, src, f"{tmp_dir}/p", ["id"], ["p"])):
+        with pytest.raises(merge.AmbiguousSource, match="'a'"):
+            write()
+
+
+def test_rows_without_a_key_reach_the_quarantine(spark, tmp_dir):
+    schema = SCHEMA + ", p int"
+    for i in (1, 2):
+        src = spark.createDataFrame([("a", i, i, 1), (None, i, i, 1), (None, i, i, 1)], schema)
+        merge.upsert_partitioned(spark, src, f"{tmp_dir}/t", ["id"], ["p"], quarantine=f"{tmp_dir}/q", newer_wins="off")
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 1
+    kept = spark.read.parquet(f"{tmp_dir}/q")
+    assert kept.count() == 4 and {r.quarantine_reason for r in kept.collect()} == {"NULL key: id"}
+
+
+def test_text_partitions_are_dropped_when_emptied(spark, tmp_dir):
+    schema = SCHEMA + ", p string"
+    path = f"{tmp_dir}/t"
+    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, "x:1/2 3"), ("b", 1, 1, "y")], schema), path, ["id"], ["p"])
+    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 2, 2, "y")], schema), path, ["id"], ["p"])
+    got = sorted((r.id, r.v, r.p) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [("a", 2, "y"), ("b", 1, "y")]
+
+
+def test_partition_in_the_key_touches_source_partitions_only(spark, tmp_dir):
+    schema = SCHEMA + ", p int"
+    path = f"{tmp_dir}/t"
+    first = spark.createDataFrame([("a", 1, 1, 1), ("b", 2, 2, 2), ("n", 0, 0, None)], schema)
+    merge.upsert_partitioned(spark, first, path, ["id"], ["p"], rows_move=False)
+    src = spark.createDataFrame([("b", 20, 1, 2), ("n", 9, 9, None)], schema)
+    parts = merge.upsert_partitioned(spark, src, path, ["id"], ["p"], rows_move=False, newer_wins="off")
+    assert sorted(parts, key=repr) == [(2,), (None,)]
+    got = sorted(((r.id, r.v, r.p) for r in spark.read.schema(schema).parquet(path).collect()), key=repr)
+    assert got == [("a", 1, 1), ("b", 2, 2), ("n", 9, None)]
+
+
+def test_old_versions_are_cleaned_up(spark, tmp_dir):
+    for i in range(4):
+        merge.upsert_path(spark, spark.createDataFrame([("a", i, i)], SCHEMA), f"{tmp_dir}/t", ["id"])
+    assert sorted(os.listdir(f"{tmp_dir}/t")) == ["v000003", "v000004"]
