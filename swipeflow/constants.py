@@ -109,16 +109,16 @@ FIXTURE_CREDIT_LIMITS = [5000, 10000, 15000, 25000, 50000]
 REPLAY_OFFSET_SHIFT = 100_000_000
 AS_OF = "2024-02-01 00:00:00"
 
-# --- fixed values: example analyst questions (search and RAG demos) ---------
+# --- example analyst questions (search and context demos) -------------------
 SEARCH_QUESTIONS = [
-    "late night cross-state travel fraud",
-    "high value online retail transactions flagged in Texas",
-    "ATM withdrawal anomalies critical severity",
+    "hotel and flight charges far from home in the small hours",
+    "large web shop payments in TX",
+    "severe cash machine fraud",
 ]
 RAG_QUESTIONS = [
-    "Which merchant category had the highest fraud amount last month?",
-    "Are there any patterns in states where critical fraud alerts occur?",
-    "What time of day sees the most severe fraud activity?",
+    "Where did restaurant fraud cost the most?",
+    "Which alerts in NY and CA concern gas stations?",
+    "At which hours do utilities see fraud?",
 ]
 
 # --- issue phrases used when failed checks are reported as issue texts -----

@@ -6,6 +6,8 @@ Each helper returns a ``Column``; jobs compose them inside ``select`` /
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -167,3 +169,17 @@ def money_text(c) -> Column:
     """``$1,234.50`` style text."""
     c = col(c)
     return F.when(c.isNotNull(), F.concat(F.lit("$"), F.format_string("%,.2f", c.cast("double"))))
+
+
+def md5_long(*cols: str) -> Column:
+    """A 60-bit number from the md5 of the columns' text (joined by ``|``); NULL if any is NULL.
+    The same number in any engine that has md5."""
+    text = F.concat_ws("|", *[col(c).cast("string") for c in cols])
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+    some_null = reduce(lambda a, b: a | b, [col(c).isNull() for c in cols])
+    return F.when(~some_null, number)
+
+
+def landing_day(c) -> Column:
+    """Zero-padded ``yyyy/MM/dd`` landing folder of a date or timestamp."""
+    return F.date_format(col(c), "yyyy/MM/dd")

@@ -251,7 +251,7 @@ def upsert_partitioned(
             parts = list(dict.fromkeys(parts + old))
         else:
             keys = keys + partition_cols
-        merged = merge_frames(_touched(target, parts, partition_cols).select(*source.columns), keyed, keys, null_safe=partition_cols, **merge_kwargs)
+        merged = merge_frames(touched_rows(target, parts, partition_cols).select(*source.columns), keyed, keys, null_safe=partition_cols, **merge_kwargs)
         if rows_move:
             merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
         (
@@ -273,7 +273,7 @@ def upsert_partitioned(
         source.unpersist()
 
 
-def _touched(target: DataFrame, parts: list[tuple], partition_cols: list[str]) -> DataFrame:
+def touched_rows(target: DataFrame, parts: list[tuple], partition_cols: list[str]) -> DataFrame:
     """The target's rows in ``parts``: a static IN per partition column, which prunes at file
     listing, and a semi join with the (few) exact combinations."""
     for i, c in enumerate(partition_cols):
@@ -287,6 +287,17 @@ def _touched(target: DataFrame, parts: list[tuple], partition_cols: list[str]) -
     return target.join(wanted, same, "left_semi")
 
 
+def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], parts: list[tuple]) -> None:
+    """Make ``df`` the whole content of the partitions ``parts`` (all its rows lie in them)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+    filled = {tuple(r) for r in df.select(*partition_cols).distinct().collect()}  # at most len(parts)
+    for part in parts:
+        if part not in filled:
+            _delete_dir(spark, f"{path.rstrip('/')}/" + "/".join(_part_dir(spark, c, v) for c, v in zip(partition_cols, part)))
+    df.unpersist()
+
+
 def _part_dir(spark: SparkSession, col: str, value) -> str:
     """Folder name of a partition value, escaped as Spark's writers do."""
     utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils

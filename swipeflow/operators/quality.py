@@ -190,24 +190,23 @@ def null_analysis(df: DataFrame, column: str, sample: int = 3) -> DataFrame:
     )
 
 
-def freshness(layers: dict[str, tuple[DataFrame, str]], as_of: str) -> DataFrame:
-    """Latest stamp and lag in minutes per layer (1 decimal).
+def freshness(layers: dict[str, tuple[DataFrame, str] | None], as_of: str) -> DataFrame:
+    """Latest stamp, lag in minutes (1 decimal) and status per layer.
 
-    ``layers`` maps a layer name to (frame, timestamp column). Each frame is
-    one ``max`` aggregate; the rows are unioned.
+    ``layers`` maps a layer name to (frame, timestamp column), or to None when
+    the layer's table does not exist: it gets a row of its own, as does an empty layer,
+    both with a NULL lag. Each frame is one ``max`` aggregate.
     """
     now = C.as_of_ts(as_of)
-    rows = [
-        df.agg(F.max(F.col(ts_col).cast("timestamp")).alias("last_updated"))
-        .select(
-            F.lit(name).alias("layer"),
-            "last_updated",
-            (F.unix_micros(now) - F.unix_micros("last_updated")).alias("_lag_us"),
-        )
-        .select("layer", "last_updated", C.rquot("_lag_us", "60000000", 10, 10).alias("lag_minutes"))
-        for name, (df, ts_col) in layers.items()
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    rows = []
+    for name, layer in layers.items():
+        if layer is None:
+            rows.append(SparkSession.active().range(1).select(F.lit(name).alias("layer"), F.lit(None).cast("timestamp").alias("last_updated"), F.lit("MISSING").alias("_none")))
+        else:
+            df, stamp = layer
+            rows.append(df.agg(F.max(F.col(stamp).cast("timestamp")).alias("last_updated")).select(F.lit(name).alias("layer"), "last_updated", F.lit("EMPTY").alias("_none")))
+    lag = reduce(DataFrame.unionByName, rows).withColumn("_lag_us", F.unix_micros(now) - F.unix_micros("last_updated"))
+    return lag.select("layer", "last_updated", C.rquot("_lag_us", "60000000", 10, 10).alias("lag_minutes"), F.when(F.col("last_updated").isNull(), F.col("_none")).otherwise("OK").alias("status"))
 
 
 def run_checks(staging: DataFrame, as_of: str, check_date: str | None = None) -> DataFrame:
@@ -302,10 +301,10 @@ def root_cause_rules(spark: SparkSession) -> DataFrame:
 
 def explain_issues(issues: DataFrame, rules: DataFrame) -> DataFrame:
     """First rule whose key occurs in the lower-cased text, else
-    the fallback text. The rule table is fixed at 5 rows, so the substring
-    (theta) join broadcasts it; issues stream through."""
+    the fallback text. The rules are a handful of rows; Spark's own size
+    estimate decides how the substring (theta) join is run."""
     j = issues.join(
-        F.broadcast(rules), F.lower(F.col("issue_description")).contains(F.col("rule_key")), "left"
+        rules, F.lower(F.col("issue_description")).contains(F.col("rule_key")), "left"
     )
     best = j.groupBy("issue_id", "issue_description").agg(
         F.min_by(F.col("explanation"), F.col("priority")).alias("_expl"), F.min("priority").alias("matched_rule")
@@ -335,6 +334,11 @@ def issues_from_checks(checks: DataFrame) -> DataFrame:
     )
 
 
+def latest_model_row(auc: DataFrame, trained_at: str) -> DataFrame:
+    """A model-metrics row for the AUC floor rule from an ``auc`` frame."""
+    return auc.select(C.as_of_ts(trained_at).alias("trained_at"), F.col("auc").alias("test_auc"))
+
+
 def alert_rules(
     freshness_df: DataFrame,
     checks: DataFrame,
@@ -372,7 +376,8 @@ def alert_rules(
                 F.lit(0.0).alias("limit_value"),
             )
         )
-    firing = F.coalesce(F.col("observed"), F.lit(0.0)) > F.col("limit_value")
+    # a lag that cannot be measured (empty or missing layer) fires
+    firing = F.coalesce(F.col("observed") > F.col("limit_value"), F.lit(True))
     out = rows.select("*", firing.alias("firing"))
     if model_metrics is not None:
         latest = model_metrics.orderBy(F.desc("trained_at")).limit(1)

@@ -187,7 +187,7 @@ def _batch_topk(bc_queries, k: int):
             d, ids = d[ok] / norms[ok, None], pdf["doc_id"].to_numpy()[ok]
             if len(ids) == 0:
                 continue
-            sims = d @ q_unit.T  # rows: corpus, columns: queries
+            sims = np.round(d @ q_unit.T, 9)  # rows: corpus, columns: queries; equal vectors tie in any batch
             kk = min(k, len(ids))
             kth = np.partition(sims, len(ids) - kk, axis=0)[len(ids) - kk]
             rows, cols = np.nonzero(sims >= kth)
@@ -233,7 +233,8 @@ def vector_topk(
             continue
         q_ids = np.array([r[0] for r in rows])
         qm = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
-        q_unit = qm / np.linalg.norm(qm, axis=1, keepdims=True)
+        norms = np.linalg.norm(qm, axis=1, keepdims=True)
+        q_unit = qm / np.where(norms > 0, norms, 1.0)  # a zero query is equally far (0) from all
         bc = spark.sparkContext.broadcast((q_ids, q_unit))
         scored = c.mapInPandas(_batch_topk(bc, k), f"query_id {qid_type}, doc_id {id_type}, _sim double")
         w = Window.partitionBy("query_id").orderBy(F.desc("_sim"), "doc_id")

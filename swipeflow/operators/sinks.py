@@ -7,30 +7,43 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from ..functions import columns as C
 
 
-def read_landing(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, fmt: str, schema: StructType, aliases: dict[str, str] | None = None, keep_bad: bool = False, header: bool = True) -> DataFrame:
     """A2-A4: declared-schema read of Parquet / CSV / JSON landing files.
 
     CSV and JSON are read PERMISSIVE with the declared schema. For Parquet the
     files' own types are read and then ``try_cast`` to the declared ones
-    (Spark refuses to read, say, an int64 column as double)."""
+    (Spark refuses to read, say, an int64 column as double). ``aliases`` maps a
+    declared name to the name that a producer writes instead. With ``keep_bad``
+    a column ``_corrupt_record`` holds what did not decode: the whole line (CSV,
+    JSON), or ``column=text`` of the failed casts (Parquet).
+    """
+    aliases = aliases or {}
     if fmt == "parquet":
         df = spark.read.parquet(path)
-        cols = []
+        cols, bad = [], []
         for f in schema.fields:
-            if f.name in df.columns:
-                cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            given = f.name if f.name in df.columns else aliases.get(f.name)
+            if given in df.columns:
+                value = F.col(given).try_cast(f.dataType)
+                cols.append(value.alias(f.name))
+                bad.append(F.when(F.col(given).isNotNull() & value.isNull(), F.concat(F.lit(f"{f.name}="), F.col(given).cast("string"))))
             else:
                 cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        if keep_bad:
+            text = F.concat_ws("; ", *bad)
+            cols.append(F.when(text != "", text).alias("_corrupt_record"))
         return df.select(*cols)
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
-    if fmt == "csv":
-        return reader.option("header", True).csv(path)
-    return reader.json(path)
+    named = StructType([StructField(aliases.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])
+    if keep_bad:
+        named = named.add("_corrupt_record", "string")
+    reader = spark.read.schema(named).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    df = reader.option("header", header).csv(path) if fmt == "csv" else reader.json(path)
+    return df.withColumnsRenamed({v: k for k, v in aliases.items()})
 
 
 def landing_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -85,9 +98,9 @@ def clustered_write(df: DataFrame, path: str, keys: list[str], files: int | None
 
 
 def surrogate_key(*natural_key: str) -> F.Column:
-    """A stable 64-bit key from the natural key (same input, same id,
-    no global counter and no single-task ``row_number``)."""
-    return F.xxhash64(*[F.col(c) for c in natural_key])
+    """A stable key from the natural key (same input, same id in any
+    engine; no global counter and no single-task ``row_number``)."""
+    return C.md5_long(*natural_key)
 
 
 def conform(df: DataFrame, schema: StructType, defaults: dict | None = None) -> DataFrame:
@@ -114,29 +127,59 @@ def conform(df: DataFrame, schema: StructType, defaults: dict | None = None) ->
     return df.select(*cast_cols, F.coalesce(*reasons).alias("_reject_reason"))
 
 
-def audit_rows(layers: dict[str, tuple[DataFrame, DataFrame]], pipeline: str, as_of: str) -> DataFrame:
-    """One audit row per layer: rows processed, rows failed, pass rate,
-    status. ``layers`` maps a layer to (all rows, failed rows)."""
-    now = C.as_of_ts(as_of)
+def contract_counts(conformed: DataFrame, key: str) -> DataFrame:
+    """B18 as one row: rows, accepted, rejected, and accepted rows beyond the first of their key."""
+    ok = F.col("_reject_reason").isNull()
+    return conformed.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(ok).alias("accepted_rows"),
+        F.count_if(~ok).alias("rejected_rows"),
+        (F.count_if(ok) - F.countDistinct(F.when(ok, F.col(key)))).alias("duplicate_keys"),
+    )
+
+
+def audit_rows(layers: dict[str, tuple[DataFrame, DataFrame]], pipeline: str, started: str, ended: str | None = None) -> DataFrame:
+    """One audit row per layer of one run: id, start, end, rows processed
+    and failed, pass rate, status. ``layers`` maps a layer to (this run's rows,
+    its failed rows). The id comes from pipeline, layer and start, so it is
+    unique to the run and equal on a retry of it."""
     rows = []
-    for i, (layer, (all_rows, failed)) in enumerate(layers.items(), 1):
+    for layer, (all_rows, failed) in layers.items():
         n = all_rows.agg(F.count(F.lit(1)).alias("n")).scalar()
         bad = failed.agg(F.count(F.lit(1)).alias("n")).scalar()
-        rows.append(
-            all_rows.sparkSession.range(1).select(
-                F.lit(i).cast("long").alias("run_id"),
-                F.lit(pipeline).alias("pipeline_name"),
-                F.lit(layer).alias("layer"),
-                n.alias("rows_processed"),
-                bad.alias("rows_failed"),
-            )
-        )
+        rows.append(all_rows.sparkSession.range(1).select(F.lit(layer).alias("layer"), n.alias("rows_processed"), bad.alias("rows_failed")))
     df = reduce(DataFrame.unionByName, rows)
-    return df.select(
-        "*",
+    status = F.when(F.col("rows_failed") == 0, "SUCCESS").otherwise("PARTIAL")
+    return _audit_columns(df.withColumns({"status": status, "error_message": F.lit(None).cast("string")}), pipeline, started, ended or started)
+
+
+def audit_failure(spark: SparkSession, pipeline: str, layer: str, error: str, started: str, ended: str | None = None) -> DataFrame:
+    """The audit row of a layer whose run failed."""
+    row = spark.range(1).select(
+        F.lit(layer).alias("layer"),
+        F.lit(None).cast("long").alias("rows_processed"),
+        F.lit(None).cast("long").alias("rows_failed"),
+        F.lit("FAILED").alias("status"),
+        F.lit(error[:2000]).alias("error_message"),
+    )
+    return _audit_columns(row, pipeline, started, ended or started)
+
+
+def _audit_columns(rows: DataFrame, pipeline: str, started: str, ended: str) -> DataFrame:
+    start = C.as_of_ts(started)
+    named = rows.withColumns({"pipeline_name": F.lit(pipeline), "run_start_ts": start, "run_end_ts": C.as_of_ts(ended), "_start": F.lit(started)})
+    return named.select(
+        C.md5_long("pipeline_name", "layer", "_start").alias("run_id"),
+        "pipeline_name",
+        "layer",
+        "run_start_ts",
+        "run_end_ts",
+        "rows_processed",
+        "rows_failed",
         C.rate_pct("rows_processed - rows_failed", "rows_processed", 2).cast("decimal(6,2)").alias("dq_pass_rate_pct"),
-        F.when(F.col("rows_failed") == 0, "SUCCESS").otherwise("PARTIAL").alias("status"),
-        now.alias("run_end_ts"),
+        "status",
+        "error_message",
+        F.col("run_end_ts").alias("created_at"),
     )
 
 

@@ -706,10 +706,12 @@ FRESH = (
     SELECT 'bronze' AS layer, MAX(transaction_ts) AS last_updated FROM staging
     UNION ALL SELECT 'silver', MAX(transaction_ts) FROM enriched
     UNION ALL SELECT 'gold', CAST(MAX(txn_date) AS TIMESTAMP) FROM gold_daily
+    UNION ALL SELECT 'mart', CAST(NULL AS TIMESTAMP)
 )
 , fresh AS (
     SELECT layer, last_updated,
-           {rq(f"epoch_us({AS_OF_TS}) - epoch_us(last_updated)", '60000000', 10, 10)} AS lag_minutes
+           {rq(f"epoch_us({AS_OF_TS}) - epoch_us(last_updated)", '60000000', 10, 10)} AS lag_minutes,
+           CASE WHEN last_updated IS NOT NULL THEN 'OK' WHEN layer = 'mart' THEN 'MISSING' ELSE 'EMPTY' END AS status
     FROM fresh_raw
 )
 """
@@ -745,7 +747,61 @@ FROM m GROUP BY issue_id, issue_description
 """
 )
 
-ALERTS = f"""
+AUC = f"""
+, sc AS (SELECT (kafka_offset * 7919) % 1000 AS score, is_fraud AS y FROM silver WHERE dq_passed)
+, ranked AS (SELECT y, 2 * rank() OVER (ORDER BY score) + COUNT(*) OVER (PARTITION BY score) - 1 AS r2 FROM sc)
+, rank_sum AS (SELECT SUM(r2) FILTER (WHERE y) AS r2, count_if(y) AS p, count_if(NOT y) AS n FROM ranked)
+, auc AS (
+    SELECT CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives,
+           {rq('r2 - p * (p + 1)', '2 * p * n', 10**6, 10**6)} AS auc FROM rank_sum
+)
+"""
+SQL["auc"] = q(AUC + "SELECT * FROM auc")
+
+NEXT_RUN = "2024-02-02 00:00:00"
+
+
+def _run_id(layer: str, started: str) -> str:
+    return f"CAST('0x' || substr(md5('card_pipeline|{layer}|{started}'), 1, 15) AS BIGINT)"
+
+
+def _audit_run(started: str, replayed: str, name: str) -> str:
+    """This run's layer counts, restated over its own Bronze rows."""
+    bad = f"transaction_id IS NULL OR customer_id IS NULL OR amount_usd IS NULL OR (transaction_ts IS NOT NULL AND {TS} IS NULL)"
+    return f"""
+, {name}_clean AS (
+    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY kafka_offset DESC NULLS LAST) AS rn
+    FROM cleansed WHERE replayed = {replayed}
+)
+, {name} AS (
+    SELECT {_run_id('bronze', started)} AS run_id, 'bronze' AS layer, TIMESTAMP '{started}' AS run_start_ts,
+           COUNT(*) AS rows_processed, count_if({bad}) AS rows_failed FROM bronze WHERE replayed = {replayed}
+    UNION ALL
+    SELECT {_run_id('silver', started)}, 'silver', TIMESTAMP '{started}', COUNT(*), count_if(NOT dq_passed)
+    FROM {name}_clean WHERE rn = 1
+)
+"""
+
+
+AUDIT = (
+    _audit_run(K.AS_OF, "FALSE", "run1")
+    + _audit_run(NEXT_RUN, "TRUE", "run2")
+    + f"""
+, audit AS (
+    SELECT run_id, 'card_pipeline' AS pipeline_name, layer, run_start_ts, run_start_ts AS run_end_ts,
+           CAST(rows_processed AS BIGINT) AS rows_processed, CAST(rows_failed AS BIGINT) AS rows_failed,
+           CAST({rate('rows_processed - rows_failed', 'rows_processed', 2)} AS DECIMAL(6,2)) AS dq_pass_rate_pct,
+           CASE WHEN rows_failed = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status,
+           CAST(NULL AS VARCHAR) AS error_message, run_start_ts AS created_at
+    FROM (SELECT * FROM run1 UNION ALL SELECT * FROM run2)
+    UNION ALL
+    SELECT {_run_id('gold', NEXT_RUN)}, 'card_pipeline', 'gold', TIMESTAMP '{NEXT_RUN}', TIMESTAMP '{NEXT_RUN}', NULL, NULL, NULL,
+           'FAILED', 'table not found', TIMESTAMP '{NEXT_RUN}'
+)
+"""
+)
+
+ALERTS = AUC + AUDIT + f"""
 , rules_eval AS (
     SELECT 'stale_' || layer AS rule_name, lag_minutes AS observed,
            CASE layer WHEN 'bronze' THEN {float(K.ALERT_INGEST_LAG_MINUTES)}
@@ -754,8 +810,13 @@ ALERTS = f"""
     FROM fresh
     UNION ALL
     SELECT 'failed_dq_checks', CAST(count_if(NOT passed) AS DOUBLE), 0.0 FROM checks WHERE check_name <> 'all_passed'
+    UNION ALL
+    SELECT 'failed_runs', CAST(count_if(status = 'FAILED') AS DOUBLE), 0.0 FROM audit
+)
+, alert_rules AS (
+    SELECT *, COALESCE(observed > limit_value, TRUE) AS firing FROM rules_eval
+    UNION ALL SELECT 'model_auc_below_floor', auc, {K.ALERT_MIN_AUC}, auc < {K.ALERT_MIN_AUC} FROM auc
 )
-, alert_rules AS (SELECT *, COALESCE(observed, 0.0) > limit_value AS firing FROM rules_eval)
 """
 
 SQL["alert_rules"] = q(FRESH + CHECKS + ALERTS + "SELECT * FROM alert_rules")
@@ -961,7 +1022,13 @@ FROM c360full WHERE risk_tier = 'HIGH' ORDER BY fraud_flag_count DESC, customer_
 """
 
 SQL["top_fraud_days"] = q(GOLD_DAILY + TOP_DAYS)
-SQL["top_alerts"] = q(GOLD_ALERTS + TOP_ALERTS)
+BUSY = f"""
+, busy AS (
+    SELECT s.* FROM silver s,
+           range(1, 1 + CASE WHEN is_fraud AND kafka_offset % 11 = 0 THEN 60 WHEN is_fraud AND kafka_offset % 7 = 0 THEN 25 ELSE 1 END)
+)
+"""
+SQL["top_alerts"] = q(BUSY + GOLD_ALERTS.replace("FROM silver WHERE is_fraud", "FROM busy WHERE is_fraud") + TOP_ALERTS)
 SQL["risky_customers"] = q(C360_FULL + RISKY)
 SQL["score_bands"] = q(SCORES + "SELECT fraud_score_band, COUNT(*) AS txn_count FROM scores GROUP BY 1")
 SQL["very_high_summary"] = q(SCORES + VERY_HIGH)
@@ -1187,25 +1254,7 @@ MART = f"""
 
 SQL["mart_conform"] = q(MART + "SELECT * FROM mart")
 
-SQL["audit_log"] = q(
-    GOLD_DAILY
-    + MART
-    + f"""
-, l AS (
-    SELECT 1 AS run_id, 'bronze' AS layer, (SELECT COUNT(*) FROM bronze) AS rows_processed,
-           (SELECT count_if(_reject_reason IS NOT NULL) FROM mart) AS rows_failed
-    UNION ALL
-    SELECT 2, 'silver', (SELECT COUNT(*) FROM enriched), (SELECT count_if(NOT dq_passed) FROM enriched)
-    UNION ALL
-    SELECT 3, 'gold', (SELECT COUNT(*) FROM gold_daily), 0
-)
-SELECT CAST(run_id AS BIGINT) AS run_id, 'card_pipeline' AS pipeline_name, layer,
-       CAST(rows_processed AS BIGINT) AS rows_processed, CAST(rows_failed AS BIGINT) AS rows_failed,
-       CAST({rate('rows_processed - rows_failed', 'rows_processed', 2)} AS DECIMAL(6,2)) AS dq_pass_rate_pct,
-       CASE WHEN rows_failed = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status
-FROM l
-"""
-)
+SQL["audit_log"] = q(AUDIT + "SELECT * FROM audit")
 
 SQL["vector_collection_upsert"] = q(
     GOLD_ALERTS
@@ -1231,3 +1280,166 @@ SELECT transaction_id, kafka_offset, amount_usd, transaction_ts, dq_passed,
 FROM cleansed
 """
 )
+
+
+SQL["stream_bronze"] = q(
+    f"""
+SELECT kafka_offset, transaction_id, CAST(amount_usd AS DOUBLE) AS amount_usd,
+       day(COALESCE({TS}, TIMESTAMP '2024-01-01 00:00:00')) AS _partition_day
+FROM bronze
+"""
+)
+SQL["stream_silver_merge"] = q(
+    """
+SELECT transaction_id, customer_id, CAST(amount_usd AS DOUBLE) AS amount_usd, transaction_ts, kafka_offset, dq_passed
+FROM deduped WHERE transaction_id IS NOT NULL
+"""
+)
+SQL["stream_hourly_alerts"] = q(
+    """
+SELECT date_trunc('hour', transaction_ts) AS alert_ts, merchant_category, merchant_state, COUNT(*) AS fraud_count,
+       COUNT(DISTINCT customer_id) AS affected_customers,
+       CASE WHEN COUNT(*) >= 50 THEN 'CRITICAL' WHEN COUNT(*) >= 20 THEN 'HIGH'
+            WHEN COUNT(*) >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
+       CAST(SUM(amount_usd) AS DECIMAL(25,2)) AS fraud_amount_usd
+FROM silver WHERE is_fraud AND transaction_id IS NOT NULL GROUP BY 1, 2, 3
+"""
+)
+SQL["silver_quarantine"] = q(
+    """
+SELECT kafka_offset, customer_id, amount_usd, 'NULL key: transaction_id' AS quarantine_reason
+FROM cleansed WHERE transaction_id IS NULL
+"""
+)
+_METRICS = SQL["dq_metrics"][len(BASE):]
+_i = _METRICS.index("\nSELECT (SELECT COUNT(*) FROM bronze) AS bronze_total_rows")
+_COUNTS = ["bronze_total_rows", "silver_total_rows", "gold_total_rows", "dq_fail_count"]
+_RATES = [f"null_rate_{c}" for c in KEY_COLS]
+
+
+def _json_pair(name: str, fixed: bool) -> str:
+    value = f"CAST(CAST({name} AS DECIMAL(20,4)) AS VARCHAR)" if fixed else f"CAST({name} AS VARCHAR)"
+    return f"'\"{name}\":\"' || {value} || '\"'"
+
+
+SQL["pipeline_health_json"] = q(
+    _METRICS[:_i]
+    + ", m AS ("
+    + _METRICS[_i:]
+    + ") SELECT '{' || "
+    + " || ',' || ".join(
+        [_json_pair(c, False) for c in _COUNTS]
+        + [_json_pair("dq_fail_rate_pct", True), _json_pair("duplicate_count", False)]
+        + [_json_pair(c, True) for c in _RATES]
+        + [_json_pair("high_amount_anomalies", False), _json_pair("p99_amount_usd", True), _json_pair("bronze_to_silver_drop_pct", True)]
+    )
+    + " || '}' AS pipeline_health FROM m"
+)
+_BUCKET = "CAST('0x' || substr(md5(transaction_id), 1, 15) AS BIGINT)"
+SQL["split_hash"] = q(
+    f"SELECT transaction_id, CASE WHEN {_BUCKET} % 100 < 20 THEN 'test' ELSE 'train' END AS split FROM passed"
+)
+SQL["split_stratified"] = q(
+    f"""
+, p AS (
+    SELECT transaction_id, CAST(is_fraud AS DOUBLE) AS label,
+           rank() OVER (PARTITION BY is_fraud ORDER BY {_BUCKET}) - 1 AS before,
+           COUNT(*) OVER (PARTITION BY is_fraud) AS n
+    FROM passed
+)
+SELECT transaction_id, label, CASE WHEN before >= n - round_even(n * 20 / 100.0, 0) THEN 'test' ELSE 'train' END AS split FROM p
+"""
+)
+SQL["amount_outliers_3x"] = q(
+    """
+, pos AS (
+    SELECT transaction_id, kafka_offset,
+           CAST(CASE WHEN kafka_offset % 211 = 5 THEN amount_usd * 100 ELSE amount_usd END AS DECIMAL(17,2)) AS amount_usd
+    FROM staging WHERE amount_usd > 0
+)
+SELECT * FROM pos WHERE CAST(amount_usd AS DOUBLE) > (SELECT quantile_cont(CAST(amount_usd AS DOUBLE), 0.99) FROM pos) * 3
+"""
+)
+ONE_DAY = "CAST(transaction_ts AS DATE) = DATE '2024-01-10'"
+SQL["daily_summary_one_day"] = SQL["daily_summary_sql"].replace("FROM staging", f"FROM (SELECT * FROM staging WHERE {ONE_DAY})")
+SQL["dq_checks_one_day"] = SQL["dq_checks"].replace("FROM staging", f"FROM (SELECT * FROM staging WHERE {ONE_DAY})")
+SQL["mart_load"] = q(
+    f"""
+SELECT transaction_id, customer_id, card_type, merchant_category, CAST(amount_usd AS DECIMAL(15,2)) AS amount_usd,
+       COALESCE(currency, 'USD') AS currency, {TS} AS transaction_ts, is_fraud
+FROM bronze
+WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL AND amount_usd IS NOT NULL
+      AND NOT (transaction_ts IS NOT NULL AND {TS} IS NULL)
+"""
+)
+SQL["mart_customers"] = q(
+    """
+SELECT customer_id, CAST(CASE WHEN _key % 61 <> 0 THEN credit_score END AS INTEGER) AS credit_score, credit_limit_usd,
+       account_open_date, CAST(NULL AS VARCHAR) AS phone,
+       CASE WHEN _key % 61 = 0 THEN 'credit_score: bad value' END AS _reject_reason
+FROM raw_customer
+"""
+)
+SQL["mart_contract_counts"] = q(
+    MART
+    + """
+SELECT COUNT(*) AS total_rows, CAST(count_if(_reject_reason IS NULL) AS BIGINT) AS accepted_rows,
+       CAST(count_if(_reject_reason IS NOT NULL) AS BIGINT) AS rejected_rows,
+       CAST(count_if(_reject_reason IS NULL) AS BIGINT)
+           - COUNT(DISTINCT CASE WHEN _reject_reason IS NULL THEN transaction_id END) AS duplicate_keys
+FROM mart
+"""
+)
+SQL["mask_pii"] = q(
+    "SELECT customer_id, sha256('pepper' || full_name) AS full_name, sha256('pepper' || email) AS email, home_state FROM customers"
+)
+SQL["daily_surrogate_keys"] = q(
+    """
+SELECT CAST('0x' || substr(md5(CAST(CAST(transaction_ts AS DATE) AS VARCHAR) || '|' || merchant_category || '|' || card_type), 1, 15) AS BIGINT)
+           AS summary_key,
+       CAST(transaction_ts AS DATE) AS txn_date, merchant_category, card_type, COUNT(*) AS total_transactions
+FROM staging WHERE amount_usd > 0 AND transaction_ts IS NOT NULL GROUP BY ALL
+"""
+)
+SQL["landing_paths"] = q("SELECT strftime(transaction_ts, '%Y/%m/%d') AS folder, COUNT(*) AS rows FROM staging GROUP BY 1")
+SQL["point_in_time"] = q(
+    """
+, stamped AS (
+    SELECT *, COALESCE(transaction_ts, TIMESTAMP '2024-01-01 00:00:00') + INTERVAL 1 HOUR AS bronze_ingested_at FROM staging
+)
+SELECT kafka_offset, transaction_id, bronze_ingested_at FROM stamped WHERE bronze_ingested_at <= TIMESTAMP '2024-01-12 06:00:00'
+"""
+)
+_LANDED = """
+WITH l AS (
+    SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_custkey % 41 = 0 AS bad, 580 + c_custkey % 271 AS score,
+           '2023-01-01T00:00:00Z' AS created_at
+    FROM customer
+)
+"""
+SQL["landing_csv"] = (
+    _LANDED
+    + """
+SELECT customer_id, CASE WHEN NOT bad THEN score END AS credit_score, created_at,
+       CASE WHEN bad THEN customer_id || ',n/a,' || created_at END AS _corrupt_record
+FROM l
+"""
+)
+SQL["landing_json"] = (
+    _LANDED
+    + """
+SELECT customer_id, bad AS is_bad, CASE WHEN NOT bad THEN score END AS credit_score, created_at,
+       CASE WHEN bad THEN '{"customer_id":"' || customer_id || '","credit_score":"n/a","event_created_at":"' || created_at || '"}' END
+           AS _corrupt_record
+FROM l
+"""
+)
+SQL["landing_parquet"] = (
+    _LANDED
+    + """
+SELECT customer_id, CASE WHEN NOT bad THEN score END AS credit_score, created_at,
+       CASE WHEN bad THEN 'credit_score=n/a' END AS _corrupt_record
+FROM l
+"""
+)
+SQL["landing_files"] = "SELECT CAST(3 AS BIGINT) AS files, COUNT(*) AS rows FROM customer"

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import gold, merge, quality, retrieval, silver, sinks
-from ..schemas import MART_TRANSACTION_DEFAULTS, MART_TRANSACTIONS
+from ..functions import columns as C
+from ..schemas import MART_CUSTOMERS, MART_TRANSACTION_DEFAULTS, MART_TRANSACTIONS
 from ..sources import tables
 
 BRONZE_PARTS = ["_partition_year", "_partition_month", "_partition_day"]
@@ -32,7 +33,10 @@ def layout(out_dir: str) -> dict[str, str]:
         "customer_360": f"{base}/gold/customer_360",
         "alerts": f"{base}/gold/fraud_alerts_hourly",
         "state": f"{base}/gold/state_performance",
+        "mart_txn": f"{base}/mart/transactions",
+        "mart_cust": f"{base}/mart/customers",
         "mart_rejects": f"{base}/mart/rejects",
+        "mart_cust_rejects": f"{base}/mart/customer_rejects",
         "audit": f"{base}/audit/pipeline_run_log",
         "reports": f"{base}/gold/ai_reports",
     }
@@ -49,13 +53,15 @@ def ingest_bronze(spark: SparkSession, sf_dir: str, paths: dict, as_of: str) ->
     }
 
 
+def as_of(stamped: DataFrame, moment: str) -> DataFrame:
+    """Append-only rows as they were at ``moment``, by their ingest stamp."""
+    return stamped.filter(F.col("bronze_ingested_at") <= F.to_timestamp(F.lit(moment)))
+
+
 def point_in_time(spark: SparkSession, bronze_path: str, as_of_ts: str) -> DataFrame:
-    """Bronze as it was at ``as_of_ts`` (append-only, so a filter on the
-    ingest stamp is a consistent snapshot; the stamp's day also prunes the
-    ingest-day partitions)."""
-    cut = F.to_timestamp(F.lit(as_of_ts))
+    """Bronze as it was at ``as_of_ts``; the stamp's day also prunes the ingest-day partitions."""
     day = F.make_date(*[F.col(c) for c in BRONZE_PARTS])
-    return spark.read.parquet(bronze_path).filter((F.col("bronze_ingested_at") <= cut) & (day <= F.to_date(cut)))
+    return as_of(spark.read.parquet(bronze_path), as_of_ts).filter(day <= F.to_date(F.lit(as_of_ts)))
 
 
 def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str | None = None) -> dict:
@@ -95,29 +101,42 @@ def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str
 
 
 def build_gold(spark: SparkSession, paths: dict, as_of: str) -> None:
-    """Gold: full recompute from Silver (late rows are picked up), written
-    with dynamic partition overwrite or clustered by the mart's keys."""
+    """Gold: full recompute from Silver (late rows are picked up), stamped with
+    the load time and the mart's surrogate keys, written with dynamic partition
+    overwrite or clustered by the mart's keys."""
     s = spark.read.parquet(paths["silver_txn"])
     c = merge.read_table(spark, paths["silver_cust"])
-    daily = gold.daily_txn_summary(s)
-    sinks.overwrite_partitions(daily, paths["daily"], SILVER_PARTS)
-    gold.customer_360(s, c).write.mode("overwrite").parquet(paths["customer_360"])
-    sinks.clustered_write(gold.fraud_alerts_hourly(s), paths["alerts"], ["alert_ts", "severity"])
-    sinks.overwrite_partitions(gold.state_performance(s), paths["state"], SILVER_PARTS)
+    stamp = C.as_of_ts(as_of)
+    daily = gold.daily_txn_summary(s).withColumns({"summary_key": sinks.surrogate_key("txn_date", "merchant_category", "card_type"), "created_at": stamp})
+    sinks.overwrite_partitions(daily.sortWithinPartitions("txn_date", "merchant_category"), paths["daily"], SILVER_PARTS)
+    gold.customer_360(s, c).withColumn("gold_loaded_at", stamp).write.mode("overwrite").parquet(paths["customer_360"])
+    alerts = gold.fraud_alerts_hourly(s).withColumns({"alert_key": sinks.surrogate_key("alert_ts", "merchant_category", "merchant_state"), "created_at": stamp})
+    sinks.clustered_write(alerts, paths["alerts"], ["alert_ts", "severity"])
+    sinks.overwrite_partitions(gold.state_performance(s).withColumn("created_at", stamp), paths["state"], SILVER_PARTS)
+
+
+def load_mart(spark: SparkSession, paths: dict, as_of: str) -> DataFrame:
+    """Conform this run's Bronze rows (by ingest stamp) to the mart
+    contracts; accepted and rejected rows are appended to their tables. Returns the conformed transactions."""
+    this_run = F.col("bronze_ingested_at") == C.as_of_ts(as_of)
+    conformed = None
+    for name, schema, defaults in (("txn", MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS), ("cust", MART_CUSTOMERS, {})):
+        rows = sinks.conform(spark.read.parquet(paths[f"bronze_{name}"]).filter(this_run), schema, defaults)
+        ok = F.col("_reject_reason").isNull()
+        rows.filter(ok).drop("_reject_reason").withColumn("loaded_at", C.as_of_ts(as_of)).write.mode("append").parquet(paths[f"mart_{name}"])
+        rows.filter(~ok).withColumns({"rejected_at": C.as_of_ts(as_of)}).write.mode("append").parquet(paths["mart_rejects"] if name == "txn" else paths["mart_cust_rejects"])
+        conformed = rows if name == "txn" else conformed
+    return conformed
 
 
 def write_audit(spark: SparkSession, sf_dir: str, paths: dict, as_of: str) -> DataFrame:
-    """Conform Bronze to the mart contract (rejects kept aside)
-    and append one audit row per layer."""
-    b = spark.read.parquet(paths["bronze_txn"])
-    conformed = sinks.conform(b, MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS)
-    rejects = conformed.filter(F.col("_reject_reason").isNotNull())
-    rejects.write.mode("append").parquet(paths["mart_rejects"])
-    s = spark.read.parquet(paths["silver_txn"])
+    """Load the mart and append one audit row per layer, counting this run's rows only."""
+    conformed = load_mart(spark, paths, as_of)
+    s = spark.read.parquet(paths["silver_txn"]).filter(F.col("silver_processed_at") == C.as_of_ts(as_of))
     d = spark.read.parquet(paths["daily"])
     audit = sinks.audit_rows(
         {
-            "bronze": (b, spark.read.parquet(paths["mart_rejects"])),
+            "bronze": (conformed, conformed.filter(F.col("_reject_reason").isNotNull())),
             "silver": (s, s.filter(~F.col("dq_passed"))),
             "gold": (d, d.filter(F.lit(False))),
         },
@@ -139,7 +158,7 @@ def write_report(spark: SparkSession, paths: dict, as_of: str) -> None:
         F.to_json(F.sort_array(F.collect_list(F.struct("section", "item_rank", "label", "count_value",
                                                          "amount_value")))).alias("context_json"),
     ).select(
-        F.xxhash64(F.lit(as_of)).alias("report_id"),
+        F.expr("uuid()").alias("report_id"),
         F.to_timestamp(F.lit(as_of)).alias("report_date"),
         "context_json",
     )
@@ -166,13 +185,23 @@ def register_tables(spark: SparkSession, paths: dict, database: str = "cards") -
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str = K.AS_OF) -> dict:
-    """Bronze -> Silver -> Gold -> audit -> report, in dependency order."""
+    """Bronze -> Silver -> Gold -> mart and audit -> report, in dependency order. A failed stage
+    leaves a FAILED audit row with the error text, then the error goes on to the caller."""
     paths = layout(out_dir)
-    out = ingest_bronze(spark, sf_dir, paths, as_of)
-    out.update(build_silver(spark, paths, as_of))
-    build_gold(spark, paths, as_of)
-    write_audit(spark, sf_dir, paths, as_of)
-    write_report(spark, paths, as_of)
+    out: dict = {}
+    stages = {
+        "bronze": lambda: out.update(ingest_bronze(spark, sf_dir, paths, as_of)),
+        "silver": lambda: out.update(build_silver(spark, paths, as_of)),
+        "gold": lambda: build_gold(spark, paths, as_of),
+        "mart": lambda: write_audit(spark, sf_dir, paths, as_of),
+        "report": lambda: write_report(spark, paths, as_of),
+    }
+    for layer, stage in stages.items():
+        try:
+            stage()
+        except Exception as error:
+            sinks.audit_failure(spark, "card_pipeline", layer, str(error), as_of).write.mode("append").parquet(paths["audit"])
+            raise
     out["dq"] = quality.layer_counts(
         spark.read.parquet(paths["bronze_txn"]),
         spark.read.parquet(paths["silver_txn"]),

@@ -16,6 +16,8 @@ from ..operators import gold, silver
 from ..sources import tables
 
 AS_OF = K.AS_OF
+NEXT_RUN = "2024-02-02 00:00:00"
+ONE_DAY = "2024-01-10"
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -217,6 +219,12 @@ def q_daily_sql(spark, d):
     return gold.daily_summary_sql(staging(spark, d))
 
 
+@register("daily_summary_one_day")
+def q_daily_one_day(spark, d):
+    """F9 as the procedure runs it: one day, which Parquet statistics prune."""
+    return gold.daily_summary_sql(staging(spark, d), ONE_DAY)
+
+
 @register("customer_360_sql")
 def q_c360_sql(spark, d):
     return gold.customer_360_sql(staging(spark, d), tables.raw_customers(spark, d), AS_OF)
@@ -227,7 +235,7 @@ def q_c360_sql(spark, d):
 from pyspark.sql import functions as F  # noqa: E402
 
 from ..operators import merge, ml, quality, ranking, retrieval, sinks, windows  # noqa: E402
-from ..schemas import MART_TRANSACTION_DEFAULTS, MART_TRANSACTIONS  # noqa: E402
+from ..schemas import MART_CUSTOMERS, MART_TRANSACTION_DEFAULTS, MART_TRANSACTIONS  # noqa: E402
 from ..streaming import bronze_stream  # noqa: E402
 
 _MERGE_COLS = ["transaction_id", "customer_id", "amount_usd", "transaction_ts", "kafka_offset", "dq_passed",
@@ -331,6 +339,19 @@ def q_outliers(spark, d):
     )
 
 
+@register("amount_outliers_3x")
+def q_outliers_3x(spark, d):
+    """D7 at the surveyed factor, over amounts among which every 211th is a hundredfold."""
+    rows = staging(spark, d).filter(F.col("amount_usd") > 0)
+    big = F.when(F.col("kafka_offset") % 211 == 5, F.col("amount_usd") * 100).otherwise(F.col("amount_usd")).cast("decimal(17,2)")
+    return quality.amount_outliers(rows.withColumn("amount_usd", big)).select("transaction_id", "kafka_offset", "amount_usd")
+
+
+@register("dq_checks_one_day")
+def q_dq_checks_day(spark, d):
+    return quality.run_checks(staging(spark, d), AS_OF, check_date=ONE_DAY)
+
+
 @register("top_categories")
 def q_top_categories(spark, d):
     return quality.top_categories(silver_txn(spark, d))
@@ -343,6 +364,7 @@ def _freshness(spark, d):
             "bronze": (staging(spark, d), "transaction_ts"),
             "silver": (s, "transaction_ts"),
             "gold": (gold.daily_txn_summary(s), "txn_date"),
+            "mart": None,
         },
         AS_OF,
     )
@@ -361,7 +383,17 @@ def q_root_cause(spark, d):
 
 @register("alert_rules")
 def q_alert_rules(spark, d):
-    return quality.alert_rules(_freshness(spark, d), quality.run_checks(staging(spark, d), AS_OF))
+    return _alert_rules(spark, d, quality.run_checks(staging(spark, d), AS_OF))
+
+
+def _alert_rules(spark, d, checks):
+    model = quality.latest_model_row(q_auc(spark, d), AS_OF)
+    return quality.alert_rules(_freshness(spark, d), checks, q_audit(spark, d), model)
+
+
+@register("auc")
+def q_auc(spark, d):
+    return ml.auc_exact(retrieval.fixed_scores(silver_txn(spark, d)), "score_milli")
 
 
 @register("health_summary")
@@ -369,7 +401,7 @@ def q_health(spark, d):
     s = silver_txn(spark, d)
     layers = quality.layer_counts(bronze(spark, d), s, gold.daily_txn_summary(s))
     checks = quality.run_checks(staging(spark, d), AS_OF)
-    return quality.health_summary(layers, checks, quality.alert_rules(_freshness(spark, d), checks))
+    return quality.health_summary(layers, checks, _alert_rules(spark, d, checks))
 
 
 # --- RFM, windows ---------------------------------------------------------------
@@ -431,9 +463,16 @@ def q_top_days(spark, d):
     return retrieval.top_fraud_days(_gold_frames(spark, d)[0], AS_OF)
 
 
+def _busy_silver(spark, d):
+    """Silver in which some frauds come in bursts of 25 and 60, so that every severity occurs."""
+    off = F.col("kafka_offset")
+    times = F.when(F.col("is_fraud") & (off % 11 == 0), 60).when(F.col("is_fraud") & (off % 7 == 0), 25).otherwise(1)
+    return silver_txn(spark, d).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
+
+
 @register("top_alerts")
 def q_top_alerts(spark, d):
-    return retrieval.top_alerts(_gold_frames(spark, d)[1], AS_OF)
+    return retrieval.top_alerts(gold.fraud_alerts_hourly(_busy_silver(spark, d)), AS_OF)
 
 
 @register("risky_customers")
@@ -526,11 +565,19 @@ def q_oversample(spark, d):
     return ml.oversample(train).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _trained(spark, d, iters=5):
-    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed")))
-    train, _ = ml.split_hash(f)
-    model = ml.build_pipeline(max_iter=iters, max_depth=4).fit(ml.oversample(train))
-    return model, f
+_MODELS: dict[tuple, tuple] = {}
+
+
+def _trained(spark, d, model="gbt", trees=100, depth=6):
+    """The surveyed model, fitted once per application and table; its features are written once."""
+    from ..session import materialize
+
+    key = (spark.sparkContext.applicationId, d, model, trees, depth)
+    if key not in _MODELS:
+        f = materialize(ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed"))))
+        train = materialize(ml.oversample(ml.split_hash(f)[0]))
+        _MODELS[key] = ml.build_pipeline(max_iter=trees, max_depth=depth, model=model).fit(train), f
+    return _MODELS[key]
 
 
 @register("gbt_scores")
@@ -539,6 +586,13 @@ def q_gbt_scores(spark, d):
     return ml.score(model, f)
 
 
+@register("random_forest_scores")
+def q_rf_scores(spark, d):
+    """K8: the random-forest variant, 40 trees."""
+    model, f = _trained(spark, d, "rf", trees=40)
+    return ml.score(model, f)
+
+
 @register("feature_importance")
 def q_importance(spark, d):
     model, _ = _trained(spark, d)
@@ -572,15 +626,36 @@ def q_mart(spark, d):
 
 @register("audit_log")
 def q_audit(spark, d):
-    b = bronze(spark, d)
-    conf = sinks.conform(b, MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS)
-    e = silver_txn(spark, d)
-    layers = {
-        "bronze": (b, conf.filter(F.col("_reject_reason").isNotNull())),
-        "silver": (e, e.filter(~F.col("dq_passed"))),
-        "gold": (gold.daily_txn_summary(e), gold.daily_txn_summary(e).filter(F.lit(False))),
-    }
-    return sinks.audit_rows(layers, "card_pipeline", AS_OF).drop("run_end_ts")
+    """Two runs, each counting its own rows: the first delivery, then the replayed copies."""
+    runs = []
+    for started, replayed in ((AS_OF, False), (NEXT_RUN, True)):
+        b = bronze(spark, d).filter(F.col("replayed") == replayed)
+        conf = sinks.conform(b, MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS)
+        t = silver.silver_transactions(b, started)
+        layers = {"bronze": (b, conf.filter(F.col("_reject_reason").isNotNull())), "silver": (t, t.filter(~F.col("dq_passed")))}
+        runs.append(sinks.audit_rows(layers, "card_pipeline", started))
+    return runs[0].unionByName(runs[1]).unionByName(sinks.audit_failure(spark, "card_pipeline", "gold", "table not found", NEXT_RUN))
+
+
+@register("mart_load")
+def q_mart_load(spark, d):
+    """Rows that the mart accepts."""
+    rows = sinks.conform(bronze(spark, d), MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS).filter(F.col("_reject_reason").isNull())
+    return rows.select("transaction_id", "customer_id", "card_type", "merchant_category", "amount_usd", "currency", "transaction_ts", "is_fraud")
+
+
+@register("mart_customers")
+def q_mart_customers(spark, d):
+    raw = tables.raw_customers(spark, d)
+    score = F.when(F.col("customer_id").cast("long") % 61 == 0, "unknown").otherwise(F.col("credit_score").cast("string"))
+    return sinks.conform(raw.withColumn("credit_score", score), MART_CUSTOMERS).select(
+        "customer_id", "credit_score", "credit_limit_usd", "account_open_date", "phone", "_reject_reason"
+    )
+
+
+@register("mart_contract_counts")
+def q_contract_counts(spark, d):
+    return sinks.contract_counts(sinks.conform(bronze(spark, d), MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS), "transaction_id")
 
 
 def _stream_dirs(spark, name):
@@ -594,7 +669,7 @@ def _stream_dirs(spark, name):
 def q_stream_bronze(spark, d):
     landing, bronze_dir, _, _, ck = _stream_dirs(spark, "stream-bronze")
     bronze_stream.write_landing(bronze(spark, d), landing)
-    src = bronze_stream.event_stream(spark, options={"path": landing})
+    src = bronze_stream.event_stream(spark, options={"path": landing, "maxFilesPerTrigger": 2})
     q = bronze_stream.start_bronze(bronze_stream.parse_transactions(src, as_of=AS_OF), bronze_dir, f"{ck}/b")
     q.awaitTermination()
     return spark.read.parquet(bronze_dir).select("kafka_offset", "transaction_id", "amount_usd", "_partition_day")
@@ -604,20 +679,34 @@ def q_stream_bronze(spark, d):
 def q_stream_silver(spark, d):
     landing, _, silver_dir, _, ck = _stream_dirs(spark, "stream-silver")
     bronze_stream.write_landing(bronze(spark, d), landing)
-    src = bronze_stream.parse_transactions(bronze_stream.event_stream(spark, options={"path": landing}), as_of=AS_OF)
+    src = bronze_stream.parse_transactions(bronze_stream.event_stream(spark, options={"path": landing, "maxFilesPerTrigger": 2}), as_of=AS_OF)
     q = bronze_stream.start_silver(src, silver_dir, f"{ck}/s", as_of=AS_OF)
     q.awaitTermination()
     return spark.read.parquet(silver_dir).select(*_DEDUP_COLS)
 
 
+@register("silver_quarantine")
+def q_quarantine(spark, d):
+    """Every Bronze row without an id, as the Silver MERGE leaves it in the quarantine table."""
+    from ..session import scratch_dir
+
+    base = scratch_dir(spark, "quarantine")
+    rows = silver.silver_transactions(bronze(spark, d), AS_OF, keep_null_keys=True)
+    merge.upsert_partitioned(spark, rows, f"{base}/silver", ["transaction_id"], bronze_stream.SILVER_STREAM_PARTS, quarantine=f"{base}/quarantine", rows_move=False)
+    return spark.read.parquet(f"{base}/quarantine").select("kafka_offset", "customer_id", "amount_usd", "quarantine_reason")
+
+
 @register("stream_hourly_alerts")
 def q_stream_alerts(spark, d):
-    landing, _, _, alerts_dir, ck = _stream_dirs(spark, "stream-alerts")
+    landing, _, silver_dir, alerts_dir, ck = _stream_dirs(spark, "stream-alerts")
     bronze_stream.write_landing(bronze(spark, d), landing)
-    src = bronze_stream.parse_transactions(bronze_stream.event_stream(spark, options={"path": landing}), as_of=AS_OF)
-    q = bronze_stream.start_hourly_alerts(bronze_stream.hourly_alerts(src), alerts_dir, f"{ck}/a")
-    q.awaitTermination()
-    return merge.read_table(spark, alerts_dir)
+    events = bronze_stream.event_stream(spark, options={"path": landing, "maxFilesPerTrigger": 2})
+    src = bronze_stream.parse_transactions(events, as_of=AS_OF)
+    bronze_stream.start_hourly_alerts(src, silver_dir, alerts_dir, f"{ck}/a", as_of=AS_OF).awaitTermination()
+    return spark.read.parquet(alerts_dir).select(
+        "alert_ts", "merchant_category", "merchant_state", "fraud_count", "affected_customers", "severity",
+        F.col("fraud_amount_usd").cast("decimal(25,2)").alias("fraud_amount_usd"),
+    )
 
 
 @register("vector_collection_upsert")
@@ -633,9 +722,10 @@ def q_collection_upsert(spark, d):
 
 @register("pipeline_health_json")
 def q_health_json(spark, d):
-    """M1 + C3: the metrics record rendered as one JSON text."""
+    """M1 + C3: the metrics record rendered as one JSON text, every value as text with fixed places."""
     m = q_dq_metrics(spark, d)
-    return m.select(F.to_json(F.struct(*m.columns)).alias("pipeline_health"))
+    text = [F.col(c).cast("decimal(20,4)").cast("string").alias(c) if t == "double" else F.col(c).cast("string").alias(c) for c, t in m.dtypes]
+    return m.select(F.to_json(F.struct(*text)).alias("pipeline_health"))
 
 
 @register("cleanse_dq")
@@ -661,3 +751,87 @@ def q_split_stratified(spark, d):
     return train.select("transaction_id", "label", F.lit("train").alias("split")).unionByName(
         test.select("transaction_id", "label", F.lit("test").alias("split"))
     )
+
+
+@register("mask_pii")
+def q_mask_pii(spark, d):
+    return silver.mask_pii(customers(spark, d), salt="pepper").select("customer_id", "full_name", "email", "home_state")
+
+
+@register("daily_surrogate_keys")
+def q_surrogate(spark, d):
+    """The key of every daily-summary group."""
+    daily = gold.daily_summary_sql(staging(spark, d))
+    return daily.select(sinks.surrogate_key("txn_date", "merchant_category", "card_type").alias("summary_key"), "txn_date", "merchant_category", "card_type", "total_transactions")
+
+
+@register("landing_paths")
+def q_landing_paths(spark, d):
+    """Events per zero-padded landing folder of their day."""
+    from ..functions.columns import landing_day
+
+    return staging(spark, d).groupBy(landing_day("transaction_ts").alias("folder")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("point_in_time")
+def q_point_in_time(spark, d):
+    """Bronze as of a moment, by ingest stamps (an hour after the event; events without a time at the start)."""
+    from . import pipeline
+
+    ts = F.coalesce(F.col("transaction_ts"), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    stamped = staging(spark, d).withColumn("bronze_ingested_at", ts + F.expr("INTERVAL 1 HOUR"))
+    return pipeline.as_of(stamped, "2024-01-12 06:00:00").select("kafka_offset", "transaction_id", "bronze_ingested_at")
+
+
+_LANDING = "customer_id string, credit_score bigint, created_at string"
+
+
+def _landing(spark, d, fmt, lines=None, frame=None):
+    """Land customer rows as ``fmt`` in three files and read them back with bad text kept."""
+    from pyspark.sql.types import StructType
+
+    from ..session import scratch_dir
+
+    path = scratch_dir(spark, f"landing-{fmt}")
+    if frame is not None:
+        frame.repartition(3, "customer_id").write.parquet(path)
+    else:
+        lines.repartition(3, "value").write.text(path)
+    schema = StructType.fromDDL(_LANDING)
+    return path, sinks.read_landing(spark, path, fmt, schema, aliases={"created_at": "event_created_at"}, keep_bad=True, header=False)
+
+
+def _landed_customers(spark, d):
+    n = F.col("c_custkey")
+    score = F.when(n % 41 == 0, "n/a").otherwise((580 + n % 271).cast("string"))
+    return tables.table(spark, d, "customer").select(n.cast("string").alias("customer_id"), score.alias("credit_score"), F.lit("2023-01-01T00:00:00Z").alias("event_created_at"))
+
+
+@register("landing_csv")
+def q_landing_csv(spark, d):
+    line = F.concat_ws(",", "customer_id", "credit_score", "event_created_at")
+    rows = _landed_customers(spark, d).select(line.alias("value"))
+    _, df = _landing(spark, d, "csv", lines=rows)
+    return df
+
+
+@register("landing_json")
+def q_landing_json(spark, d):
+    src = _landed_customers(spark, d)
+    score = F.when(F.col("credit_score") == "n/a", F.lit('"n/a"')).otherwise(F.col("credit_score"))
+    line = F.concat(F.lit('{"customer_id":"'), F.col("customer_id"), F.lit('","credit_score":'), score, F.lit(',"event_created_at":"'), F.col("event_created_at"), F.lit('"}'))
+    _, df = _landing(spark, d, "json", lines=src.select(line.alias("value")))
+    return df.select("customer_id", F.col("_corrupt_record").isNotNull().alias("is_bad"), "_corrupt_record", "credit_score", "created_at")
+
+
+@register("landing_parquet")
+def q_landing_parquet(spark, d):
+    _, df = _landing(spark, d, "parquet", frame=_landed_customers(spark, d))
+    return df
+
+
+@register("landing_files")
+def q_landing_files(spark, d):
+    """How many files a landing folder holds, and the rows in them."""
+    path, _ = _landing(spark, d, "parquet", frame=_landed_customers(spark, d))
+    return sinks.landing_files(spark, path).agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("rows"))

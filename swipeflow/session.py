@@ -60,7 +60,6 @@ def build_session(
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
         "spark.driver.memory": os.environ.get("SWIPEFLOW_DRIVER_MEMORY", "16g"),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
         # no per-call Python call-site capture (several JVM round trips per
@@ -68,6 +67,9 @@ def build_session(
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     conf.update(RUNTIME_CONF)
+    # a cluster's own setting stands; only a local session gets a small default
+    if shuffle_partitions or (master or "").startswith("local"):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -106,20 +108,6 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def spread(df, spark: SparkSession | None = None):
-    """Round-robin a scan that yields fewer splits than the cluster has cores
-    (a few large row groups would otherwise be read by a few tasks). At scale
-    a fact table has far more splits than cores and this is a no-op. Only the
-    split count of the bare scan comes back to the driver."""
-    spark = spark or df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for staged writes."""
     base = ensure_checkpoint_dir(spark)

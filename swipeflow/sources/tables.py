@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..schemas import INPUT_SCHEMAS
-from ..session import configure, spread
+from ..session import configure
 
 TABLES = [
     "region",
@@ -33,16 +33,11 @@ TABLES = [
 ]
 
 
-FACT_TABLES = {"events", "orders", "lineitem", "documents"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table; scans prune columns and push filters by themselves.
-    Fact tables are spread over the cores when the scan has too few splits."""
+    """One given table; scans prune columns and push filters by themselves."""
     configure(spark)
     reader = spark.read.schema(INPUT_SCHEMAS[name]) if name in INPUT_SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, spark) if name in FACT_TABLES else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _sql_list(values: list) -> str:
