@@ -5,18 +5,6 @@ here, in their natural order, and nowhere else.
 """
 
 # --- fixed values: lookup lists of the card-event generator ------------------
-MERCHANT_CATEGORIES = [
-    "GROCERY_STORE",
-    "GAS_STATION",
-    "RESTAURANT",
-    "ONLINE_RETAIL",
-    "TRAVEL",
-    "ENTERTAINMENT",
-    "HEALTHCARE",
-    "UTILITIES",
-    "ATM_WITHDRAWAL",
-]
-CARD_TYPES = ["VISA", "MASTERCARD", "AMEX", "DISCOVER"]
 US_STATES = ["TX", "CA", "NY", "FL", "GA", "IL", "PA", "OH", "NC", "MI"]
 
 # --- fixed values: thresholds of the business rules --------------------------
@@ -48,8 +36,6 @@ ALERT_INGEST_LAG_MINUTES = 5
 ALERT_MERGE_MINUTES = 30
 ALERT_GOLD_STALE_HOURS = 4
 ALERT_MIN_AUC = 0.90
-# approval response code
-APPROVED_RESPONSE_CODE = "00"
 
 # --- fixed values: root-cause rules of the DQ assistant, in priority order ---
 ROOT_CAUSE_RULES = [

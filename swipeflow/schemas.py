@@ -16,6 +16,7 @@ from pyspark.sql.types import (
 MONEY = DecimalType(15, 2)
 LIMIT_MONEY = DecimalType(12, 2)
 
+# --- fixed values: field names and types of the events, profiles, mart and audit tables ---
 # JSON card event as produced upstream (declared NOT NULL fields are not
 # enforced by JSON decoding: a missing field decodes to NULL).
 TRANSACTION_SCHEMA = StructType(
@@ -111,22 +112,6 @@ MART_CUSTOMERS = StructType(
     ]
 )
 
-AUDIT_LOG_SCHEMA = StructType(
-    [
-        StructField("run_id", LongType(), False),
-        StructField("pipeline_name", StringType(), True),
-        StructField("layer", StringType(), True),
-        StructField("run_start_ts", TimestampType(), True),
-        StructField("run_end_ts", TimestampType(), True),
-        StructField("rows_processed", LongType(), True),
-        StructField("rows_failed", LongType(), True),
-        StructField("dq_pass_rate_pct", DecimalType(6, 2), True),
-        StructField("status", StringType(), True),
-        StructField("error_message", StringType(), True),
-        StructField("created_at", TimestampType(), True),
-    ]
-)
-
 
 # Given input tables (declared, so reads skip footer inference).
 from pyspark.sql.types import ArrayType, FloatType, TimestampNTZType  # noqa: E402
