@@ -104,7 +104,8 @@ class Shingles:
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, fp, fp2, sig of every row; the latter three are null for rows without a word."""
+    """doc_id, fp, fp2, sig, short (the low byte of each position of sig) of every row; all but doc_id are null for
+    rows without a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,19 +113,21 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 s = Shingles(texts)
                 none = np.diff(s.bounds) == 0
                 fp, fp2 = s.fingerprints()
-                sig = s.signatures().tobytes()
-                width = SIGNATURE * 4
-                rows = [None if x else sig[i * width : (i + 1) * width] for i, x in enumerate(none.tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column("_id").slice(a, b - a), pa.array(fp, mask=none), pa.array(fp2, mask=none), pa.array(rows, pa.binary())], ["doc_id", "fp", "fp2", "sig"])
+                sig = s.signatures()
+                columns = []
+                for width, raw in ((SIGNATURE * 4, sig.tobytes()), (SIGNATURE, sig.astype(np.uint8).tobytes())):
+                    columns.append(pa.array([None if x else raw[i * width : (i + 1) * width] for i, x in enumerate(none.tolist())], pa.binary()))
+                yield pa.RecordBatch.from_arrays([batch.column("_id").slice(a, b - a), pa.array(fp, mask=none), pa.array(fp2, mask=none), *columns], ["doc_id", "fp", "fp2", "sig", "short"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return picked.mapInArrow(run, "doc_id long, fp long, fp2 long, sig binary")
+    return picked.mapInArrow(run, "doc_id long, fp long, fp2 long, sig binary, short binary")
 
 
-def _signatures(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def _rows(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
+    """Fixed-width signatures of a binary column, one row each."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), SIGNATURE)
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), SIGNATURE)
 
 
 def children(paths: np.ndarray, sig: np.ndarray, branch: int = BRANCH) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +152,7 @@ def start_paths(classes: DataFrame, runs: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                fp, sig = batch.column("fp"), _signatures(batch.column("sig"))
+                fp, sig = batch.column("fp"), _rows(batch.column("sig"), np.uint32)
                 for r in range(runs):
                     at, path = children(mix64(np.full(len(sig), r + 1, _U)), sig)
                     yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), fp.take(pa.array(at))], ["path", "fp"])
@@ -158,11 +161,11 @@ def start_paths(classes: DataFrame, runs: int) -> DataFrame:
 
 
 def compare_small(lists: DataFrame) -> DataFrame:
-    """Spanning candidate links (a, b) of buckets, by signatures."""
+    """Spanning candidate links (a, b) of buckets, by one byte of each signature position (chance agreement 1 in 256)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["_task"]):
-            fp, sig = np.asarray(t["fp"].combine_chunks()), _signatures(t["sig"])
+            fp, sig = np.asarray(t["fp"].combine_chunks()), _rows(t["short"], np.uint8)
             left, right = pairs_to_compare(np.asarray(t["_chunk"].combine_chunks()), t["_split"][0].as_py())
             linked = np.zeros((len(fp), len(fp)), bool)
             for i in left.tolist():
@@ -185,8 +188,8 @@ def split_large(members: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             fp, leader = np.asarray(batch.column("fp")), np.asarray(batch.column("leader"))
-            sig = _signatures(batch.column("sig"))
-            alike = (sig == _signatures(batch.column("leader_sig"))).mean(axis=1) >= LOOSE
+            sig = _rows(batch.column("sig"), np.uint32)
+            alike = (sig == _rows(batch.column("leader_sig"), np.uint32)).mean(axis=1) >= LOOSE
             near, far = np.flatnonzero(alike & (fp != leader)), np.flatnonzero(~alike)
             rows, path = children(np.asarray(batch.column("path")).view(_U)[far], sig[far])
             none = pa.nulls(len(near), pa.int64())
@@ -199,19 +202,19 @@ def split_large(members: DataFrame) -> DataFrame:
 
 def candidate_links(classes: DataFrame, runs: int, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
     """Links (a, b) that connect all classes which some bucket found alike."""
-    sigs = classes.select("fp", "sig")
+    sigs, shorts = classes.select("fp", "sig"), classes.select("fp", "short")
     front = settle(start_paths(classes, runs))
     found = []
     for level in range(depth):
         sizes = settle(front.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1"))
         lists = front.join(sizes, "path")
         little = lists.filter(F.col("size") <= small).select(F.col("path").alias("_task"), "fp", F.lit(0).alias("_chunk"), F.lit(False).alias("_split"))
-        found.append(settle(compare_small(little.join(sigs, "fp")).distinct()))
+        found.append(compare_small(little.join(shorts, "fp")))
         if sizes.filter(F.col("size") > small).isEmpty():
             break
         large = settle(lists.filter(F.col("size") > small).select("path", "fp").distinct())
         if level == depth - 1:
-            found.append(settle(compare_small(block_tasks(large, "path", "fp", BLOCK).join(sigs, "fp")).distinct()))
+            found.append(compare_small(block_tasks(large, "path", "fp", BLOCK).join(shorts, "fp")))
             break
         leaders = large.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "fp").alias("h"), F.col("fp").alias("leader"))).alias("m")).select("path", F.col("m.leader").alias("leader"))
         leaders = settle(leaders.join(sigs.withColumnsRenamed({"fp": "leader", "sig": "leader_sig"}), "leader"))
@@ -290,17 +293,17 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, class_id (smallest doc_id reachable over links), n_links (other documents linked directly) of every row."""
     base = settle(describe(docs, id_col, text_col))
     worded = base.filter("fp is not null")
-    classes = settle(worded.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("sig").alias("sig")))
-    cluster = components(candidate_links(classes, runs_for(recall))).withColumnsRenamed({"node": "fp", "component": "cluster"})
+    classes = settle(worded.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("sig").alias("sig"), F.min("short").alias("short")))
+    cluster = components(candidate_links(classes, runs_for(recall)), smallest=False).withColumnsRenamed({"node": "fp", "component": "cluster"})
     members = settle(classes.select("fp", "rep", "n").join(cluster, "fp"))
     dealt = block_tasks(members, "cluster", "fp", BLOCK).groupBy("fp", "rep", "n").agg(F.collect_list(F.struct("_task", "_chunk", "_split")).alias("tasks"))
-    found = settle(verify(task_sets(docs, settle(dealt), id_col, text_col)))
+    found = settle(verify(task_sets(docs, dealt, id_col, text_col)))
     links = found.groupBy("fp").agg(F.sum("links").alias("links"))
-    reach = components(found, "fp", "root").withColumnRenamed("node", "fp")
+    reach = components(found, "fp", "root", smallest=False).withColumnRenamed("node", "fp")
     known = classes.select("fp", "fp2", "rep", "n").join(links, "fp", "left").join(reach, "fp", "left")
     known = settle(known.select("fp", "fp2", "rep", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "fp").alias("component")))
     named = settle(known.groupBy("component").agg(F.min("rep").alias("class_id")))
-    known = settle(known.join(named, "component").select("fp", "fp2", "class_id", (F.col("n") - 1 + F.col("links")).alias("n_links")))
+    known = known.join(named, "component").select("fp", "fp2", "class_id", (F.col("n") - 1 + F.col("links")).alias("n_links"))
     out = worded.select("doc_id", "fp", "fp2").join(known, ["fp", "fp2"]).select("doc_id", "class_id", "n_links")
     alone = base.filter("fp is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(alone)
