@@ -55,7 +55,7 @@ THRESHOLD = Fraction(4, 5)
 SIGNATURE = 64
 LOOSE = 0.6
 RECALL = 0.9999
-BRANCH, SMALL, DEPTH = 2, 256, 10
+BRANCH, SMALL, DEPTH = 2, 1024, 3
 BLOCK = 512
 
 _U = np.uint64
@@ -169,7 +169,7 @@ def compare_small(lists: DataFrame) -> DataFrame:
             left, right = pairs_to_compare(np.asarray(t["_chunk"].combine_chunks()), t["_split"][0].as_py())
             linked = np.zeros((len(fp), len(fp)), bool)
             for i in left.tolist():
-                linked[i, right] = (sig[right] == sig[i]).mean(axis=1) >= LOOSE
+                linked[i, right] = np.count_nonzero(sig[right] == sig[i], axis=1) >= LOOSE * SIGNATURE
             linked |= linked.T
             np.fill_diagonal(linked, False)
             root = local_roots(linked)
@@ -189,7 +189,7 @@ def split_large(members: DataFrame) -> DataFrame:
                 continue
             fp, leader = np.asarray(batch.column("fp")), np.asarray(batch.column("leader"))
             sig = _rows(batch.column("sig"), np.uint32)
-            alike = (sig == _rows(batch.column("leader_sig"), np.uint32)).mean(axis=1) >= LOOSE
+            alike = np.count_nonzero(sig == _rows(batch.column("leader_sig"), np.uint32), axis=1) >= LOOSE * SIGNATURE
             near, far = np.flatnonzero(alike & (fp != leader)), np.flatnonzero(~alike)
             rows, path = children(np.asarray(batch.column("path")).view(_U)[far], sig[far])
             none = pa.nulls(len(near), pa.int64())
