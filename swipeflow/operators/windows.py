@@ -5,7 +5,8 @@ Trailing windows of length W only ever look back W, so rows are partitioned
 by (customer, time bucket of size B >= W) and every row whose time is within
 W of the next bucket's start is also copied into that next bucket as
 read-only context (a "halo"). Windows run per (customer, bucket); only home
-rows are kept. The copy costs W/B extra rows; results are exact.
+rows are kept. The copy costs W/B extra rows; results are exact. Buckets are one
+day long, so a hot customer's task holds at most two days.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def with_halo(df: DataFrame, ts_us: str, lookback_us: int, bucket_us: int) -> Da
 def velocity(
     txns: DataFrame,
     windows: dict[str, int] | None = None,
-    bucket_us: int = 7 * DAY_US,
+    bucket_us: int = DAY_US,
     key: str = "customer_id",
 ) -> DataFrame:
     """Count and amount of the customer's transactions in the trailing
@@ -59,7 +60,7 @@ def velocity(
 
 
 def impossible_travel(
-    txns: DataFrame, max_gap_minutes: int = 120, bucket_us: int = 7 * DAY_US, key: str = "customer_id"
+    txns: DataFrame, max_gap_minutes: int = 120, bucket_us: int = DAY_US, key: str = "customer_id"
 ) -> DataFrame:
     """Previous transaction of the same customer when it lies within
     ``max_gap_minutes``; flagged when its state differs (and the gap is
