@@ -73,11 +73,9 @@ def thin(units: np.ndarray, number: int, apart: float = APART) -> np.ndarray:
 
 def choose_pivots(classes: DataFrame, number: int) -> dict[int, np.ndarray]:
     """Pivots by vector length, from the ``OVERSAMPLE * number`` classes with the smallest id hash (bounded, collected)."""
-    rows = classes.orderBy(F.xxhash64("rep"), "rep").limit(OVERSAMPLE * number).select("v").collect()
-    by_size: dict[int, list] = {}
-    for r in rows:
-        by_size.setdefault(len(r["v"]), []).append(r["v"])
-    return {n: thin(unit_rows(pa.array(vs, pa.list_(pa.float64()))), number) for n, vs in by_size.items()}
+    rows = classes.orderBy(F.xxhash64("rep"), "rep").limit(OVERSAMPLE * number).select("v").toArrow()["v"].combine_chunks()
+    sizes = np.asarray(pa.compute.list_value_length(rows))
+    return {n: thin(unit_rows(rows.take(pa.array(np.flatnonzero(sizes == n)))), number) for n in np.unique(sizes).tolist()}
 
 
 def nearest_pivots(units: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
