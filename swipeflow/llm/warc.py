@@ -11,8 +11,7 @@ name. The partitions' file lists form a manifest table next to the files, whose
 
 Of records with equal payloads of at least ``min_revisit`` bytes, the one with the
 smallest page id is a response, the others are revisits that refer to it. Only
-(digest, page id) are aggregated for that, with partial sums, and revisits
-lose their payload before the sort.
+(digest, page id) are aggregated and joined for that; payloads are shuffled once.
 
 Files go to the folder named by the caller through ``pyarrow.fs``, which the
 executors must share.
@@ -137,14 +136,18 @@ class Roller:
 
 
 def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_revisit: int) -> DataFrame:
-    """_id, _url, _payload (null for revisits), _digest (hex), _length, _refers of every row."""
+    """One row per page (_mark 1) and, before it in the order of (_id, _digest, _mark), one
+    row without payload (_mark 0) for each (id, payload) that is a revisit of _refers.
+
+    Ids and digests alone are joined by digest; payloads move once, to their place in the order.
+    """
     payload = F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "utf-8")
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).cast("string").alias("_url"), payload.alias("_payload"))
     rows = rows.withColumn("_digest", F.sha1("_payload")).withColumn("_length", F.octet_length("_payload").cast("long"))
-    firsts = rows.filter(F.col("_length") >= min_revisit).groupBy("_digest").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").select("_digest", "_first")
-    joined = rows.join(settle(firsts), "_digest", "left")
-    refers = F.when(F.col("_id") != F.col("_first"), F.col("_first"))
-    return joined.select("_id", "_url", F.when(refers.isNull(), F.col("_payload")).alias("_payload"), "_digest", "_length", refers.alias("_refers"))
+    long_enough = rows.filter(F.col("_length") >= min_revisit).select("_id", "_digest")
+    firsts = settle(long_enough.groupBy("_digest").agg(F.min("_id").alias("_refers"), F.count("*").alias("_n")).filter("_n > 1").select("_digest", "_refers"))
+    revisits = long_enough.join(firsts, "_digest").filter("_id <> _refers").select("_id", "_digest", "_refers", F.lit(0).alias("_mark"))
+    return rows.withColumn("_mark", F.lit(1)).unionByName(revisits, allowMissingColumns=True)
 
 
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 0, roll: int = ROLL_BYTES, date: str = EPOCH) -> DataFrame:
@@ -155,16 +158,21 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         roller = Roller(folder, task.partitionId(), task.taskAttemptId(), roll, date)
+        revisit = None  # (id, digest, response's id) of the last row with mark 0
         for batch in batches:
             for i in range(batch.num_rows):
-                page, url, payload, digest, length, refers = (batch.column(k)[i].as_py() for k in range(6))
-                roller.add(record_bytes(page, url, payload, base64.b32encode(bytes.fromhex(digest)).decode("ascii"), length, refers, date))
+                page, url, payload, digest, length, refers, mark = (batch.column(k)[i].as_py() for k in range(7))
+                if mark == 0:
+                    revisit = (page, digest, refers)
+                    continue
+                refers = revisit[2] if revisit and revisit[:2] == (page, digest) else None
+                roller.add(record_bytes(page, url, payload if refers is None else None, base64.b32encode(bytes.fromhex(digest)).decode("ascii"), length, refers, date))
         roller.close()
         if roller.files:
             yield pa.RecordBatch.from_pylist(roller.files, pa.schema([("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())]))
 
-    ordered = plan_records(pages, id_col, url_col, html_col, min_revisit).repartitionByRange("_id", "_digest").sortWithinPartitions("_id", "_digest", "_url")
-    ordered.mapInArrow(run, "file string, records long, bytes long, sha256 string").write.parquet(f"{folder}/_manifest")
+    ordered = plan_records(pages, id_col, url_col, html_col, min_revisit).repartitionByRange("_id", "_digest").sortWithinPartitions("_id", "_digest", "_mark", "_url")
+    ordered.select("_id", "_url", "_payload", "_digest", "_length", "_refers", "_mark").mapInArrow(run, "file string, records long, bytes long, sha256 string").write.parquet(f"{folder}/_manifest")
     return pages.sparkSession.read.parquet(f"{folder}/_manifest")
 
 
