@@ -212,7 +212,8 @@ def candidate_links(classes: DataFrame, runs: int, small: int = SMALL, depth: in
         found.append(compare_small(little.join(shorts, "fp")))
         if sizes.filter(F.col("size") > small).isEmpty():
             break
-        large = settle(lists.filter(F.col("size") > small).select("path", "fp").distinct())
+        # a class is in a bucket once, so no distinct is needed, which would keep a hot bucket's join in one task
+        large = settle(lists.filter(F.col("size") > small).select("path", "fp"))
         if level == depth - 1:
             found.append(compare_small(block_tasks(large, "path", "fp", BLOCK).join(shorts, "fp")))
             break
