@@ -22,8 +22,6 @@ from swipeflow.llm import decontam, jaccard_join, langid, packing, toxicity
 from swipeflow.llm.common import ship_package, table
 from swipeflow.session import scratch_dir
 
-#: Mean out-of-place distance from which a text resembles none of the learned languages.
-FOREIGN = 0.97
 TOXIC_AT = 0.5
 
 
@@ -48,13 +46,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter that resemble some learned language."""
+    """Documents with a letter that are within the learned distance of some learned language."""
     ship_package(spark)
     known = langid.learn_profiles(docs)
     carried, names = _carried(docs)
     own = {c: k for k, c in names.items()}
     named = langid.identify(carried, known, own["doc_id"], own["text"], keep=tuple(names))
-    return _restored(named.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("distance") < FOREIGN)), names)
+    return _restored(named.filter(F.col("lang_pred") != langid.UNDETERMINED), names)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,12 +9,23 @@ profile, or the largest distance where the profile lacks it. The nearest
 profile wins. N-grams of equal count share their mean rank, so short texts
 are compared without arbitrary orders.
 
+A text that is too far even from the nearest profile is in no learned language.
+How far is too far is learned too, by language and by the number of distinct
+n-grams (short texts lie less steadily): each half of the training documents is
+measured against the profile of the other half, whole and in windows of 1, 2,
+4, ... words, and the limit is the mean of these distances plus ``SPREADS``
+standard deviations plus ``MARGIN``, at most ``FARTHEST``, and no narrower than
+that of any larger class. Classes of fewer than
+``LEAST`` measured texts take the limit of the next shorter class, then of the
+next longer; a language without any takes that of all languages together.
+
 Bounds: ``PER_LANGUAGE`` training documents a language, chosen by a hash of
 doc_id over all labelled documents; ``PROFILE`` n-grams a profile. N-grams are
 32-bit hashes; a collision moves one n-gram's rank.
 
-Edge cases: a null text or one without a letter gets ``und`` and score 0, as
-does every text if no labelled document exists; equal distances take the
+Edge cases: a null text, one without a letter or one beyond the limit gets ``und``
+and score 0, as does every text if no labelled document exists; a few words
+in an unknown language can pass, as the limit of short texts is wide; equal distances take the
 alphabetically first language; very long texts are read whole; repeated rows
 give one row each; empty tables give empty results. Only the named columns are
 read.
@@ -36,6 +47,14 @@ SALTS = 64
 PROFILE = 400
 UNDETERMINED = "und"
 SHARPNESS = 25.0
+#: Reject limit: standard deviations and distance added to the mean distance of unseen texts of the language.
+SPREADS = 4.0
+MARGIN = 0.15
+#: No limit is above this, as hardly an n-gram is shared there.
+FARTHEST = 0.97
+#: Texts measured in a size class before its spread counts; size classes (two for each doubling of n-grams).
+LEAST = 20
+SIZES = 64
 
 _U = np.uint64
 
@@ -104,11 +123,37 @@ def ranked(grams: Grams, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[kept], gram[kept], np.minimum(rank[kept], top)
 
 
+def size_class(n: np.ndarray) -> np.ndarray:
+    """Class of texts of ``n`` distinct n-grams."""
+    return (2 * np.log2(np.maximum(n, 1))).astype(np.int64)
+
+
+def learn_limits(languages: list[str], spread: list[tuple[str, int, int, float, float]]) -> np.ndarray:
+    """Reject distance by size class and language, from (language, size class, texts, sum of distances, sum of squares)."""
+    sums = np.zeros((3, SIZES, len(languages)))
+    for lang, c, *row in spread:
+        sums[:, c, languages.index(lang)] = row
+    together = sums.sum(axis=2)
+    out = np.full((SIZES, len(languages)), FARTHEST)
+    for k in range(len(languages)):
+        own = sums[:, :, k] if (sums[0, :, k] >= LEAST).any() else together
+        known = np.flatnonzero(own[0] >= LEAST)
+        if len(known):
+            n, total, squares = own[:, known]
+            mean = total / n
+            limit = mean + SPREADS * np.sqrt(np.maximum(squares / n - mean**2, 0)) + MARGIN
+            limit = np.maximum.accumulate(limit[::-1])[::-1]
+            at = np.maximum(np.searchsorted(known, np.arange(SIZES), side="right") - 1, 0)
+            out[:, k] = np.minimum(limit[at], FARTHEST)
+    return out
+
+
 class Profiles:
     """Ranks of all profile n-grams in every language; ``missing`` where a profile lacks one."""
 
-    def __init__(self, by_language: dict[str, list[int]], size: int = PROFILE) -> None:
+    def __init__(self, by_language: dict[str, list[int]], size: int = PROFILE, spread: list[tuple[str, int, int, float, float]] = ()) -> None:
         self.languages = sorted(by_language)
+        self.limits = learn_limits(self.languages, spread)
         self.size = size
         self.grams = np.unique(np.array([g for gs in by_language.values() for g in gs], np.int64))
         self.ranks = np.full((len(self.grams) + 1, len(self.languages)), np.inf)
@@ -138,8 +183,10 @@ class Profiles:
         best = np.argmin(apart, axis=1)
         nearest = apart[np.arange(len(texts)), best]
         share = np.exp(-SHARPNESS * (apart - nearest[:, None]))
-        score = np.where(grams.has_letter, 1 / share.sum(axis=1), 0.0)
-        names = [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), grams.has_letter.tolist(), strict=True)]
+        limit = self.limits[size_class(np.bincount(grams.doc, minlength=len(texts))), best]
+        known = grams.has_letter & (nearest < limit)
+        score = np.where(known, 1 / share.sum(axis=1), 0.0)
+        names = [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), known.tolist(), strict=True)]
         return names, score, np.where(grams.has_letter, nearest, 1.0)
 
 
@@ -152,34 +199,73 @@ def training_rows(docs: DataFrame, id_col: str, lang_col: str, per_language: int
     return ids.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= max(1, per_language // SALTS)).select("_id").distinct()
 
 
+def windows(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """(positions, texts): all texts whole, then the middle 1, 2, 4, ... words of those that have more."""
+    yield list(range(len(texts))), texts
+    words = [t.split() for t in texts]
+    m = 1
+    while longer := [i for i, w in enumerate(words) if len(w) > m]:
+        yield longer, [" ".join(words[i][(len(words[i]) - m) // 2 :][:m]) for i in longer]
+        m *= 2
+
+
+def measure(rows: DataFrame, halves: list[dict[str, list[int]]], size: int) -> list[tuple[str, int, int, float, float]]:
+    """What ``learn_limits`` needs: distances of ``rows`` (lang, text, half) to their language's profile of the other half."""
+    # broadcast bound: 2 x size n-grams for each language
+    shared = rows.sparkSession.sparkContext.broadcast([Profiles(h, size) for h in halves])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, half = batch.column("lang").to_pylist(), batch.column("half").to_pylist()
+            for a, b, texts in chunks(batch, "text"):
+                for other, known in enumerate(shared.value):
+                    mine = [i for i in range(b - a) if half[a + i] != other and names[a + i] in known.languages]
+                    for at, cut in windows([texts[i] for i in mine]):
+                        grams = Grams(cut)
+                        own = np.array([known.languages.index(names[a + mine[i]]) for i in at], np.int64)
+                        d = known.distances(grams)[np.arange(len(cut)), own] if len(cut) else np.empty(0)
+                        ok = np.flatnonzero(grams.has_letter)
+                        n = size_class(np.bincount(grams.doc, minlength=len(cut)))
+                        yield pa.RecordBatch.from_arrays([pa.array([known.languages[own[i]] for i in ok.tolist()], pa.string()), pa.array(n[ok].astype(np.int32)), pa.array(d[ok])], ["lang", "size", "d"])
+
+    found = rows.mapInArrow(run, "lang string, size int, d double").groupBy("lang", "size")
+    # at most SIZES rows for each language
+    return [tuple(r) for r in found.agg(F.count("*"), F.sum("d"), F.sum(F.col("d") * F.col("d"))).collect()]
+
+
 def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, size: int = PROFILE) -> Profiles:
-    """Language profiles from labelled documents outside fold 0."""
+    """Language profiles and reject limits from labelled documents outside fold 0."""
     # broadcast bound: per_language ids (8 bytes) for each language
     chosen = F.broadcast(training_rows(docs, id_col, lang_col, per_language))
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).join(chosen, "_id", "left_semi").select("lang", "text")
+    rows = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    # halves by text, so that copies of a document do not measure themselves
+    rows = rows.join(chosen, "_id", "left_semi").select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column("lang").to_pylist()
+            names, half = batch.column("lang").to_pylist(), np.asarray(batch.column("half"))
             for a, b, texts in chunks(batch, "text"):
                 here = sorted(set(names[a:b]))
                 grams = Grams(texts)
-                lang = np.array([here.index(x) for x in names[a:b]])[grams.doc]
+                lang = 2 * np.array([here.index(x) for x in names[a:b]])[grams.doc] + half[a:b][grams.doc]
                 key, inverse = np.unique((lang.astype(_U) << _U(32)) | grams.gram.astype(_U), return_inverse=True)
                 n = np.bincount(inverse, grams.count, minlength=len(key)).astype(np.int64)
                 which = (key >> _U(32)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([here[k] for k in which.tolist()], pa.string()), pa.array((key & _U(0xFFFFFFFF)).astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([here[k // 2] for k in which.tolist()], pa.string()), pa.array((which % 2).astype(np.int32)), pa.array((key & _U(0xFFFFFFFF)).astype(np.int64)), pa.array(n)], ["lang", "half", "gram", "n"])
 
-    counts = rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
+    counted = rows.mapInArrow(run, "lang string, half int, gram long, n long").groupBy("lang", "gram")
+    counts = counted.agg(F.sum("n").alias("n"), *(F.sum(F.when(F.col("half") == h, F.col("n"))).alias(f"n{h}") for h in (0, 1))).persist()
     try:
-        by_language = {}
+        tops: dict[str, dict[str, list[int]]] = {"n": {}, "n0": {}, "n1": {}}
         for (lang,) in counts.select("lang").distinct().collect():
-            top = counts.filter(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(size)
-            by_language[lang] = [r.gram for r in top.select("gram").collect()]
+            for n, by_language in tops.items():
+                top = counts.filter((F.col("lang") == lang) & F.col(n).isNotNull()).orderBy(F.desc(n), "gram").limit(size)
+                by_language[lang] = [r.gram for r in top.select("gram").collect()]
     finally:
         counts.unpersist()
-    return Profiles(by_language, size)
+    halves = [{lang: grams for lang, grams in tops[n].items() if grams} for n in ("n0", "n1")]
+    return Profiles(tops["n"], size, measure(rows, halves, size))
 
 
 def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -74,3 +74,28 @@ def test_label_model_finds_accuracies_and_discounts_copies():
     assert abs(model.share - 0.3) < 0.05 and abs(model.fires[1, 0] - 0.9) < 0.06
     assert model.weight[2:5].max() < 0.5 < model.weight[0]
     assert ((model.posterior(votes) >= 0.5) == y).mean() > 0.94
+
+
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+
+
+def test_unlearned_languages_and_gibberish_are_undetermined(session):
+    rnd = np.random.default_rng(7)
+    gibberish = lambda n: " ".join("".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), rnd.integers(2, 10))) for _ in range(n))
+    profiles = langid.learn_profiles(docs_of(session))
+    foreign = [FINNISH, FINNISH * 30, " ".join(f"{x:08x}" for x in rnd.integers(0, 1 << 32, 80)), *(gibberish(n) for n in (12, 20, 60, 500))]
+    assert profiles.predict(foreign)[0] == ["und"] * len(foreign)
+    assert set(profiles.predict(foreign)[1]) == {0.0}
+    # whole documents outside the sample, and short cuts of them, stay
+    texts = [r["text"] for r in docs_of(session).filter((langid.fold("doc_id") == 0) & F.col("text").rlike(r"\p{L}")).collect()]
+    cuts = [" ".join(t.split()[:n]) for t in texts for n in (2, 4, 8)]
+    assert profiles.predict(texts)[0].count("und") == 0
+    assert profiles.predict(cuts)[0].count("und") <= 0.01 * len(cuts)
+
+
+def test_limits_of_sparse_sizes_and_languages():
+    spread = [("a", 10, 100, 30.0, 9.25), ("a", 12, 3, 2.7, 2.43), ("b", 8, 1, 0.9, 0.81)]
+    limits = langid.learn_limits(["a", "b"], spread)
+    want = 0.3 + langid.SPREADS * 0.05 + langid.MARGIN
+    assert np.allclose(limits[[0, 10, 12, 63], 0], want) and np.allclose(limits[10], want)
+    assert (langid.learn_limits(["a"], []) == langid.FARTHEST).all()
