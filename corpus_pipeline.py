@@ -56,9 +56,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
+    """One row of each group of near duplicates: the one with the smallest id, a null id last."""
     ship_package(spark)
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, null_ids_stay=False)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipeflow.session import ensure_checkpoint_dir
@@ -45,15 +45,28 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-#: Ids (16 bytes with overhead) that ``without`` sends to every task; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Row keys (about 64 bytes with overhead) that ``without`` sends to every task; more are joined by a shuffle.
+BROADCAST_KEYS = 500_000
 
 
-def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id is not in ``ids`` (one column); rows with a null id stay.
+def row_key(id_col: str, text_col: str) -> Column:
+    """128-bit digest of a row's id and text: equal for copies of a row only; null for a null text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.col(text_col).cast("string")).cast("binary")))
 
-    The ids are counted first, and broadcast only up to ``BROADCAST_IDS`` of them.
+
+def without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is not in ``keys`` (one column); rows with a null key stay.
+
+    The keys are counted first, and broadcast only up to ``BROADCAST_KEYS`` of them.
     """
-    ids = settle(ids.toDF(id_col).filter(F.col(id_col).isNotNull()).distinct())
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(side, id_col, "left_anti").select(*docs.columns)
+    keys = settle(keys.toDF(key).filter(F.col(key).isNotNull()).distinct())
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    return docs.join(side, key, "left_anti").select(*docs.columns)
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with neutral column names and the row's ``_key``, and the columns that give the names back."""
+    names = {f"_c{i}": c for i, c in enumerate(docs.columns)}
+    own = {c: k for k, c in names.items()}
+    keyed = docs.toDF(*names)
+    return keyed.withColumn("_key", row_key(own[id_col], own[text_col])), [F.col(k).alias(c) for k, c in names.items()]

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swipeflow.llm.common import without
+from swipeflow.llm.common import numbered, without
 from swipeflow.llm.text import CodePoints, category_table, chunks, lower_table, mix64
 
 Q = 8
@@ -267,20 +267,27 @@ def item_groups(benchmark: DataFrame, id_col: str, text_col: str, limit: int = M
         yield group
 
 
-MATCH_SCHEMA = "doc_id long, item_id long, start long, end long, edits int, item_chars int"
+MATCH_FIELDS = "item_id long, start long, end long, edits int, item_chars int"
+MATCH_SCHEMA = f"doc_id long, {MATCH_FIELDS}"
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", rate: float = ERROR_RATE) -> DataFrame:
     """One row per passage: doc_id, item_id, start and end in code points of the original text, edits, item_chars."""
     picked = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    return _search_all(picked, item_groups(benchmark, item_id, item_text), rate)
+
+
+def _search_all(picked: DataFrame, item_lists: Iterator[list[tuple[int, str]]], rate: float) -> DataFrame:
     out = None
-    for group in item_groups(benchmark, item_id, item_text):
+    for group in item_lists:
         found = _search(picked, group, rate)
         out = found if out is None else out.unionByName(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], MATCH_SCHEMA)
+    return out if out is not None else picked.sparkSession.createDataFrame([], f"doc_id {picked.schema['_id'].dataType.simpleString()}, {MATCH_FIELDS}")
 
 
 def _search(picked: DataFrame, group: list[tuple[int, str]], rate: float) -> DataFrame:
+    id_type = picked.schema["_id"].dataType
+    arrow_id = pa.binary() if id_type.simpleString() == "binary" else pa.int64()
     shared = picked.sparkSession.sparkContext.broadcast(group)  # at most MAX_ITEM_CHARS characters or one item
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,11 +302,15 @@ def _search(picked: DataFrame, group: list[tuple[int, str]], rate: float) -> Dat
                     base = normal.raw_offsets[doc]
                     rows.append((ids[a + doc], item, int(normal.at[start] - base), int(normal.at[end - 1] - base) + 1, edits, chars))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(),) * 4 + (pa.int32(),) * 2, strict=True)], ["doc_id", "item_id", "start", "end", "edits", "item_chars"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (arrow_id, *(pa.int64(),) * 3, pa.int32(), pa.int32()), strict=True)], ["doc_id", "item_id", "start", "end", "edits", "item_chars"])
 
-    return picked.mapInArrow(run, MATCH_SCHEMA)
+    return picked.mapInArrow(run, f"doc_id {id_type.simpleString()}, {MATCH_FIELDS}")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents that hold no benchmark passage, all columns kept; rows with a null id or text stay."""
-    return without(docs, find_leaks(docs, benchmark, id_col).select("doc_id"), id_col)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that hold no benchmark passage, all columns kept. Each row goes or stays by its own text, whatever
+    its id; rows with a null text stay."""
+    keyed, names = numbered(docs, id_col, text_col)
+    picked = keyed.filter("_key is not null").select(F.col("_key").alias("_id"), F.col(f"_c{docs.columns.index(text_col)}").cast("string").alias("_text"))
+    leaks = _search_all(picked, item_groups(benchmark, "item_id", "text"), ERROR_RATE)
+    return without(keyed, leaks.select("doc_id"), "_key").select(*names)

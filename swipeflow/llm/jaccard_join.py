@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swipeflow.llm.blocks import block_tasks, groups, local_roots, pairs_to_compare
-from swipeflow.llm.common import settle, without
+from swipeflow.llm.common import numbered, row_key, settle, without
 from swipeflow.llm.graph import components
 from swipeflow.llm.text import Words, chunks, mix64, range_hashes
 
@@ -104,8 +104,8 @@ class Shingles:
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, fp, fp2, sig, short (the low byte of each position of sig) of every row; all but doc_id are null for
-    rows without a word."""
+    """doc_id, key (see ``row_key``), fp, fp2, sig, short (the low byte of each position of sig) of every row; all but
+    doc_id and key are null for rows without a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,10 +117,10 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 columns = []
                 for width, raw in ((SIGNATURE * 4, sig.tobytes()), (SIGNATURE, sig.astype(np.uint8).tobytes())):
                     columns.append(pa.array([None if x else raw[i * width : (i + 1) * width] for i, x in enumerate(none.tolist())], pa.binary()))
-                yield pa.RecordBatch.from_arrays([batch.column("_id").slice(a, b - a), pa.array(fp, mask=none), pa.array(fp2, mask=none), *columns], ["doc_id", "fp", "fp2", "sig", "short"])
+                yield pa.RecordBatch.from_arrays([batch.column("_id").slice(a, b - a), batch.column("_key").slice(a, b - a), pa.array(fp, mask=none), pa.array(fp2, mask=none), *columns], ["doc_id", "key", "fp", "fp2", "sig", "short"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return picked.mapInArrow(run, "doc_id long, fp long, fp2 long, sig binary, short binary")
+    picked = docs.select(F.col(id_col).cast("long").alias("_id"), row_key(id_col, text_col).alias("_key"), F.col(text_col).cast("string").alias("_text"))
+    return picked.mapInArrow(run, "doc_id long, key binary, fp long, fp2 long, sig binary, short binary")
 
 
 def _rows(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
@@ -226,25 +226,32 @@ def candidate_links(classes: DataFrame, runs: int, small: int = SMALL, depth: in
 
 
 def task_sets(docs: DataFrame, dealt: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """fp, n, items (sorted distinct shingle hashes), _task, _chunk, _split: every class of ``dealt`` (fp, rep, n,
-    tasks) once for each of its tasks. Each text is read and hashed once."""
+    """fp, n, items (sorted distinct shingle hashes), _task, _chunk, _split: every class of ``dealt`` (fp, key, n,
+    tasks) once for each of its tasks. Each text is read and hashed once; of copies of the representing row, one in
+    each partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            want = np.asarray(batch.column("fp"))
+            new = []
+            for i, fp in enumerate(batch.column("fp").to_pylist()):
+                if fp not in seen:
+                    seen.add(fp)
+                    new.append(i)
+            if not new:
+                continue
+            batch = batch.take(pa.array(new))
             for a, b, texts in chunks(batch, "_text"):
                 s = Shingles(texts)
-                same = np.flatnonzero(s.fingerprints()[0] == want[a:b])  # another row may share the id
-                sets = s.sets()
-                part = batch.slice(a, b - a).take(pa.array(same))
+                part = batch.slice(a, b - a)
                 tasks = part.column("tasks")
-                at = pa.array(np.repeat(np.arange(len(same)), np.asarray(tasks.value_lengths())))
-                items = pa.array([sets[i].tobytes() for i in same.tolist()], pa.binary()).take(at)
+                at = pa.array(np.repeat(np.arange(b - a), np.asarray(tasks.value_lengths())))
+                items = pa.array([x.tobytes() for x in s.sets()], pa.binary()).take(at)
                 each = tasks.flatten()
                 yield pa.RecordBatch.from_arrays([part.column("fp").take(at), part.column("n").take(at), items, *(each.field(k) for k in range(3))], ["fp", "n", "items", "_task", "_chunk", "_split"])
 
-    texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("_text"))
-    return texts.join(dealt, "rep").select("fp", "n", "tasks", "_text").mapInArrow(run, "fp long, n long, items binary, _task long, _chunk int, _split boolean")
+    texts = docs.filter(F.col(text_col).isNotNull()).select(row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("_text"))
+    return texts.join(dealt, "key").select("fp", "n", "tasks", "_text").mapInArrow(run, "fp long, n long, items binary, _task long, _chunk int, _split boolean")
 
 
 def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -290,26 +297,44 @@ def verify(tasks: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     return tasks.repartition("_task").sortWithinPartitions("_task").mapInArrow(run, "fp long, links long, root long")
 
 
-def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id (smallest doc_id reachable over links), n_links (other documents linked directly) of every row."""
+def link_rows(docs: DataFrame, id_col: str, text_col: str, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(rows, alone): doc_id, key, first (the first row reachable over links: no_id, doc_id, key), n_links of every row
+    with a word; doc_id of every other row. Rows with an id come first, then the smallest id, then the key."""
     base = settle(describe(docs, id_col, text_col))
     worded = base.filter("fp is not null")
-    classes = settle(worded.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("sig").alias("sig"), F.min("short").alias("short")))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    classes = settle(worded.groupBy("fp", "fp2").agg(F.min(order).alias("first"), F.count("*").alias("n"), F.min("sig").alias("sig"), F.min("short").alias("short")))
     cluster = components(candidate_links(classes, runs_for(recall)), smallest=False).withColumnsRenamed({"node": "fp", "component": "cluster"})
-    members = settle(classes.select("fp", "rep", "n").join(cluster, "fp"))
-    dealt = block_tasks(members, "cluster", "fp", BLOCK).groupBy("fp", "rep", "n").agg(F.collect_list(F.struct("_task", "_chunk", "_split")).alias("tasks"))
+    members = settle(classes.select("fp", F.col("first.key").alias("key"), "n").join(cluster, "fp"))
+    dealt = block_tasks(members, "cluster", "fp", BLOCK).groupBy("fp", "key", "n").agg(F.collect_list(F.struct("_task", "_chunk", "_split")).alias("tasks"))
     found = settle(verify(task_sets(docs, dealt, id_col, text_col)))
     links = found.groupBy("fp").agg(F.sum("links").alias("links"))
     reach = components(found, "fp", "root", smallest=False).withColumnRenamed("node", "fp")
-    known = classes.select("fp", "fp2", "rep", "n").join(links, "fp", "left").join(reach, "fp", "left")
-    known = settle(known.select("fp", "fp2", "rep", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "fp").alias("component")))
-    named = settle(known.groupBy("component").agg(F.min("rep").alias("class_id")))
-    known = known.join(named, "component").select("fp", "fp2", "class_id", (F.col("n") - 1 + F.col("links")).alias("n_links"))
-    out = worded.select("doc_id", "fp", "fp2").join(known, ["fp", "fp2"]).select("doc_id", "class_id", "n_links")
-    alone = base.filter("fp is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return out.unionByName(alone)
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class stays, the one with the smallest id; rows with a null id stay."""
-    return without(docs, join_similar(docs, id_col, text_col).filter(F.col("doc_id") != F.col("class_id")).select("doc_id"), id_col)
+    known = classes.select("fp", "fp2", "first", "n").join(links, "fp", "left").join(reach, "fp", "left")
+    known = settle(known.select("fp", "fp2", "first", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "fp").alias("component")))
+    named = settle(known.groupBy("component").agg(F.min("first").alias("first")))
+    known = known.drop("first").join(named, "component").select("fp", "fp2", "first", (F.col("n") - 1 + F.col("links")).alias("n_links"))
+    return worded.select("doc_id", "key", "fp", "fp2").join(known, ["fp", "fp2"]).drop("fp", "fp2"), base.filter("fp is null").select("doc_id")
+
+
+def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id (smallest doc_id reachable over links), n_links (other documents linked directly) of every row."""
+    rows, alone = link_rows(docs, id_col, text_col, recall)
+    out = rows.select("doc_id", F.col("first.doc_id").alias("class_id"), "n_links")
+    return out.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_ids_stay: bool = True) -> DataFrame:
+    """One row of each class stays, the one with the smallest id (of rows that share it, the one with the smallest
+    key, of its copies any one). Rows with a null id stay too, or count as rows after all ids."""
+    rows = link_rows(docs, id_col, text_col, RECALL)[0]
+    if null_ids_stay:
+        rows = rows.filter("doc_id is not null")
+    rows = settle(rows.select("key", (F.col("key") == F.col("first.key")).alias("is_first")))
+    repeated = settle(rows.filter("is_first").groupBy("key").count().filter("count > 1").select("key"))
+    keyed, names = numbered(docs, id_col, text_col)
+    out = without(keyed, rows.filter(~F.col("is_first")).select("key").unionByName(repeated), "_key").select(*names)
+    if repeated.isEmpty():
+        return out
+    # copies of a row are reduced within each partition before the shuffle
+    return out.unionByName(keyed.join(repeated.withColumnRenamed("key", "_key"), "_key", "left_semi").dropDuplicates(["_key"]).select(*names))

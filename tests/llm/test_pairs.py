@@ -206,3 +206,29 @@ def test_vectors_equal_brute_force(session):
     assert all(got[i] == (0, i, True) for i in range(n, n + 6))
     assert pivots.link_vectors(df.limit(0)).count() == 0
     assert df.select(F.count("*")).first()[0] == len(got)
+
+
+def test_rows_are_dropped_by_row_not_by_id(session):
+    a, b, c, d = ("a b c d e f", "g h i j k l", "m n o p q r", "s t u v w x y z a b c d e f g h i j k l m n")
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (7, c, "x"), (7, c, "x"), (7, c, "x"), (None, c, "x"), (None, d, "x"), (None, d + " o", "x"), (None, None, "x"), (None, None, "x")]
+    df = session.createDataFrame(rows, "doc_id long, text string, _key string").repartition(4)
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1] or "")
+    got = sorted((tuple(r) for r in jaccard_join.keep_one(df, null_ids_stay=False).collect()), key=order)
+    of_d = [r for r in got if r[1] and r[1].startswith(d)]
+    assert len(of_d) == 1
+    assert [r for r in got if r not in of_d] == [(None, None, "x"), (None, None, "x"), (1, a, "x"), (5, b, "x"), (7, c, "x")]
+    # by default rows with a null id stay beside the row that represents them
+    stay = sorted((tuple(r) for r in jaccard_join.keep_one(df).collect()), key=order)
+    assert stay == sorted([r for r in rows if r[0] is None] + [(1, a, "x"), (5, b, "x"), (7, c, "x")], key=order)
+    # texts whose rows all have a null id are linked with different texts too
+    links = [r["n_links"] for r in jaccard_join.join_similar(df.filter(F.col("text").startswith(d))).collect()]
+    assert links == [1, 1]
+
+
+def test_contaminated_rows_go_by_their_own_text(session):
+    item = "the quick brown fox jumps over the lazy dog and runs far away"
+    rows = [(1, f"so {item} now"), (1, "clean"), (None, f"so {item} now"), (None, "clean"), (2, None), (3, "clean"), (3, f"{item}"), (3, f"{item}")]
+    df = clashing(session.createDataFrame(rows, "doc_id long, text string"))
+    bench = session.createDataFrame([(1, item)], "item_id long, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in decontam.drop_contaminated(df, bench).collect()), key=repr)
+    assert got == sorted([(1, "clean"), (None, "clean"), (2, None), (3, "clean")], key=repr)
