@@ -221,8 +221,8 @@ def upsert_partitioned(
     ``rows_move=True``: a row may come back with other partition values; the key
     and partition columns of the target are scanned to find where matched keys
     live now, and such a row leaves its old partition. ``rows_move=False``: the
-    partition values belong to the key (a transaction keeps its event time), so
-    only the source's own partitions are read and rewritten.
+    partition values belong to the key, so only the source's own partitions are
+    read and rewritten; the same key in another partition is another row.
 
     The merged partitions are written once, with dynamic partition overwrite:
     its job commit swaps the new files in after every task has read the old
@@ -254,6 +254,7 @@ def upsert_partitioned(
         merged = merge_frames(touched_rows(target, parts, partition_cols).select(*source.columns), keyed, keys, null_safe=partition_cols, **merge_kwargs)
         if rows_move:
             merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
+            left = {tuple(r) for r in merged.select(*partition_cols).distinct().collect()}  # before the write replaces what it reads
         (
             merged.select(*target.columns)
             .write.mode("overwrite")
@@ -263,7 +264,6 @@ def upsert_partitioned(
         )
         if rows_move:
             # partitions that the merge emptied get no file from the overwrite: drop them
-            left = {tuple(r) for r in merged.select(*partition_cols).distinct().collect()}
             for part in parts:
                 if part not in left:
                     _delete_dir(spark, f"{path.rstrip('/')}/" + "/".join(_part_dir(spark, c, v) for c, v in zip(partition_cols, part)))

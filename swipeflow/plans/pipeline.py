@@ -67,8 +67,8 @@ def point_in_time(spark: SparkSession, bronze_path: str, as_of_ts: str) -> DataF
 def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str | None = None) -> dict:
     """Silver: cleanse, dedup, features, enrich; MERGE where the newer offset
     wins; rows with a NULL key go to the quarantine table. Transactions: MERGE
-    into the year/month-partitioned table, touching the source's partitions only
-    (an id keeps its event time); customers: versioned."""
+    into the year/month-partitioned table, rewriting the source's partitions and
+    those its ids leave (a corrected time moves a row); customers: versioned."""
     b_txn = (
         point_in_time(spark, paths["bronze_txn"], bronze_as_of)
         if bronze_as_of
@@ -92,7 +92,6 @@ def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str
             ["transaction_id"],
             SILVER_PARTS,
             quarantine=paths["silver_quarantine"],
-            rows_move=False,
             newer_wins="kafka_offset",
         )
         cust_job = pool.submit(merge.upsert_path, spark, cust, paths["silver_cust"], ["customer_id"])

@@ -98,8 +98,9 @@ def silver_batch_writer(
     """``foreachBatch`` body: cleanse, dedup inside the batch, features,
     then MERGE by ``transaction_id`` where the newer offset wins (B7). Rows
     without an id are appended to ``quarantine`` (default: a folder beside the
-    table). The table is partitioned by day, so a micro-batch reads and rewrites
-    only its own days. (Very large per-day volumes want a table format with file-level
+    table). The table is partitioned by day; a micro-batch scans the id and day
+    columns for where its ids live now (a corrected time moves a row), and reads and
+    rewrites only those days and its own. (Very large per-day volumes want a table format with file-level
     rewrites; there, stream Bronze only and run the batch Silver MERGE.)"""
     quarantine = quarantine or f"{silver_path.rstrip('/')}_quarantine"
 
@@ -115,7 +116,6 @@ def silver_batch_writer(
             ["transaction_id"],
             SILVER_STREAM_PARTS,
             quarantine=quarantine,
-            rows_move=False,
             newer_wins="kafka_offset",
         )
 
@@ -165,13 +165,14 @@ def hourly_alerts(parsed: DataFrame, watermark: str = "2 hours") -> DataFrame:
 def alerts_batch_writer(silver_path: str, alerts_path: str, as_of: str | None = None):
     """``foreachBatch`` body of the exact alerts: MERGE the batch into Silver (dedup by transaction, newest
     offset wins), then rebuild the alerts of the days it touched from Silver, whatever their age.
-    Late and replayed events thus repair the table, and only touched days are read and rewritten."""
+    Late, replayed and re-timed events thus repair the table (the day a row left is rebuilt too), and only
+    touched days are rewritten."""
     quarantine = f"{silver_path.rstrip('/')}_quarantine"
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         rows = silver.silver_transactions(batch.drop("_corrupt_record"), as_of, keep_null_keys=True)
-        days = merge.upsert_partitioned(spark, rows, silver_path, ["transaction_id"], SILVER_STREAM_PARTS, quarantine=quarantine, rows_move=False, newer_wins="kafka_offset")
+        days = merge.upsert_partitioned(spark, rows, silver_path, ["transaction_id"], SILVER_STREAM_PARTS, quarantine=quarantine, newer_wins="kafka_offset")
         if days:
             touched = merge.touched_rows(spark.read.schema(rows.schema).parquet(silver_path), days, SILVER_STREAM_PARTS)
             merge.replace_partitions(spark, gold.fraud_alerts_hourly(touched), alerts_path, SILVER_STREAM_PARTS, days)

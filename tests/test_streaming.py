@@ -3,6 +3,8 @@ nothing; the foreachBatch Silver merge equals batch dedup."""
 
 import os
 
+from pyspark.sql import Window
+
 from swipeflow.operators import silver
 from swipeflow.plans import registry as R
 from swipeflow.streaming import bronze_stream as S
@@ -68,3 +70,24 @@ def test_watermarked_alerts_count_what_is_in_time(spark, tmp_dir):
     q.awaitTermination()
     clean = silver.cleanse_transactions(R.bronze(spark, SF_SMALL)).filter("is_fraud AND transaction_ts IS NOT NULL")
     assert spark.table("live_alerts").agg({"fraud_count": "sum"}).first()[0] == clean.count()
+
+
+def test_a_changed_or_mended_time_moves_the_row(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    good = R.bronze(spark, SF_SMALL).filter("transaction_id IS NOT NULL AND is_fraud").dropDuplicates(["transaction_id"]).orderBy("transaction_id").limit(3)
+    good = spark.createDataFrame(good.collect(), good.schema).withColumn("rank", F.dense_rank().over(Window.orderBy("transaction_id")))
+    times = F.when(F.col("rank") == 1, F.lit(None)).when(F.col("rank") == 2, F.lit("2024-01-03 08:00:00")).otherwise(F.lit("2024-02-07 09:00:00"))
+    first = good.withColumns({"transaction_ts": times, "kafka_offset": F.lit(1).cast("long") + F.col("rank")})
+    later = good.withColumns({"transaction_ts": F.lit("2024-03-05 10:00:00"), "kafka_offset": F.lit(100).cast("long") + F.col("rank")})
+    parse = lambda raw: S.parse_transactions(S.to_envelope(raw), as_of=R.AS_OF)
+    writers = {"s": S.silver_batch_writer(f"{tmp_dir}/s", as_of=R.AS_OF), "a": S.alerts_batch_writer(f"{tmp_dir}/a", f"{tmp_dir}/alerts", as_of=R.AS_OF)}
+    for name, write in writers.items():
+        for epoch, raw in enumerate((first, later, first)):  # the last is an old replay
+            write(parse(raw), epoch)
+        got = spark.read.parquet(f"{tmp_dir}/{name}").select("transaction_id", "txn_month", "txn_day").collect()
+        assert len({r.transaction_id for r in got}) == len(got) == 3
+        assert {(r.txn_month, r.txn_day) for r in got} == {(3, 5)}
+    alerts = spark.read.parquet(f"{tmp_dir}/alerts")
+    assert alerts.agg({"fraud_count": "sum"}).first()[0] == 3
+    assert [str(r.alert_ts) for r in alerts.select("alert_ts").distinct().collect()] == ["2024-03-05 10:00:00"]
