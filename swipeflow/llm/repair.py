@@ -50,8 +50,8 @@ SYMBOLS = "ABCDEFGHIJKLMNOP"
 PIECE = 8192
 #: Cells of the table that are kept whole; larger tables keep every n-th row.
 DENSE_CELLS = 1 << 21
-#: Rows a batch that the edit lists are sent in.
-BATCH = 8192
+#: Letters of audits that a task lays out at once.
+BATCH = 65_536
 FAR = 1 << 29
 #: Bands wider than this are filled by array operations.
 WIDE = 40
@@ -292,38 +292,60 @@ def _plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def plan_repairs(turns: DataFrame) -> DataFrame:
     """One row per conversation of ``checked_turns``: fault counts, cost, audit, and the place of its first row."""
     kind = turns.schema["conv_id"].dataType.simpleString()
+    # symbols are small and aligning them is not: keep all partitions
+    tasks = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = turns.groupBy("conv_id", F.expr(f"_at div {PIECE}").alias("_piece")).agg(
         F.min("_at").alias("_first"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "symbol"))), lambda x: x["symbol"]), "").alias("_symbols"),
     )
-    whole = pieces.groupBy("conv_id").agg(F.min("_first").alias("_first"), F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_symbols"))), lambda x: x["_symbols"]).alias("_pieces"))
+    whole = pieces.repartition(tasks, "conv_id").groupBy("conv_id").agg(F.min("_first").alias("_first"), F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_symbols"))), lambda x: x["_symbols"]).alias("_pieces"))
     schema = f"conv_id {kind}, _first long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
     return whole.mapInArrow(_plan, schema)
 
 
+def _slices(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of audits of about ``BATCH`` letters together; one longer audit stands alone."""
+    start, size = 0, 0
+    for i, n in enumerate(lengths):
+        if i > start and size + n > BATCH:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(lengths):
+        yield start, len(lengths)
+
+
 def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(conv_id, out_pos, edit, _at, _role) of every turn of the repaired conversations."""
+    """(conv_id, pos, edit, _at, _role) of every turn of the repaired conversations."""
     for batch in batches:
-        kind = batch.schema.field("conv_id").type
-        for conv, first, audit in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "_first", "audit"))):
-            letters = np.frombuffer(audit.encode("ascii"), np.uint8)
-            at = first + np.cumsum(letters != ord("I")) - 1
+        audits, firsts = batch.column("audit").to_pylist(), batch.column("_first").to_numpy()
+        for a, b in _slices([len(x) for x in audits]):
+            letters = np.frombuffer("".join(audits[a:b]).encode("ascii"), np.uint8)
+            owner = np.repeat(np.arange(b - a), [len(x) for x in audits[a:b]])
+            begin = np.searchsorted(owner, np.arange(b - a))
+
+            def within(marks: np.ndarray) -> np.ndarray:
+                """Marks up to and with each letter of the same audit."""
+                sums = np.concatenate([[0], np.cumsum(marks)])
+                return sums[1:] - sums[begin[owner]]
+
             stays = np.flatnonzero(letters != ord("D"))
-            left = len(stays) - np.arange(len(stays))
-            for a in range(0, len(stays), BATCH):
-                part = stays[a : a + BATCH]
-                edit = letters[part]
-                role = np.where(edit == ord("K"), None, np.where(left[a : a + BATCH] % 2 == 1, "assistant", "user"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([conv] * len(part), kind),
-                        pa.array(np.arange(a, a + len(part))),
-                        pa.array([chr(x) for x in edit]),
-                        pa.array(at[part], mask=edit == ord("I")),
-                        pa.array(role, pa.string()),
-                    ],
-                    names=["conv_id", "pos", "edit", "_at", "_role"],
-                )
+            at = firsts[a:b][owner] + within(letters != ord("I")) - 1
+            pos = within(letters != ord("D"))[stays] - 1
+            mine = owner[stays]
+            left = np.bincount(mine, minlength=b - a)[mine] - pos
+            edit = letters[stays]
+            role = np.where(edit == ord("K"), None, np.where(left % 2 == 1, "assistant", "user"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("conv_id").take(pa.array(a + mine)),
+                    pa.array(pos.astype(np.int64)),
+                    pa.array(edit.view("S1").astype("U1").tolist(), pa.string()),
+                    pa.array(at[stays], pa.int64(), mask=edit == ord("I")),
+                    pa.array(role, pa.string()),
+                ],
+                names=["conv_id", "pos", "edit", "_at", "_role"],
+            )
 
 
 def repaired_turns(turns: DataFrame, plans: DataFrame) -> DataFrame:
