@@ -35,6 +35,7 @@ columns are read.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from fractions import Fraction
@@ -73,8 +74,8 @@ class Shingles:
     """Shingle hashes of several texts; text i has ``hashes[bounds[i]:bounds[i + 1]]``."""
 
     def __init__(self, texts: list[str], width: int = WIDTH) -> None:
-        words = Words(texts)
-        self.words, self.word_bounds = words.hashes(), words.bounds
+        self.source = words = Words(texts)
+        self.words = words.hashes()
         count = np.diff(words.bounds)
         n = np.where(count >= width, count - width + 1, np.minimum(count, 1))
         self.bounds = np.concatenate([[0], np.cumsum(n)])
@@ -83,9 +84,17 @@ class Shingles:
         self.hashes = range_hashes(self.words, starts, starts + np.minimum(width, count[doc]))
 
     def fingerprints(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent 64-bit hashes of each text's word sequence."""
-        a, b = self.word_bounds[:-1], self.word_bounds[1:]
-        return range_hashes(self.words, a, b).view(np.int64), range_hashes(mix64(self.words ^ _U(0x5851F42D4C957F2D)), a, b).view(np.int64)
+        """The halves of a 128-bit digest of each text's words, character by character."""
+        w = self.source
+        length = w.ends - w.starts
+        at = np.concatenate([[0], np.cumsum(length)])
+        stream = w.cps[np.repeat(w.starts - at[:-1], length) + np.arange(at[-1])].astype(np.uint32) << 1
+        stream[at[:-1]] |= 1  # marks where a word begins
+        bounds = (4 * at[w.bounds]).tolist()
+        raw = memoryview(stream.tobytes())
+        digests = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+        halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
+        return halves[:, 0].copy(), halves[:, 1].copy()
 
     def signatures(self, size: int = SIGNATURE) -> np.ndarray:
         """Min-hash signature (texts x size) of the texts that have shingles; zeros for the others."""

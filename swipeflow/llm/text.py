@@ -13,6 +13,7 @@ Null texts are treated as empty everywhere.
 from __future__ import annotations
 
 import functools
+import hashlib
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -27,6 +28,8 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _SCALE = 0xD6E8FEB86659FD93
 MASK64 = (1 << 64) - 1
+#: Longest range that is hashed by the prefix sum alone.
+LONG = 64
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -62,9 +65,11 @@ _powers = Powers()
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64-bit hash of ``values[starts[i]:ends[i]]`` for every i, from one prefix sum.
+    """64-bit hash of ``values[starts[i]:ends[i]]`` for every i.
 
-    Equal ranges hash equally wherever they stand; the length is mixed in.
+    Equal ranges hash equally wherever they stand; the length is mixed in. Ranges of up to ``LONG`` values
+    are hashed from one prefix sum. That sum is a polynomial modulo 2**64, in which long ranges built to a
+    pattern can meet, so longer ranges get a cryptographic digest of their values.
     """
     n = len(values)
     up, down = _powers.get(n + 1)
@@ -72,7 +77,11 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt:
         sums = np.zeros(n + 1, _U)
         np.cumsum((values.astype(_U) + _U(1 + salt)) * up[:n], out=sums[1:], dtype=_U)
         h = (sums[ends] - sums[starts]) * down[starts]
-        return mix64(h + (ends - starts).astype(_U) * _U(_SCALE))
+        out = mix64(h + (ends - starts).astype(_U) * _U(_SCALE))
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        raw = values[starts[i] : ends[i]].astype(_U).tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(raw, digest_size=8, salt=salt.to_bytes(8, "little")).digest(), "little")
+    return out
 
 
 def string_hash(text: str) -> int:

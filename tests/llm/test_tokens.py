@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from swipeflow.llm import packing, pretok, token_count
+from swipeflow.llm import packing, pretok, text, token_count
 from tests.llm.conftest import clashing
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -74,3 +74,27 @@ def test_hilbert_keys_visit_neighbours():
     keys = packing.hilbert_keys(cells, 2)
     assert sorted(keys.tolist()) == list(range(64))
     assert np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(axis=1).max() == 1
+
+
+def alternating(n):
+    """A B B A B A A B ... and the same with A and B exchanged: alike modulo any power of two, letter by letter different."""
+    first = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    return first, first.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [32, 64, 128, 1024, 2048, 4096])
+def test_words_built_to_a_pattern_are_told_apart(session, n):
+    x, y = alternating(n)
+    assert text.string_hash(x) != text.string_hash(y)
+    rows = [(1, x), (2, y), (3, f"{x} {y}"), (4, f"{y} {x} {y}")]
+    df = session.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    lib = token_count.load(WORDS)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_count.count_tokens(df, WORDS).collect()}
+    assert got == {d: len(lib.encode(t, add_special_tokens=False).ids) for d, t in rows}
+    lib = token_count.load(BYTES)
+    want = {d: [*lib.encode(t, add_special_tokens=False).ids, 0] for d, t in rows}
+    pieces = packing.pack_documents(df, BYTES).collect()
+    assert {r["doc_id"]: r["doc_tokens"] for r in pieces} == {d: len(ids) for d, ids in want.items()}
+    for r in pieces:
+        own = np.array(want[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4")
+        assert zlib.crc32(own.tobytes()) == r["ids_crc32"]
