@@ -9,7 +9,8 @@ profile, or the largest distance where the profile lacks it. The nearest
 profile wins. N-grams of equal count share their mean rank, so short texts
 are compared without arbitrary orders.
 
-A text that is too far even from the nearest profile is in no learned language.
+Every text with a letter gets the nearest learned language. A text that is too far even from
+that profile is marked as in no learned language (``is_known`` false), which only a filter uses.
 How far is too far is learned too, by language and by the number of distinct
 n-grams (short texts lie less steadily): each half of the training documents is
 measured against the profile of the other half, whole and in windows of 1, 2,
@@ -23,9 +24,9 @@ Bounds: ``PER_LANGUAGE`` training documents a language, chosen by a hash of
 doc_id over all labelled documents; ``PROFILE`` n-grams a profile. N-grams are
 32-bit hashes; a collision moves one n-gram's rank.
 
-Edge cases: a null text, one without a letter or one beyond the limit gets ``und``
+Edge cases: a null text or one without a letter gets ``und``
 and score 0, as does every text if no labelled document exists; a few words
-in an unknown language can pass, as the limit of short texts is wide; equal distances take the
+in an unknown language can count as known, as the limit of short texts is wide; equal distances take the
 alphabetically first language; very long texts are read whole; repeated rows
 give one row each; empty tables give empty results. Only the named columns are
 read.
@@ -174,20 +175,19 @@ class Profiles:
             out[:, k] = np.bincount(doc, apart, minlength=grams.n_docs) / (seen * self.size)
         return out
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(language, score, distance to its profile) of each text."""
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(nearest language, score, distance to its profile, whether that is within the limit) of each text."""
         grams = Grams(texts)
         if not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts))
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts)), np.zeros(len(texts), bool)
         apart = self.distances(grams)
         best = np.argmin(apart, axis=1)
         nearest = apart[np.arange(len(texts)), best]
         share = np.exp(-SHARPNESS * (apart - nearest[:, None]))
         limit = self.limits[size_class(np.bincount(grams.doc, minlength=len(texts))), best]
-        known = grams.has_letter & (nearest < limit)
-        score = np.where(known, 1 / share.sum(axis=1), 0.0)
-        names = [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), known.tolist(), strict=True)]
-        return names, score, np.where(grams.has_letter, nearest, 1.0)
+        score = np.where(grams.has_letter, 1 / share.sum(axis=1), 0.0)
+        names = [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), grams.has_letter.tolist(), strict=True)]
+        return names, score, np.where(grams.has_letter, nearest, 1.0), grams.has_letter & (nearest < limit)
 
 
 def training_rows(docs: DataFrame, id_col: str, lang_col: str, per_language: int) -> DataFrame:
@@ -258,33 +258,35 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counts = counted.agg(F.sum("n").alias("n"), *(F.sum(F.when(F.col("half") == h, F.col("n"))).alias(f"n{h}") for h in (0, 1))).persist()
     try:
         tops: dict[str, dict[str, list[int]]] = {"n": {}, "n0": {}, "n1": {}}
-        for (lang,) in counts.select("lang").distinct().collect():
-            for n, by_language in tops.items():
-                top = counts.filter((F.col("lang") == lang) & F.col(n).isNotNull()).orderBy(F.desc(n), "gram").limit(size)
-                by_language[lang] = [r.gram for r in top.select("gram").collect()]
+        for n, by_language in tops.items():
+            place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc(n), "gram"))
+            top = counts.filter(F.col(n).isNotNull()).select("lang", "gram", place.alias("_n")).filter(F.col("_n") <= size)
+            # at most size n-grams a language
+            for r in sorted(top.collect(), key=lambda r: (r["lang"], r["_n"])):
+                by_language.setdefault(r["lang"], []).append(r["gram"])
     finally:
         counts.unpersist()
-    halves = [{lang: grams for lang, grams in tops[n].items() if grams} for n in ("n0", "n1")]
-    return Profiles(tops["n"], size, measure(rows, halves, size))
+    return Profiles(tops["n"], size, measure(rows, [tops["n0"], tops["n1"]], size))
 
 
 def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, distance of every row; ``keep`` names columns to carry along."""
+    """doc_id, held_out, lang_pred, score, distance, is_known of every row; ``keep`` names columns to carry along."""
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
     text = text_col if text_col in keep else "_text"  # a carried text is sent once
     picked = docs.select(F.col(id_col).alias("_id"), F.coalesce(fold(id_col) == 0, F.lit(False)).alias("_held"), *keep, *([] if text in keep else [F.col(text_col).cast("string").alias("_text")]))
-    schema = picked.select(F.col("_id").alias("doc_id"), F.col("_held").alias("held_out"), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("distance"), *keep).schema
+    schema = picked.select(F.col("_id").alias("doc_id"), F.col("_held").alias("held_out"), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("distance"), F.lit(False).alias("is_known"), *keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            names, scores, apart = [], [np.empty(0)], [np.empty(0)]
+            names, scores, apart, within = [], [np.empty(0)], [np.empty(0)], [np.empty(0, bool)]
             for _, _, texts in chunks(batch, text):
-                lang, score, nearest = known.predict(texts)
+                lang, score, nearest, ok = known.predict(texts)
                 names += lang
                 scores.append(score)
                 apart.append(nearest)
-            made = [pa.array(names, pa.string()), pa.array(np.concatenate(scores)), pa.array(np.concatenate(apart))]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_held"), *made, *(batch.column(k) for k in keep)], ["doc_id", "held_out", "lang_pred", "score", "distance", *keep])
+                within.append(ok)
+            made = [pa.array(names, pa.string()), *(pa.array(np.concatenate(x)) for x in (scores, apart, within))]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_held"), *made, *(batch.column(k) for k in keep)], ["doc_id", "held_out", "lang_pred", "score", "distance", "is_known", *keep])
 
     return picked.mapInArrow(run, schema)
