@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swipeflow.llm.blocks import block_tasks, groups, local_roots, pairs_to_compare
-from swipeflow.llm.common import settle
+from swipeflow.llm.common import settle, smallest_hashes
 from swipeflow.llm.graph import components
 
 THRESHOLD = 0.95
@@ -71,9 +71,9 @@ def thin(units: np.ndarray, number: int, apart: float = APART) -> np.ndarray:
     return kept
 
 
-def choose_pivots(classes: DataFrame, number: int) -> dict[int, np.ndarray]:
+def choose_pivots(classes: DataFrame, number: int, n_classes: int) -> dict[int, np.ndarray]:
     """Pivots by vector length, from the ``OVERSAMPLE * number`` classes with the smallest id hash (bounded, collected)."""
-    rows = classes.orderBy(F.xxhash64("rep"), "rep").limit(OVERSAMPLE * number).select("v").toArrow()["v"].combine_chunks()
+    rows = smallest_hashes(classes, F.xxhash64("rep"), "rep", OVERSAMPLE * number, n_classes).select("v").toArrow()["v"].combine_chunks()
     sizes = np.asarray(pa.compute.list_value_length(rows))
     return {n: thin(unit_rows(rows.take(pa.array(np.flatnonzero(sizes == n)))), number) for n in np.unique(sizes).tolist()}
 
@@ -185,8 +185,9 @@ def link_vectors(
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("v"))
     good = rows.filter(is_comparable(F.col("v")) & F.col("vec_id").isNotNull())
     classes = settle(good.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
-    number = pivots or int(min(MAX_PIVOTS, max(MIN_PIVOTS, 2 * classes.count() ** 0.5)))
-    lists = settle(index_vectors(classes, choose_pivots(classes, number), nearest, shared))
+    n_classes = classes.count()
+    number = pivots or int(min(MAX_PIVOTS, max(MIN_PIVOTS, 2 * n_classes**0.5)))
+    lists = settle(index_vectors(classes, choose_pivots(classes, number, n_classes), nearest, shared))
     tasks = block_tasks(lists, "key", "rep", block).join(classes, "rep")
     tasks = tasks.repartition("_task").sortWithinPartitions("_task")
     found = settle(compare_lists(tasks, threshold, shared))

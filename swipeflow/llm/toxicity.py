@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from swipeflow.llm.common import settle, smallest_hashes
 from swipeflow.llm.langid import fold
 from swipeflow.llm.text import Words, category_table, chunks, find_sorted, member_filter, range_hashes, string_hash
 
@@ -172,7 +173,7 @@ def sample_labels(labels: DataFrame, id_col: str, label_col: str, toxic: int, cl
     """Bounded sample (_id, _y) of the training labels, and the number of labels per sampled row in each class."""
     y = labels.filter(F.col(label_col).isNotNull() & (fold(id_col) != 0)).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y"))
     counts = {r["_y"]: r["n"] for r in y.groupBy("_y").agg(F.count("*").alias("n")).collect()}
-    parts = [y.filter(F.col("_y") == k).orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").limit(n) for k, n in ((1, toxic), (0, clean))]
+    parts = [smallest_hashes(y.filter(F.col("_y") == k), F.xxhash64(F.col("_id").cast("string")), "_id", n, counts.get(k, 0)) for k, n in ((1, toxic), (0, clean))]
     share = [counts.get(k, 0) / max(1, min(n, counts.get(k, 0))) for k, n in ((1, toxic), (0, clean))]
     return parts[0].unionByName(parts[1]), share[0], share[1]
 
@@ -186,7 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if len(set(given.values())) < 2:
         return nothing
     chosen = F.broadcast(spark.createDataFrame(pa.table({"_id": pa.array(list(given), pa.int64()), "_y": pa.array(list(given.values()), pa.int32())})))
-    rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(chosen, "_id")
+    texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    # one text of each sampled id, however often the id occurs; copies meet as one row a task
+    rows = settle(texts.join(chosen, "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +224,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 marks = pa.array(patterns(texts) @ (1 << np.arange(len(PATTERNS))), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column("_y").slice(a, b - a), lists, marks], ["y", "which", "marks"])
 
-    got = rows.mapInArrow(vote, "y int, which array<int>, marks int").toArrow()  # bounded: one row a sampled document
+    got = rows.mapInArrow(vote, "y int, which array<int>, marks int").toArrow()  # bounded: one row a sampled id
+    assert got.num_rows <= len(given)
     y = np.asarray(got["y"].combine_chunks()) if got.num_rows else np.empty(0, np.int32)
     if not len(y) or y.min() == y.max():
         return nothing

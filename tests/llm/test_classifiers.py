@@ -79,18 +79,61 @@ def test_label_model_finds_accuracies_and_discounts_copies():
 FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
 
 
-def test_unlearned_languages_and_gibberish_are_undetermined(session):
+def test_unlearned_languages_and_gibberish_get_the_nearest_language_but_are_not_known(session):
     rnd = np.random.default_rng(7)
     gibberish = lambda n: " ".join("".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), rnd.integers(2, 10))) for _ in range(n))
     profiles = langid.learn_profiles(docs_of(session))
     foreign = [FINNISH, FINNISH * 30, " ".join(f"{x:08x}" for x in rnd.integers(0, 1 << 32, 80)), *(gibberish(n) for n in (12, 20, 60, 500))]
-    assert profiles.predict(foreign)[0] == ["und"] * len(foreign)
-    assert set(profiles.predict(foreign)[1]) == {0.0}
-    # whole documents outside the sample, and short cuts of them, stay
+    names, score, distance, known = profiles.predict([*foreign, "Привет", ""])
+    # a letter is enough for a learned language; only the filter asks whether it is near
+    assert set(names[:-1]) <= set(profiles.languages) and names[-1] == "und" and score[-1] == 0
+    assert (score[:-1] > 0).all() and not known.any()
+    # whole documents outside the sample, and short cuts of them, are known
     texts = [r["text"] for r in docs_of(session).filter((langid.fold("doc_id") == 0) & F.col("text").rlike(r"\p{L}")).collect()]
     cuts = [" ".join(t.split()[:n]) for t in texts for n in (2, 4, 8)]
-    assert profiles.predict(texts)[0].count("und") == 0
-    assert profiles.predict(cuts)[0].count("und") <= 0.01 * len(cuts)
+    assert profiles.predict(texts)[3].all()
+    assert (~profiles.predict(cuts)[3]).sum() <= 0.01 * len(cuts)
+
+
+def test_the_nearest_profile_equals_brute_force(session):
+    """Out-of-place distances by plain lists and dictionaries."""
+    train = [("x", "the cat and the hat and the bat"), ("y", "le chat et le chien et la nuit"), ("z", "der hund und die katze und der tag")]
+    docs = session.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(train * 40)], "doc_id long, text string, lang string")
+    profiles = langid.learn_profiles(docs)
+    table = {lang: gs for lang, gs in zip(profiles.languages, ([int(profiles.grams[i]) for i in np.argsort(profiles.ranks[:-1, k]) if np.isfinite(profiles.ranks[i, k])] for k in range(3)))}
+
+    def brute(text):
+        grams = langid.Grams([text])
+        counts = dict(zip(grams.gram.tolist(), grams.count.tolist()))
+        ordered = sorted(counts.items(), key=lambda x: -x[1])
+        rank = {g: np.mean([i for i, (_, m) in enumerate(ordered) if m == n]) for g, n in ordered}
+        return {lang: sum(min(abs(gs.index(g) - r) if g in gs else langid.PROFILE, langid.PROFILE) for g, r in rank.items()) / (len(rank) * langid.PROFILE) for lang, gs in table.items()}
+
+    texts = ["the bat", "la nuit et le chat", "die katze", "hat und chat", "q"]
+    names, _, distance, _ = profiles.predict(texts)
+    for name, d, text in zip(names, distance, texts):
+        want = brute(text)
+        assert abs(want[name] - d) < 1e-9 and d == min(abs(x) for x in [d, *want.values()])
+
+
+def test_one_row_a_sampled_id_is_fitted(session, monkeypatch):
+    docs, labels = docs_of(session), session.read.parquet(f"{SF_CHECK}/labels.parquet")
+    some = labels.filter("toxic = 1").select("doc_id").first()["doc_id"]
+    again = docs.filter(F.col("doc_id") == some)
+    hot = docs.unionByName(again.crossJoin(session.range(3000)).drop("id"))
+    sent = []
+    seen = toxicity.fit_logistic
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda rows, cols, n, *a, **k: sent.append(n) or seen(rows, cols, n, *a, **k))
+    one, many = toxicity.train(docs, labels), toxicity.train(hot, labels)
+    assert sent[0] == sent[1] and np.array_equal(one.keys, many.keys) and np.allclose(one.weight, many.weight)
+
+
+def test_sampled_labels_are_the_smallest_hashes(session):
+    rows = session.range(5000).selectExpr("id AS doc_id", "cast(id % 3 = 0 AS int) AS toxic")
+    got = {r["_id"] for r in toxicity.sample_labels(rows, "doc_id", "toxic", 100, 200)[0].collect()}
+    allowed = rows.filter(langid.fold("doc_id") != 0).select("doc_id", "toxic", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).collect()
+    want = {r["doc_id"] for k, n in ((1, 100), (0, 200)) for r in sorted((r for r in allowed if r["toxic"] == k), key=lambda r: r["h"])[:n]}
+    assert got == want
 
 
 def test_limits_of_sparse_sizes_and_languages():
