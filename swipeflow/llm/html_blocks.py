@@ -29,7 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_STOP = re.compile("[>\"']")
+_LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
+_COMMENT_END = re.compile("--!?>")
 _NAMES = re.compile(r"""\b(class|id|role|itemprop|hidden|style|aria-hidden|aria-label)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
@@ -94,61 +97,174 @@ def _flags(tag: str, attributes: str) -> set[str]:
     return out
 
 
+class Scanner:
+    """Tags of a page in order, in time linear in its length whatever the markup.
+
+    Attributes may hold ``>`` in quotes. Where a quote never closes, the tag ends at its first ``>``;
+    a tag without any ``>`` is text. What a failed search for the end has passed is remembered, so that
+    no stretch is searched twice from the same state.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.n = page, len(page)
+        self.dead: set[int] = set()  # stops from which no tag end is reached
+        self.stop_from, self.stop = 0, -1  # the first stop at or after each position of this range
+        self.gt = -1
+
+    def next_stop(self, at: int) -> int:
+        if not self.stop_from <= at <= self.stop:
+            m = _STOP.search(self.page, at)
+            self.stop_from, self.stop = at, m.start() if m else self.n
+        return self.stop
+
+    def next_gt(self, at: int) -> int:
+        if self.gt < at:
+            found = self.page.find(">", at)
+            self.gt = self.n if found < 0 else found
+        return self.gt
+
+    def tag_end(self, at: int) -> int:
+        """Position of the ``>`` that ends a tag whose attributes begin at ``at``; the page's length if there is none."""
+        passed = []
+        i = self.next_stop(at)
+        while i < self.n and i not in self.dead:
+            if self.page[i] == ">":
+                return i
+            passed.append(i)
+            close = self.page.find(self.page[i], i + 1)
+            if close < 0:
+                break
+            m = _STOP.search(self.page, close + 1)
+            i = m.start() if m else self.n
+        self.dead.update(passed)
+        return self.next_gt(at)
+
+    def tags(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """(start, end, closing, tag, attributes); comments and declarations have an empty tag. The caller may send the
+        position to go on from."""
+        at = 0
+        while (start := self.page.find("<", at)) >= 0:
+            if self.page.startswith("<!--", start):
+                m = _COMMENT_END.search(self.page, start + 4)
+                token = (start, m.end() if m else self.n, False, "", "")
+            elif self.page.startswith(("<!", "<?"), start):
+                token = (start, min(self.next_gt(start) + 1, self.n), False, "", "")
+            elif m := _OPEN.match(self.page, start):
+                end = self.tag_end(m.end())
+                if end == self.n:  # no tag ends behind here, but a comment may begin
+                    at = start + 1
+                    continue
+                token = (start, end + 1, bool(m[1]), m[2].lower(), self.page[m.end() : end])
+            else:
+                at = start + 1
+                continue
+            jump = yield token
+            at = token[1] if jump is None else jump
+            if jump is not None:
+                yield  # the answer to send()
+
+
+class Elements:
+    """Open elements with what they say about text inside; the last open one of each name is found at once."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.flags: list[frozenset[str]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def here(self) -> frozenset[str]:
+        return self.flags[-1] if self.flags else frozenset()
+
+    def block(self) -> str:
+        return self.names[self.blocks[-1]] if self.blocks else ""
+
+    def push(self, name: str, own: set[str]) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        if name in BLOCK:
+            self.blocks.append(len(self.names))
+        self.flags.append(self.here() | own if own else self.here())
+        self.names.append(name)
+
+    def pop(self) -> None:
+        name = self.names.pop()
+        self.flags.pop()
+        self.places[name].pop()
+        if name in BLOCK:
+            self.blocks.pop()
+
+    def close(self, name: str) -> None:
+        """End the last open element of a name and all inside it; a span does not end the blocks inside it."""
+        places = self.places.get(name)
+        if not places or (name == "span" and self.blocks and self.blocks[-1] > places[-1]):
+            return
+        for _ in range(len(self.names) - places[-1]):
+            self.pop()
+
+
+def closed_links(page: str) -> set[int]:
+    """Starts of the link tags that are followed by their end before another link begins."""
+    marks = [(m.start(), bool(m[1])) for m in _LINK.finditer(page)]
+    return {at for (at, closing), (_, next_closing) in zip(marks, marks[1:]) if not closing and next_closing}
+
+
 def blocks_of(page: str) -> list[Block]:
-    """Flat text blocks of a page in order."""
+    """Flat text blocks of a page in order.
+
+    A link that is closed before another begins covers the blocks inside it; one that is not ends at the next block."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    elements = Elements()
+    closed = closed_links(page)
     parts: list[str] = []
     linked: list[str] = []
-    empty: frozenset[str] = frozenset()
-    in_link = 0
-
-    def here() -> frozenset[str]:
-        return stack[-1][1] if stack else empty
+    in_link, covers = False, False
 
     def flush() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join(html_lib.unescape("".join(parts)).split())
-            if text and "unseen" not in here():
-                tag = next((t for t, _ in reversed(stack) if t in BLOCK), "")
-                out.append(Block(text, len(text.split()), len(html_lib.unescape(" ".join(linked)).split()), here(), tag))
+            if text and "unseen" not in elements.here():
+                out.append(Block(text, len(text.split()), len(html_lib.unescape(" ".join(linked)).split()), elements.here(), elements.block()))
         parts, linked = [], []
 
-    at, n = 0, len(page)
-    lower = None
-    while at < n:
-        m = _TOKEN.search(page, at)
-        text = page[at : m.start() if m else n]
+    def take(text: str) -> None:
         if text:
             parts.append(text)
             if in_link:
                 linked.append(text)
-        if not m:
-            break
-        at = m.end()
-        closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+
+    at, n = 0, len(page)
+    lower = None
+    never_closed: set[str] = set()
+    scanner = Scanner(page)
+    tokens = scanner.tags()
+    for start, end, closing, tag, attributes in tokens:
+        take(page[at:start])
+        at = end
         if not tag:
             continue
-        tag = tag.lower()
         if tag == "br":
             parts.append(" ")
             continue
         if tag == "a":
-            in_link = 0 if closing else 1
+            in_link = not closing
+            covers = start in closed
             continue
         if not closing and tag in UNSEEN and tag != "head" and not attributes.endswith("/"):
             if lower is None:
                 lower = page.lower()
                 if len(lower) != n:  # some capitals lower to two characters
                     lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in page)
-            end = lower.find(f"</{tag}", at)
-            if end < 0:
+            stop = -1 if tag in never_closed else lower.find(f"</{tag}", at)
+            if stop < 0:
+                never_closed.add(tag)
                 if tag in ("script", "style", "template", "title", "textarea"):
                     at = n
+                    break
                 continue
-            close = page.find(">", end)
+            close = page.find(">", stop)
             at = n if close < 0 else close + 1
+            tokens.send(at)
             parts.append(" ")
             continue
         if tag not in BLOCK and tag not in ("span", "head") or tag in VOID:
@@ -157,30 +273,26 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in BLOCK:
             flush()
-            in_link = 0
+            in_link = in_link and covers
         if closing:
-            for k in range(len(stack) - 1, max(-1, len(stack) - 200), -1):
-                if stack[k][0] == tag:
-                    if tag == "span" and any(t in BLOCK for t, _ in stack[k + 1 :]):
-                        break
-                    del stack[k:]
-                    break
+            elements.close(tag)
             continue
         if tag in ("p", "li", "dt", "dd", "td", "th", "tr") or tag in HEADINGS:
             # these close themselves when the next one of their kind, or any block after a paragraph, begins
             ends = {"p", *HEADINGS} if tag in HEADINGS or tag == "p" else {"p", "li"} if tag == "li" else {"p", "dt", "dd"} if tag in ("dt", "dd") else {"p", "td", "th"} if tag in ("td", "th") else {"p", "td", "th", "tr"}
-            while stack and (stack[-1][0] in ends or stack[-1][0] == "span"):
-                stack.pop()
+            while elements.names and (elements.names[-1] in ends or elements.names[-1] == "span"):
+                elements.pop()
         elif tag in BLOCK:
-            while stack and stack[-1][0] in ("p", "span"):
-                stack.pop()
+            while elements.names and elements.names[-1] in ("p", "span"):
+                elements.pop()
         own = _flags(tag, attributes)
         if tag == "span":
             if not own & {"unseen", "against"}:
                 own = set()
             elif "unseen" in own:
                 flush()
-        stack.append((tag, here() | own if own else here()))
+        elements.push(tag, own)
+    take(page[at:])
     flush()
     return out
 

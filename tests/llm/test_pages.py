@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import os
+import time
 
 import pytest
 
@@ -42,10 +43,28 @@ def test_main_text(page, want):
     assert text(page) == want
 
 
-def test_long_and_broken_pages_end():
+@pytest.mark.parametrize("part", ["<a ", '<a ">" ', "<a '>' \">\" ", "<svg>", "<div>", "<span>", "<!--", "<", "<a \"'>", "<script>", "&lt;", "<a href=x>", '<a "<b \''])
+def test_broken_pages_of_a_megabyte_take_linear_time(part):
+    page = "<article><p>Words of the article, in one sentence.</p>" + part * (1_000_000 // len(part))
+    began = time.monotonic()
+    assert "Words of the article" in html_blocks.blocks_of(page)[0].text
+    assert time.monotonic() - began < 20
     assert len(text("<article>" + "<p>word " * 20000)) > 90000
-    assert text("<article><p>x" + "<b " * 30000) != "y"
-    assert text("<" * 5000 + "p") is not None
+
+
+def test_end_tags_find_their_element_however_deep():
+    body = "<article><p>" + "This is the article that people came to read. " * 4 + "</p></article>"
+    for depth in (150, 205, 5000):
+        page = "<nav>" + "<div>" * depth + "<a href=x>Menu</a></nav>" + body
+        assert text(page).startswith("This is the article") and "Menu" not in text(page)
+
+
+def test_links_around_blocks_are_linked():
+    blocks = html_blocks.blocks_of("<a href=x><div>eight words that a link holds all together</div></a><p>free words</p>")
+    assert [(b.words, b.linked) for b in blocks] == [(8, 8), (2, 0)]
+    # a link that is never closed ends with its block
+    blocks = html_blocks.blocks_of("<p><a href=x>one two<p>three four <a href=y>five</a>")
+    assert [(b.words, b.linked) for b in blocks] == [(2, 2), (3, 1)]
 
 
 def test_extract_over_a_table(session):
