@@ -15,12 +15,17 @@ diagonal of the document-by-item matrix. The search keeps every such passage:
 4. The rest is verified by banded alignment of the whole item against the
    region, free ends in the document, at most k edits.
 
+Two kinds of leak lie outside the edit bound. An item of fewer than ``MIN_CHARS`` characters, where edits would
+leave nothing to recognise, is searched unchanged, as whole words, whatever its length (Aho-Corasick). Of an
+item of ``LONG_ITEM`` characters or more, overlapping passages of ``PASSAGE`` characters count as well, each with
+the edit budget of its own length; so any quote of ``PASSAGE + STEP`` characters is found. Passages that
+overlap in the document are one leak, unless the whole item is found there.
+
 The benchmark is a small table by its nature: it is collected and broadcast
 only up to ``MAX_ITEM_CHARS`` characters, and processed in groups of that size
 beyond it, each group over all documents, so no item is dropped.
 
-Edge cases: null or empty texts match nothing; items that normalise to fewer
-than ``MIN_CHARS`` characters identify nothing and match nothing; repeated items
+Edge cases: null or empty texts match nothing; items without a letter or digit match nothing; repeated items
 (equal after normalising) each report their matches; overlapping matches of one
 item keep the one with fewest edits, then the leftmost; repeated documents give
 their rows each; empty tables give empty results. Texts are read whole. Only
@@ -29,6 +34,7 @@ the named columns are read.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +50,8 @@ Q = 8
 #: Edits allowed per item character.
 ERROR_RATE = 0.08
 MIN_CHARS = 40
+#: Items of this many characters are also searched by passages, one beginning every ``STEP`` characters.
+LONG_ITEM, PASSAGE, STEP = 240, 160, 40
 CLASSES = 8
 MAX_ITEM_CHARS = 1_000_000
 
@@ -82,22 +90,70 @@ class Normal:
 
 @dataclass
 class Item:
-    """One benchmark passage: its id, normalised characters, edit budget and q-gram bound."""
+    """A benchmark item or a passage of one: the item's id, normalised characters, edit budget, q-gram bound, and the
+    characters of the whole item."""
 
     item_id: int
     cps: np.ndarray
     budget: int
     bound: int
+    whole: int
+
+
+def normal_item(text: str | None) -> np.ndarray:
+    cps = Normal([(text or "").strip()]).cps
+    return cps[:-1] if len(cps) and cps[-1] == 0x20 else cps
 
 
 def make_item(item_id: int, text: str | None, rate: float) -> Item | None:
-    normal = Normal([(text or "").strip()])
-    cps = normal.cps[:-1] if len(normal.cps) and normal.cps[-1] == 0x20 else normal.cps
+    """The whole item, or None if it is too short for edits."""
+    cps = normal_item(text)
+    return searchable(item_id, cps, rate, len(cps)) if len(cps) >= MIN_CHARS else None
+
+
+def searchable(item_id: int, cps: np.ndarray, rate: float, whole: int) -> Item:
     n = len(cps)
-    if n < max(MIN_CHARS, Q):
-        return None
     budget = min(int(rate * n), (n + 1) // Q - 2)  # the bound stays positive
-    return Item(item_id, cps, budget, n + 1 - Q * (budget + 1)) if budget >= 0 else None
+    return Item(item_id, cps, budget, n + 1 - Q * (budget + 1), whole)
+
+
+def passages(item: Item, rate: float) -> list[Item]:
+    """Overlapping passages of a long item; the last one ends with it."""
+    n = len(item.cps)
+    if n < LONG_ITEM:
+        return []
+    starts = sorted({*range(0, n - PASSAGE, STEP), n - PASSAGE})
+    return [searchable(item.item_id, item.cps[a : a + PASSAGE], rate, n) for a in starts]
+
+
+class ShortItems:
+    """Items too short for edits, found unchanged as whole words."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]]) -> None:
+        import ahocorasick
+
+        self.owners: dict[str, list[int]] = {}
+        for item_id, cps in items:
+            self.owners.setdefault(_string(cps), []).append(item_id)
+        self.machine = ahocorasick.Automaton()
+        for text in self.owners:
+            self.machine.add_word(f" {text} ", text)
+        if self.owners:
+            self.machine.make_automaton()
+
+    def matches(self, normal: Normal) -> Iterator[tuple[int, int, int, int, int, int]]:
+        if not self.owners:
+            return
+        for doc, (a, b) in enumerate(zip(normal.offsets[:-1].tolist(), normal.offsets[1:].tolist())):
+            text = _string(normal.cps[a:b])
+            # one space in front and at least one behind, so an end at position e is the text's position e - 1
+            for end, found in self.machine.iter(f" {text} "):
+                for item_id in self.owners[found]:
+                    yield doc, item_id, a + end - 1 - len(found), a + end - 1, 0, len(found)
+
+
+def _string(cps: np.ndarray) -> str:
+    return cps.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
 
 
 class Index:
@@ -148,8 +204,8 @@ class Index:
         edge = np.diff(inside)
         return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True))
 
-    def matches(self, normal: Normal) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(text, item, start, end, edits, item length) of every verified passage, in normalised positions."""
+    def matches(self, normal: Normal) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+        """(text, item, start, end, edits, length sought, length of the whole item) of every verified place, in normalised positions."""
         if not len(self.items) or not len(normal.cps):
             return
         gram = normal.grams()
@@ -165,7 +221,7 @@ class Index:
                 if b - a >= Q:
                     yield from ((doc, *m) for m in self.in_region(normal.cps, gram, a, b, int(normal.offsets[doc]), int(normal.offsets[doc + 1])))
 
-    def in_region(self, cps: np.ndarray, gram: np.ndarray, a: int, b: int, doc_start: int, doc_end: int) -> list[tuple[int, int, int, int, int]]:
+    def in_region(self, cps: np.ndarray, gram: np.ndarray, a: int, b: int, doc_start: int, doc_end: int) -> list[tuple[int, int, int, int, int, int]]:
         g = gram[a:b]
         lo, hi = np.searchsorted(self.gram, g), np.searchsorted(self.gram, g, side="right")
         reps = hi - lo
@@ -194,7 +250,7 @@ class Index:
                 high = int(end[y - 1]) + item.budget
                 hit = banded_alignment(item.cps, cps, low, high, item.budget, doc_start, doc_end)
                 if hit:
-                    found.append((item.item_id, *hit, len(item.cps)))
+                    found.append((item.item_id, *hit, len(item.cps), item.whole))
         return found
 
 
@@ -243,15 +299,46 @@ def banded_alignment(item: np.ndarray, text: np.ndarray, low: int, high: int, bu
     return (begin, int(diagonals[k]) + len(item), edits) if edits <= budget else None
 
 
-def best_only(found: list[tuple[int, int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """Of overlapping matches of one item in one text, the one with fewest edits, then the leftmost."""
-    kept: list[tuple[int, int, int, int, int, int]] = []
+def best_only(found: list[tuple]) -> list[tuple]:
+    """Of overlapping matches (text, item, start, end, edits, ...) of one item in one text, the one with fewest edits,
+    then the leftmost."""
+    kept: list[tuple] = []
+    key, starts, ends = None, [], []  # of the kept matches of one item and text, which do not overlap
     for m in sorted(found, key=lambda m: (m[0], m[1], m[4], m[2])):
-        if not any(k[:2] == m[:2] and k[2] < m[3] and m[2] < k[3] for k in kept):
-            kept.append(m)
+        if m[:2] != key:
+            key, starts, ends = m[:2], [], []
+        at = bisect.bisect_left(starts, m[3])
+        if at and ends[at - 1] > m[2]:
+            continue
+        starts.insert(at, m[2])
+        ends.insert(at, m[3])
+        kept.append(m)
     return sorted(kept)
 
 
+def merged(found: list[tuple]) -> list[tuple[int, int, int, int, int, int]]:
+    """(text, item, start, end, edits, item length): the best whole matches, and stretches of overlapping passages of an
+    item that no whole match of it touches, with the edits of their worst passage."""
+    whole = best_only([m[:6] for m in found if m[5] == m[6]])
+    taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for m in whole:
+        taken.setdefault(m[:2], []).append((m[2], m[3]))
+    stretches: list[list[int]] = []
+    for m in sorted(m for m in found if m[5] < m[6]):
+        last = stretches[-1] if stretches else None
+        if last and tuple(last[:2]) == m[:2] and m[2] < last[3]:
+            last[3], last[4] = max(last[3], m[3]), max(last[4], m[4])
+        else:
+            stretches.append([*m[:5], m[6]])
+    out = list(whole)
+    for x in stretches:
+        spans = taken.get((x[0], x[1]), [])
+        at = bisect.bisect_left(spans, (x[3], -1))
+        if not (at and spans[at - 1][1] > x[2]):
+            out.append(tuple(x))
+    return sorted(out)
+
+
 def item_groups(benchmark: DataFrame, id_col: str, text_col: str, limit: int = MAX_ITEM_CHARS) -> Iterator[list[tuple[int, str]]]:
     """The items in groups of at most ``limit`` characters (or one item), streamed from Spark."""
     group: list[tuple[int, str]] = []
@@ -292,13 +379,15 @@ def _search(picked: DataFrame, group: list[tuple[int, str]], rate: float) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = [x for x in (make_item(i, t, rate) for i, t in shared.value) if x]
-        index = Index(items)
+        short = ShortItems([(i, c) for i, c in ((i, normal_item(t)) for i, t in shared.value) if 0 < len(c) < MIN_CHARS])
+        index = Index(items + [p for item in items for p in passages(item, rate)])
         for batch in batches:
             ids = batch.column("_id").to_pylist()
             rows: list[tuple[int, int, int, int, int, int]] = []
             for a, _, texts in chunks(batch, "_text"):
                 normal = Normal(texts)
-                for doc, item, start, end, edits, chars in best_only(list(index.matches(normal))):
+                short_ones = best_only(list(short.matches(normal)))
+                for doc, item, start, end, edits, chars in sorted(merged(list(index.matches(normal))) + short_ones):
                     base = normal.raw_offsets[doc]
                     rows.append((ids[a + doc], item, int(normal.at[start] - base), int(normal.at[end - 1] - base) + 1, edits, chars))
             if rows:

@@ -150,7 +150,7 @@ def test_leaks_equal_brute_force(session):
             docs.append(f"{filler} {edit(rnd, t, int(rate * len(t)))} {filler}")
         docs += [t.upper().replace(" ", ",\n "), t[: len(t) // 2] + " " + word(), t + " " + t]
     rows = [(i, t) for i, t in enumerate(docs)] + [(-1, None), (-2, ""), (None, docs[0])]
-    bench = session.createDataFrame([*items, (99, None), (98, ""), (97, "too short"), (96, "!" * 100)], "item_id long, text string")
+    bench = session.createDataFrame([*items, (99, None), (98, ""), (96, "!" * 100)], "item_id long, text string")
     found = decontam.find_leaks(clashing(session.createDataFrame(rows, "doc_id long, text string")), clashing(bench)).collect()
     got = {(r["doc_id"], r["item_id"]): r["edits"] for r in found}
     norm = lambda t: " ".join(re.findall(r"[^\W_]+", (t or "").lower()))
@@ -168,6 +168,44 @@ def test_leaks_equal_brute_force(session):
             assert norm(docs[r["doc_id"]][r["start"] : r["end"]]) == norm(dict(items)[r["item_id"]])
 
 
+def test_short_items_are_found_unchanged_as_whole_words(session):
+    items = [(1, "What is the capital of France?"), (2, "Yes!"), (3, "日本の首都はどこですか"), (4, "a b"), (5, "yes"), (6, "?"), (7, "ab a b ab")]
+    texts = ["He asked: WHAT is the  capital of France", "what is the capital of Francee", "yes, yes", "eyes yesterday", "答え 日本の首都はどこですか。", "x a, b", "a bc", "ab a b ab a b ab", "", None]
+    docs = clashing(session.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = sorted((r["doc_id"], r["item_id"], r["edits"], texts[r["doc_id"]][r["start"] : r["end"]]) for r in decontam.find_leaks(docs, session.createDataFrame(items, "item_id long, text string")).collect())
+    norm = lambda t: " " + " ".join(re.findall(r"[^\W_]+", (t or "").lower())) + " "
+    want = {(i, k) for i, t in enumerate(texts) for k, it in items if norm(it).strip() and norm(it) in norm(t)}
+    assert {g[:2] for g in got} == want and {e for _, _, e, _ in got} == {0}
+    assert [t for i, k, _, t in got if (i, k) == (2, 5)] == ["yes", "yes"] and (0, 1, 0, "WHAT is the  capital of France") in got
+    # overlapping places of one item count once
+    assert sum(g[:2] == (7, 7) for g in got) == 1
+
+
+def test_quotes_of_long_items_are_leaks(session):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8)))
+    item = " ".join(word() for _ in range(160))
+    filler = " ".join(word() for _ in range(80))
+    quotes = [item[a : a + 200] for a in range(0, len(item) - 200, 37)]
+    texts = [f"{filler} {q} {filler}" for q in quotes] + [f"{filler} {item} {filler}", f"{filler} {item[:100]} {filler}", filler, f"{edit(rnd, item[100:420], 12)}", f"{item[:250]} {filler} {item[300:600]}"]
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decontam.find_leaks(docs, session.createDataFrame([(5, item)], "item_id long, text string")).collect()
+    per = {i: [(r["start"], r["end"], r["edits"]) for r in rows if r["doc_id"] == i] for i in range(len(texts))}
+    n = len(quotes)
+    assert all(len(per[i]) == 1 and per[i][0][1] - per[i][0][0] >= decontam.PASSAGE for i in range(n))
+    assert [texts[n][a:b] for a, b, _ in per[n]] == [item] and per[n + 1] == per[n + 2] == []
+    assert len(per[n + 3]) == 1 and per[n + 3][0][2] > 0 and len(per[n + 4]) == 2
+    assert {r["item_chars"] for r in rows} == {len(item)}
+
+
+def test_many_matches_of_one_item_end_soon():
+    import time
+
+    found = [(0, 1, 50 * k + d, 50 * k + d + 45, d, 45, 45) for k in range(20_000) for d in (0, 1)]
+    began = time.monotonic()
+    assert len(decontam.merged(found)) == 20_000 and time.monotonic() - began < 5
+
+
 def test_leaks_of_empty_tables(session):
     docs, bench = (session.createDataFrame([], f"{c} long, text string") for c in ("doc_id", "item_id"))
     assert decontam.find_leaks(docs, bench).count() == 0 and decontam.drop_contaminated(docs, bench).count() == 0
@@ -208,6 +246,23 @@ def test_vectors_equal_brute_force(session):
     assert df.select(F.count("*")).first()[0] == len(got)
 
 
+def test_documents_of_words_built_to_a_pattern_are_no_copies(session):
+    marks = [bin(i).count("1") & 1 for i in range(10240)]
+    x, y = (" ".join(("alpha", "beta")[m ^ flip] for m in marks) for flip in (0, 1))
+    words = ["".join("ab"[m ^ flip] for m in marks[:2048]) for flip in (0, 1)]
+    a, b = (" ".join([w] * 9 + [w + str(k) for k in range(9)]) for w in words)
+    prefix = " ".join(f"p{k}" for k in range(10240))
+    rows = [(1, f"{prefix} {x}"), (2, f"{prefix[::-1]} {y}"), (3, a), (4, b), (5, a)]
+    for first, second in ((a, b), (words[0], words[1])):
+        one, two = (jaccard_join.Shingles([t]) for t in (first, second))
+        assert not set(one.hashes.tolist()) & set(two.hashes.tolist())
+        assert [v.tolist() for v in one.fingerprints()] != [v.tolist() for v in two.fingerprints()]
+    fp = [tuple(v.tolist()[0] for v in jaccard_join.Shingles([t]).fingerprints()) for t in (x, y, x, "alphabeta", "alpha beta", "Alpha, BETA!")]
+    assert fp[0] != fp[1] and fp[0] == fp[2] and fp[3] != fp[4] == fp[5]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.join_similar(session.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 0), 2: (2, 0), 3: (3, 1), 4: (4, 0), 5: (3, 1)}
+
+
 def test_rows_are_dropped_by_row_not_by_id(session):
     a, b, c, d = ("a b c d e f", "g h i j k l", "m n o p q r", "s t u v w x y z a b c d e f g h i j k l m n")
     rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (7, c, "x"), (7, c, "x"), (7, c, "x"), (None, c, "x"), (None, d, "x"), (None, d + " o", "x"), (None, None, "x"), (None, None, "x")]
