@@ -52,7 +52,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     carried, names = _carried(docs)
     own = {c: k for k, c in names.items()}
     named = langid.identify(carried, known, own["doc_id"], own["text"], keep=tuple(names))
-    return _restored(named.filter(F.col("lang_pred") != langid.UNDETERMINED), names)
+    return _restored(named.filter("is_known"), names)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
