@@ -45,7 +45,7 @@ def test_toxicity_stage_drops_what_the_operator_rejects(spark, stages):
 def test_language_stage_drops_only_undetermined_texts(stages):
     given, made = stages["language_id"]
     named = langid.identify(given, langid.learn_profiles(given))
-    assert ids(made) == ids(named.filter("lang_pred <> 'und'"))
+    assert ids(made) == ids(named.filter("is_known"))
     assert not {-1, -2, -4} & set(ids(made)) and -3 in ids(made)
 
 
@@ -54,7 +54,8 @@ def test_near_duplicate_stage_equals_brute_force(stages):
     rows = [(r["doc_id"], shingles(r["text"])) for r in given.collect()]
     links = [(a, b) for (a, x), (b, y) in itertools.combinations([r for r in rows if r[0] is not None], 2) if x and 5 * len(x & y) >= 4 * len(x | y)]
     root = closure({d for d, _ in rows if d is not None}, links)
-    assert set(ids(made)) == {d for d, _ in rows if d is None or root[d] == d}
+    got = ids(made)  # a list: a row that repeats may stay once only
+    assert len(got) == len(set(got)) and set(got) == {d for d, _ in rows if d is None or root[d] == d}
     assert made.count() < given.count()
 
 
@@ -102,6 +103,6 @@ def test_extra_columns_ride_along(spark):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.REGISTRY}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.REGISTRY}
     assert set(queries.REGISTRY) <= set(names) and "pipeline" in names
     assert set(queries.ORACLE) <= set(entry.oracle_sql())
