@@ -12,11 +12,17 @@ touched partitions of a partitioned table.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import key_index
+
+#: Buckets of the key index of a merged table; more for tables of billions of keys.
+INDEX_BUCKETS = 32
+
 
 class AmbiguousSource(ValueError):
     """A MERGE source that holds a key more than once."""
@@ -205,6 +211,75 @@ def upsert_path(
     return new
 
 
+class Batch(NamedTuple):
+    """What a MERGE source holds."""
+
+    rows: int
+    null_keys: int
+    parts: list[tuple]
+    buckets: list[int]
+
+
+def examine(source: DataFrame, keys: list[str], partition_cols: list[str], buckets: int, null_keys_count: bool = False) -> Batch:
+    """Rows to merge, rows with a null key, touched partitions and index buckets of a source.
+
+    At most a row a touched partition and bucket comes back. A repeated key is refused."""
+    check_source(source, keys)
+    null = _any_null(keys)
+    by = {"_null": null, "_bucket": key_index.bucket_of(keys, buckets)}
+    groups = source.groupBy(*partition_cols, *[c.alias(k) for k, c in by.items()]).agg(F.count(F.lit(1)).alias("_n")).collect()
+    merged = [g for g in groups if null_keys_count or not g["_null"]]
+    parts = list(dict.fromkeys(tuple(g)[: len(partition_cols)] for g in merged))
+    return Batch(sum(g["_n"] for g in merged), sum(g["_n"] for g in groups if g["_null"]), parts, sorted({g["_bucket"] for g in merged}))
+
+
+def newest_rows(target: DataFrame, source: DataFrame, keys: list[str], newer_wins: str | None) -> DataFrame:
+    """MERGE of whole rows, one shuffle: of the rows of a key that the source holds, one stays.
+
+    That is the source's row, or with ``newer_wins`` the row with the larger value (the target's if
+    equal or if either is NULL, as ``s.c > t.c`` has it). A key that the target holds twice after
+    a crash in the middle of a write is mended when it comes again; rows of other keys are kept as they are.
+    """
+    both = target.withColumn("_s", F.lit(0)).unionByName(source.select(*target.columns).withColumn("_s", F.lit(1)))
+    if newer_wins is None:
+        best = [F.col("_s").desc()]
+    else:
+        c = F.col(newer_wins)
+        no_value = F.when(c.isNull(), F.when(F.col("_s") == 0, 0).otherwise(2)).otherwise(1)
+        best = [no_value, c.desc(), F.col("_s")]
+    of_key = Window.partitionBy(*keys)
+    ranked = both.withColumns({"_rank": F.row_number().over(of_key.orderBy(*best)), "_in_source": F.max("_s").over(of_key)})
+    return ranked.filter("_rank = 1 OR _in_source = 0").drop("_s", "_rank", "_in_source")
+
+
+def one_target_row(target: DataFrame, source: DataFrame, keys: list[str], newer_wins: str | None) -> DataFrame:
+    """``target`` with one row of each key that the source holds: the one with the largest ``newer_wins``."""
+    best = [F.lit(1)] if newer_wins is None else [F.col(newer_wins).desc_nulls_last()]
+    held = source.select(*keys).distinct().withColumn("_held", F.lit(True))
+    ranked = target.join(held, keys, "left").withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*best)))
+    return ranked.filter("_rank = 1 OR _held IS NULL").select(*target.columns)
+
+
+def _places(spark: SparkSession, keyed: DataFrame, path: str, keys: list[str], partition_cols: list[str], batch: Batch, buckets: int) -> tuple[list[tuple], list[tuple]]:
+    """(partitions that hold a key of the batch, those of them that a key may leave), from the key index,
+    to which the batch's new places are added."""
+    where = key_index.index_path(path, buckets)
+    if not path_exists(spark, where):
+        key_index.rebuild(spark.read.schema(keyed.schema).parquet(path), where, keys, partition_cols, buckets)
+    index = key_index.read(spark, where, keyed, keys, partition_cols)
+    old = [f"_old_{c}" for c in partition_cols]
+    found = key_index.places(index, keyed, keys, partition_cols, buckets, batch.buckets).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stays = key_index.same_values(partition_cols, old)
+        # one row a partition
+        known = found.groupBy(*old).agg(F.count_if(stays).alias("_stay"), F.count_if(~stays).alias("_leave")).collect()
+        if sum(r["_stay"] for r in known) < batch.rows:
+            key_index.append(key_index.new_entries(keyed, found, keys, partition_cols, buckets), where)
+    finally:
+        found.unpersist()
+    return [tuple(r)[: len(old)] for r in known], [tuple(r)[: len(old)] for r in known if r["_leave"]]
+
+
 def upsert_partitioned(
     spark: SparkSession,
     source: DataFrame,
@@ -213,48 +288,62 @@ def upsert_partitioned(
     partition_cols: list[str],
     quarantine: str | None = None,
     rows_move: bool = True,
+    index_buckets: int = INDEX_BUCKETS,
     **merge_kwargs,
 ) -> list[tuple]:
     """MERGE into a partitioned Parquet table, rewriting only the partitions
     that change. Returns the rewritten partition values.
 
-    ``rows_move=True``: a row may come back with other partition values; the key
-    and partition columns of the target are scanned to find where matched keys
-    live now, and such a row leaves its old partition. ``rows_move=False``: the
+    ``rows_move=True``: a row may come back with other partition values. The key index beside the
+    table (``key_index``) names the partitions where the batch's keys live now; only its buckets of
+    these keys are read, and a row leaves its old partition. ``rows_move=False``: the
     partition values belong to the key, so only the source's own partitions are
     read and rewritten; the same key in another partition is another row.
 
     The merged partitions are written once, with dynamic partition overwrite:
     its job commit swaps the new files in after every task has read the old
-    ones. Rows with a NULL key are appended to ``quarantine`` if given.
+    ones; partitions that the merge emptied are deleted after that. A crash in between, or in the middle of the
+    commit, can leave a row in two partitions. The index names both, so the
+    repeated batch, or any later one with the key, keeps the newest of them.
+    Rows with a NULL key are appended to ``quarantine`` if given.
     """
-    source = source.persist(StorageLevel.MEMORY_AND_DISK)  # read by the checks, the partition list and the merge
+    insert_nulls = merge_kwargs.get("null_keys", "reject") == "insert"
+    source = source.persist(StorageLevel.MEMORY_AND_DISK)  # read by the checks, the index and the merge
     try:
-        if merge_kwargs.get("null_keys", "reject") == "reject":
+        batch = examine(source, keys, partition_cols, index_buckets, insert_nulls)
+        keyed = source
+        if batch.null_keys and not insert_nulls:
             _quarantine(null_key_rows(source, keys), quarantine, keys)
             keyed = source.filter(~_any_null(keys))
-        else:
-            keyed = source
-        check_source(keyed, keys)
-        parts = [tuple(r) for r in keyed.select(*partition_cols).distinct().collect()]  # one row a touched partition
+        parts = batch.parts
         if not parts:  # nothing to merge
             return []
         if not path_exists(spark, path):  # first write
+            if rows_move:
+                key_index.rebuild(keyed, key_index.index_path(path, index_buckets), keys, partition_cols, index_buckets)
             keyed.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
             return parts
+        leaving: list[tuple] = []
+        if rows_move:
+            held, leaving = _places(spark, keyed, path, keys, partition_cols, batch, index_buckets)
+            parts = list(dict.fromkeys(parts + held))
+        else:
+            keys = keys + partition_cols
         # declared schema: partition types come from the source, not from
         # directory names (an all-NULL partition would infer as VOID)
         target = spark.read.schema(source.schema).parquet(path)
-        if rows_move:
-            moved = target.select(*keys, *partition_cols).join(keyed.select(*keys), keys, "left_semi")
-            old = [tuple(r) for r in moved.select(*partition_cols).distinct().collect()]
-            parts = list(dict.fromkeys(parts + old))
+        touched = touched_rows(target, parts, partition_cols).select(*source.columns)
+        newer_wins = merge_kwargs.get("newer_wins")
+        if set(merge_kwargs) <= {"newer_wins"}:
+            merged = newest_rows(touched, keyed, keys, newer_wins)
         else:
-            keys = keys + partition_cols
-        merged = merge_frames(touched_rows(target, parts, partition_cols).select(*source.columns), keyed, keys, null_safe=partition_cols, **merge_kwargs)
-        if rows_move:
+            if rows_move:
+                touched = one_target_row(touched, keyed, keys, newer_wins)
+            merged = merge_frames(touched, keyed, keys, null_safe=partition_cols, **merge_kwargs)
+        left: set[tuple] = set()
+        if leaving:  # only these can become empty; ask before the write replaces what the merge reads
             merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-            left = {tuple(r) for r in merged.select(*partition_cols).distinct().collect()}  # before the write replaces what it reads
+            left = {tuple(r) for r in merged.select(*partition_cols).distinct().collect()}
         (
             merged.select(*target.columns)
             .write.mode("overwrite")
@@ -262,11 +351,10 @@ def upsert_partitioned(
             .partitionBy(*partition_cols)
             .parquet(path)
         )
-        if rows_move:
-            # partitions that the merge emptied get no file from the overwrite: drop them
-            for part in parts:
-                if part not in left:
-                    _delete_dir(spark, f"{path.rstrip('/')}/" + "/".join(_part_dir(spark, c, v) for c, v in zip(partition_cols, part)))
+        for part in leaving:  # an emptied partition gets no file from the overwrite
+            if part not in left:
+                _delete_dir(spark, f"{path.rstrip('/')}/" + "/".join(_part_dir(spark, c, v) for c, v in zip(partition_cols, part)))
+        if leaving:
             merged.unpersist()
         return parts
     finally:

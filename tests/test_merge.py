@@ -159,3 +159,90 @@ def test_old_versions_are_cleaned_up(spark, tmp_dir):
     for i in range(4):
         merge.upsert_path(spark, spark.createDataFrame([("a", i, i)], SCHEMA), f"{tmp_dir}/t", ["id"])
     assert sorted(os.listdir(f"{tmp_dir}/t")) == ["v000003", "v000004"]
+
+
+MOVING = "id string, v int, off long, p int"
+
+
+def table_rows(spark, path):
+    return sorted(((r.id, r.v, r.p) for r in spark.read.schema(MOVING).parquet(path).collect()), key=repr)
+
+
+@pytest.mark.parametrize("newer_wins", [None, "off"])
+def test_a_crash_before_the_clean_up_is_mended(spark, tmp_dir, monkeypatch, newer_wins):
+    path, kwargs = f"{tmp_dir}/t", {} if newer_wins is None else {"newer_wins": newer_wins}
+    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, 1), ("b", 2, 2, 2)], MOVING), path, ["id"], ["p"], **kwargs)
+    moved = spark.createDataFrame([("a", 5, 5, 2)], MOVING)
+
+    def crash(*args):
+        raise OSError("executor and driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(merge, "_delete_dir", crash)
+        with pytest.raises(OSError):
+            merge.upsert_partitioned(spark, moved, path, ["id"], ["p"], **kwargs)
+    assert table_rows(spark, path) == [("a", 1, 1), ("a", 5, 2), ("b", 2, 2)]
+    merge.upsert_partitioned(spark, moved, path, ["id"], ["p"], **kwargs)  # the batch comes again
+    assert table_rows(spark, path) == [("a", 5, 2), ("b", 2, 2)]
+
+
+def test_a_crash_is_mended_by_an_older_row_and_by_updates_of_some_columns(spark, tmp_dir):
+    for name, kwargs in (("older", {"newer_wins": "off"}), ("columns", {"newer_wins": "off", "update_cols": ["v"]})):
+        path = f"{tmp_dir}/{name}"
+        merge.upsert_partitioned(spark, spark.createDataFrame([("a", 1, 1, 1), ("b", 2, 2, 2)], MOVING), path, ["id"], ["p"], newer_wins="off")
+        merge.upsert_partitioned(spark, spark.createDataFrame([("a", 5, 5, 2)], MOVING), path, ["id"], ["p"], newer_wins="off")
+        # as a crash leaves it: the old copy is still in partition 1
+        spark.createDataFrame([("a", 1, 1, 1)], MOVING).write.mode("append").partitionBy("p").parquet(path)
+        merge.upsert_partitioned(spark, spark.createDataFrame([("a", 3, 3, 3)], MOVING), path, ["id"], ["p"], **kwargs)
+        assert table_rows(spark, path) == [("a", 5, 2), ("b", 2, 2)]
+
+
+def test_the_key_index_prunes_its_own_and_the_table_s_scan(spark, tmp_dir):
+    from swipeflow.operators import key_index
+
+    path, parts = f"{tmp_dir}/t", ["p"]
+    first = spark.createDataFrame([(f"k{i}", i, 1, i % 9) for i in range(400)], MOVING)
+    merge.upsert_partitioned(spark, first, path, ["id"], parts, index_buckets=16)
+    batch = spark.createDataFrame([("k4", 0, 2, 7), ("new", 0, 2, 7)], MOVING)
+    seen = merge.examine(batch, ["id"], parts, 16)
+    assert seen.rows == 2 and len(seen.buckets) <= 2
+    index = key_index.read(spark, key_index.index_path(path, 16), batch, ["id"], parts)
+    found = key_index.places(index, batch, ["id"], parts, 16, seen.buckets)
+    assert [tuple(r) for r in found.select("id", "p", "_old_p").collect()] == [("k4", 7, 4)]
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "_bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(merge.upsert_partitioned(spark, batch, path, ["id"], parts, index_buckets=16)) == [(4,), (7,)]
+    # no scan of the table but that of the touched partitions
+    touched = merge.touched_rows(spark.read.schema(batch.schema).parquet(path), [(4,), (7,)], parts)
+    assert "p#" in touched._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert spark.read.parquet(path).count() == 401
+
+
+def test_the_key_index_grows_by_new_places_only_and_can_be_rebuilt(spark, tmp_dir):
+    from swipeflow.operators import key_index
+
+    path = f"{tmp_dir}/t"
+    where = key_index.index_path(path, merge.INDEX_BUCKETS)
+    first = spark.createDataFrame([("a", 1, 1, 1), ("b", 2, 2, None)], MOVING)
+    for _ in range(3):  # replays add nothing
+        merge.upsert_partitioned(spark, first, path, ["id"], ["p"], newer_wins="off")
+        assert spark.read.parquet(where).count() == 2
+    merge.upsert_partitioned(spark, spark.createDataFrame([("b", 3, 3, 1)], MOVING), path, ["id"], ["p"], newer_wins="off")
+    assert spark.read.parquet(where).count() == 3
+    assert table_rows(spark, path) == [("a", 1, 1), ("b", 3, 1)]
+    key_index.rebuild(spark.read.schema(MOVING).parquet(path), where, ["id"], ["p"], merge.INDEX_BUCKETS)
+    assert spark.read.parquet(where).count() == 2
+
+
+def test_a_table_without_an_index_gets_one(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    spark.createDataFrame([("a", 1, 1, 1), ("b", 2, 2, 2)], MOVING).write.partitionBy("p").parquet(path)
+    merge.upsert_partitioned(spark, spark.createDataFrame([("a", 9, 9, 2)], MOVING), path, ["id"], ["p"])
+    assert table_rows(spark, path) == [("a", 9, 2), ("b", 2, 2)]
+
+
+def test_newest_rows_is_the_merge_of_whole_rows(spark):
+    tgt = spark.createDataFrame([("a", 1, 5), ("b", 2, 5), ("c", 3, None), ("e", 5, 5), ("g", 1, 1), ("g", 2, 2)], SCHEMA)
+    src = spark.createDataFrame([("a", 10, 4), ("b", 20, 6), ("c", 30, 7), ("d", 40, 1), ("e", 50, None), ("f", 60, None)], SCHEMA)
+    for kwargs in ({}, {"newer_wins": "off"}):
+        assert rows(merge.newest_rows(tgt, src, ["id"], kwargs.get("newer_wins"))) == rows(merge.merge_frames(tgt, src, ["id"], **kwargs))
