@@ -8,13 +8,13 @@ sides whose row count was checked against a bound first.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
+from ..session import materialize, scratch_dir
+from .merge import path_exists
 
 SEARCH_QUESTIONS = K.SEARCH_QUESTIONS
 RAG_QUESTIONS = K.RAG_QUESTIONS
@@ -202,13 +202,12 @@ def vector_topk(
     k: int = 5,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
-    max_queries_per_pass: int = MAX_BROADCAST_QUERIES,
+    max_queries: int = MAX_BROADCAST_QUERIES,
 ) -> DataFrame:
     """Exact cosine top-k of every query over the corpus.
 
-    The query matrix is broadcast only after its row count is checked
-    against ``max_queries_per_pass`` (64-wide vectors: 10k queries ~ 5 MB);
-    larger query sets run in passes of that size. Corpus partitions score
+    Up to ``max_queries`` queries (64-wide vectors: 10k queries ~ 5 MB) are broadcast as one matrix; more are
+    joined with the corpus in blocks (``vector_join``), exactly as well. Corpus partitions score
     Arrow batches with numpy (one matrix product per batch) and forward at
     most ~k candidates per query; ``row_number() <= k`` then picks the final
     top-k per query, again with a partial limit before its shuffle.
@@ -216,33 +215,25 @@ def vector_topk(
     import numpy as np
 
     spark = corpus.sparkSession
+    rows = queries.select("query_id", "query_vec").limit(max_queries + 1).collect()  # bounded
+    if len(rows) > max_queries:
+        from .vector_join import Hashing, vector_topk_join
+
+        return vector_topk_join(corpus, queries, k, id_col, vec_col, hashing=Hashing(0, 1))
     c = corpus.select(F.col(id_col).alias("doc_id"), F.col(vec_col).alias("_v"))
     id_type = dict(c.dtypes)["doc_id"]
     qid_type = dict(queries.dtypes)["query_id"]
-    n_q = queries.limit(max_queries_per_pass + 1).count()
-    if n_q <= max_queries_per_pass:
-        chunks = [queries]
-    else:
-        n_chunks = -(-queries.count() // max_queries_per_pass)
-        tagged = queries.withColumn("_chunk", F.abs(F.xxhash64("query_id")) % n_chunks)
-        chunks = [tagged.filter(F.col("_chunk") == i).drop("_chunk") for i in range(n_chunks)]
-    parts = []
-    for qc in chunks:
-        rows = qc.select("query_id", "query_vec").collect()  # bounded: <= max_queries_per_pass rows
-        if not rows:
-            continue
-        q_ids = np.array([r[0] for r in rows])
-        qm = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
-        norms = np.linalg.norm(qm, axis=1, keepdims=True)
-        q_unit = qm / np.where(norms > 0, norms, 1.0)  # a zero query is equally far (0) from all
-        bc = spark.sparkContext.broadcast((q_ids, q_unit))
-        scored = c.mapInPandas(_batch_topk(bc, k), f"query_id {qid_type}, doc_id {id_type}, _sim double")
-        w = Window.partitionBy("query_id").orderBy(F.desc("_sim"), "doc_id")
-        parts.append(scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
-    if not parts:
+    if not rows:
         return spark.createDataFrame([], f"query_id {qid_type}, rank int, doc_id {id_type}, similarity double")
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select("query_id", "rank", "doc_id", F.round("_sim", 4).alias("similarity"))
+    q_ids = np.array([r[0] for r in rows])
+    qm = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
+    norms = np.linalg.norm(qm, axis=1, keepdims=True)
+    q_unit = qm / np.where(norms > 0, norms, 1.0)  # a zero query is equally far (0) from all
+    bc = spark.sparkContext.broadcast((q_ids, q_unit))
+    scored = c.mapInPandas(_batch_topk(bc, k), f"query_id {qid_type}, doc_id {id_type}, _sim double")
+    w = Window.partitionBy("query_id").orderBy(F.desc("_sim"), "doc_id")
+    near = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return near.select("query_id", "rank", "doc_id", F.round("_sim", 4).alias("similarity"))
 
 
 def label_centroids(emb: DataFrame) -> DataFrame:
@@ -275,38 +266,41 @@ def tokens(df: DataFrame, id_col: str, text_col: str, analyzer: str = "char3") -
     return t.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf_search(
-    corpus: DataFrame,
-    questions: DataFrame,
-    k: int = 3,
-    id_col: str = "doc_id",
-    text_col: str = "doc",
-    analyzer: str = "char3",
-) -> DataFrame:
-    """L3-L5 re-aimed: cosine similarity of TF-IDF vectors, exact, via an
-    inverted index: query terms join document terms on ``term`` (an equi-join,
-    hot terms split by AQE), partial sums per (question, doc), top-k per
-    question. IDF = ln((N + 1) / (df + 1)) as in Spark ML."""
-    dt = tokens(corpus, id_col, text_col, analyzer)
-    n_docs = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
-    idf = dt.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
-        "term", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf")
-    )
-    dw = dt.join(idf, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    dn = dw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dnorm"))
-    qt = tokens(questions, "question_id", "question", analyzer)
-    qw = qt.join(idf, "term").select(
+def build_term_index(corpus: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "doc", analyzer: str = "char3") -> None:
+    """L3: the inverted index, stored once for all searches: ``postings`` (term, id, w) and ``terms`` (term, idf).
+
+    Weights are divided by the norm of their document, so a search needs no other table. A term that
+    occurs in every document has idf 0 and adds nothing to any product or norm; it is dropped, and with it the
+    longest lists. IDF = ln((N + 1) / (df + 1)) as in Spark ML. Postings are sorted by term, so Parquet
+    statistics skip the lists that no question asks for."""
+    dt = materialize(tokens(corpus, id_col, text_col, analyzer))
+    n_docs = corpus.count()
+    terms = dt.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") < n_docs)
+    terms = materialize(terms.select("term", F.log(F.lit(n_docs + 1) / (F.col("df") + 1)).alias("idf")))
+    weights = dt.join(terms, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norms = weights.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    unit = weights.join(norms, "id").select("term", "id", "w", "norm")
+    unit.repartitionByRange("term", "id").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+    terms.write.mode("overwrite").parquet(f"{path}/terms")
+
+
+def term_index_exists(spark: SparkSession, path: str) -> bool:
+    """The terms are written last."""
+    return path_exists(spark, f"{path}/terms/_SUCCESS")
+
+
+def search_index(spark: SparkSession, path: str, questions: DataFrame, k: int = 3, analyzer: str = "char3") -> DataFrame:
+    """Cosine of TF-IDF vectors, exact: the questions' terms join the stored lists of these terms (an
+    equi-join, hot terms split by AQE), products are summed per (question, document), top-k per question."""
+    postings, terms = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms")
+    qw = tokens(questions, "question_id", "question", analyzer).join(terms, "term").select(
         F.col("id").alias("question_id"), "term", (F.col("tf") * F.col("idf")).alias("qw")
     )
     qn = qw.groupBy("question_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    dots = qw.join(dw, "term").groupBy("question_id", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
+    dots = qw.join(postings, "term").groupBy("question_id", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"), F.min("norm").alias("norm"))
     # scores rounded to 10 places before ranking, so mathematically equal
     # scores (templated texts) tie exactly and the doc_id tie-break decides
-    scored = dots.join(dn.filter(F.col("dnorm") > 0), "id").join(qn.filter(F.col("qnorm") > 0), "question_id").select(
-        "question_id",
-        F.col("id").alias("doc_id"),
-        F.round(F.col("dot") / (F.col("dnorm") * F.col("qnorm")), 10).alias("_s"),
-    )
+    scored = dots.join(qn, "question_id").select("question_id", F.col("id").alias("doc_id"), F.round(F.col("dot") / (F.col("norm") * F.col("qnorm")), 10).alias("_s"))
     w = Window.partitionBy("question_id").orderBy(F.desc("_s"), "doc_id")
     return (
         scored.withColumn("rank", F.row_number().over(w))
@@ -315,6 +309,13 @@ def tfidf_search(
     )
 
 
+def tfidf_search(corpus: DataFrame, questions: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "doc", analyzer: str = "char3") -> DataFrame:
+    """``build_term_index`` and one search, for a corpus that is searched once."""
+    path = scratch_dir(corpus.sparkSession, "term-index")
+    build_term_index(corpus, path, id_col, text_col, analyzer)
+    return search_index(corpus.sparkSession, path, questions, k, analyzer)
+
+
 def rag_context(hits: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "doc") -> DataFrame:
     """One context text per question: hits numbered ``[Alert i]: text``
     joined by blank lines (each group holds at most k rows)."""

@@ -1443,3 +1443,37 @@ FROM l
 """
 )
 SQL["landing_files"] = "SELECT CAST(3 AS BIGINT) AS files, COUNT(*) AS rows FROM customer"
+
+SQL["stream_dedup"] = q(
+    """
+SELECT transaction_id, any_value(customer_id) AS customer_id, CAST(any_value(amount_usd) AS DOUBLE) AS amount_usd,
+       any_value(transaction_ts) AS transaction_ts, CAST(NULL AS BIGINT) AS offset_without_id
+FROM bronze WHERE transaction_id IS NOT NULL GROUP BY transaction_id
+UNION ALL
+SELECT NULL, customer_id, CAST(amount_usd AS DOUBLE), transaction_ts, kafka_offset FROM bronze WHERE transaction_id IS NULL
+"""
+)
+SQL["p99_sketch_check"] = q(
+    """
+SELECT txn_year, txn_month, merchant_category, COUNT(amount_usd) AS n, COUNT(amount_usd) AS sketched, TRUE AS within_rank_error
+FROM silver WHERE txn_month IS NOT NULL AND amount_usd IS NOT NULL GROUP BY 1, 2, 3
+"""
+)
+SQL["class_weights"] = q(
+    f"""
+, t AS (SELECT CAST(is_fraud AS DOUBLE) AS label FROM passed WHERE {_BUCKET} % 100 >= 20)
+, c AS (SELECT label, COUNT(*) AS rows FROM t GROUP BY label)
+SELECT label, rows, round(CAST((SELECT COUNT(*) FROM t) AS DOUBLE) / ((SELECT COUNT(*) FROM c) * rows), 6) AS weight FROM c
+"""
+)
+
+SQL["vector_topk_lsh"] = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+sims AS (
+    SELECT q.vec_id AS query_id, e.vec_id AS doc_id,
+           round(list_dot_product(e.v, q.v) / (sqrt(list_dot_product(e.v, e.v)) * sqrt(list_dot_product(q.v, q.v))), 9) AS s
+    FROM e CROSS JOIN e q
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank FROM sims)
+SELECT query_id, rank, doc_id, round(s, 4) AS similarity FROM ranked WHERE rank <= 5
+"""

@@ -234,7 +234,7 @@ def q_c360_sql(spark, d):
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from ..operators import merge, ml, quality, ranking, retrieval, sinks, windows  # noqa: E402
+from ..operators import embeddings, merge, ml, quality, ranking, retrieval, sinks, sketches, vector_join, windows  # noqa: E402
 from ..schemas import MART_CUSTOMERS, MART_TRANSACTION_DEFAULTS, MART_TRANSACTIONS  # noqa: E402
 from ..streaming import bronze_stream  # noqa: E402
 
@@ -347,6 +347,36 @@ def q_outliers_3x(spark, d):
     return quality.amount_outliers(rows.withColumn("amount_usd", big)).select("transaction_id", "kafka_offset", "amount_usd")
 
 
+def _daily_sketches(spark, d):
+    """One stored sketch a day and category."""
+    from ..session import materialize
+
+    return materialize(sketches.sketch_by(silver_txn(spark, d), ["txn_year", "txn_month", "txn_day", "merchant_category"]))
+
+
+@register("p99_by_month")
+def q_p99_by_month(spark, d):
+    """p99 by month and category, and by month over all of them, merged from the daily sketches."""
+    daily = _daily_sketches(spark, d)
+    by_category = sketches.merge_up(daily, ["txn_year", "txn_month", "merchant_category"])
+    by_month = sketches.merge_up(by_category, ["txn_year", "txn_month"]).withColumn("merchant_category", F.lit("ALL"))
+    return sketches.quantiles(by_category.unionByName(by_month), 0.99, "p99_amount_usd")
+
+
+@register("p99_sketch_check")
+def q_p99_sketch_check(spark, d):
+    """The merged sketches against all rows: their count, and whether 0.99 lies within the stated rank error of the estimate's rank."""
+    from ..session import materialize
+
+    by = ["txn_year", "txn_month", "merchant_category"]
+    estimates = materialize(sketches.quantiles(sketches.merge_up(_daily_sketches(spark, d), by), 0.99, "p99").withColumnRenamed("n", "sketched"))
+    s = silver_txn(spark, d).filter("txn_month IS NOT NULL")
+    ranks = sketches.rank_of_estimate(s, estimates, by, "p99").join(estimates, by)
+    error = sketches.rank_error()
+    fits = (F.col("rank_below") <= 0.99 + error) & (F.col("rank_upto") >= 0.99 - error)
+    return ranks.select(*by, "n", "sketched", fits.alias("within_rank_error"))
+
+
 @register("dq_checks_one_day")
 def q_dq_checks_day(spark, d):
     return quality.run_checks(staging(spark, d), AS_OF, check_date=ONE_DAY)
@@ -489,11 +519,29 @@ def _documents(spark, d, n):
     return retrieval.alert_documents(gold.fraud_alerts_hourly(silver_txn(spark, d)), n)
 
 
-def _corpus(spark, d):
-    """All alert documents, materialized: the index build reads them twice."""
-    from ..session import materialize
+def _stored(spark, d, name):
+    """A folder for what is built once per application and state of the input files."""
+    import hashlib
+
+    from ..session import ensure_checkpoint_dir
+
+    state = hashlib.sha256(repr((d, tables.version(spark, d, ["events", "customer"]))).encode()).hexdigest()[:20]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{spark.sparkContext.applicationId}-{state}"
+
+
+def _alert_texts(spark, d):
+    """All alert documents, stored once: the term index, the embeddings and the contexts read them."""
+    path = _stored(spark, d, "alert-texts")
+    if not merge.path_exists(spark, f"{path}/_SUCCESS"):
+        _documents(spark, d, None).select("doc_id", "doc").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
-    return materialize(_documents(spark, d, None).select("doc_id", "doc"))
+
+def _term_index(spark, d):
+    path = _stored(spark, d, "term-index")
+    if not retrieval.term_index_exists(spark, path):
+        retrieval.build_term_index(_alert_texts(spark, d), path)
+    return path
 
 
 @register("alert_documents")
@@ -507,17 +555,32 @@ def q_vector_topk(spark, d):
     return retrieval.vector_topk(emb, retrieval.label_centroids(emb), k=5)
 
 
+@register("vector_topk_lsh")
+def q_vector_topk_lsh(spark, d):
+    """E5 for a large query set: the five nearest of every vector of the table, itself included."""
+    emb = tables.table(spark, d, "embeddings")
+    return vector_join.vector_topk_join(emb, emb.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec")), k=5)
+
+
 @register("tfidf_search")
 def q_tfidf(spark, d):
     qs = retrieval.question_frame(spark, retrieval.SEARCH_QUESTIONS)
-    return retrieval.tfidf_search(_corpus(spark, d), qs, k=3)
+    return retrieval.search_index(spark, _term_index(spark, d), qs, k=3)
 
 
 @register("rag_context")
 def q_rag(spark, d):
-    docs = _corpus(spark, d)
     qs = retrieval.question_frame(spark, retrieval.RAG_QUESTIONS)
-    return retrieval.rag_context(retrieval.tfidf_search(docs, qs, k=8), docs)
+    return retrieval.rag_context(retrieval.search_index(spark, _term_index(spark, d), qs, k=8), _alert_texts(spark, d))
+
+
+@register("embedding_search")
+def q_embedding_search(spark, d):
+    """L3-L5 with learned dense vectors: the collection is trained and stored once, then searched."""
+    path = _stored(spark, d, "collection")
+    if not embeddings.collection_exists(spark, path):
+        embeddings.build_collection(_alert_texts(spark, d), path)
+    return embeddings.search(spark, path, retrieval.question_frame(spark, retrieval.SEARCH_QUESTIONS), k=3)
 
 
 # --- scores and model -------------------------------------------------------------
@@ -568,35 +631,60 @@ def q_oversample(spark, d):
 _MODELS: dict[tuple, tuple] = {}
 
 
-def _trained(spark, d, model="gbt", trees=100, depth=6):
-    """The surveyed model, fitted once per application and table; its features are written once."""
+def _trained(spark, d, model="gbt", trees=100, depth=6, balance="oversample"):
+    """The surveyed model, its features and training rows, fitted once per application and state of the
+    input files. ``balance``: copies of fraud rows, or class weights."""
     from ..session import materialize
 
-    key = (spark.sparkContext.applicationId, d, model, trees, depth)
+    state = tables.version(spark, d, ["events", "customer"])
+    key = (spark.sparkContext.applicationId, d, state, model, trees, depth, balance)
     if key not in _MODELS:
         f = materialize(ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed"))))
-        train = materialize(ml.oversample(ml.split_hash(f)[0]))
-        _MODELS[key] = ml.build_pipeline(max_iter=trees, max_depth=depth, model=model).fit(train), f
+        side = ml.split_hash(f)[0]
+        train = materialize(ml.oversample(side) if balance == "oversample" else ml.weight_classes(side))
+        weight = None if balance == "oversample" else "weight"
+        fitted = ml.build_pipeline(max_iter=trees, max_depth=depth, model=model, weight_col=weight).fit(train)
+        _MODELS[key] = fitted, f, train
     return _MODELS[key]
 
 
 @register("gbt_scores")
 def q_gbt_scores(spark, d):
-    model, f = _trained(spark, d)
+    model, f, _ = _trained(spark, d)
     return ml.score(model, f)
 
 
 @register("random_forest_scores")
 def q_rf_scores(spark, d):
     """K8: the random-forest variant, 40 trees."""
-    model, f = _trained(spark, d, "rf", trees=40)
+    model, f, _ = _trained(spark, d, "rf", trees=40)
     return ml.score(model, f)
 
 
 @register("feature_importance")
 def q_importance(spark, d):
-    model, _ = _trained(spark, d)
-    return ml.feature_importance(spark, model)
+    model, f, _ = _trained(spark, d)
+    return ml.feature_importance(model, f)
+
+
+@register("class_weights")
+def q_class_weights(spark, d):
+    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed")))
+    return ml.class_weights(ml.split_hash(f)[0]).select("label", "rows", F.round("weight", 6).alias("weight"))
+
+
+@register("gbt_weighted")
+def q_gbt_weighted(spark, d):
+    """I4 / K6: the model fitted with class weights beside the one fitted on copied fraud rows, on the same test side."""
+    rows = None
+    for balance in ("weights", "oversample"):
+        model, f, train = _trained(spark, d, balance=balance)
+        scored = ml.score(model, ml.split_hash(f)[1])
+        sizes = train.agg(F.count(F.lit(1)).alias("train_rows"), F.countDistinct("transaction_id").alias("train_transactions"))
+        one = ml.confusion_metrics(scored).join(ml.auc_exact(scored).select("auc"), how="cross").join(sizes, how="cross")  # one row each
+        one = one.select(F.lit(balance).alias("balance"), "*")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 
 
 # --- ingest, streaming, mart ------------------------------------------------------
@@ -685,6 +773,18 @@ def q_stream_silver(spark, d):
     return spark.read.parquet(silver_dir).select(*_DEDUP_COLS)
 
 
+@register("stream_dedup")
+def q_stream_dedup(spark, d):
+    """J4, stateful: first arrivals. Which copy of an id arrives first depends on the files' order, so only what all copies
+    share is returned, and the place of rows without an id. Replayed messages carry their event's time, so the watermark spans the table."""
+    landing, bronze_dir, _, _, ck = _stream_dirs(spark, "stream-dedup")
+    bronze_stream.write_landing(bronze(spark, d), landing)
+    events = bronze_stream.event_stream(spark, options={"path": landing, "maxFilesPerTrigger": 2})
+    bronze_stream.start_dedup(bronze_stream.parse_transactions(events, as_of=AS_OF), bronze_dir, f"{ck}/d", "400 days").awaitTermination()
+    place = F.when(F.col("transaction_id").isNull(), F.col("kafka_offset"))
+    return spark.read.parquet(bronze_dir).select("transaction_id", "customer_id", "amount_usd", "transaction_ts", place.alias("offset_without_id"))
+
+
 @register("silver_quarantine")
 def q_quarantine(spark, d):
     """Every Bronze row without an id, as the Silver MERGE leaves it in the quarantine table."""

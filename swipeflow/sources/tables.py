@@ -40,6 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def version(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple:
+    """State of the tables' files (count, bytes, last change): another value after a table is rewritten in place."""
+    states = []
+    for name in names:
+        files = table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        states.append(tuple(files.agg(F.count(F.lit(1)), F.sum("file_size"), F.max("file_modification_time")).first()))
+    return tuple(states)
+
+
 def _sql_list(values: list) -> str:
     return "array(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + ")"
 

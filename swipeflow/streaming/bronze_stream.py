@@ -42,10 +42,12 @@ def to_envelope(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_landing(raw: DataFrame, path: str, files: int = 6) -> None:
-    """Land envelopes as JSON-lines files (a fixture for the streams): offsets are dealt over
-    ``files`` files by a hash, so each file holds old and new events and arrives out of order."""
-    to_envelope(raw).repartition(files, F.xxhash64("offset")).write.mode("overwrite").json(path)
+def write_landing(raw: DataFrame, path: str, records_per_file: int = 4_000) -> None:
+    """Land envelopes as JSON-lines files (a fixture for the streams): offsets are dealt over tasks by
+    a hash, so each file holds old and new events and arrives out of order. Tasks grow
+    with the data, files hold at most ``records_per_file``."""
+    dealt = to_envelope(raw).repartition(F.xxhash64("offset"))
+    dealt.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
 
 
 def event_stream(spark: SparkSession, kind: str = "files", options: dict | None = None) -> DataFrame:
@@ -89,6 +91,25 @@ def start_bronze(parsed: DataFrame, sink: str, checkpoint: str, trigger: dict |
     )
 
 
+def dedup_stream(parsed: DataFrame, watermark: str, key: str = "transaction_id") -> DataFrame:
+    """J4, stateful: the first delivery of each ``key`` goes on at once, later ones within ``watermark``
+    of it (by message time) are dropped; rows without a key all go on.
+
+    The state store holds one entry a key until the watermark has passed it, so state is bounded
+    by the keys of ``watermark``, and no table is read. The MERGE path (``start_silver``) differs in three
+    ways: there the highest offset wins, not the first arrival; a repeat of any age is
+    caught; and messages older than the watermark are merged, while here they are dropped as late.
+    Choose ``watermark`` longer than the source can replay, or feed the MERGE."""
+    log_place = F.concat_ws(":", F.lit("no key"), F.col("kafka_partition").cast("string"), F.col("kafka_offset").cast("string"))
+    keyed = parsed.withColumn("_dedup_key", F.coalesce(F.concat(F.lit("key:"), F.col(key)), log_place))
+    return keyed.withWatermark("kafka_timestamp", watermark).dropDuplicatesWithinWatermark(["_dedup_key"]).drop("_dedup_key")
+
+
+def start_dedup(parsed: DataFrame, sink: str, checkpoint: str, watermark: str, trigger: dict | None = None):
+    """``dedup_stream`` appended to partitioned Parquet; a restart goes on from offsets and state in the checkpoint."""
+    return start_bronze(dedup_stream(parsed, watermark), sink, checkpoint, trigger)
+
+
 SILVER_STREAM_PARTS = ["txn_year", "txn_month", "txn_day"]
 
 
@@ -98,8 +119,8 @@ def silver_batch_writer(
     """``foreachBatch`` body: cleanse, dedup inside the batch, features,
     then MERGE by ``transaction_id`` where the newer offset wins (B7). Rows
     without an id are appended to ``quarantine`` (default: a folder beside the
-    table). The table is partitioned by day; a micro-batch scans the id and day
-    columns for where its ids live now (a corrected time moves a row), and reads and
+    table). The table is partitioned by day; the key index beside it tells a micro-batch
+    where its ids live now (a corrected time moves a row), and it reads and
     rewrites only those days and its own. (Very large per-day volumes want a table format with file-level
     rewrites; there, stream Bronze only and run the batch Silver MERGE.)"""
     quarantine = quarantine or f"{silver_path.rstrip('/')}_quarantine"

@@ -28,7 +28,7 @@ def test_vector_topk_in_passes_equals_single_pass(spark):
     emb = tables.table(spark, SF_SMALL, "embeddings")
     q = retrieval.label_centroids(emb)
     one = retrieval.vector_topk(emb, q, k=4).toPandas().sort_values(["query_id", "rank"]).reset_index(drop=True)
-    many = retrieval.vector_topk(emb, q, k=4, max_queries_per_pass=2).toPandas()
+    many = retrieval.vector_topk(emb, q, k=4, max_queries=2).toPandas()
     many = many.sort_values(["query_id", "rank"]).reset_index(drop=True)
     pd.testing.assert_frame_equal(one, many)
 
