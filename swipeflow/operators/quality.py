@@ -116,7 +116,10 @@ def dq_metrics(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFra
         F.count_if(F.col("amount_usd").cast("double") > p * 3).alias("high_amount_anomalies"),
         *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in KEY_COLUMNS],
     )
-    base = s.select(b.alias("bronze_total_rows"), "*", g.alias("gold_total_rows"), p.alias("_p99"))
+    # at most five rows
+    places = F.array_sort(F.collect_list(F.struct((-F.col("txn_count")).alias("n"), F.coalesce("merchant_category", F.lit("NULL")).alias("name"))))
+    top = top_categories(silver).agg(F.array_join(F.transform(places, lambda x: F.concat(x["name"], F.lit(":"), (-x["n"]).cast("string"))), ", ").alias("t")).scalar()
+    base = s.select(b.alias("bronze_total_rows"), "*", g.alias("gold_total_rows"), p.alias("_p99"), F.coalesce(top, F.lit("")).alias("top_categories"))
     return base.select(
         "bronze_total_rows",
         "silver_total_rows",
@@ -135,6 +138,7 @@ def dq_metrics(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFra
         F.coalesce(
             C.rate_pct("bronze_total_rows - silver_total_rows", "bronze_total_rows", 3), F.lit(0.0)
         ).alias("bronze_to_silver_drop_pct"),
+        "top_categories",
     )
 
 
@@ -344,12 +348,13 @@ def alert_rules(
     checks: DataFrame,
     audit: DataFrame | None = None,
     model_metrics: DataFrame | None = None,
+    batches: DataFrame | None = None,
 ) -> DataFrame:
     """M7: monitoring rules evaluated as rows (rule, observed, limit, firing).
 
     Freshness lags come from ``freshness``; failed checks from ``run_checks``;
-    failed pipeline runs from the audit log and the AUC floor from the latest
-    model metrics row, when given.
+    failed pipeline runs from the audit log, the AUC floor from the latest
+    model metrics row and the longest MERGE from the audit rows of a stream (``duration_ms``), when given.
     """
     limits = {
         "bronze": K.ALERT_INGEST_LAG_MINUTES,
@@ -376,6 +381,14 @@ def alert_rules(
                 F.lit(0.0).alias("limit_value"),
             )
         )
+    if batches is not None:
+        rows = rows.unionByName(
+            batches.agg(
+                F.lit("merge_duration_minutes").alias("rule_name"),
+                (F.max("duration_ms") / 60_000.0).alias("observed"),
+                F.lit(float(K.ALERT_MERGE_MINUTES)).alias("limit_value"),
+            )
+        )
     # a lag that cannot be measured (empty or missing layer) fires
     firing = F.coalesce(F.col("observed") > F.col("limit_value"), F.lit(True))
     out = rows.select("*", firing.alias("firing"))

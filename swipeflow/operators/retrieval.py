@@ -8,6 +8,8 @@ sides whose row count was checked against a bound first.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -267,20 +269,22 @@ def tokens(df: DataFrame, id_col: str, text_col: str, analyzer: str = "char3") -
 
 
 def build_term_index(corpus: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "doc", analyzer: str = "char3") -> None:
-    """L3: the inverted index, stored once for all searches: ``postings`` (term, id, w) and ``terms`` (term, idf).
+    """L3: the inverted index, stored once for all searches: ``postings`` (term, id, w, norm), ``documents`` (id) and
+    ``terms`` (term, idf).
 
-    Weights are divided by the norm of their document, so a search needs no other table. A term that
-    occurs in every document has idf 0 and adds nothing to any product or norm; it is dropped, and with it the
-    longest lists. IDF = ln((N + 1) / (df + 1)) as in Spark ML. Postings are sorted by term, so Parquet
+    A posting carries the norm of its document, so a search joins one table. A term that
+    occurs in every document has idf 0 and adds nothing to any product or norm: it has no list, and the
+    longest lists go. IDF = ln((N + 1) / (df + 1)) as in Spark ML. Postings are sorted by term, so Parquet
     statistics skip the lists that no question asks for."""
     dt = materialize(tokens(corpus, id_col, text_col, analyzer))
     n_docs = corpus.count()
-    terms = dt.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") < n_docs)
+    terms = dt.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     terms = materialize(terms.select("term", F.log(F.lit(n_docs + 1) / (F.col("df") + 1)).alias("idf")))
-    weights = dt.join(terms, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    weights = dt.join(terms.filter("idf > 0"), "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("w"))
     norms = weights.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     unit = weights.join(norms, "id").select("term", "id", "w", "norm")
     unit.repartitionByRange("term", "id").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+    norms.select("id").write.mode("overwrite").parquet(f"{path}/documents")
     terms.write.mode("overwrite").parquet(f"{path}/terms")
 
 
@@ -291,19 +295,28 @@ def term_index_exists(spark: SparkSession, path: str) -> bool:
 
 def search_index(spark: SparkSession, path: str, questions: DataFrame, k: int = 3, analyzer: str = "char3") -> DataFrame:
     """Cosine of TF-IDF vectors, exact: the questions' terms join the stored lists of these terms (an
-    equi-join, hot terms split by AQE), products are summed per (question, document), top-k per question."""
+    equi-join, hot terms split by AQE), products are summed per (question, document), top-k per question.
+
+    A question that holds a term of every document is answered with k documents: those that share no other
+    term with it follow with similarity 0, in the order of their ids."""
     postings, terms = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms")
-    qw = tokens(questions, "question_id", "question", analyzer).join(terms, "term").select(
-        F.col("id").alias("question_id"), "term", (F.col("tf") * F.col("idf")).alias("qw")
-    )
+    asked = tokens(questions, "question_id", "question", analyzer).join(terms, "term")
+    qw = asked.filter("idf > 0").select(F.col("id").alias("question_id"), "term", (F.col("tf") * F.col("idf")).alias("qw"))
     qn = qw.groupBy("question_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
     dots = qw.join(postings, "term").groupBy("question_id", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"), F.min("norm").alias("norm"))
     # scores rounded to 10 places before ranking, so mathematically equal
     # scores (templated texts) tie exactly and the doc_id tie-break decides
     scored = dots.join(qn, "question_id").select("question_id", F.col("id").alias("doc_id"), F.round(F.col("dot") / (F.col("norm") * F.col("qnorm")), 10).alias("_s"))
     w = Window.partitionBy("question_id").orderBy(F.desc("_s"), "doc_id")
+    near = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("rank")
+    first = spark.read.parquet(f"{path}/documents").orderBy("id").limit(2 * k)  # of these at least k are not among the near ones
+    ids = [r["id"] for r in first.collect()]
+    if ids:
+        rest = asked.filter("idf = 0").join(qn, asked["id"] == qn["question_id"]).select("question_id").distinct()
+        zero = rest.select("question_id", F.explode(F.array(*[F.lit(i) for i in ids])).alias("doc_id"), F.lit(0.0).alias("_s"))
+        near = near.unionByName(zero).groupBy("question_id", "doc_id").agg(F.max("_s").alias("_s"))
     return (
-        scored.withColumn("rank", F.row_number().over(w))
+        near.withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)
         .select("question_id", "rank", "doc_id", F.round("_s", 4).alias("similarity"))
     )

@@ -62,14 +62,13 @@ def deduplicate(
     WindowGroupLimit before the shuffle, so each map task sends at most one
     row per key: a hot key (or the NULL group) never ships all its rows.
     """
-    order_cols = [F.col(order).desc_nulls_last()] + [F.col(t).desc_nulls_last() for t in tie_breakers]
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    if keep_null_keys:
-        nulls = df.filter(F.col(key).isNull())
-        keyed = df.filter(F.col(key).isNotNull())
-        deduped = keyed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-        return deduped.unionByName(nulls)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    newest_first = [F.col(c).desc_nulls_last() for c in (order, *tie_breakers)]
+    groups = [key]
+    if keep_null_keys:  # a row without a key is a group of its own
+        df = df.withColumn("_own", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+        groups.append("_own")
+    ranked = df.withColumn("_place", F.row_number().over(Window.partitionBy(*groups).orderBy(*newest_first)))
+    return ranked.filter("_place = 1").drop("_place", "_own")
 
 
 def add_derived_features(df: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -91,10 +91,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) ->
 
 
 def clustered_write(df: DataFrame, path: str, keys: list[str], files: int | None = None) -> None:
-    """Range-cluster on the keys and sort within files so min/max
-    statistics prune well (the CLUSTER BY of the mart)."""
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    """``clustered`` on the keys, written as a whole table."""
+    clustered(df, keys, files).write.mode("overwrite").parquet(path)
+
+
+def clustered(df: DataFrame, keys: list[str], files: int | None = None) -> DataFrame:
+    """Range-clustered on the keys and sorted within files, so that min/max
+    statistics prune well (the CLUSTER BY of the mart). Without ``files`` Spark merges small ranges."""
+    ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def surrogate_key(*natural_key: str) -> F.Column:
@@ -106,8 +111,8 @@ def surrogate_key(*natural_key: str) -> F.Column:
 def conform(df: DataFrame, schema: StructType, defaults: dict | None = None) -> DataFrame:
     """Cast every column to the declared type with
     ``try_cast``, apply defaults to NULLs, and give each row a
-    ``_reject_reason`` (first failing column: bad value, or NULL in a NOT NULL
-    column). Accepted rows have a NULL reason; the caller routes the rest to
+    ``_reject_reason`` (first failing column: bad value, NULL in a NOT NULL
+    column, or text beyond the declared ``max_length``). Accepted rows have a NULL reason; the caller routes the rest to
     a reject table instead of failing the load (ON_ERROR=CONTINUE)."""
     defaults = defaults or {}
     cast_cols, reasons = [], []
@@ -124,12 +129,17 @@ def conform(df: DataFrame, schema: StructType, defaults: dict | None = None) ->
         reasons.append(F.when(src.isNotNull() & casted.isNull(), F.lit(f"{f.name}: bad value")))
         if not f.nullable:
             reasons.append(F.when(casted.isNull(), F.lit(f"{f.name}: NULL")))
+        if "max_length" in f.metadata:
+            reasons.append(F.when(F.length(casted) > f.metadata["max_length"], F.lit(f"{f.name}: too long")))
     return df.select(*cast_cols, F.coalesce(*reasons).alias("_reject_reason"))
 
 
-def contract_counts(conformed: DataFrame, key: str) -> DataFrame:
+def contract_counts(conformed: DataFrame, key: str | list[str]) -> DataFrame:
     """B18 as one row: rows, accepted, rejected, and accepted rows beyond the first of their key."""
     ok = F.col("_reject_reason").isNull()
+    if not isinstance(key, str):  # NULL parts of a key count as values
+        conformed = conformed.withColumn("_key", F.struct(*key))
+        key = "_key"
     return conformed.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(ok).alias("accepted_rows"),

@@ -649,7 +649,9 @@ SELECT (SELECT COUNT(*) FROM bronze) AS bronze_total_rows,
        high_amount_anomalies,
        (SELECT p99 FROM p) AS p99_amount_usd,
        COALESCE({rate('(SELECT COUNT(*) FROM bronze) - silver_total_rows', '(SELECT COUNT(*) FROM bronze)', 3)}, 0.0)
-           AS bronze_to_silver_drop_pct
+           AS bronze_to_silver_drop_pct,
+       (SELECT string_agg(c || ':' || CAST(n AS VARCHAR), ', ' ORDER BY n DESC, c) FROM (
+            SELECT merchant_category AS c, COUNT(*) AS n FROM enriched GROUP BY 1 ORDER BY n DESC, c LIMIT 5)) AS top_categories
 FROM s
 """
 )
@@ -1258,7 +1260,7 @@ SQL["audit_log"] = q(AUDIT + "SELECT * FROM audit")
 
 SQL["vector_collection_upsert"] = q(
     GOLD_ALERTS
-    + _docs("LIMIT 500").replace(", docs AS (", ", top_docs AS (", 1)
+    + _docs("LIMIT 100").replace(", docs AS (", ", top_docs AS (", 1)
     + _docs("")
     + """
 , tgt AS (SELECT doc_id, doc, substring(doc, 1, 120) AS preview, TRUE AS _p FROM top_docs)
@@ -1331,7 +1333,7 @@ SQL["pipeline_health_json"] = q(
         [_json_pair(c, False) for c in _COUNTS]
         + [_json_pair("dq_fail_rate_pct", True), _json_pair("duplicate_count", False)]
         + [_json_pair(c, True) for c in _RATES]
-        + [_json_pair("high_amount_anomalies", False), _json_pair("p99_amount_usd", True), _json_pair("bronze_to_silver_drop_pct", True)]
+        + [_json_pair("high_amount_anomalies", False), _json_pair("p99_amount_usd", True), _json_pair("bronze_to_silver_drop_pct", True), _json_pair("top_categories", False)]
     )
     + " || '}' AS pipeline_health FROM m"
 )
@@ -1442,7 +1444,7 @@ SELECT customer_id, CASE WHEN NOT bad THEN score END AS credit_score, created_at
 FROM l
 """
 )
-SQL["landing_files"] = "SELECT CAST(3 AS BIGINT) AS files, COUNT(*) AS rows FROM customer"
+SQL["landing_files"] = "SELECT CAST(c_nationkey AS INT) AS nation, COUNT(*) AS row_count, TRUE AS has_time FROM customer GROUP BY c_nationkey"
 
 SQL["stream_dedup"] = q(
     """
@@ -1477,3 +1479,78 @@ sims AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank FROM sims)
 SELECT query_id, rank, doc_id, round(s, 4) AS similarity FROM ranked WHERE rank <= 5
 """
+
+SQL["landing_compact"] = """
+WITH c AS (SELECT COUNT(*) AS rows, CAST(SUM(c_custkey) AS BIGINT) AS keys, COUNT(DISTINCT c_name) AS names FROM customer)
+SELECT stage, rows, keys, names, as_expected
+FROM c, (VALUES ('landed', CAST(NULL AS BOOLEAN)), ('copy', TRUE), ('copy of copy', TRUE)) v(stage, as_expected)
+"""
+SQL["mart_sequence_keys"] = q(
+    """
+SELECT row_number() OVER (ORDER BY replayed, kafka_offset) AS sequence_key, CASE WHEN replayed THEN 'second' ELSE 'first' END AS load_id,
+       transaction_id, kafka_offset
+FROM bronze
+"""
+)
+
+
+def _nested(name: str) -> str:
+    """A twin's own part as a sub-query."""
+    body = SQL[name][len(BASE):].strip()
+    return "WITH " + body[1:] if body.startswith(",") else body
+
+
+SQL["gold_contracts"] = q(
+    GOLD_DAILY
+    + f"""
+, g_alerts AS ({_nested("fraud_alerts_hourly")})
+, g_c360 AS ({_nested("customer_360")})
+, g_state AS ({_nested("state_performance")})
+, c AS (
+    SELECT 'daily_txn_summary' AS table_name, txn_date IS NOT NULL AS ok, struct_pack(a := CAST(txn_date AS VARCHAR), b := merchant_category, c := card_type) AS k FROM gold_daily
+    UNION ALL SELECT 'customer_360', customer_id IS NOT NULL AND coalesce(avg_amount_to_limit_ratio < 99.9999995, TRUE), struct_pack(a := customer_id, b := '', c := '') FROM g_c360
+    UNION ALL SELECT 'fraud_alerts_hourly', alert_ts IS NOT NULL, struct_pack(a := CAST(alert_ts AS VARCHAR), b := merchant_category, c := merchant_state) FROM g_alerts
+    UNION ALL SELECT 'state_performance', TRUE, struct_pack(a := CAST(txn_year AS VARCHAR), b := CAST(txn_month AS VARCHAR), c := merchant_state) FROM g_state
+)
+SELECT table_name, COUNT(*) AS total_rows, count_if(ok) AS accepted_rows, count_if(NOT ok) AS rejected_rows,
+       count_if(ok) - COUNT(DISTINCT CASE WHEN ok THEN k END) AS duplicate_keys
+FROM c GROUP BY table_name
+"""
+)
+SQL["load_freshness"] = q(
+    f"""
+, f AS (
+    SELECT * FROM (VALUES ('bronze', TIMESTAMP '{NEXT_RUN}', TRUE), ('silver', TIMESTAMP '{NEXT_RUN}', TRUE), ('gold', TIMESTAMP '{K.AS_OF}', FALSE)) v(layer, t, r)
+    WHERE EXISTS (SELECT 1 FROM bronze b WHERE b.replayed = r)
+)
+SELECT layer, t AS last_updated, {rq("epoch_us(TIMESTAMP '2024-02-02 00:10:00') - epoch_us(t)", '60000000', 10, 10)} AS lag_minutes, 'OK' AS status FROM f
+UNION ALL SELECT 'mart', NULL, NULL, 'MISSING'
+"""
+)
+SQL["silver_point_in_time"] = q(
+    f"""
+, arrived AS (
+    SELECT c.*, COALESCE(c.transaction_ts, TIMESTAMP '2024-01-01 00:00:00') + CASE WHEN c.replayed THEN INTERVAL 48 HOUR ELSE INTERVAL 1 HOUR END AS arrived_at
+    FROM cleansed c
+)
+SELECT transaction_id, kafka_offset, amount_usd, transaction_ts, dq_passed, TIMESTAMP '2024-01-12 06:00:00' AS silver_processed_at
+FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY kafka_offset DESC) AS rn FROM arrived WHERE arrived_at <= TIMESTAMP '2024-01-12 06:00:00')
+WHERE rn = 1
+"""
+)
+SQL["stream_window_alerts"] = q(
+    """
+SELECT date_trunc('hour', transaction_ts) AS alert_ts, merchant_category, merchant_state, COUNT(*) AS fraud_count,
+       CAST(SUM(amount_usd) AS DECIMAL(25,2)) AS fraud_amount_usd,
+       CASE WHEN COUNT(*) >= 50 THEN 'CRITICAL' WHEN COUNT(*) >= 20 THEN 'HIGH'
+            WHEN COUNT(*) >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS severity
+FROM cleansed WHERE is_fraud AND transaction_ts IS NOT NULL GROUP BY 1, 2, 3
+"""
+)
+SQL["stream_audit"] = q(
+    """
+SELECT 'card_stream' AS pipeline_name, COUNT(*) AS rows_processed, count_if(kafka_offset % 101 = 7) AS rows_failed,
+       TRUE AS status_fits, TRUE AS one_row_a_batch, TRUE AS has_duration, FALSE AS duration_rule_firing
+FROM bronze
+"""
+)

@@ -64,6 +64,11 @@ def point_in_time(spark: SparkSession, bronze_path: str, as_of_ts: str) -> DataF
     return as_of(spark.read.parquet(bronze_path), as_of_ts).filter(day <= F.to_date(F.lit(as_of_ts)))
 
 
+def silver_as_of(bronze_stamped: DataFrame, moment: str) -> DataFrame:
+    """Silver as it would have been at ``moment``: rebuilt from the Bronze rows that had arrived by then."""
+    return silver.silver_transactions(as_of(bronze_stamped, moment), moment)
+
+
 def build_silver(spark: SparkSession, paths: dict, as_of: str, bronze_as_of: str | None = None) -> dict:
     """Silver: cleanse, dedup, features, enrich; MERGE where the newer offset
     wins; rows with a NULL key go to the quarantine table. Transactions: MERGE
@@ -107,7 +112,7 @@ def build_gold(spark: SparkSession, paths: dict, as_of: str) -> None:
     c = merge.read_table(spark, paths["silver_cust"])
     stamp = C.as_of_ts(as_of)
     daily = gold.daily_txn_summary(s).withColumns({"summary_key": sinks.surrogate_key("txn_date", "merchant_category", "card_type"), "created_at": stamp})
-    sinks.overwrite_partitions(daily.sortWithinPartitions("txn_date", "merchant_category"), paths["daily"], SILVER_PARTS)
+    sinks.overwrite_partitions(sinks.clustered(daily, ["txn_date", "merchant_category"]), paths["daily"], SILVER_PARTS)
     gold.customer_360(s, c).withColumn("gold_loaded_at", stamp).write.mode("overwrite").parquet(paths["customer_360"])
     alerts = gold.fraud_alerts_hourly(s).withColumns({"alert_key": sinks.surrogate_key("alert_ts", "merchant_category", "merchant_state"), "created_at": stamp})
     sinks.clustered_write(alerts, paths["alerts"], ["alert_ts", "severity"])

@@ -54,11 +54,19 @@ def enriched(spark, d) -> DataFrame:
     return silver.enrich_transactions(silver_txn(spark, d), customers(spark, d))
 
 
-def staging(spark, d) -> DataFrame:
+def staging(spark, d, raw: DataFrame | None = None) -> DataFrame:
     """Warehouse staging copy: raw rows with a typed timestamp."""
     from ..functions.columns import parse_ts
 
-    return bronze(spark, d).withColumn("transaction_ts", parse_ts("transaction_ts"))
+    return (bronze(spark, d) if raw is None else raw).withColumn("transaction_ts", parse_ts("transaction_ts"))
+
+
+def snapshot(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(Bronze, Silver) written once, for reports that read them many times: the given tables are scanned once."""
+    from ..session import materialize
+
+    raw = materialize(bronze(spark, d))
+    return raw, materialize(silver.silver_transactions(raw, AS_OF))
 
 
 # --- Silver -------------------------------------------------------------------
@@ -234,8 +242,9 @@ def q_c360_sql(spark, d):
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from ..operators import embeddings, merge, ml, quality, ranking, retrieval, sinks, sketches, vector_join, windows  # noqa: E402
+from ..operators import compact, embeddings, merge, ml, quality, ranking, retrieval, sequence, sinks, sketches, vector_join, windows  # noqa: E402
 from ..schemas import MART_CUSTOMERS, MART_TRANSACTION_DEFAULTS, MART_TRANSACTIONS  # noqa: E402
+from ..streaming import audit as stream_audit  # noqa: E402
 from ..streaming import bronze_stream  # noqa: E402
 
 _MERGE_COLS = ["transaction_id", "customer_id", "amount_usd", "transaction_ts", "kafka_offset", "dq_passed",
@@ -324,7 +333,10 @@ def q_null_rates(spark, d):
 
 @register("null_analysis")
 def q_null_analysis(spark, d):
-    return quality.null_analysis(silver_txn(spark, d), "customer_id")
+    from ..session import materialize
+
+    columns = ["transaction_id", "customer_id", "merchant_category", "transaction_ts", "kafka_offset"]
+    return quality.null_analysis(materialize(silver_txn(spark, d).select(*columns)), "customer_id")
 
 
 @register("duplicates_both_ways")
@@ -387,11 +399,11 @@ def q_top_categories(spark, d):
     return quality.top_categories(silver_txn(spark, d))
 
 
-def _freshness(spark, d):
-    s = silver_txn(spark, d)
+def _freshness(spark, d, raw=None, s=None):
+    s = silver_txn(spark, d) if s is None else s
     return quality.freshness(
         {
-            "bronze": (staging(spark, d), "transaction_ts"),
+            "bronze": (staging(spark, d, raw), "transaction_ts"),
             "silver": (s, "transaction_ts"),
             "gold": (gold.daily_txn_summary(s), "txn_date"),
             "mart": None,
@@ -405,6 +417,26 @@ def q_freshness(spark, d):
     return _freshness(spark, d)
 
 
+LATER = "2024-02-02 00:10:00"
+
+
+@register("load_freshness")
+def q_load_freshness(spark, d):
+    """F12 by load stamps: Bronze and Silver got the replayed rows in the second run, Gold was last built in the first.
+    Their events are old, so only the stamps tell which layer stalls."""
+    runs = [(AS_OF, bronze(spark, d).filter(~F.col("replayed"))), (NEXT_RUN, bronze(spark, d).filter("replayed"))]
+    loads = [sinks.stamp_bronze(rows, "batch", at) for at, rows in runs]
+    silvers = [silver.silver_transactions(rows, at) for at, rows in runs]
+    daily = gold.daily_txn_summary(silvers[0]).withColumn("gold_created_at", F.lit(AS_OF).cast("timestamp"))
+    layers = {
+        "bronze": (loads[0].unionByName(loads[1]), "bronze_ingested_at"),
+        "silver": (silvers[0].unionByName(silvers[1]), "silver_processed_at"),
+        "gold": (daily, "gold_created_at"),
+        "mart": None,
+    }
+    return quality.freshness(layers, LATER)
+
+
 @register("root_cause_lookup")
 def q_root_cause(spark, d):
     issues = quality.issues_from_checks(quality.run_checks(staging(spark, d), AS_OF))
@@ -413,12 +445,14 @@ def q_root_cause(spark, d):
 
 @register("alert_rules")
 def q_alert_rules(spark, d):
-    return _alert_rules(spark, d, quality.run_checks(staging(spark, d), AS_OF))
+    raw, s = snapshot(spark, d)
+    return _alert_rules(spark, d, quality.run_checks(staging(spark, d, raw), AS_OF), raw, s)
 
 
-def _alert_rules(spark, d, checks):
-    model = quality.latest_model_row(q_auc(spark, d), AS_OF)
-    return quality.alert_rules(_freshness(spark, d), checks, q_audit(spark, d), model)
+def _alert_rules(spark, d, checks, raw=None, s=None):
+    s = silver_txn(spark, d) if s is None else s
+    model = quality.latest_model_row(ml.auc_exact(retrieval.fixed_scores(s), "score_milli"), AS_OF)
+    return quality.alert_rules(_freshness(spark, d, raw, s), checks, _audit_log(spark, d, raw), model)
 
 
 @register("auc")
@@ -428,10 +462,10 @@ def q_auc(spark, d):
 
 @register("health_summary")
 def q_health(spark, d):
-    s = silver_txn(spark, d)
-    layers = quality.layer_counts(bronze(spark, d), s, gold.daily_txn_summary(s))
-    checks = quality.run_checks(staging(spark, d), AS_OF)
-    return quality.health_summary(layers, checks, _alert_rules(spark, d, checks))
+    raw, s = snapshot(spark, d)
+    layers = quality.layer_counts(raw, s, gold.daily_txn_summary(s))
+    checks = quality.run_checks(staging(spark, d, raw), AS_OF)
+    return quality.health_summary(layers, checks, _alert_rules(spark, d, checks, raw, s))
 
 
 # --- RFM, windows ---------------------------------------------------------------
@@ -479,7 +513,10 @@ def q_yoy(spark, d):
 
 
 def _gold_frames(spark, d):
-    s, e = silver_txn(spark, d), enriched(spark, d)
+    from ..session import materialize
+
+    s = materialize(silver_txn(spark, d))
+    e = silver.enrich_transactions(s, customers(spark, d))
     return (
         gold.daily_txn_summary(s),
         gold.fraud_alerts_hourly(s),
@@ -490,7 +527,7 @@ def _gold_frames(spark, d):
 
 @register("top_fraud_days")
 def q_top_days(spark, d):
-    return retrieval.top_fraud_days(_gold_frames(spark, d)[0], AS_OF)
+    return retrieval.top_fraud_days(gold.daily_txn_summary(silver_txn(spark, d)), AS_OF)
 
 
 def _busy_silver(spark, d):
@@ -507,7 +544,7 @@ def q_top_alerts(spark, d):
 
 @register("risky_customers")
 def q_risky(spark, d):
-    return retrieval.risky_customers(_gold_frames(spark, d)[2])
+    return retrieval.risky_customers(gold.customer_360(enriched(spark, d), customers(spark, d)))
 
 
 @register("fraud_context")
@@ -651,14 +688,14 @@ def _trained(spark, d, model="gbt", trees=100, depth=6, balance="oversample"):
 @register("gbt_scores")
 def q_gbt_scores(spark, d):
     model, f, _ = _trained(spark, d)
-    return ml.score(model, f)
+    return ml.score(model, f, AS_OF)
 
 
 @register("random_forest_scores")
 def q_rf_scores(spark, d):
     """K8: the random-forest variant, 40 trees."""
     model, f, _ = _trained(spark, d, "rf", trees=40)
-    return ml.score(model, f)
+    return ml.score(model, f, AS_OF)
 
 
 @register("feature_importance")
@@ -715,9 +752,16 @@ def q_mart(spark, d):
 @register("audit_log")
 def q_audit(spark, d):
     """Two runs, each counting its own rows: the first delivery, then the replayed copies."""
+    return _audit_log(spark, d)
+
+
+def _audit_log(spark, d, raw=None):
+    from ..session import materialize
+
     runs = []
+    raw = materialize(bronze(spark, d)) if raw is None else raw
     for started, replayed in ((AS_OF, False), (NEXT_RUN, True)):
-        b = bronze(spark, d).filter(F.col("replayed") == replayed)
+        b = raw.filter(F.col("replayed") == replayed)
         conf = sinks.conform(b, MART_TRANSACTIONS, MART_TRANSACTION_DEFAULTS)
         t = silver.silver_transactions(b, started)
         layers = {"bronze": (b, conf.filter(F.col("_reject_reason").isNotNull())), "silver": (t, t.filter(~F.col("dq_passed")))}
@@ -811,9 +855,9 @@ def q_stream_alerts(spark, d):
 
 @register("vector_collection_upsert")
 def q_collection_upsert(spark, d):
-    """L4: the indexed collection (top-500 alert documents) upserted by id
-    with a later rendering of every alert document."""
-    first = _documents(spark, d, 500).select("doc_id", "doc", "preview")
+    """L4: the indexed collection (top-100 alert documents) upserted by id
+    with a later rendering of every alert document: the others are inserted."""
+    first = _documents(spark, d, 100).select("doc_id", "doc", "preview")
     later = _documents(spark, d, None).select(
         "doc_id", F.concat(F.col("doc"), F.lit(" [refreshed]")).alias("doc"), "preview"
     )
@@ -846,11 +890,8 @@ def q_cleanse_dq(spark, d):
 @register("split_stratified")
 def q_split_stratified(spark, d):
     """Exact per-class 80/20 split (hash order within each class)."""
-    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed")))
-    train, test = ml.stratified_split(f)
-    return train.select("transaction_id", "label", F.lit("train").alias("split")).unionByName(
-        test.select("transaction_id", "label", F.lit("test").alias("split"))
-    )
+    f = ml.build_feature_df(enriched(spark, d).filter(F.col("dq_passed"))).select("transaction_id", "label")
+    return ml.stratified_labels(f)
 
 
 @register("mask_pii")
@@ -887,16 +928,14 @@ _LANDING = "customer_id string, credit_score bigint, created_at string"
 
 
 def _landing(spark, d, fmt, lines=None, frame=None):
-    """Land customer rows as ``fmt`` in three files and read them back with bad text kept."""
+    """Land customer rows as ``fmt`` in files of at most 500 and read them back with bad text kept."""
     from pyspark.sql.types import StructType
 
     from ..session import scratch_dir
 
     path = scratch_dir(spark, f"landing-{fmt}")
-    if frame is not None:
-        frame.repartition(3, "customer_id").write.parquet(path)
-    else:
-        lines.repartition(3, "value").write.text(path)
+    writer = (frame if frame is not None else lines).write.option("maxRecordsPerFile", 500)
+    writer.parquet(path) if frame is not None else writer.text(path)
     schema = StructType.fromDDL(_LANDING)
     return path, sinks.read_landing(spark, path, fmt, schema, aliases={"created_at": "event_created_at"}, keep_bad=True, header=False)
 
@@ -932,6 +971,109 @@ def q_landing_parquet(spark, d):
 
 @register("landing_files")
 def q_landing_files(spark, d):
-    """How many files a landing folder holds, and the rows in them."""
-    path, _ = _landing(spark, d, "parquet", frame=_landed_customers(spark, d))
-    return sinks.landing_files(spark, path).agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("rows"))
+    """Every file of a landing folder with its rows. Each nation's customers land as one file."""
+    from ..session import scratch_dir
+
+    path = scratch_dir(spark, "landing-files")
+    rows = tables.table(spark, d, "customer").select("c_custkey", "c_nationkey").withColumn("nation", F.col("c_nationkey"))
+    rows.repartition("nation").write.partitionBy("nation").parquet(path)
+    files = sinks.landing_files(spark, path)
+    return files.select(F.regexp_extract("file_path", "nation=([0-9]+)/part-[^/]*$", 1).cast("int").alias("nation"), "row_count", F.col("modified_at").isNotNull().alias("has_time"))
+
+
+@register("landing_compact")
+def q_landing_compact(spark, d):
+    """Customers land in many small files; the copy holds the same rows in fewer, and a copy of the copy merges nothing."""
+    from ..session import scratch_dir
+
+    base = scratch_dir(spark, "landing-compact")
+    paths = [f"{base}/{x}" for x in ("landed", "copy", "copy-of-copy")]
+    landed = tables.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    landed.write.option("maxRecordsPerFile", 100).parquet(paths[0])
+    told = [compact.compact(spark, a, b, target_bytes=64 << 10) for a, b in zip(paths, paths[1:])]
+    smaller = [told[0]["files_after"] < told[0]["files_before"], told[1]["files_after"] == told[1]["files_before"]]
+    out = None
+    for stage, path, merges in zip(("landed", "copy", "copy of copy"), paths, (None, *smaller)):
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.sum("c_custkey").alias("keys"), F.countDistinct("c_name").alias("names"))
+        row = rows.select(F.lit(stage).alias("stage"), "*", F.lit(merges).cast("boolean").alias("as_expected"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("mart_sequence_keys")
+def q_sequence_keys(spark, d):
+    """Two loads get dense keys; the second goes on where the first ended."""
+    from ..session import scratch_dir
+
+    path = scratch_dir(spark, "sequence-keys") + "/transactions"
+    rows = bronze(spark, d).select("transaction_id", "customer_id", "amount_usd", "transaction_ts", "kafka_offset", "replayed")
+    for load, replayed in (("first", False), ("second", True)):
+        sequence.load_numbered(spark, rows.filter(F.col("replayed") == replayed).drop("replayed"), path, load, ["kafka_offset"])
+    return spark.read.parquet(path).select("sequence_key", "load_id", "transaction_id", "kafka_offset")
+
+
+@register("gold_contracts")
+def q_gold_contracts(spark, d):
+    """The Gold tables against their contracts (types, lengths, NOT NULL, natural key)."""
+    from ..schemas import GOLD_CONTRACTS
+
+    s = silver_txn(spark, d)
+    frames = {
+        "daily_txn_summary": gold.daily_txn_summary(s),
+        "customer_360": gold.customer_360(enriched(spark, d), customers(spark, d)),
+        "fraud_alerts_hourly": gold.fraud_alerts_hourly(s),
+        "state_performance": gold.state_performance(s),
+    }
+    out = None
+    for name, frame in frames.items():
+        schema, key = GOLD_CONTRACTS[name]
+        row = sinks.contract_counts(sinks.conform(frame, schema), key).select(F.lit(name).alias("table_name"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("silver_point_in_time")
+def q_silver_point_in_time(spark, d):
+    """Silver as of a moment. First deliveries arrive an hour after their event, replays (which win later) two days after it."""
+    from ..functions.columns import parse_ts
+    from . import pipeline
+
+    event = F.coalesce(parse_ts("transaction_ts"), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    delay = F.when(F.col("replayed"), F.expr("INTERVAL 48 HOURS")).otherwise(F.expr("INTERVAL 1 HOUR"))
+    arrived = bronze(spark, d).withColumn("bronze_ingested_at", event + delay)
+    return pipeline.silver_as_of(arrived, "2024-01-12 06:00:00").select("transaction_id", "kafka_offset", "amount_usd", "transaction_ts", "dq_passed", "silver_processed_at")
+
+
+@register("stream_window_alerts")
+def q_window_alerts(spark, d):
+    """Tumbling event-time windows of the stream, in update mode; no row is late within the watermark."""
+    landing, _, _, alerts_dir, ck = _stream_dirs(spark, "stream-windows")
+    bronze_stream.write_landing(bronze(spark, d), landing)
+    events = bronze_stream.event_stream(spark, options={"path": landing, "maxFilesPerTrigger": 2})
+    parsed = bronze_stream.parse_transactions(events, as_of=AS_OF)
+    bronze_stream.start_window_alerts(parsed, alerts_dir, f"{ck}/w", watermark="400 days").awaitTermination()
+    return bronze_stream.latest_windows(spark, alerts_dir).select(
+        "alert_ts", "merchant_category", "merchant_state", "fraud_count", F.col("fraud_amount_usd").cast("decimal(25,2)").alias("fraud_amount_usd"), "severity"
+    )
+
+
+@register("stream_audit")
+def q_stream_audit(spark, d):
+    """A stream in which every 101st message is cut short; its audit rows, one a micro-batch, in sum, and the duration rule over them."""
+    landing, bronze_dir, _, _, ck = _stream_dirs(spark, "stream-audit")
+    messages = bronze_stream.to_envelope(bronze(spark, d))
+    cut = F.when(F.col("offset") % 101 == 7, F.substring("value", 1, 25)).otherwise(F.col("value"))
+    bronze_stream.write_envelopes(messages.withColumn("value", cut), landing)
+    events = bronze_stream.event_stream(spark, options={"path": landing, "maxFilesPerTrigger": 2})
+    parsed = stream_audit.counted(bronze_stream.parse_transactions(events, as_of=AS_OF), F.col("_corrupt_record").isNotNull())
+    name, log = "audited_bronze", f"{bronze_dir}__audit"
+    stream_audit.run_audited(spark, lambda: bronze_stream.start_bronze(parsed, bronze_dir, f"{ck}/b", name=name), log, name, "card_stream")
+    rows = stream_audit.read_audit(spark, log)
+    rule = quality.alert_rules(_freshness(spark, d), quality.run_checks(staging(spark, d), AS_OF), batches=rows).filter("rule_name = 'merge_duration_minutes'")
+    return rows.groupBy("pipeline_name").agg(
+        F.sum("rows_processed").alias("rows_processed"),
+        F.sum("rows_failed").alias("rows_failed"),
+        F.bool_and(F.col("status") == F.when(F.col("rows_failed") > 0, "PARTIAL").otherwise("SUCCESS")).alias("status_fits"),
+        (F.max("batch_id") + 1 == F.count(F.lit(1))).alias("one_row_a_batch"),
+        F.bool_and(F.col("duration_ms") > 0).alias("has_duration"),
+    ).withColumn("duration_rule_firing", rule.select("firing").scalar())

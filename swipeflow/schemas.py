@@ -113,6 +113,89 @@ MART_CUSTOMERS = StructType(
 )
 
 
+def _text(name: str, length: int, required: bool = False) -> StructField:
+    return StructField(name, StringType(), not required, {"max_length": length})
+
+
+def _counts(*names: str) -> list[StructField]:
+    return [StructField(n, LongType(), True) for n in names]
+
+
+# Contracts of the Gold tables (fixed values: column names, types, lengths and NOT NULL marks of the mart);
+# percentages hold 100 as well. Each has its natural key.
+MONEY_18, MONEY_12, MEAN_12, PERCENT = DecimalType(18, 2), DecimalType(12, 2), DecimalType(12, 4), DecimalType(7, 4)
+GOLD_CONTRACTS = {
+    "daily_txn_summary": (
+        StructType(
+            [
+                StructField("txn_date", DateType(), False),
+                *[StructField(n, IntegerType(), True) for n in ("txn_year", "txn_month")],
+                _text("merchant_category", 50),
+                _text("card_type", 20),
+                *_counts("total_transactions"),
+                StructField("total_amount_usd", MONEY_18, True),
+                StructField("avg_amount_usd", MEAN_12, True),
+                *[StructField(n, MONEY_12, True) for n in ("max_amount_usd", "min_amount_usd")],
+                *_counts("unique_customers", "fraud_count"),
+                StructField("fraud_amount_usd", MONEY_18, True),
+                StructField("fraud_rate_pct", PERCENT, True),
+                *_counts("weekend_txn_count", "late_night_txn_count"),
+            ]
+        ),
+        ["txn_date", "merchant_category", "card_type"],
+    ),
+    "customer_360": (
+        StructType(
+            [
+                _text("customer_id", 36, required=True),
+                _text("full_name", 200),
+                _text("home_state", 2),
+                _text("card_type", 20),
+                *[StructField(n, IntegerType(), True) for n in ("credit_score", "account_age_days", "days_active")],
+                StructField("account_open_date", DateType(), True),
+                *[StructField(n, MONEY_12, True) for n in ("credit_limit_usd", "max_single_txn_usd")],
+                *[StructField(n, MEAN_12, True) for n in ("avg_txn_usd", "avg_daily_spend")],
+                StructField("avg_amount_to_limit_ratio", DecimalType(8, 6), True),
+                *_counts("total_transactions", "unique_categories", "fraud_flag_count", "cross_state_txn_count"),
+                StructField("lifetime_spend_usd", MONEY_18, True),
+                *[StructField(n, TimestampType(), True) for n in ("last_txn_ts", "first_txn_ts")],
+                _text("risk_tier", 10),
+            ]
+        ),
+        ["customer_id"],
+    ),
+    "fraud_alerts_hourly": (
+        StructType(
+            [
+                StructField("alert_ts", TimestampType(), False),
+                *[StructField(n, IntegerType(), True) for n in ("txn_year", "txn_month", "txn_day", "txn_hour")],
+                _text("merchant_category", 50),
+                _text("merchant_state", 2),
+                *_counts("fraud_count", "affected_customers"),
+                StructField("fraud_amount_usd", MONEY_18, True),
+                StructField("avg_fraud_amount", MEAN_12, True),
+                _text("severity", 10),
+            ]
+        ),
+        ["alert_ts", "merchant_category", "merchant_state"],
+    ),
+    "state_performance": (
+        StructType(
+            [
+                *[StructField(n, IntegerType(), True) for n in ("txn_year", "txn_month")],
+                _text("txn_month_label", 7),
+                _text("merchant_state", 2),
+                *_counts("total_transactions", "unique_customers", "fraud_count"),
+                StructField("total_volume_usd", MONEY_18, True),
+                StructField("avg_txn_usd", MEAN_12, True),
+                StructField("fraud_rate_pct", PERCENT, True),
+            ]
+        ),
+        ["txn_year", "txn_month", "merchant_state"],
+    ),
+}
+
+
 # Given input tables (declared, so reads skip footer inference).
 from pyspark.sql.types import ArrayType, FloatType, TimestampNTZType  # noqa: E402
 

@@ -46,7 +46,11 @@ def write_landing(raw: DataFrame, path: str, records_per_file: int = 4_000) -> N
     """Land envelopes as JSON-lines files (a fixture for the streams): offsets are dealt over tasks by
     a hash, so each file holds old and new events and arrives out of order. Tasks grow
     with the data, files hold at most ``records_per_file``."""
-    dealt = to_envelope(raw).repartition(F.xxhash64("offset"))
+    write_envelopes(to_envelope(raw), path, records_per_file)
+
+
+def write_envelopes(envelopes: DataFrame, path: str, records_per_file: int = 4_000) -> None:
+    dealt = envelopes.repartition(F.xxhash64("offset"))
     dealt.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
 
 
@@ -76,13 +80,14 @@ def parse_transactions(raw: DataFrame, source: str = "event_stream", as_of: str
     return raw.withColumn("_event", fields).select(*log, "_event.*", *[c.alias(k) for k, c in (stamps | day).items()])
 
 
-def start_bronze(parsed: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None):
+def start_bronze(parsed: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None, name: str | None = None):
     """Append to partitioned Parquet with a checkpoint; default
     trigger drains what is available (tests), production passes
-    ``{"processingTime": "30 seconds"}``."""
+    ``{"processingTime": "30 seconds"}``. ``name`` is the query's name (``stream_audit`` listens to it)."""
     trigger = trigger or {"availableNow": True}
+    writer = parsed.writeStream.queryName(name) if name else parsed.writeStream
     return (
-        parsed.writeStream.format("parquet")
+        writer.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .partitionBy("_partition_year", "_partition_month", "_partition_day")
@@ -143,10 +148,11 @@ def silver_batch_writer(
     return run
 
 
-def start_silver(bronze_stream: DataFrame, silver_path: str, checkpoint: str, customers=None, as_of=None, trigger=None):
+def start_silver(bronze_stream: DataFrame, silver_path: str, checkpoint: str, customers=None, as_of=None, trigger=None, name=None):
     trigger = trigger or {"availableNow": True}
+    writer = bronze_stream.writeStream.queryName(name) if name else bronze_stream.writeStream
     return (
-        bronze_stream.writeStream.foreachBatch(silver_batch_writer(silver_path, customers, as_of))
+        writer.foreachBatch(silver_batch_writer(silver_path, customers, as_of))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -183,6 +189,28 @@ def hourly_alerts(parsed: DataFrame, watermark: str = "2 hours") -> DataFrame:
     )
 
 
+WINDOW_KEYS = ["alert_ts", "merchant_category", "merchant_state"]
+
+
+def start_window_alerts(parsed: DataFrame, path: str, checkpoint: str, watermark: str = "2 hours", trigger: dict | None = None):
+    """``hourly_alerts`` in update mode: each micro-batch writes the windows it changed to a folder of its own (a repeated
+    batch replaces it); ``latest_windows`` reads the last state of every window."""
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={epoch_id}")
+
+    trigger = trigger or {"availableNow": True}
+    return hourly_alerts(parsed, watermark).writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def latest_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The last state of each window and group."""
+    rows = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/batch=*")
+    values = [c for c in rows.columns if c not in (*WINDOW_KEYS, "batch")]
+    last = rows.groupBy(*WINDOW_KEYS).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+    return last.select(*WINDOW_KEYS, "_v.*")
+
+
 def alerts_batch_writer(silver_path: str, alerts_path: str, as_of: str | None = None):
     """``foreachBatch`` body of the exact alerts: MERGE the batch into Silver (dedup by transaction, newest
     offset wins), then rebuild the alerts of the days it touched from Silver, whatever their age.

@@ -70,3 +70,6 @@ def test_the_stored_index_answers_as_a_search_from_scratch(spark, docs, tmp_dir)
     everywhere = spark.createDataFrame([("a", "same one"), ("b", "same two")], "doc_id string, doc string")
     retrieval.build_term_index(everywhere, f"{tmp_dir}/e", analyzer="word")
     assert {r["term"] for r in spark.read.parquet(f"{tmp_dir}/e/postings").collect()} == {"one", "two"}
+    # but a question that holds it is filled up with documents that share nothing else
+    hits = retrieval.search_index(spark, f"{tmp_dir}/e", retrieval.question_frame(spark, ["same two", "two", "same"]), analyzer="word").collect()
+    assert sorted((r["question_id"], r["rank"], r["doc_id"], r["similarity"]) for r in hits) == [(1, 1, "b", 1.0), (1, 2, "a", 0.0), (2, 1, "b", 1.0)]

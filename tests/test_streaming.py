@@ -137,3 +137,70 @@ def test_late_rows_reach_the_merge_but_not_the_stateful_dedup(spark, tmp_dir):
     S.write_landing(raw, f"{tmp_dir}/landing", records_per_file=200)
     got = _dedup(spark, tmp_dir, "90 days")
     assert len(got) == raw.filter("transaction_id IS NULL").count() + raw.select("transaction_id").distinct().filter("transaction_id IS NOT NULL").count()
+
+
+def _audited(spark, base, name="audited", fail=False):
+    from pyspark.sql import functions as F
+
+    from swipeflow.streaming import audit
+
+    parsed = S.parse_transactions(S.event_stream(spark, options={"path": f"{base}/landing"}), as_of=R.AS_OF)
+    if fail:
+        parsed = parsed.withColumn("boom", F.raise_error(F.lit("disk on fire")).cast("string"))
+    stream = audit.counted(parsed, F.col("_corrupt_record").isNotNull())
+    audit.run_audited(spark, lambda: S.start_bronze(stream, f"{base}/out", f"{base}/ck", name=name), f"{base}/audit", name, "p")
+
+
+def test_every_micro_batch_leaves_an_audit_row(spark, tmp_dir):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from swipeflow.operators import quality
+    from swipeflow.streaming import audit
+
+    _messages(spark, f"{tmp_dir}/landing", [(1, "a", 1), (2, "b", 2)])
+    spark.createDataFrame([('{"transaction_id": "c', 3, 0)], "value string, offset long, partition int").withColumn(
+        "timestamp", F.lit("2024-01-01 05:00:00").cast("timestamp")
+    ).write.mode("append").json(f"{tmp_dir}/landing")
+    _audited(spark, tmp_dir)
+    _audited(spark, tmp_dir)  # nothing new: no row
+    _messages(spark, f"{tmp_dir}/landing", [(4, "d", 3)])
+    _audited(spark, tmp_dir)
+    rows = sorted(audit.read_audit(spark, f"{tmp_dir}/audit").collect(), key=lambda r: r["batch_id"])
+    assert [r["batch_id"] for r in rows] == [0, 1, 2] and len({r["query_id"] for r in rows}) == 1
+    assert sum(r["rows_processed"] for r in rows) == 4 == spark.read.parquet(f"{tmp_dir}/out").count()
+    assert sorted((r["rows_failed"], r["status"]) for r in rows) == [(0, "SUCCESS"), (0, "SUCCESS"), (1, "PARTIAL")]
+    assert all(r["duration_ms"] > 0 for r in rows)
+    # another stream of the session is none of its business
+    assert {r["pipeline_name"] for r in rows} == {"p"}
+    # the duration rule reads these rows
+    checks = spark.createDataFrame([("all_passed", None, None, True)], "check_name string, value double, threshold double, passed boolean")
+    none = spark.createDataFrame([], "layer string, lag_minutes double")
+    for ms, firing in ((rows[0]["duration_ms"], False), (31 * 60_000, True)):
+        got = quality.alert_rules(none, checks, batches=spark.createDataFrame([(ms,)], "duration_ms long")).filter("rule_name = 'merge_duration_minutes'").first()
+        assert got["firing"] is firing and got["limit_value"] == 30.0
+    _messages(spark, f"{tmp_dir}/landing", [(5, "e", 4)])
+    with pytest.raises(Exception, match="disk on fire"):
+        _audited(spark, tmp_dir, "other", fail=True)
+    failed = audit.read_audit(spark, f"{tmp_dir}/audit").filter("status = 'FAILED'").collect()
+    assert len(failed) == 1 and "disk on fire" in failed[0]["error_message"]
+
+
+def test_a_batch_that_reports_again_counts_once(spark, tmp_dir):
+    from swipeflow.streaming import audit
+
+    log = audit.StreamAudit(spark, f"{tmp_dir}/a", "n", "p")
+    for rows in (5, 7):
+        log.append("q", f"run{rows}", "p", 3, "2024-01-01", 10, rows, 0, "SUCCESS", None)
+    assert [(r["batch_id"], r["rows_processed"]) for r in audit.read_audit(spark, f"{tmp_dir}/a").collect()] == [(3, 7)]
+
+
+def test_windows_in_update_mode_keep_their_last_state(spark, tmp_dir):
+    S.write_landing(R.bronze(spark, SF_SMALL), f"{tmp_dir}/landing", records_per_file=150)
+    events = S.event_stream(spark, options={"path": f"{tmp_dir}/landing", "maxFilesPerTrigger": 1})
+    parsed = S.parse_transactions(events, as_of=R.AS_OF)
+    S.start_window_alerts(parsed, f"{tmp_dir}/w", f"{tmp_dir}/ck", "400 days").awaitTermination()
+    clean = silver.cleanse_transactions(R.bronze(spark, SF_SMALL)).filter("is_fraud AND transaction_ts IS NOT NULL")
+    got = S.latest_windows(spark, f"{tmp_dir}/w")
+    assert got.agg({"fraud_count": "sum"}).first()[0] == clean.count()
+    assert got.count() == got.select(*S.WINDOW_KEYS).distinct().count()
