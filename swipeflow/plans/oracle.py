@@ -1554,3 +1554,41 @@ SELECT 'card_stream' AS pipeline_name, COUNT(*) AS rows_processed, count_if(kafk
 FROM bronze
 """
 )
+
+SQL["pipeline_layers"] = q(
+    MART
+    + GOLD_DAILY
+    + f"""
+, g_alerts AS ({_nested("fraud_alerts_hourly")})
+, g_c360 AS ({_nested("customer_360")})
+, g_state AS ({_nested("state_performance")})
+, rows AS (
+    SELECT 'bronze_txn' AS table_name, COUNT(*) AS rows FROM bronze
+    UNION ALL SELECT 'bronze_cust', COUNT(*) FROM raw_customer
+    UNION ALL SELECT 'silver_txn', COUNT(*) FROM deduped WHERE transaction_id IS NOT NULL
+    UNION ALL SELECT 'silver_cust', COUNT(*) FROM customers
+    UNION ALL SELECT 'silver_quarantine', COUNT(*) FROM cleansed WHERE transaction_id IS NULL
+    UNION ALL SELECT 'daily', COUNT(*) FROM gold_daily
+    UNION ALL SELECT 'customer_360', COUNT(*) FROM g_c360
+    UNION ALL SELECT 'state', COUNT(*) FROM g_state
+    UNION ALL SELECT 'mart_txn', count_if(_reject_reason IS NULL) FROM mart
+    UNION ALL SELECT 'mart_rejects', count_if(_reject_reason IS NOT NULL) FROM mart
+    UNION ALL SELECT 'mart_cust', COUNT(*) FROM raw_customer
+    UNION ALL SELECT 'mart_cust_rejects', 0
+    UNION ALL SELECT 'audit', 3
+    UNION ALL SELECT 'reports', 1
+    UNION ALL SELECT 'alerts', COUNT(*) FROM (
+        SELECT DISTINCT txn_year, txn_month, txn_day, txn_hour, merchant_category, merchant_state FROM silver WHERE is_fraud AND transaction_id IS NOT NULL)
+)
+SELECT * FROM rows
+"""
+)
+SQL["managed_table"] = q(
+    "SELECT merchant_category, dq_passed, COUNT(*) AS rows, CAST(SUM(kafka_offset) AS BIGINT) AS offsets FROM ("
+    + _nested("wrangle_variant")
+    + ") GROUP BY ALL"
+)
+SQL["stream_restart"] = q("SELECT kafka_offset, transaction_id, CAST(amount_usd AS DOUBLE) AS amount_usd FROM bronze")
+SQL["model_run"] = q(
+    f"SELECT COUNT(*) AS test_rows, COUNT(*) AS equal_scores, TRUE AS better_than_chance, TRUE AS drift_fits FROM passed WHERE {_BUCKET} % 100 < 20"
+)

@@ -1077,3 +1077,71 @@ def q_stream_audit(spark, d):
         (F.max("batch_id") + 1 == F.count(F.lit(1))).alias("one_row_a_batch"),
         F.bool_and(F.col("duration_ms") > 0).alias("has_duration"),
     ).withColumn("duration_rule_firing", rule.select("firing").scalar())
+
+
+@register("pipeline_layers")
+def q_pipeline_layers(spark, d):
+    """The whole batch pipeline, its tables registered in the catalog and counted through it."""
+    import uuid
+
+    from ..session import materialize, scratch_dir
+    from . import pipeline
+
+    base = scratch_dir(spark, "pipeline-layers")
+    pipeline.run_pipeline(spark, d, base, AS_OF)
+    database = f"cards_{uuid.uuid4().hex}"
+    paths = pipeline.layout(base)
+    pipeline.register_tables(spark, paths, database)
+    out = None
+    for name in paths:
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            row = spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+            out = row if out is None else out.unionByName(row)
+    out = materialize(out)
+    spark.sql(f"DROP DATABASE {database} CASCADE")  # external tables: the files stay
+    return out
+
+
+@register("managed_table")
+def q_managed_table(spark, d):
+    """The wrangled copy as a managed table, read back through the catalog."""
+    import uuid
+
+    from ..session import materialize
+
+    name = f"wrangled_{uuid.uuid4().hex}"
+    sinks.save_table(q_wrangle(spark, d), name)
+    out = materialize(spark.table(name).groupBy("merchant_category", "dq_passed").agg(F.count(F.lit(1)).alias("rows"), F.sum("kafka_offset").alias("offsets")))
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@register("stream_restart")
+def q_stream_restart(spark, d):
+    """The stream is run to its end, more files land, and a second query goes on from the same checkpoint."""
+    landing, bronze_dir, _, _, ck = _stream_dirs(spark, "stream-restart")
+    for part, replayed in (("first", False), ("second", True)):
+        bronze_stream.write_landing(bronze(spark, d).filter(F.col("replayed") == replayed), f"{landing}/{part}")
+        for _ in range(2):  # the second time there is nothing new
+            events = bronze_stream.event_stream(spark, options={"path": f"{landing}/*", "maxFilesPerTrigger": 2})
+            bronze_stream.start_bronze(bronze_stream.parse_transactions(events, as_of=AS_OF), bronze_dir, f"{ck}/r").awaitTermination()
+    return spark.read.parquet(bronze_dir).select("kafka_offset", "transaction_id", "amount_usd")
+
+
+@register("model_run")
+def q_model_run(spark, d):
+    """The fitted model is evaluated, saved with its metrics row, loaded again and checked for drift."""
+    from pyspark.ml import PipelineModel
+
+    from ..session import scratch_dir
+
+    model, f, train = _trained(spark, d)
+    path = scratch_dir(spark, "model-run")
+    test = ml.split_hash(f)[1]
+    ml.save_model(model, ml.evaluate(spark, model, train, test, AS_OF), path)
+    metrics = ml.drift_check(spark.read.parquet(f"{path}/metrics"))
+    again = ml.score(PipelineModel.load(f"{path}/model"), test, AS_OF).select("transaction_id", F.col("fraud_probability").alias("again"))
+    same = ml.score(model, test, AS_OF).join(again, "transaction_id").agg(F.count_if(F.col("fraud_probability") == F.col("again")).alias("n")).scalar()
+    return metrics.select(
+        "test_rows", same.alias("equal_scores"), (F.col("test_auc") > 0.5).alias("better_than_chance"), (F.col("retrain") == (F.col("test_auc") < 0.9)).alias("drift_fits")
+    )
