@@ -42,6 +42,8 @@ from swipeflow.llm.common import settle, ship_package
 
 ROLL_BYTES = 64 << 20
 READ_BYTES = 1 << 20
+#: Rows of one (id, payload) from which they may be split over tasks, and the share of all rows they must be.
+HOT_ROWS, HOT_SHARE = 256, 2000
 EPOCH = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -139,15 +141,27 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min
     """One row per page (_mark 1) and, before it in the order of (_id, _digest, _mark), one
     row without payload (_mark 0) for each (id, payload) that is a revisit of _refers.
 
-    Ids and digests alone are joined by digest; payloads move once, to their place in the order.
+    Ids and digests alone are joined by digest; payloads move once, to their place in the order. Rows that repeat one
+    (id, payload) more often than ``HOT_ROWS`` and than one row in ``HOT_SHARE`` (so there are fewer than ``HOT_SHARE``
+    such pairs, which are broadcast) tell _refers themselves and get a _place, by which they may be split; all others have none.
     """
     payload = F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "utf-8")
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).cast("string").alias("_url"), payload.alias("_payload"))
     rows = rows.withColumn("_digest", F.sha1("_payload")).withColumn("_length", F.octet_length("_payload").cast("long"))
     long_enough = rows.filter(F.col("_length") >= min_revisit).select("_id", "_digest")
     firsts = settle(long_enough.groupBy("_digest").agg(F.min("_id").alias("_refers"), F.count("*").alias("_n")).filter("_n > 1").select("_digest", "_refers"))
-    revisits = long_enough.join(firsts, "_digest").filter("_id <> _refers").select("_id", "_digest", "_refers", F.lit(0).alias("_mark"))
-    return rows.withColumn("_mark", F.lit(1)).unionByName(revisits, allowMissingColumns=True)
+    revisits = long_enough.join(firsts, "_digest").filter("_id <> _refers").select("_id", "_digest", "_refers").distinct()
+    counts = rows.groupBy("_id", "_digest").agg(F.count("*").alias("_n"))
+    repeated = settle(counts.filter(F.col("_n") > HOT_ROWS))
+    if repeated.isEmpty():
+        return rows.withColumns({"_mark": F.lit(1), "_hot_url": F.lit(None).cast("string"), "_place": F.lit(None).cast("long")}).unionByName(revisits.withColumn("_mark", F.lit(0)), allowMissingColumns=True)
+    hot = repeated.filter(F.col("_n") > F.lit(pages.count() / HOT_SHARE)).select("_id", "_digest").join(firsts, "_digest", "left")
+    hot = settle(hot.select(F.col("_id").alias("_hot_id"), F.col("_digest").alias("_hot_digest"), F.when(F.col("_id") != F.col("_refers"), F.col("_refers")).alias("_hot_refers"), F.lit(True).alias("_is_hot")))
+    same = F.col("_id").eqNullSafe(F.col("_hot_id")) & (F.col("_digest") == F.col("_hot_digest"))
+    rows = rows.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(hot), same, "left")
+    rows = rows.select("_id", "_url", "_payload", "_digest", "_length", F.lit(1).alias("_mark"), F.col("_hot_refers").alias("_refers"), F.when(F.col("_is_hot"), F.col("_url")).alias("_hot_url"), F.when(F.col("_is_hot"), F.col("_row")).alias("_place"))
+    marks = revisits.join(F.broadcast(hot), same, "left_anti").withColumn("_mark", F.lit(0))
+    return rows.unionByName(marks, allowMissingColumns=True)
 
 
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 0, roll: int = ROLL_BYTES, date: str = EPOCH) -> DataFrame:
@@ -165,13 +179,14 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
                 if mark == 0:
                     revisit = (page, digest, refers)
                     continue
-                refers = revisit[2] if revisit and revisit[:2] == (page, digest) else None
+                if refers is None:
+                    refers = revisit[2] if revisit and revisit[:2] == (page, digest) else None
                 roller.add(record_bytes(page, url, payload if refers is None else None, base64.b32encode(bytes.fromhex(digest)).decode("ascii"), length, refers, date))
         roller.close()
         if roller.files:
             yield pa.RecordBatch.from_pylist(roller.files, pa.schema([("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())]))
 
-    ordered = plan_records(pages, id_col, url_col, html_col, min_revisit).repartitionByRange("_id", "_digest").sortWithinPartitions("_id", "_digest", "_mark", "_url")
+    ordered = plan_records(pages, id_col, url_col, html_col, min_revisit).repartitionByRange("_id", "_digest", "_hot_url", "_place").sortWithinPartitions("_id", "_digest", "_mark", "_url", "_place")
     ordered.select("_id", "_url", "_payload", "_digest", "_length", "_refers", "_mark").mapInArrow(run, "file string, records long, bytes long, sha256 string").write.parquet(f"{folder}/_manifest")
     return pages.sparkSession.read.parquet(f"{folder}/_manifest")
 

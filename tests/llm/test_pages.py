@@ -119,6 +119,26 @@ def test_warc_of_an_empty_table_and_small_payloads(session, tmp_dir):
     assert warc.read_warc(session, f"{tmp_dir}/e").count() == 0
 
 
+@pytest.mark.parametrize("hot", [3, 10**9])
+def test_repeated_rows_are_split_and_keep_their_revisits(session, tmp_dir, monkeypatch, hot):
+    monkeypatch.setattr(warc, "HOT_ROWS", hot)
+    rows = [(7, "u", "same")] * 900 + [(3, "first", "same"), (None, "n", "same"), (8, None, "same")] + [(9, f"u{k % 5}", "other") for k in range(600)] + [(None, "n", "other")] * 400
+    pages = session.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = warc.write_warc(pages, f"{tmp_dir}/h", roll=200)
+    finally:
+        session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = sorted(((r["page_id"], r["url"], r["record_type"], r["refers_to"]) for r in warc.read_warc(session, f"{tmp_dir}/h").collect()), key=str)
+    want = [(p, u, "revisit", 3) if p in (7, 8) else (p, u, "response", None) for p, u, _ in rows]
+    assert got == sorted(want, key=str)
+    per_task = {}
+    for r in manifest.collect():
+        per_task[r["file"].split("-")[1]] = per_task.get(r["file"].split("-")[1], 0) + r["records"]
+    if hot == 3:  # no task has most of the rows of one page
+        assert max(per_task.values()) < 900
+
+
 def test_damaged_files_are_refused(session, tmp_dir):
     pages = session.createDataFrame([(1, "u", "abc")], "page_id long, url string, html string")
     name = warc.write_warc(pages, f"{tmp_dir}/d").first()["file"]
