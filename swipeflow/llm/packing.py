@@ -251,7 +251,9 @@ def pack_tokens(tokens: DataFrame, vocab: int, size: int = SEQUENCE) -> DataFram
         if made is not None:
             yield made
 
-    ranged = tokens.repartitionByRange("_key", "_id").sortWithinPartitions("_key", "_id", "_ids")
+    # rows that repeat an id are spread as well, by their place in the settled input
+    placed = tokens.withColumn("_place", F.monotonically_increasing_id())
+    ranged = placed.repartitionByRange("_key", "_id", "_place").sortWithinPartitions("_key", "_id", "_place")
     return ranged.select("_id", "_n", "_ids").mapInArrow(run, PIECE_SCHEMA)
 
 
