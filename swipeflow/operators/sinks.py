@@ -68,15 +68,11 @@ def stamp_bronze(df: DataFrame, source: str, as_of: str | None = None) -> DataFr
     )
 
 
-def append_batch(df: DataFrame, path: str, partition_cols: list[str], files_per_partition: int | None = None) -> int:
-    """Partitioned append returning the row count, counted by an
-    ``Observation`` during the write (one pass, not a second job).
-    ``files_per_partition`` compacts output files (merge-files)."""
+def append_batch(df: DataFrame, path: str, partition_cols: list[str]) -> int:
+    """B2: partitioned append returning the row count, counted by an
+    ``Observation`` during the write (one pass, not a second job). Small files are merged by ``compact``."""
     obs = Observation("ingest")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if files_per_partition:
-        out = out.repartition(files_per_partition, *partition_cols)
-    out.write.mode("append").partitionBy(*partition_cols).parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(*partition_cols).parquet(path)
     return int(obs.get["rows"])
 
 

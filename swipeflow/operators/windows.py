@@ -5,8 +5,8 @@ Trailing windows of length W only ever look back W, so rows are partitioned
 by (customer, time bucket of size B >= W) and every row whose time is within
 W of the next bucket's start is also copied into that next bucket as
 read-only context (a "halo"). Windows run per (customer, bucket); only home
-rows are kept. The copy costs W/B extra rows; results are exact. Buckets are one
-day long, so a hot customer's task holds at most two days.
+rows are kept. The copy costs W/B extra rows; results are exact. Velocity buckets are three times the
+longest window (a third of the rows is copied, a hot customer's task holds four days), travel buckets a day.
 """
 
 from __future__ import annotations
@@ -40,12 +40,13 @@ def with_halo(df: DataFrame, ts_us: str, lookback_us: int, bucket_us: int) -> Da
 def velocity(
     txns: DataFrame,
     windows: dict[str, int] | None = None,
-    bucket_us: int = DAY_US,
+    bucket_us: int | None = None,
     key: str = "customer_id",
 ) -> DataFrame:
     """Count and amount of the customer's transactions in the trailing
     windows ``[t - W, t]`` (peers at the same instant included)."""
     windows = windows or {"1h": HOUR_US, "24h": DAY_US}
+    bucket_us = bucket_us or 3 * max(windows.values())
     base = txns.filter(F.col(key).isNotNull() & F.col("transaction_ts").isNotNull()).select(
         "transaction_id", key, "transaction_ts", "amount_usd", F.unix_micros("transaction_ts").alias("_t")
     )
