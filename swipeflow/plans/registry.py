@@ -717,9 +717,10 @@ def q_gbt_weighted(spark, d):
     for balance in ("weights", "oversample"):
         model, f, train = _trained(spark, d, balance=balance)
         scored = ml.score(model, ml.split_hash(f)[1])
-        sizes = train.agg(F.count(F.lit(1)).alias("train_rows"), F.countDistinct("transaction_id").alias("train_transactions"))
-        one = ml.confusion_metrics(scored).join(ml.auc_exact(scored).select("auc"), how="cross").join(sizes, how="cross")  # one row each
-        one = one.select(F.lit(balance).alias("balance"), "*")
+        sizes = {"train_rows": F.count(F.lit(1)), "train_transactions": F.countDistinct("transaction_id")}
+        one = ml.confusion_metrics(scored).select(
+            F.lit(balance).alias("balance"), "*", ml.auc_exact(scored).select("auc").scalar().alias("auc"), *[train.agg(c).scalar().alias(n) for n, c in sizes.items()]
+        )
         rows = one if rows is None else rows.unionByName(one)
     return rows
 

@@ -24,6 +24,20 @@ FAST = [
     "alert_documents",
     "confusion_metrics",
     "mart_conform",
+    "vector_topk_lsh",
+    "tfidf_search",
+    "rag_context",
+    "landing_files",
+    "landing_compact",
+    "mart_sequence_keys",
+    "gold_contracts",
+    "load_freshness",
+    "silver_point_in_time",
+    "split_stratified",
+    "class_weights",
+    "p99_sketch_check",
+    "rfm_scores",
+    "managed_table",
 ]
 
 
