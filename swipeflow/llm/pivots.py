@@ -18,7 +18,7 @@ The number of pivots follows the number of classes n as ``2 sqrt(n)`` between
 ``MIN_PIVOTS`` and ``MAX_PIVOTS`` (a bounded sample); every vector is indexed.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
-components link with nothing; vectors of different length never link; zeros of
+components link with nothing, nor do rows without a vec_id; vectors of different length never link; zeros of
 either sign are equal; rows that share a vec_id count as separate vectors; an
 empty table gives an empty result. Only the named columns are read.
 """
