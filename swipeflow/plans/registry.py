@@ -1075,7 +1075,7 @@ def q_stream_audit(spark, d):
         F.sum("rows_processed").alias("rows_processed"),
         F.sum("rows_failed").alias("rows_failed"),
         F.bool_and(F.col("status") == F.when(F.col("rows_failed") > 0, "PARTIAL").otherwise("SUCCESS")).alias("status_fits"),
-        (F.max("batch_id") + 1 == F.count(F.lit(1))).alias("one_row_a_batch"),
+        (F.countDistinct("batch_id") == F.count(F.lit(1))).alias("one_row_a_batch"),
         F.bool_and(F.col("duration_ms") > 0).alias("has_duration"),
     ).withColumn("duration_rule_firing", rule.select("firing").scalar())
 

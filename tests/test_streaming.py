@@ -161,7 +161,7 @@ def test_every_micro_batch_leaves_an_audit_row(spark, tmp_dir):
     _messages(spark, f"{tmp_dir}/landing", [(1, "a", 1), (2, "b", 2)])
     spark.createDataFrame([('{"transaction_id": "c', 3, 0)], "value string, offset long, partition int").withColumn(
         "timestamp", F.lit("2024-01-01 05:00:00").cast("timestamp")
-    ).write.mode("append").json(f"{tmp_dir}/landing")
+    ).coalesce(1).write.mode("append").json(f"{tmp_dir}/landing")
     _audited(spark, tmp_dir)
     _audited(spark, tmp_dir)  # nothing new: no row
     _messages(spark, f"{tmp_dir}/landing", [(4, "d", 3)])
