@@ -11,6 +11,7 @@ touched partitions of a partitioned table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import NamedTuple
 
@@ -309,11 +310,13 @@ def upsert_partitioned(
     """
     insert_nulls = merge_kwargs.get("null_keys", "reject") == "insert"
     source = source.persist(StorageLevel.MEMORY_AND_DISK)  # read by the checks, the index and the merge
+    pool, beside = ThreadPoolExecutor(max_workers=1), []
     try:
         batch = examine(source, keys, partition_cols, index_buckets, insert_nulls)
         keyed = source
         if batch.null_keys and not insert_nulls:
-            _quarantine(null_key_rows(source, keys), quarantine, keys)
+            # a job of its own beside those of the merge
+            beside.append(pool.submit(_quarantine, null_key_rows(source, keys), quarantine, keys))
             keyed = source.filter(~_any_null(keys))
         parts = batch.parts
         if not parts:  # nothing to merge
@@ -358,7 +361,12 @@ def upsert_partitioned(
             merged.unpersist()
         return parts
     finally:
-        source.unpersist()
+        try:
+            for job in beside:
+                job.result()  # its error is the caller's
+        finally:
+            pool.shutdown()
+            source.unpersist()
 
 
 def touched_rows(target: DataFrame, parts: list[tuple], partition_cols: list[str]) -> DataFrame:
