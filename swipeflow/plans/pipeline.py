@@ -183,7 +183,7 @@ def register_tables(spark: SparkSession, paths: dict, database: str = "cards") -
             continue
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{loc}'")
-        if any(c.isPartition for c in spark.catalog.listColumns(name, database)):
+        if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{name}")):
             # partitioned layout: register the partition folders found on disk
             spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
 
