@@ -171,7 +171,7 @@ def _quarantine(nulls: DataFrame, quarantine: str | None, keys: list[str]) -> No
     if quarantine is None:
         return
     missing = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in keys])
-    nulls.withColumn("quarantine_reason", F.concat(F.lit("NULL key: "), missing)).write.mode("append").parquet(quarantine)
+    nulls.withColumn("quarantine_reason", F.concat(F.lit("NULL key: "), missing)).hint("rebalance").write.mode("append").parquet(quarantine)
 
 
 def check_source(source: DataFrame, keys: list[str]) -> None:
@@ -324,7 +324,7 @@ def upsert_partitioned(
         if not path_exists(spark, path):  # first write
             if rows_move:
                 key_index.rebuild(keyed, key_index.index_path(path, index_buckets), keys, partition_cols, index_buckets)
-            keyed.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+            keyed.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
             return parts
         leaving: list[tuple] = []
         if rows_move:
@@ -348,7 +348,9 @@ def upsert_partitioned(
             merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
             left = {tuple(r) for r in merged.select(*partition_cols).distinct().collect()}
         (
+            # few files a partition: else each task of the key shuffle writes one to every partition
             merged.select(*target.columns)
+            .hint("rebalance", *partition_cols)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_cols)
@@ -386,7 +388,13 @@ def touched_rows(target: DataFrame, parts: list[tuple], partition_cols: list[str
 def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str], parts: list[tuple]) -> None:
     """Make ``df`` the whole content of the partitions ``parts`` (all its rows lie in them)."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+    (
+        df.hint("rebalance", *partition_cols)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols)
+        .parquet(path)
+    )
     filled = {tuple(r) for r in df.select(*partition_cols).distinct().collect()}  # at most len(parts)
     for part in parts:
         if part not in filled:

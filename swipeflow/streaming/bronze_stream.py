@@ -8,6 +8,9 @@ same pure function for batch and stream.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,16 +45,31 @@ def to_envelope(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_landing(raw: DataFrame, path: str, records_per_file: int = 4_000) -> None:
-    """Land envelopes as JSON-lines files (a fixture for the streams): offsets are dealt over tasks by
-    a hash, so each file holds old and new events and arrives out of order. Tasks grow
-    with the data, files hold at most ``records_per_file``."""
+#: A landing of up to ``LANDING_FILES`` files has ``SMALL_FILE`` records a file; a larger one has larger files, up to ``LARGE_FILE`` records.
+LANDING_FILES, SMALL_FILE, LARGE_FILE = 32, 4_000, 1_000_000
+
+
+def write_landing(raw: DataFrame, path: str, records_per_file: int | None = None) -> None:
+    """Land envelopes as JSON-lines files (a fixture for the streams): offsets are dealt over files by
+    a hash, so each file holds old and new events and arrives out of order. See ``write_envelopes``."""
     write_envelopes(to_envelope(raw), path, records_per_file)
 
 
-def write_envelopes(envelopes: DataFrame, path: str, records_per_file: int = 4_000) -> None:
-    dealt = envelopes.repartition(F.xxhash64("offset"))
-    dealt.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
+def landing_files(rows: int) -> int:
+    """Files for ``rows`` records. A stream reads some files a micro-batch, and each micro-batch costs jobs, commits, and, in a
+    MERGE, the partitions it touches; so files grow with the landing before their number does."""
+    records = min(max(SMALL_FILE, -(-rows // LANDING_FILES)), LARGE_FILE)
+    return max(1, -(-rows // records))
+
+
+def write_envelopes(envelopes: DataFrame, path: str, records_per_file: int | None = None) -> None:
+    """Files of at most ``records_per_file`` records, or by default ``landing_files`` files of about equal size.
+    Readers split a large file over tasks."""
+    by = F.xxhash64("offset")
+    if records_per_file:
+        envelopes.repartition(by).write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
+    else:
+        envelopes.repartition(landing_files(envelopes.count()), by).write.mode("overwrite").json(path)
 
 
 def event_stream(spark: SparkSession, kind: str = "files", options: dict | None = None) -> DataFrame:
@@ -80,6 +98,19 @@ def parse_transactions(raw: DataFrame, source: str = "event_stream", as_of: str
     return raw.withColumn("_event", fields).select(*log, "_event.*", *[c.alias(k) for k, c in (stamps | day).items()])
 
 
+@contextmanager
+def adaptive(batch: DataFrame) -> Iterator[None]:
+    """For the jobs of a ``foreachBatch`` body. A stateful stream turns adaptive execution off in its session, so each shuffle of a micro-batch
+    would have all ``spark.sql.shuffle.partitions``, and each of these tasks would write files of its own."""
+    conf, key = batch.sparkSession.conf, "spark.sql.adaptive.enabled"
+    was = conf.get(key)
+    conf.set(key, "true")
+    try:
+        yield
+    finally:
+        conf.set(key, was)
+
+
 def start_bronze(parsed: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None, name: str | None = None):
     """Append to partitioned Parquet with a checkpoint; default
     trigger drains what is available (tests), production passes
@@ -110,9 +141,17 @@ def dedup_stream(parsed: DataFrame, watermark: str, key: str = "transaction_id")
     return keyed.withWatermark("kafka_timestamp", watermark).dropDuplicatesWithinWatermark(["_dedup_key"]).drop("_dedup_key")
 
 
+DAY_PARTS = ["_partition_year", "_partition_month", "_partition_day"]
+#: Tasks that share a day's rows of a micro-batch.
+DAY_TASKS = 8
+
+
 def start_dedup(parsed: DataFrame, sink: str, checkpoint: str, watermark: str, trigger: dict | None = None):
-    """``dedup_stream`` appended to partitioned Parquet; a restart goes on from offsets and state in the checkpoint."""
-    return start_bronze(dedup_stream(parsed, watermark), sink, checkpoint, trigger)
+    """``dedup_stream`` appended to partitioned Parquet; a restart goes on from offsets and state in the checkpoint.
+
+    The state is dealt by key, so without another exchange each of its tasks would write a file to every day."""
+    share = F.pmod(F.xxhash64("kafka_offset"), F.lit(DAY_TASKS))
+    return start_bronze(dedup_stream(parsed, watermark).repartition(*DAY_PARTS, share), sink, checkpoint, trigger)
 
 
 SILVER_STREAM_PARTS = ["txn_year", "txn_month", "txn_day"]
@@ -135,15 +174,16 @@ def silver_batch_writer(
         s = silver.silver_transactions(batch.drop("_corrupt_record"), as_of, keep_null_keys=True)
         if customers is not None:
             s = silver.enrich_transactions(s, customers)
-        merge.upsert_partitioned(
-            spark,
-            s,
-            silver_path,
-            ["transaction_id"],
-            SILVER_STREAM_PARTS,
-            quarantine=quarantine,
-            newer_wins="kafka_offset",
-        )
+        with adaptive(batch):
+            merge.upsert_partitioned(
+                spark,
+                s,
+                silver_path,
+                ["transaction_id"],
+                SILVER_STREAM_PARTS,
+                quarantine=quarantine,
+                newer_wins="kafka_offset",
+            )
 
     return run
 
@@ -197,7 +237,8 @@ def start_window_alerts(parsed: DataFrame, path: str, checkpoint: str, watermark
     batch replaces it); ``latest_windows`` reads the last state of every window."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={epoch_id}")
+        with adaptive(batch):
+            batch.hint("rebalance").write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={epoch_id}")
 
     trigger = trigger or {"availableNow": True}
     return hourly_alerts(parsed, watermark).writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -221,10 +262,11 @@ def alerts_batch_writer(silver_path: str, alerts_path: str, as_of: str | None =
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         rows = silver.silver_transactions(batch.drop("_corrupt_record"), as_of, keep_null_keys=True)
-        days = merge.upsert_partitioned(spark, rows, silver_path, ["transaction_id"], SILVER_STREAM_PARTS, quarantine=quarantine, newer_wins="kafka_offset")
-        if days:
-            touched = merge.touched_rows(spark.read.schema(rows.schema).parquet(silver_path), days, SILVER_STREAM_PARTS)
-            merge.replace_partitions(spark, gold.fraud_alerts_hourly(touched), alerts_path, SILVER_STREAM_PARTS, days)
+        with adaptive(batch):
+            days = merge.upsert_partitioned(spark, rows, silver_path, ["transaction_id"], SILVER_STREAM_PARTS, quarantine=quarantine, newer_wins="kafka_offset")
+            if days:
+                touched = merge.touched_rows(spark.read.schema(rows.schema).parquet(silver_path), days, SILVER_STREAM_PARTS)
+                merge.replace_partitions(spark, gold.fraud_alerts_hourly(touched), alerts_path, SILVER_STREAM_PARTS, days)
 
     return run
 

@@ -204,3 +204,51 @@ def test_windows_in_update_mode_keep_their_last_state(spark, tmp_dir):
     got = S.latest_windows(spark, f"{tmp_dir}/w")
     assert got.agg({"fraud_count": "sum"}).first()[0] == clean.count()
     assert got.count() == got.select(*S.WINDOW_KEYS).distinct().count()
+
+
+def test_a_large_landing_has_larger_files_not_more(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    assert [S.landing_files(n) for n in (0, 1, 4_001, 128_000, 612_000, 6_120_000)] == [1, 1, 2, 32, 32, 32]
+    assert S.landing_files(100_000_000) == 100  # a file does not grow without end
+    rows = spark.range(130_000).select(F.lit("{}").alias("value"), F.col("id").alias("offset"), F.lit(0).alias("partition"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"))
+    S.write_envelopes(rows, f"{tmp_dir}/landing")
+    assert len([f for f in os.listdir(f"{tmp_dir}/landing") if f.endswith(".json")]) == 32
+    assert spark.read.json(f"{tmp_dir}/landing").select("offset").distinct().count() == 130_000
+
+
+def test_audit_reports_do_not_wait_for_the_writer(spark, tmp_dir):
+    from types import SimpleNamespace
+
+    from swipeflow.streaming import audit
+
+    log = audit.StreamAudit(spark, f"{tmp_dir}/a", "n", "p")
+    for k in range(30):
+        counts = {"rows": k, "failed": 0}
+        progress = SimpleNamespace(name="n", id="q", runId="r", batchId=k, timestamp="t", numInputRows=k + 1, durationMs={"triggerExecution": 5}, observedMetrics={"audit": counts})
+        log.onQueryProgress(SimpleNamespace(progress=progress))
+    getattr(log, "close", lambda: None)()
+    got = audit.read_audit(spark, f"{tmp_dir}/a").collect()
+    assert sorted((r["batch_id"], r["rows_processed"]) for r in got) == [(k, k) for k in range(30)]
+    # several rows a Spark job: the listener bus never waits for one
+    assert len([f for f in os.listdir(f"{tmp_dir}/a") if f.endswith(".parquet")]) < 30
+
+
+def _most_files_a_day(path):
+    return max(sum(f.endswith(".parquet") for f in files) for _, _, files in os.walk(path))
+
+
+def test_a_micro_batch_writes_few_files_a_day(spark, tmp_dir):
+    S.write_landing(R.bronze(spark, SF_SMALL), f"{tmp_dir}/landing")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        parsed = lambda: S.parse_transactions(S.event_stream(spark, options={"path": f"{tmp_dir}/landing", "maxFilesPerTrigger": 99}), as_of=R.AS_OF)
+        S.start_dedup(parsed(), f"{tmp_dir}/first", f"{tmp_dir}/ck1", "400 days").awaitTermination()
+        assert _most_files_a_day(f"{tmp_dir}/first") <= S.DAY_TASKS
+        S.start_silver(parsed(), f"{tmp_dir}/silver", f"{tmp_dir}/ck2", as_of=R.AS_OF).awaitTermination()
+        assert _most_files_a_day(f"{tmp_dir}/silver") == 1 == _most_files_a_day(f"{tmp_dir}/silver_quarantine")
+        S.start_window_alerts(parsed(), f"{tmp_dir}/w", f"{tmp_dir}/ck3", "400 days").awaitTermination()
+        assert _most_files_a_day(f"{tmp_dir}/w") == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
