@@ -4,8 +4,9 @@ Vectors are hashed by the signs of random projections (cosine LSH): ``bits`` sig
 ``tables`` hash tables deals all vectors anew. A query is compared with the vectors of its
 buckets. Both sides of a bucket are cut into blocks of bounded size, every block of vectors
 meets every block of queries once, and a pair of blocks is one numpy matrix product
-(``cogroup``) that sends on at most k rows a query. So neither queries nor vectors pass through the driver, nothing
-is broadcast, and a bucket with a third of all vectors is many small tasks. Equal
+(``cogroup``) that sends on at most k rows a query. So neither queries nor vectors pass through the driver, only
+the sizes of the buckets are broadcast (at most ``MAX_TABLES << MAX_BITS`` short rows a vector width), and a bucket with
+a third of all vectors is many small tasks. Equal
 vectors are compared once: of each only the k smallest ids can be in a result.
 
 ``plan_hashing`` picks bits and tables: on a bounded sample of queries it takes the similarity of
@@ -33,6 +34,8 @@ BLOCK = 2_048
 #: Vectors of a bucket that hashing aims at.
 BUCKET_ROWS = 1_024
 MAX_TABLES = 32
+#: Bounds the broadcast sizes of the buckets; tables of more than ``BUCKET_ROWS << MAX_BITS`` vectors have larger buckets.
+MAX_BITS = 13
 #: Queries whose neighbours are looked up exactly to choose the hashing.
 SAMPLE = 200
 
@@ -113,8 +116,11 @@ def _blocks(rows: DataFrame, block: int, name: str) -> DataFrame:
 
 
 def _dealt(rows: DataFrame, sizes: DataFrame, own: str, other: str) -> DataFrame:
-    """Every row once for each block of the other side of its bucket."""
-    j = rows.join(sizes, BUCKET_KEY)
+    """Every row once for each block of the other side of its bucket.
+
+    Without the hint Spark would broadcast the rows: it takes their size from the compressed files, an array for one
+    element and the copies for every hash table for one."""
+    j = rows.join(F.broadcast(sizes), BUCKET_KEY)
     return j.withColumn(own, F.pmod(F.xxhash64("id"), F.col(f"n{own}")).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n{other}") - 1)))
 
 
@@ -164,7 +170,7 @@ def plan_hashing(vectors: DataFrame, queries: DataFrame, k: int, recall: float,
 
     Neighbours of at most about ``SAMPLE`` queries, chosen by a hash of their id, are computed exactly. A neighbour
     at angle a shares a sign with probability 1 - a / pi."""
-    most = int(math.log2(max(1, vectors.count() / bucket_rows)))
+    most = min(MAX_BITS, int(math.log2(max(1, vectors.count() / bucket_rows))))
     if most < 1:
         return Hashing(0, 1)
     share = SAMPLE / max(1, queries.count())
@@ -203,8 +209,9 @@ def vector_topk_join(
         found = materialize(_best(_candidates(vectors, nonzero, k, hashing, block, seed), k))
         # too few in its buckets: compare with all
         full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k).select(F.col("query_id").alias("id"))
-        short = asked.join(full, "id", "left_anti")
-        near = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(
+        # merged: there are as many ids as queries
+        short = asked.join(full.hint("merge"), "id", "left_anti")
+        near = found.join(short.select(F.col("id").alias("query_id")).hint("merge"), "query_id", "left_anti").unionByName(
             _best(_candidates(vectors, short, k, Hashing(0, 1), block, seed), k)
         )
     else:

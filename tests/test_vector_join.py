@@ -94,3 +94,41 @@ def test_no_vectors_and_no_queries(spark):
     df, none = frame(spark, [(1, [1.0, 0.0])]), frame(spark, [])
     for corpus, queries in ((none, df), (df, none)):
         assert vector_join.vector_topk_join(corpus, as_queries(queries), 3).count() == 0
+
+
+def broadcast_columns(plan):
+    """Columns of every broadcast of an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        below = [plan.executedPlan()]
+    elif kind.endswith("QueryStageExec"):
+        below = [plan.plan()]
+    else:
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+    own = [plan.output().mkString(" ")] if kind == "BroadcastExchangeExec" else []
+    return own + [c for p in below for c in broadcast_columns(p)]
+
+
+def test_only_bucket_sizes_are_broadcast(spark, tmp_dir):
+    rng = np.random.default_rng(4)
+    frame(spark, clustered(rng, 3000, 64)).coalesce(1).write.parquet(f"{tmp_dir}/vectors")
+    df = spark.read.parquet(f"{tmp_dir}/vectors")  # files: Spark's estimate of the rows is far below their size
+    vectors = vector_join.materialize(vector_join._distinct_vectors(vector_join.unit_vectors(df, "vec_id", "embedding"), 5))
+    asked = vector_join.materialize(vector_join.unit_vectors(as_queries(df), "query_id", "query_vec", keep_zero=True).drop("digest"))
+    near = vector_join._candidates(vectors, asked, 5, vector_join.Hashing(5, 20), 64, 17)
+    assert near.collect()
+    sent = broadcast_columns(near._jdf.queryExecution().executedPlan())
+    assert len(sent) >= 2 and not any("unit" in c for c in sent)
+    # the joins over query ids send nothing whole either
+    out = vector_join.vector_topk_join(df, as_queries(df), 5, hashing=vector_join.Hashing(5, 20), block=64)
+    out.collect()
+    sent = broadcast_columns(out._jdf.queryExecution().executedPlan())
+    assert all("n_v" in c or "n_q" in c for c in sent)
+
+
+def test_bits_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(vector_join, "MAX_BITS", 3)
+    rng = np.random.default_rng(3)
+    centers = rng.standard_normal((80, 24))
+    units = vector_join.unit_vectors(frame(spark, [(i, centers[i % 80] + 0.02 * rng.standard_normal(24)) for i in range(800)]), "vec_id", "embedding")
+    assert vector_join.plan_hashing(units, units.drop("digest"), 5, 0.95, bucket_rows=20).bits == 3
