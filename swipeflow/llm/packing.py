@@ -25,6 +25,7 @@ named columns are read.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import zlib
@@ -79,17 +80,22 @@ class Encoder:
 
     def reset(self) -> None:
         self.slot: dict[int, int] = {}
-        self.ids, self.starts, self.used = np.zeros(1 << 16, np.uint32), [0], 0
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts = np.zeros(1 << 16, np.int64)  # one more than there are slots
 
     def remember(self, keys: list[int], words: list[str]) -> None:
-        for key, word in zip(keys, words, strict=True):
-            ids = self.merge(word.encode("utf-8", "surrogatepass"))
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.slot[key] = len(self.starts) - 1
-            self.starts.append(self.used)
+        merged = [self.merge(word.encode("utf-8", "surrogatepass")) for word in words]
+        known = len(self.slot)
+        ends = self.used + np.cumsum([len(ids) for ids in merged], dtype=np.int64)
+        used = int(ends[-1]) if len(ends) else self.used
+        if used > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(used, len(self.ids)), np.uint32)])
+        if known + len(keys) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros(max(known + len(keys) + 1, len(self.starts)), np.int64)])
+        self.ids[self.used : used] = np.fromiter(itertools.chain.from_iterable(merged), np.uint32, used - self.used)
+        self.starts[known + 1 : known + 1 + len(keys)] = ends
+        self.slot.update(zip(keys, range(known, known + len(keys)), strict=True))
+        self.used = used
 
     def encode(self, texts: list[str], closing: int | None = CLOSING_ID) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offsets); ``closing`` is appended to each."""
@@ -98,26 +104,23 @@ class Encoder:
         marked = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
         pre = PreTokens(["" if i in marked else t for i, t in enumerate(texts)], self.table, joins_space=True)
         hashes, places, index = pre.distinct()
-        keys = hashes.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.slot]
-        self.remember([keys[i] for i in new], [pre.string(places[i]) for i in new])
-        slots = np.array([self.slot[k] for k in keys], np.int64)[index]
-        starts = np.array(self.starts)
-        begin, length = starts[slots], np.diff(starts)[slots]
+        slots = np.fromiter(map(self.slot.get, hashes.tolist(), itertools.repeat(-1)), np.int64, len(hashes))
+        new = np.flatnonzero(slots < 0)
+        slots[new] = len(self.slot) + np.arange(len(new))
+        self.remember(hashes[new].tolist(), pre.strings(places[new]))
+        begin = self.starts[slots]
+        begin, length = begin[index], (self.starts[slots + 1] - begin)[index]
         total = int(length.sum())
         at = np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]) if len(length) else begin, length) + np.arange(total)
         ids = self.ids[at]
         offsets = np.concatenate([[0], np.cumsum(length)])[pre.bounds]
-        if marked or closing is not None:
-            parts = []
-            for i in range(len(texts)):
-                own = self.tokenizer.encode(texts[i], add_special_tokens=False).ids if i in marked else ids[offsets[i] : offsets[i + 1]]
-                parts.append(np.asarray(own, np.uint32))
-                if closing is not None:
-                    parts.append(np.array([closing], np.uint32))
-            sizes = np.array([len(p) for p in parts]).reshape(len(texts), -1).sum(axis=1) if texts else np.empty(0, np.int64)
-            ids = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
+        if marked:
+            parts = [np.asarray(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32) if i in marked else ids[offsets[i] : offsets[i + 1]] for i in range(len(texts))]
+            ids = np.concatenate(parts)
+            offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        if closing is not None:
+            ids = np.insert(ids, offsets[1:], closing)
+            offsets = offsets + np.arange(len(offsets))
         return ids, offsets
 
 

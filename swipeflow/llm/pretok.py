@@ -123,7 +123,7 @@ class PreTokens:
         if not joins_space:
             words = kind[starts] != SPACE
             starts, ends = starts[words], ends[words]
-        self.cps, self.starts, self.ends = cps, starts, ends
+        self.text, self.cps, self.starts, self.ends = code.text, cps, starts, ends
         self.bounds = np.searchsorted(starts, offsets)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,4 +132,7 @@ class PreTokens:
         return np.unique(h, return_index=True, return_inverse=True)
 
     def string(self, i: int) -> str:
-        return self.cps[self.starts[i] : self.ends[i]].tobytes().decode("utf-32-le", "surrogatepass")
+        return self.text[self.starts[i] : self.ends[i]]
+
+    def strings(self, at: np.ndarray) -> list[str]:
+        return [self.text[a:b] for a, b in zip(self.starts[at].tolist(), self.ends[at].tolist(), strict=True)]

@@ -138,8 +138,8 @@ class CodePoints:
     """Code points of several texts in one array; text i is ``cps[offsets[i]:offsets[i + 1]]``."""
 
     def __init__(self, texts: list[str]) -> None:
-        joined = "".join(texts)
-        self.cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.text = "".join(texts)
+        self.cps = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
         self.offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) for t in texts], out=self.offsets[1:])
 

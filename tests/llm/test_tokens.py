@@ -63,6 +63,29 @@ def test_repeated_documents_are_packed_each(session):
     assert got[got.start == 0].shape[0] == 3
 
 
+def test_words_of_a_slice_are_cut_together_and_merged_once(monkeypatch):
+    rnd = random.Random(8)
+    lib = token_count.load(BYTES)
+    encoder = packing.Encoder(BYTES, pretok.probe_classes(lib.pre_tokenizer))
+    merge, asked = encoder.merge, []
+    monkeypatch.setattr(encoder, "merge", lambda raw: asked.append(raw) or merge(raw))
+    words = ["".join(rnd.choice("abcdefgh漢é") for _ in range(8)) for _ in range(70_000)]  # more words than the first arrays hold
+    slices = [[" ".join(words[a : a + 500]) for a in range(b, b + 35_000, 500)] for b in (0, 35_000)]
+    for given in (*slices, slices[0], ODD[3:], ["", ""]):
+        given = [t or "" for t in given]
+        own = pretok.PreTokens(given, encoder.table, True)
+        places = own.distinct()[1]
+        assert own.strings(places) == [own.string(i) for i in places]
+        for closing in (0, None):
+            ids, offsets = encoder.encode(given, closing)
+            for i, t in enumerate(given):
+                want = lib.encode(t, add_special_tokens=False).ids + ([] if closing is None else [closing])
+                assert ids[offsets[i] : offsets[i + 1]].tolist() == want
+    assert len(asked) == len(set(asked)) > 1 << 16
+    monkeypatch.setattr(packing, "CACHE", 10)  # forgets between slices
+    assert encoder.encode(slices[1])[0].tolist() == encoder.encode(slices[1])[0].tolist()
+
+
 def test_merger_equals_library():
     merge, lib = packing.merger(BYTES), token_count.load(BYTES)
     for w in ("hello", " world", "漢字", "thtionble", "\n\n"):
