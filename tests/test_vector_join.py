@@ -132,3 +132,67 @@ def test_bits_are_bounded(spark, monkeypatch):
     centers = rng.standard_normal((80, 24))
     units = vector_join.unit_vectors(frame(spark, [(i, centers[i % 80] + 0.02 * rng.standard_normal(24)) for i in range(800)]), "vec_id", "embedding")
     assert vector_join.plan_hashing(units, units.drop("digest"), 5, 0.95, bucket_rows=20).bits == 3
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_rounds_bound_the_copies_and_leave_no_shuffle_files(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = clustered(rng, 300)
+    df = frame(spark, rows)
+    monkeypatch.setattr(vector_join, "ROUND_VALUES", 1)
+    planned = []
+    real = vector_join._rounds
+
+    def noted(vectors, queries, sizes):
+        rounds = real(vectors, queries, sizes)
+        values = [units.agg({"dim": "sum"}).first()[0] for units in (vectors, queries)]
+        total = sum(r[0] * (r[1] * r[4] + r[3] * r[2]) for r in sizes.select("dim", "rows_v", "n_v", "rows_q", "n_q").collect())
+        planned.append((rounds, total / sum(values)))
+        return rounds
+
+    monkeypatch.setattr(vector_join, "_rounds", noted)
+    for hashing in (vector_join.Hashing(0, 1), vector_join.Hashing(2, 5)):
+        before = shuffle_files(spark)
+        got = vector_join.vector_topk_join(df, as_queries(df), 4, hashing=hashing, block=40)
+        assert not shuffle_files(spark) - before
+        rounds, copies = planned[-1]
+        assert copies > vector_join.ROUND_COPIES and len(rounds) >= copies / vector_join.ROUND_COPIES
+        # every table, and of a table dealt over rounds every part, comes once
+        shares = [(t, 1 / r.parts) for r in rounds for t in r.tables]
+        assert all(abs(sum(s for u, s in shares if u == t) - 1) < 1e-9 for t in range(hashing.tables)) and len({(t, r.part) for r in rounds for t in r.tables}) == len(shares)
+        want = brute(rows, rows, 4)
+        if hashing.bits:
+            assert len(result(got)) == len(want)
+        else:
+            assert result(got) == want
+
+
+@pytest.mark.parametrize("spread", [1.0, 1e-7, 0.0])
+def test_single_precision_only_narrows_the_choice(monkeypatch, spread):
+    monkeypatch.setattr(vector_join, "PIECE_VALUES", 3_000)
+    rng = np.random.default_rng(7)
+    unit = lambda a: a / np.linalg.norm(a, axis=1)[:, None]
+    center = rng.standard_normal(12)
+    d = unit(np.concatenate([center + spread * rng.standard_normal((400, 12)), rng.standard_normal((200, 12))]))
+    q = np.concatenate([d[::7], np.zeros((1, 12))])
+    for k in (1, 5, 700):
+        rows, cols, sims = vector_join._nearest(d, q, k)
+        exact = np.round(q @ d.T, 9)
+        kth = np.sort(exact, axis=1)[:, -min(k, len(d))]
+        assert sorted(zip(rows, cols)) == sorted(zip(*np.nonzero(exact >= kth[:, None])))
+        assert np.abs(sims - exact[rows, cols]).max() < 2e-9
+
+
+def test_vectors_travel_as_given(spark):
+    rows = [(1, [0.1, 0.2]), (2, [0.3, -0.4])]
+    for kind in ("float", "double"):
+        units = vector_join.unit_vectors(frame(spark, rows).selectExpr("vec_id", f"CAST(embedding AS array<{kind}>) AS embedding"), "vec_id", "embedding")
+        assert units.schema["vector"].dataType.simpleString() == f"array<{kind}>"
+        for r in units.collect():
+            given = np.array(dict(rows)[r["id"]], np.float32 if kind == "float" else np.float64).astype(np.float64)
+            assert list(r["vector"]) == list(given) and r["length"] == np.linalg.norm(given)
